@@ -36,7 +36,7 @@ PRELUDE = {
     ),
     "samples": (
         "samples AS (SELECT 'ST' || l_suppkey AS station_code, "
-        "row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) - 1 AS n, "
+        "row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_quantity) - 1 AS n, "
         "l_quantity - 25.5e0 AS x FROM lineitem)"
     ),
     "alerts": (
@@ -148,5 +148,6 @@ class Tables:
             "l_linenumber",
             (F.col("l_quantity") - 25.5).alias("x"),
         )
-        numbered = number_rows(lines, ["station_code"], [F.col("l_orderkey"), F.col("l_linenumber")], "n")
+        order = [F.col("l_orderkey"), F.col("l_linenumber"), F.col("x")]
+        numbered = number_rows(lines, ["station_code"], order, "n")
         return numbered.select("station_code", (F.col("n") - 1).alias("n"), "x")
