@@ -46,7 +46,7 @@ def file_key(time: str | Column, network: str | Column, station: str | Column, c
 def parse_mixed_time(text: str | Column) -> Column:
     """ISO text (has ``+``, ``T`` or ``:``) or epoch seconds to a timestamp, NULL if it is neither."""
     text = F.trim(_col(text))
-    seconds = F.expr("try_cast(null as double)") if text is None else text.try_cast("double")
+    seconds = text.try_cast("double")
     return F.when(text.rlike("[+T:]"), F.try_to_timestamp(text)).otherwise(
         F.timestamp_micros(F.round(seconds * 1e6).cast("long"))
     )
@@ -104,7 +104,10 @@ def severity_class(risk: str | Column) -> Column:
 
 
 def alert_message(level: str | Column, risk: str | Column, stations: str | Column) -> Column:
-    return F.format_string("Alert: %s - Risk: %.2f - Stations: %d", _col(level), _col(risk), _col(stations))
+    """The risk is rounded from its exact binary value, half to even, not from its shortest decimal."""
+    shown = F.call_function("format_number", _col(risk), F.lit("0.00"))
+    parts = [F.lit("Alert: "), _col(level), F.lit(" - Risk: "), shown, F.lit(" - Stations: "), _col(stations).cast("string")]
+    return F.concat(*parts)
 
 
 def log_amplitude(value: str | Column) -> Column:

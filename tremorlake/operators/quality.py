@@ -260,6 +260,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], last
     An aggregate, not a window: it combines before the shuffle, so a hot key sends one row per task.
     """
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
     pick = F.max_by if last else F.min_by
     best = pick(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order])).alias("_row")
     return df.groupBy(*keys).agg(best).select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
