@@ -55,7 +55,8 @@ PRELUDE = {
 
 def with_tables(names: str, body: str) -> str:
     """Oracle SQL text: the named projections as CTEs in front of ``body``."""
-    return "WITH " + ", ".join(PRELUDE[n] for n in names.split()) + " " + body if names else body
+    start = "WITH RECURSIVE " if " chain(" in body else "WITH "
+    return start + ", ".join(PRELUDE[n] for n in names.split()) + " " + body if names else body
 
 
 class Tables:
