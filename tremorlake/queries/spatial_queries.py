@@ -1 +1,86 @@
-"""Placeholder."""
+"""Queries for spatial statistics."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tremorlake.operators import aggregates as A, spatial as S
+from tremorlake.queries import query
+from tremorlake.queries.aggregate_queries import BEARING, EPICENTRES, HAVERSINE, PLACED
+from tremorlake.queries.join_queries import RUN_MEANS, run_means
+
+KNN = """pairs AS (SELECT a.station_code AS i, b.station_code AS j, (b.easting - a.easting) * (b.easting - a.easting)
+    + (b.northing - a.northing) * (b.northing - a.northing) AS d2 FROM base a JOIN base b ON a.station_code <> b.station_code),
+  knn AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY i ORDER BY d2, j) <= 5),
+  zs AS (SELECT station_code, delta_value - (SELECT avg(delta_value) FROM base) AS z FROM base)"""
+
+
+@query(
+    "moran_global_knn",
+    "picks stations",
+    f""", {RUN_MEANS}, {KNN}, lagged AS (SELECT i, sum(0.2e0 * z) AS lag FROM knn JOIN zs ON j = station_code GROUP BY i)
+    SELECT sum(z * lag) / sum(z * z) AS moran_i, -1e0 / (count(*) - 1) AS expected_i, count(*) AS n FROM zs JOIN lagged ON i = station_code""",
+    "moran_i expected_i",
+)
+def _(t):
+    return S.moran_global_knn(run_means(t, "run_0"), "station_code", "delta_value", 5, ("easting", "northing"))
+
+
+@query("moran_permutation_p")
+def _(t):
+    made = S.moran_permutation_p(run_means(t, "run_0"), "station_code", "delta_value", 5, ("easting", "northing"))
+    return made.select(F.round("moran_i", 10).alias("moran_i"), "p_sim", F.round("mean_i_perm", 10).alias("mean_i_perm"))
+
+
+BAND = f"""{EPICENTRES}, spots AS (SELECT event_id, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude,
+    n_stations - (SELECT avg(n_stations) FROM epicentres) AS z FROM epicentres),
+  near AS (SELECT a.event_id AS i, b.z, sqrt((b.latitude - a.latitude) * (b.latitude - a.latitude)
+    + (b.longitude - a.longitude) * (b.longitude - a.longitude)) AS d FROM spots a JOIN spots b
+    ON a.event_id <> b.event_id AND abs(a.latitude - b.latitude) <= 0.016e0 AND abs(a.longitude - b.longitude) <= 0.016e0),
+  lags AS (SELECT i, sum(z / CASE WHEN d = 0 THEN 1e-6 ELSE d END) / sum(1 / CASE WHEN d = 0 THEN 1e-6 ELSE d END) AS lag
+    FROM near WHERE d <= 0.015e0 GROUP BY i),
+  joined AS (SELECT event_id, z, coalesce(lag, 0) AS lag FROM spots LEFT JOIN lags ON i = event_id)"""
+
+
+def epicentres(t):
+    made = A.event_epicenter(t.picks, t.stations)
+    return made.withColumns({"latitude": F.round("latitude", 9), "longitude": F.round("longitude", 9)})
+
+
+@query(
+    "moran_global_band",
+    "picks stations",
+    f", {BAND} SELECT sum(z * lag) / sum(z * z) AS moran_i, count(*) AS n FROM joined",
+    "moran_i:7",
+)
+def _(t):
+    return S.moran_global_band(epicentres(t), "n_stations")
+
+
+@query(
+    "lisa_local",
+    "picks stations",
+    f""", {BAND} SELECT event_id, z, lag, z / (SELECT avg(z * z) FROM joined) * lag AS local_moran,
+    CASE WHEN z > 0 AND round(lag, 6) > 0 THEN 'High-High (Hotspot)' WHEN z < 0 AND round(lag, 6) < 0 THEN 'Low-Low (Coldspot)'
+      WHEN z > 0 AND round(lag, 6) < 0 THEN 'High-Low (Outlier)' ELSE 'Low-High (Outlier)' END AS lisa_class FROM joined""",
+    "z:8 lag:5 local_moran:4",
+)
+def _(t):
+    return S.lisa_local(epicentres(t), "event_id", "n_stations")
+
+
+_FROM_CENTRE = {"lat1": "40.8062e0", "lon1": "14.1410e0"}
+
+
+@query(
+    "hourly_distance_bearing",
+    "picks stations",
+    f""", {PLACED}, turned AS (SELECT date_trunc('hour', arrival_iso) AS hour, latitude, longitude,
+      radians({BEARING.format(**_FROM_CENTRE, lat2="latitude", lon2="longitude")}) AS b FROM placed),
+    means AS (SELECT hour, avg(latitude) AS la, avg(longitude) AS lo, avg(sin(b)) AS e, avg(cos(b)) AS n FROM turned GROUP BY hour)
+    SELECT hour, {HAVERSINE.format(**_FROM_CENTRE, lat2="la", lon2="lo")} AS distanza_da_centro_km,
+      CASE WHEN sqrt(e * e + n * n) < 1e-12 THEN 0e0 ELSE (degrees(atan2(e, n)) + 360) % 360 END AS direzione_da_centro_deg FROM means""",
+    "distanza_da_centro_km:7 direzione_da_centro_deg:6",
+)
+def _(t):
+    return S.hourly_distance_bearing(t.picks, t.stations)
