@@ -22,7 +22,7 @@ RISK_DIVISOR = 1_000_000.0
 MIN_STATIONS, RISK_LIMIT = 18, 0.7
 COOLDOWN_MINUTES = 60
 HIGH_LIMIT = dict(ALERT_LEVELS)["HIGH"]
-ALL_CLEAR = "all clear"
+FEW_STATIONS, HIGH_RISK, ALL_CLEAR = "Stazioni insufficienti: ", "Soglia rischio superata: ", "Tutto nella norma"
 
 
 def watermarked(df: DataFrame, time: str, delay: str = WATERMARK) -> DataFrame:
@@ -57,35 +57,31 @@ def risk_of_windows(stats: DataFrame, divisor: float = RISK_DIVISOR) -> DataFram
 def stream_risk_score(
     df: DataFrame, time: str, value: str, divisor: float = RISK_DIVISOR, lookback: str = LOOKBACK, every: str = EVERY
 ) -> DataFrame:
-    """The risk of each window straight from the rows, in two chained aggregations.
+    """The risk of each window straight from the rows, in three chained aggregations.
 
-    A stream has no exact distinct count; the inner group holds one row per station, so the outer one
-    counts stations by a flag on the first channel of each station.
+    A stream has no exact distinct count. So traces are aggregated to stations, one row per station
+    and window, and stations to windows, where counting rows counts stations.
     """
-    inner = (
-        df.groupBy(F.window(time, lookback, every), "station_code")
-        .agg(
-            F.stddev_pop(value).alias("std"),
-            (F.max(value) - F.min(value)).alias("range"),
-            F.count(value).alias("npts"),
-        )
-        .groupBy("window")
-        .agg(
-            (STD_WEIGHT * F.avg("std") / divisor + RANGE_WEIGHT * F.avg("range") / divisor).alias("risk_score"),
-            F.count(F.lit(1)).alias("stations_count"),
-            F.sum("npts").alias("records_count"),
-        )
+    traces = df.groupBy(F.window(time, lookback, every).alias("window"), "station_code", "channel").agg(
+        F.stddev_pop(value).alias("std"), (F.max(value) - F.min(value)).alias("range")
     )
-    return inner.select(
+    stations = traces.groupBy("window", "station_code").agg(
+        F.sum("std").alias("std"), F.sum("range").alias("range"), F.count(F.lit(1)).alias("traces")
+    )
+    risk = (STD_WEIGHT * F.sum("std") + RANGE_WEIGHT * F.sum("range")) / F.sum("traces") / divisor
+    windows = stations.groupBy("window").agg(
+        risk.alias("risk_score"), F.count(F.lit(1)).alias("stations_count"), F.sum("traces").alias("records_count")
+    )
+    return windows.select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "risk_score", "stations_count", "records_count"
     )
 
 
 def threshold_message(risk: Column, stations: Column, least: int = MIN_STATIONS, limit: float = RISK_LIMIT) -> Column:
     """What is wrong, parts joined by ``; ``, or the all-clear text."""
-    few = F.when(stations < least, F.concat(F.lit("too few stations: "), stations.cast("string"), F.lit(f"/{least}")))
+    few = F.when(stations < least, F.concat(F.lit(FEW_STATIONS), stations.cast("string"), F.lit(f"/{least}")))
     shown = F.call_function("format_number", risk, F.lit("0.0000"))
-    high = F.when(risk > limit, F.concat(F.lit("risk above limit: "), shown, F.lit(f"/{limit}")))
+    high = F.when(risk > limit, F.concat(F.lit(HIGH_RISK), shown, F.lit(f"/{limit}")))
     text = F.concat_ws("; ", few, high)
     return F.when(text == "", ALL_CLEAR).otherwise(text)
 
@@ -151,3 +147,157 @@ def alert_timeline(alerts: DataFrame, time: str = "timestamp") -> DataFrame:
 
     counts = alerts.groupBy(F.date_trunc("hour", time).alias("hour")).agg(F.count(F.lit(1)).alias("n_alerts"))
     return hour_grid(alerts, time, "hour").join(counts, "hour", "left").na.fill({"n_alerts": 0})
+
+
+def cooldown_filter(minutes: float) -> Callable:
+    """State function: alerts of one area in time order; drops those within ``minutes`` of the last one sent."""
+    wait = round(minutes * 60e6)
+
+    def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(chunks), ignore_index=True).sort_values(["us", "alert_id"], kind="stable")
+        last = state.get[0] if state.exists else None
+        keep = []
+        for us, is_error in zip(rows["us"], rows["is_error"]):
+            sent = bool(is_error) or last is None or us >= last + wait
+            keep.append(sent)
+            if sent and not is_error:
+                last = int(us)
+        if last is not None:
+            state.update((last,))
+        yield rows[keep][["area", "alert_id", "us", "is_error"]]
+
+    return step
+
+
+def stream_alert_cooldown(alerts: DataFrame, area: str, time: str, alert_id: str, minutes: float = COOLDOWN_MINUTES, is_error: Column | None = None) -> DataFrame:
+    """Alerts that go out: at least ``minutes`` after the last one of their area. Errors always do, and do not count.
+
+    Alerts are few: they come after the threshold. State is one number per area.
+    """
+    rows = alerts.select(
+        F.col(area).cast("string").alias("area"),
+        F.col(alert_id).cast("long").alias("alert_id"),
+        F.unix_micros(F.col(time).cast("timestamp")).alias("us"),
+        (is_error if is_error is not None else F.lit(False)).alias("is_error"),
+    )
+    sent = rows.groupBy("area").applyInPandasWithState(
+        cooldown_filter(minutes),
+        "area STRING, alert_id LONG, us LONG, is_error BOOLEAN",
+        "last_us LONG",
+        "append",
+        GroupStateTimeout.NoTimeout,
+    )
+    return sent.select("area", "alert_id", F.timestamp_micros("us").alias("timestamp"), "is_error")
+
+
+def alert_cooldown(alerts: DataFrame, area: str, time: str, alert_id: str, minutes: float = COOLDOWN_MINUTES) -> DataFrame:
+    """The batch twin: sent alerts are the greedy anchors of each area, found in parallel blocks of time."""
+    from tremorlake.operators.chains import greedy_anchors
+    from tremorlake.operators.quality import first_per_key
+
+    rows = alerts.select(
+        F.col(area).cast("string").alias("area"), F.col(alert_id).alias("alert_id"), F.unix_micros(F.col(time).cast("timestamp")).alias("us")
+    )
+    anchors = greedy_anchors(rows, ["area"], "us", round(minutes * 60e6) - 1).withColumnRenamed("anchor", "us")
+    once = first_per_key(rows, ["area", "us"], ["alert_id"])
+    return once.join(anchors, ["area", "us"], "left_semi").select("area", "alert_id", F.timestamp_micros("us").alias("timestamp"))
+
+
+CLUSTER_STATE = (
+    "wait_us ARRAY<LONG>, wait_station ARRAY<STRING>, wait_id ARRAY<LONG>, "
+    "us ARRAY<LONG>, station ARRAY<STRING>, id ARRAY<LONG>"
+)
+CLUSTER_OUT = "network STRING, anchor_us LONG, station_code STRING, pick_id LONG, us LONG"
+
+
+def cluster_step(window: int, min_stations: int) -> Callable:
+    """State function: one network's triggers in event-time order up to the watermark.
+
+    Later rows wait in the state. A cluster closes once the watermark is past its window.
+    """
+
+    def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        wait: list[tuple] = []
+        cluster: list[tuple] = []
+        if state.exists:
+            a, b, c, d, e, f = (list(x) for x in state.get)
+            wait, cluster = list(zip(a, b, c)), list(zip(d, e, f))
+        if not state.hasTimedOut:
+            for pdf in chunks:
+                wait += list(zip(pdf["us"].tolist(), pdf["station_code"].tolist(), pdf["pick_id"].tolist()))
+        mark = state.getCurrentWatermarkMs() * 1000
+        wait.sort(key=lambda r: (r[0], r[2]))
+        out: list[tuple] = []
+
+        def close() -> None:
+            if len(cluster) >= min_stations:
+                out.extend((key[0], cluster[0][0], station, pick, us) for us, station, pick in cluster)
+            cluster.clear()
+
+        ready = [r for r in wait if r[0] < mark]
+        wait = wait[len(ready) :]
+        for row in ready:
+            if cluster and row[0] - cluster[0][0] > window:
+                close()
+            if not cluster or row[1] not in {r[1] for r in cluster}:
+                cluster.append(row)
+        if cluster and mark > cluster[0][0] + window:
+            close()
+        if wait or cluster:
+            columns = [list(c) for c in (zip(*wait) if wait else ([], [], []))] + [list(c) for c in (zip(*cluster) if cluster else ([], [], []))]
+            state.update(tuple(columns))
+            due = [cluster[0][0] + window] if cluster else []
+            due += [wait[0][0]] if wait else []
+            state.setTimeoutTimestamp(max(min(due) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(out, columns=["network", "anchor_us", "station_code", "pick_id", "us"])
+
+    return step
+
+
+def stream_coincidence(triggers: DataFrame, time: str, window_seconds: float = 10.0, min_stations: int = 3) -> DataFrame:
+    """Clusters of each network on a live, watermarked stream of triggers.
+
+    State per network is the open cluster and what the watermark has not passed yet.
+    """
+    rows = triggers.select(
+        "network", "station_code", F.col("pick_id").cast("long").alias("pick_id"), F.unix_micros(time).alias("us"), time
+    )
+    found = rows.groupBy("network").applyInPandasWithState(
+        cluster_step(round(window_seconds * 1e6), min_stations), CLUSTER_OUT, CLUSTER_STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
+    return found.select("network", F.timestamp_micros("anchor_us").alias("anchor"), "station_code", "pick_id")
+
+
+def read_files(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
+    """A stream of Parquet files as they arrive in a folder."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(folder)
+
+
+def write_available(df: DataFrame, path: str, checkpoint: str) -> None:
+    """Run a stream over what is there now and append its results to a Parquet folder."""
+    writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start(path).awaitTermination()
+
+
+def start_ingest(
+    df: DataFrame, path: str, schema: T.StructType, key: Sequence[str], checkpoint: str, failures: str | None = None
+):
+    """A stream that inserts each batch by key and goes on past a batch that fails.
+
+    A failed batch is written to ``failures`` as it came, with its error; without that folder it raises.
+    """
+    from tremorlake.sources.sinks import insert_ignore
+
+    def load(batch: DataFrame, number: int) -> None:
+        try:
+            insert_ignore(batch, path, schema, key)
+        except Exception as error:  # noqa: BLE001
+            if failures is None:
+                raise
+            kept = batch.select(F.to_json(F.struct("*")).alias("row"), F.lit(number).alias("batch"), F.lit(str(error)[:500]).alias("error"))
+            kept.write.mode("append").json(failures)
+
+    return df.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
