@@ -21,6 +21,7 @@ MIN_STATION_EVENTS = 8  # fixed value: fewest events of a usable station
 EDGE_KM = 10.0  # fixed value: station pairs closer than this are linked
 BAND_DEGREES = 0.015  # fixed value: epicentres closer than this are neighbours
 SAME_PLACE_DEGREES = 1e-6  # fixed value: distance given to coincident epicentres
+CELL_POINTS = 16  # points per cell and neighbour that a first search may meet
 HIGHER_IS_BETTER = ("accuracy", "r2", "precision", "recall", "f1")  # fixed values
 
 
@@ -163,6 +164,7 @@ def nearest(
     """
     x, y = coords
     dims = [x, y, *more]
+    points, queries = durable(points), durable(queries)
     both = points.select(x, y).unionByName(queries.select(x, y))
     box = both.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
     if box[0] is None:
@@ -171,6 +173,15 @@ def nearest(
     n = points.count()
     level = max(0, min(16, math.ceil(math.log2(max(1.0, math.sqrt(n / max(1, k)))))))
     homes = points.select(F.col(point_key).alias("_point"), *[F.col(c).alias(f"_p_{c}") for c in dims], *keep)
+    # of coincident points only the k first keys (one more if a query skips itself) can be anyone's nearest
+    twins = F.row_number().over(W.partitionBy(*[f"_p_{c}" for c in dims]).orderBy("_point"))
+    homes = durable(homes.withColumn("_twin", twins).filter(F.col("_twin") <= k + 1).drop("_twin"))
+    while level < 24:  # finer cells where points crowd
+        width = extent / 2**level
+        cells = homes.groupBy(*[F.floor((F.col(f"_p_{c}") - low) / width).alias(c) for c, low in ((x, box[0]), (y, box[2]))])
+        if cells.count().agg(F.max("count")).first()[0] <= CELL_POINTS * (k + 1):
+            break
+        level += 2
     pending = queries.select(F.col(query_key).alias("_query"), *dims)
     found = []
     while True:
