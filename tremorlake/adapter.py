@@ -140,8 +140,12 @@ class Tables:
 
     @property
     def samples(self) -> DataFrame:
-        """One row per waveform sample: a trace per supplier, ordered by order key and line."""
+        """One row per waveform sample: a trace per supplier, ordered by order key and line.
+
+        Written down once, as decoded samples would be: operators pass over them several times.
+        """
         from tremorlake.scale import number_rows
+        from tremorlake.session import durable
 
         lines = self.raw("lineitem").select(
             F.concat(F.lit("ST"), F.col("l_suppkey").cast("string")).alias("station_code"),
@@ -151,4 +155,4 @@ class Tables:
         )
         order = [F.col("l_orderkey"), F.col("l_linenumber"), F.col("x")]
         numbered = number_rows(lines, ["station_code"], order, "n")
-        return numbered.select("station_code", (F.col("n") - 1).alias("n"), "x")
+        return durable(numbered.select("station_code", (F.col("n") - 1).alias("n"), "x"))

@@ -140,3 +140,8 @@ def alert_from_json(text: str | Column) -> dict[str, Column]:
         "type": F.get_json_object(text, "$.type"),
         "timestamp": F.try_to_timestamp(F.get_json_object(text, "$.timestamp")),
     }
+
+
+def alert_json(*fields: Column) -> Column:
+    """A log line of the named fields; fields without a value are left out."""
+    return F.to_json(F.struct(*fields))

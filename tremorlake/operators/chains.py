@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tremorlake.scale import hot_groups
 from tremorlake.session import durable
 
 BLOCK_WINDOWS = 360  # windows per block, and blocks per big block
@@ -38,8 +39,13 @@ def _fold(blocks: np.ndarray, entries: np.ndarray, lasts: np.ndarray, window: in
     return out
 
 
-def greedy_anchors(times: DataFrame, keys: Sequence[str], time: str, window: int, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """Anchors of each key: (keys, anchor). ``time`` and ``window`` are whole numbers (microseconds)."""
+def greedy_anchors(
+    times: DataFrame, keys: Sequence[str], time: str, window: int, block_windows: int = BLOCK_WINDOWS, hot_rows: int | None = None
+) -> DataFrame:
+    """Anchors of each key: (keys, anchor). ``time`` and ``window`` are whole numbers (microseconds).
+
+    Keys with few distinct times are one small group each; the scan is for the others.
+    """
     keys = list(keys)
     window = int(window)
     small = max(1, window) * block_windows
@@ -106,6 +112,14 @@ def greedy_anchors(times: DataFrame, keys: Sequence[str], time: str, window: int
             at = int(np.searchsorted(t, t[at] + window, side="right"))
         return pd.DataFrame({**labels(pdf, len(anchors)), "anchor": anchors})
 
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        return expand(pdf, pd.DataFrame({"bound": [NEVER]}))
+
+    hot = hot_groups(distinct, keys, hot_rows)
+    if hot is None:
+        return distinct.groupBy(*keys).applyInPandas(whole, anchor_schema)
+    cold = distinct.join(hot, keys, "left_anti").groupBy(*keys).applyInPandas(whole, anchor_schema)
+    distinct = distinct.join(hot, keys, "left_semi")
     maps = durable(distinct.groupBy(*keys, "super", "block").applyInPandas(block_map, map_schema))
     tops = maps.groupBy(*keys, "super").applyInPandas(super_map, map_schema)
     top = tops.groupBy(*keys).applyInPandas(top_bounds, bound_schema)
@@ -113,4 +127,4 @@ def greedy_anchors(times: DataFrame, keys: Sequence[str], time: str, window: int
         maps.groupBy(*keys, "super").cogroup(top.groupBy(*keys, "super")).applyInPandas(block_bounds, bound_schema)
     )
     grouped = distinct.groupBy(*keys, "super", "block").cogroup(bounds.groupBy(*keys, "super", "block"))
-    return grouped.applyInPandas(expand, anchor_schema)
+    return cold.unionByName(grouped.applyInPandas(expand, anchor_schema))

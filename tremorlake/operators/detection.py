@@ -42,7 +42,7 @@ def with_length(df: DataFrame, keys: Sequence[str], name: str = "npts") -> DataF
 def chunk_windows(
     samples: DataFrame, keys: Sequence[str], rate: float, lta_seconds: float = 20.0, window_seconds: float = WINDOW_SECONDS
 ) -> DataFrame:
-    """Each sample in every window that covers it: adds ``win``, ``pos`` in the window and ``kept``.
+    """Each sample in every window that covers it: adds ``npts``, ``win``, ``pos`` in the window and ``kept``.
 
     Windows start every (window - overlap) seconds while that is before the last sample; the last
     ones are partial. ``kept`` marks rows that are not repeated by the next window's own zone.
@@ -69,10 +69,11 @@ def energy_rms_peak(samples: DataFrame, keys: Sequence[str], value: str = "x") -
 def demean_taper(samples: DataFrame, keys: Sequence[str], pos: str = "pos", value: str = "x", share: float = TAPER_SHARE) -> DataFrame:
     """Subtract the mean of each window and taper both ends by a half cosine.
 
-    The mean comes from an aggregate joined back, so the windows are not sorted for it.
+    ``keys`` must include the window, which bounds the rows of one task. The ratio and the onsets use
+    the same partitioning, so a whole detection shuffles its samples once.
     """
-    means = samples.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.count(F.lit(1)).alias("_n"))
-    joined = samples.join(means, list(keys))
+    whole = W.partitionBy(*keys)
+    joined = samples.select("*", F.avg(value).over(whole).alias("_mean"), F.count(F.lit(1)).over(whole).alias("_n"))
     side = F.floor(F.col("_n") * F.lit(share)).cast("long")
     side = F.when(side * 2 == F.col("_n"), side - 1).otherwise(side)
     depth = F.least(F.col(pos), F.col("_n") - 1 - F.col(pos))
@@ -82,23 +83,35 @@ def demean_taper(samples: DataFrame, keys: Sequence[str], pos: str = "pos", valu
 
 
 def sta_lta_ratio(
-    samples: DataFrame, keys: Sequence[str], nsta: int, nlta: int, pos: str = "pos", value: str = "x", block_rows: int = BLOCK_ROWS
+    samples: DataFrame,
+    keys: Sequence[str],
+    nsta: int,
+    nlta: int,
+    pos: str = "pos",
+    value: str = "x",
+    block_rows: int | None = BLOCK_ROWS,
 ) -> DataFrame:
     """Classic ratio of the mean squares of the last ``nsta`` and ``nlta`` samples; 0 before it is full.
 
     Both means are differences of one running sum. It runs in blocks that repeat the nlta - 1 rows in
-    front of them, so any trace length is exact. All-zero stretches are found by an exact count, not
+    front of them, so any trace length is exact; ``block_rows=None`` says that the keys are windows,
+    which are bounded already. All-zero stretches are found by an exact count, not
     by a difference of sums: a silent long window has ratio NULL. Traces of at most ``nlta`` samples
     have no rows.
     """
     keys = list(keys)
-    block_rows = max(block_rows, nlta)
-    home = F.floor(F.col(pos) / block_rows)
-    into_next = F.col(pos) % block_rows >= block_rows - (nlta - 1)
-    blocks = F.when(into_next, F.array(home, home + 1)).otherwise(F.array(home))
-    long_enough = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > nlta)
-    rows = samples.join(bounded(long_enough.drop("_n")), keys, "left_semi").select("*", F.explode(blocks).alias("_block"))
-    order = W.partitionBy(*keys, "_block").orderBy(pos)
+    if block_rows is None:
+        whole = W.partitionBy(*keys)
+        rows = samples.withColumn("_n", F.count(F.lit(1)).over(whole)).filter(F.col("_n") > nlta).drop("_n")
+        order, at_home = whole.orderBy(pos), F.lit(True)
+    else:
+        block_rows = max(block_rows, nlta)
+        home = F.floor(F.col(pos) / block_rows)
+        into_next = F.col(pos) % block_rows >= block_rows - (nlta - 1)
+        blocks = F.when(into_next, F.array(home, home + 1)).otherwise(F.array(home))
+        long_enough = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > nlta)
+        rows = samples.join(bounded(long_enough.drop("_n")), keys, "left_semi").select("*", F.explode(blocks).alias("_block"))
+        order, at_home = W.partitionBy(*keys, "_block").orderBy(pos), F.floor(F.col(pos) / block_rows) == F.col("_block")
     so_far = order.rowsBetween(W.unboundedPreceding, 0)
     x = F.col(value)
     rows = rows.select(
@@ -110,7 +123,7 @@ def sta_lta_ratio(
 
     rows = rows.select(
         "*", *[since(c, n).alias(f"{c}{k}") for c in ("_e", "_z") for k, n in (("s", nsta), ("l", nlta))]
-    ).filter(F.floor(F.col(pos) / block_rows) == F.col("_block"))
+    ).filter(at_home)
     short = F.when(F.col("_zs") > 0, F.col("_es") / nsta).otherwise(0.0)
     long = F.when(F.col("_zl") > 0, F.col("_el") / nlta)
     ratio = F.when(F.col(pos) < nlta - 1, 0.0).otherwise(F.try_divide(short, long))
@@ -144,7 +157,7 @@ def detect_triggers(
     nsta, nlta = sta_lta_lengths(rate, sta_seconds, lta_seconds)
     windowed = [*keys, "win"]
     chunks = demean_taper(chunk_windows(samples, keys, rate, lta_seconds, window_seconds), windowed)
-    onsets = trigger_onsets(sta_lta_ratio(chunks, windowed, nsta, nlta), windowed, on, off)
+    onsets = trigger_onsets(sta_lta_ratio(chunks, windowed, nsta, nlta, block_rows=None), windowed, on, off)
     return onsets.filter("kept").select(*keys, "win", (F.col("n") / rate).alias("seconds"))
 
 
@@ -196,6 +209,7 @@ def trace_summary(
     """Per trace: samples, duration, peak and its time, rms, std, p95, and STA/LTA peak, time and mean."""
     keys = list(keys)
     x = F.col(value)
+    samples = durable(samples)
     biggest = F.struct(F.abs(x), -F.col("n"))
     plain = samples.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("npts"),

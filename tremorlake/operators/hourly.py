@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tremorlake.scale import spread
+
 LOG_RATIO_LIMIT = 0.301  # fixed value: about twice the base energy
 COMPLETE_SHARE = 0.95  # fixed value: share of stations that makes an hour complete
 BASE_HOURS = 168  # fixed value: hours in the causal base
@@ -80,7 +82,7 @@ def causal_log_ratio(station_hours: DataFrame, rows: int = BASE_HOURS) -> DataFr
     def median(c: str) -> Column:
         return F.percentile(c, F.lit(0.5)).over(base)
 
-    with_base = station_hours.select("*", median("rms").alias("base_rms"), median("peak").alias("base_peak"))
+    with_base = spread(station_hours, ["station_code"]).select("*", median("rms").alias("base_rms"), median("peak").alias("base_peak"))
 
     def ratio(c: str) -> Column:
         return F.log10(F.col(c) / F.greatest(F.col(f"base_{c}"), F.lit(1e-9)))

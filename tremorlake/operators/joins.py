@@ -164,22 +164,24 @@ def nearest(
     """
     x, y = coords
     dims = [x, y, *more]
-    points, queries = durable(points), durable(queries)
+    points = durable(points)
+    queries = points if skip_same and query_key == point_key else durable(queries)
     both = points.select(x, y).unionByName(queries.select(x, y))
     box = both.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
     if box[0] is None:
         raise ValueError("no points")
     extent = max(box[1] - box[0], box[3] - box[2], 1e-9) * (1 + 1e-9)
     n = points.count()
-    level = max(0, min(16, math.ceil(math.log2(max(1.0, math.sqrt(n / max(1, k)))))))
+    crowd = CELL_POINTS * (k + 1)
+    level = 0 if n <= crowd else max(1, min(16, math.ceil(math.log2(math.sqrt(n / max(1, k))))))
     homes = points.select(F.col(point_key).alias("_point"), *[F.col(c).alias(f"_p_{c}") for c in dims], *keep)
     # of coincident points only the k first keys (one more if a query skips itself) can be anyone's nearest
     twins = F.row_number().over(W.partitionBy(*[f"_p_{c}" for c in dims]).orderBy("_point"))
     homes = durable(homes.withColumn("_twin", twins).filter(F.col("_twin") <= k + 1).drop("_twin"))
-    while level < 24:  # finer cells where points crowd
+    while 0 < level < 24:  # finer cells where points crowd
         width = extent / 2**level
         cells = homes.groupBy(*[F.floor((F.col(f"_p_{c}") - low) / width).alias(c) for c, low in ((x, box[0]), (y, box[2]))])
-        if cells.count().agg(F.max("count")).first()[0] <= CELL_POINTS * (k + 1):
+        if cells.count().agg(F.max("count")).first()[0] <= crowd:
             break
         level += 2
     pending = queries.select(F.col(query_key).alias("_query"), *dims)
@@ -190,6 +192,8 @@ def nearest(
             F.floor((F.col(f"_p_{x}") - box[0]) / width).alias("cx"), F.floor((F.col(f"_p_{y}") - box[2]) / width).alias("cy")
         )
         around = _around(F.floor((F.col(x) - box[0]) / width), F.floor((F.col(y) - box[2]) / width))
+        if level == 0:  # one cell holds all
+            around = F.array(F.struct(F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy")))
         pairs = pending.withColumn("_cell", F.explode(around)).join(homes.withColumn("_cell", at), "_cell").drop("_cell")
         if skip_same:
             pairs = pairs.filter(F.col("_query") != F.col("_point"))

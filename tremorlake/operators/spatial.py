@@ -26,6 +26,7 @@ def centred(points: DataFrame, value: str) -> DataFrame:
 
 def moran_global_knn(points: DataFrame, key: str, value: str, k: int = NEIGHBOURS, coords: tuple[str, str] = ("x", "y")) -> DataFrame:
     """One row: Moran's I with equal weights on the k nearest neighbours, its expectation, and n."""
+    points = durable(points)
     z = centred(points, value).select(F.col(key).alias("i"), "z")
     return _moran(join_knn(points, key, k, coords), z)
 
@@ -59,6 +60,7 @@ def moran_permutation_p(
 
     A permutation ranks the points by a seeded hash, so it is the same on every run and any cluster.
     """
+    points = durable(points)
     edges = durable(join_knn(points, key, k, coords))
     z = durable(number_rows(centred(points, value).select(F.col(key).alias("i"), "z"), [], [F.col("i")], "slot"))
     observed = _moran(edges, z.select("i", "z")).first()
@@ -95,7 +97,7 @@ def band_places(points: DataFrame, value: str, band: float = BAND_DEGREES) -> Da
     neighbours, so pairs are made of places, not of points, and a crowded place stays one row. For a
     point with value z: lag = (p - w z) / q, where w is the weight of a coincident point.
     """
-    z = centred(points, value)
+    z = centred(durable(points), value)
     places = durable(
         z.groupBy("latitude", "longitude").agg(F.count(F.lit(1)).alias("n"), F.sum("z").alias("s"), F.sum(F.col("z") * F.col("z")).alias("ss"))
     )
@@ -134,6 +136,7 @@ def lisa_class(z: Column, lag: Column) -> Column:
 
 def lisa_local(points: DataFrame, key: str, value: str, band: float = BAND_DEGREES) -> DataFrame:
     """Local Moran of each point, z / (mean of z squared) times its lag, and its class."""
+    points = durable(points)
     places = durable(band_places(points, value, band))
     total = places.agg(F.sum("ss").alias("ss"), F.sum("n").alias("n")).first()
     mean_square = (total["ss"] or 0.0) / max(total["n"] or 1, 1)

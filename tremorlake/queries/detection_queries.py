@@ -78,7 +78,7 @@ def _(t):
     "ratio:8",
 )
 def _(t):
-    return D.sta_lta_ratio(tapered(t), ["station_code", "win"], 4, 20).select("station_code", "win", "pos", "ratio")
+    return D.sta_lta_ratio(tapered(t), ["station_code", "win"], 4, 20, block_rows=None).select("station_code", "win", "pos", "ratio")
 
 
 @query(

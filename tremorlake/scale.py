@@ -36,6 +36,15 @@ def bounded(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hash by ``keys`` over all shuffle partitions, in front of work that is heavy per row.
+
+    Adaptive execution would merge small partitions by their bytes; here a few megabytes can be
+    seconds of work (sliding medians, solvers), so a fixed number of partitions is asked for.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *[F.col(k) for k in keys])
+
+
 def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
     """Keys of the groups with more than ``hot_rows`` rows, broadcast; None if there are none.
 
