@@ -62,7 +62,7 @@ def greedy_anchors(
     anchor_schema = T.StructType([*fields, T.StructField("anchor", long)])
 
     def labels(pdf: pd.DataFrame, n: int) -> dict:
-        return {k: [pdf[k].iloc[0]] * n for k in keys}
+        return {k: np.array([pdf[k].iloc[0]] * n, dtype=object) for k in keys}  # typed, also when empty
 
     def block_map(pdf: pd.DataFrame) -> pd.DataFrame:
         t = np.sort(pdf["t"].to_numpy())
@@ -110,7 +110,7 @@ def greedy_anchors(
         while at < len(t):
             anchors.append(int(t[at]))
             at = int(np.searchsorted(t, t[at] + window, side="right"))
-        return pd.DataFrame({**labels(pdf, len(anchors)), "anchor": anchors})
+        return pd.DataFrame({**labels(pdf, len(anchors)), "anchor": np.array(anchors, dtype="int64")})
 
     def whole(pdf: pd.DataFrame) -> pd.DataFrame:
         return expand(pdf, pd.DataFrame({"bound": [NEVER]}))

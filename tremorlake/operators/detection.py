@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from tremorlake.operators.chains import greedy_anchors
 from tremorlake.operators.quality import first_per_key
-from tremorlake.scale import HOT_ROWS, bounded, exact_quantiles, number_rows
+from tremorlake.scale import HOT_ROWS, bounded, exact_quantiles, number_rows, spread
 from tremorlake.session import durable
 
 # Detection settings.
@@ -346,7 +346,8 @@ def invert_station_location(
 
     needed = observations.select("station_code", "x_m", "y_m", "z_m", "travel_time")
     names = [row["station_code"] for row in hot]
-    made = needed.filter(~F.col("station_code").isin(names)).groupBy("station_code").applyInPandas(solve, schema)
+    small = needed.filter(~F.col("station_code").isin(names))
+    made = spread(small, ["station_code"]).groupBy("station_code").applyInPandas(solve, schema)
     for row in hot:
         mine = needed.filter(F.col("station_code") == row["station_code"])
 

@@ -447,10 +447,9 @@ def retrain_triggers(
         F.coalesce(F.unix_micros(now) - F.unix_micros(F.col("at")) >= interval_seconds * 1_000_000, F.lit(True)).alias("time_due"),
         (F.lit(rows_now) - F.col("n") >= min_new_rows).alias("rows_due"),
         low.scalar().alias("score_due"),
-    )
-    listed = spark.createDataFrame([(m,) for m in models], "model STRING").withColumn("_one", F.lit(1))
-    any_due = F.col("time_due") | F.col("rows_due") | F.col("score_due")
-    return listed.join(bounded(due.withColumn("_one", F.lit(1))), "_one").filter(any_due).drop("_one")
+    ).first()
+    rows = [(m, *due) for m in models] if any(due) else []
+    return spark.createDataFrame(rows, "model STRING, time_due BOOLEAN, rows_due BOOLEAN, score_due BOOLEAN")
 
 
 def deploy_gate(metrics: DataFrame, r2_limit: float = DEPLOY_R2) -> DataFrame:

@@ -78,7 +78,7 @@ def exact_quantiles(
         return _plain_quantiles(data, keys, probs)
 
     hot_data = data.join(hot, keys, "left_semi") if keys else data
-    margin = 2.0 / SKETCH_ACCURACY
+    margin = 2.0 / SKETCH_ACCURACY + 2.0 / (hot_rows or HOT_ROWS)  # sketch error, and neighbours of the position
     marks = []
     for name in names:
         p = probs[name]
@@ -92,7 +92,6 @@ def exact_quantiles(
                 *[
                     F.struct(
                         F.lit(name).alias("_name"),
-                        (F.col("_n") - 1).cast("double").alias("_last"),
                         (F.lit(probs[name]) * (F.col("_n") - 1)).alias("_pos"),
                         F.col(f"_b_{name}")[0].alias("_lo"),
                         F.col(f"_b_{name}")[1].alias("_hi"),
@@ -102,18 +101,22 @@ def exact_quantiles(
             )
         ),
     )
-    joined = hot_data.join(bounded(wanted), keys) if keys else _one_row_join(hot_data, wanted)
+    if keys:
+        joined = hot_data.join(bounded(wanted), keys)
+    else:  # a handful of numbers: literals beside each row
+        marks = [F.struct(*[F.lit(v).alias(c) for c, v in row.asDict().items()]) for row in wanted.collect()]
+        joined = hot_data.select("*", F.inline(F.array(*marks)))
     # one row per distinct value in the bracket, plus one row (value NULL) that counts what is below it
     inside = (
         joined.filter(F.col("_v") <= F.col("_hi"))
         .withColumn("_v", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")))
-        .groupBy(*keys, "_name", "_pos", "_last", "_v")
+        .groupBy(*keys, "_name", "_pos", "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     upto = F.sum("_c").over(
         W.partitionBy(*keys, "_name").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)
     )
-    low, high = F.floor("_pos"), F.least(F.floor("_pos") + 1, F.col("_last"))
+    low, high = F.floor("_pos"), F.ceil("_pos")
     picked = (
         inside.withColumn("_upto", upto)
         .groupBy(*keys, "_name", "_pos")
@@ -151,11 +154,6 @@ def _plain_quantiles(data: DataFrame, keys: Sequence[str], probs: Mapping[str, f
     return grouped.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
-def _one_row_join(df: DataFrame, marks: DataFrame) -> DataFrame:
-    """Join the few quantile marks of an ungrouped table to all rows through a constant key."""
-    return df.withColumn("_all", F.lit(1)).join(bounded(marks.withColumn("_all", F.lit(1))), "_all").drop("_all")
-
-
 def _ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: int | None) -> DataFrame:
     """Range-partition by (keys, order) and write down which range each row fell into."""
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
