@@ -53,17 +53,17 @@ def scan_csv_checked(
 
 
 def scan_code_list(spark: SparkSession, path: str) -> DataFrame:
-    """Codes of a text list in order of first mention: (position, code).
+    """Codes of a text list in order of first mention: (file, line, place, code).
 
     Blank lines and lines that start with # are skipped; commas or else blanks part the codes of a line.
     """
-    whole = spark.read.option("wholetext", True).text(path)  # a code list is a small hand-written file
-    lines = whole.select(F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("line", "text")).withColumn("text", F.trim("text"))
+    whole = spark.read.text(path, wholetext=True)  # a code list is a small hand-written file
+    lines = whole.select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("line", "text")).withColumn("text", F.trim("text"))
     lines = lines.filter((F.col("text") != "") & ~F.col("text").startswith("#"))
     parts = F.when(F.contains("text", F.lit(",")), F.split("text", ",")).otherwise(F.split("text", r"\s+"))
-    codes = lines.select("line", F.posexplode(parts).alias("place", "code")).withColumn("code", F.trim("code")).filter("code <> ''")
-    first = codes.groupBy("code").agg(F.min(F.struct("line", "place")).alias("position"))
-    return first.select(F.col("position.line").alias("line"), F.col("position.place").alias("place"), "code").orderBy("line", "place")
+    codes = lines.select("file", "line", F.posexplode(parts).alias("place", "code")).withColumn("code", F.trim("code")).filter("code <> ''")
+    first = codes.groupBy("code").agg(F.min(F.struct("file", "line", "place")).alias("position"))
+    return first.select("position.*", "code").orderBy("file", "line", "place")
 
 
 def scan_event_catalog(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -92,7 +92,7 @@ def scan_json_records(spark: SparkSession, path: str | Sequence[str], record: st
         return read.filter(F.col("r").isNotNull() & F.col("r._corrupt_record").isNull()).select("r.*").drop("_corrupt_record")
     listed = T.ArrayType(schema)
     wrapped = T.StructType([T.StructField(name, listed) for name in RECORD_WRAPPERS])
-    text = spark.read.option("wholetext", True).text(path).select(F.trim("value").alias("value"))
+    text = spark.read.text(path, wholetext=True).select(F.trim("value").alias("value"))
     wrapper = F.from_json("value", wrapped)
     one = F.array(F.from_json("value", schema))
     records = F.when(F.col("value").startswith("["), F.from_json("value", listed)).otherwise(
