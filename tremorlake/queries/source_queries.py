@@ -11,7 +11,7 @@ from tremorlake.operators import aggregates as A
 from tremorlake.queries import query
 from tremorlake.queries.aggregate_queries import EPICENTRES
 from tremorlake.schemas import WAREHOUSE
-from tremorlake.session import checkpoint_folder
+from tremorlake.session import checkpoint_folder, durable
 from tremorlake.sources import files, ingest, sinks, star
 
 
@@ -139,7 +139,7 @@ def _write_runs(t, root: str) -> None:
             "delta_seconds",
         )
         sinks.sink_csv(raw, f"{root}/{run}/interim/station_deltas.csv", compress=False)
-    stats = A.station_stats(t.picks.filter(F.col("run_id") == "run_0")).withColumnRenamed("station_code", "station")
+    stats = durable(A.station_stats(t.picks.filter(F.col("run_id") == "run_0")).withColumnRenamed("station_code", "station"))
     sinks.sink_csv(stats, f"{root}/run_0/processed/station_stats.csv", compress=False)
     spatial = t.stations.join(stats.select(F.col("station").alias("station_code"), "base_mean"), "station_code").select(
         F.col("station_code").alias("station"),

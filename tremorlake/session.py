@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,7 +20,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "tre
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("TREMORLAKE_DRIVER_MEMORY", "6g"))
+        .config("spark.driver.memory", os.environ.get("TREMORLAKE_DRIVER_MEMORY", "12g"))
         .getOrCreate()
     )
 
@@ -50,6 +51,13 @@ def checkpoint_folder(spark: SparkSession) -> None:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and go on from there."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a table in the shared checkpoint folder and go on from there.
+
+    Lineage is cut, and lost executors cannot take the rows with them. Against ``checkpoint()``, which
+    runs the last stage twice, the table is written in one pass, and later scans prune its columns.
+    """
+    spark = df.sparkSession
+    checkpoint_folder(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -108,7 +108,7 @@ def ingest_runs(
         for header, members in _by_header(spark, {r: p for r, p in files.items() if p}):
             raw = spark.read.option("header", True).csv(list(members.values()))
             inside = {path[len(runs[run]) + 1 :] for run, path in members.items()}
-            named = F.coalesce(*[F.nullif(run_of_path(F.col("_metadata.file_path"), i), F.lit("")) for i in sorted(inside)])
+            named = F.coalesce(*[run_of_path(F.col("_metadata.file_path"), i) for i in sorted(inside)])
             by_name = {runs[run].rstrip("/").split("/")[-1]: run for run in members}
             lookup = F.create_map(*[F.lit(x) for pair in by_name.items() for x in pair])
             raw = raw.withColumn("run_id", lookup[named])
