@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tremorlake.operators.ordering import union_missing_columns
@@ -100,12 +102,11 @@ def ingest_runs(
     now = now or datetime.now(timezone.utc).replace(tzinfo=None)
     day = now.strftime("%Y-%m-%d 00:00:00")
     config_hash = audit_file_hash(spark, [config_path]).first()["sha256"] if config_path else NO_FILE
-    audit, loaded_raw = [], {}
-    for table in RUN_FILES:
+    def load(table: str) -> tuple[str, list[tuple], dict[str, str]]:
         files = {run: run_file(spark, folder, table) for run, folder in runs.items()}
-        audit += [(run, table, None, "skipped", "file not found", None) for run, path in files.items() if path is None]
+        audit = [(run, table, None, "skipped", "file not found", None) for run, path in files.items() if path is None]
         parts, station_parts, good = [], [], {}
-        for header, members in _by_header(spark, {r: p for r, p in files.items() if p}):
+        for _, members in _by_header(spark, {r: p for r, p in files.items() if p}):
             raw = spark.read.option("header", True).csv(list(members.values()))
             inside = {path[len(runs[run]) + 1 :] for run, path in members.items()}
             named = F.coalesce(*[run_of_path(F.col("_metadata.file_path"), i) for i in sorted(inside)])
@@ -123,16 +124,20 @@ def ingest_runs(
             good.update(members)
             if table == "deltas_spatial":
                 station_parts.append(station_rows(raw))
-        if not parts:
-            continue
-        rows = durable(union_missing_columns(parts))
-        _write(table, rows, warehouse)
-        if station_parts:
-            _write("stations", union_missing_columns(station_parts), warehouse)
-        counts = {r["run_id"]: r["n"] for r in rows.groupBy("run_id").agg(F.count(F.lit(1)).alias("n")).collect()}
-        audit += [(run, table, counts.get(run, 0), "success", None, path) for run, path in good.items()]
-        if table == "raw_deltas":
-            loaded_raw = good
+        if parts:
+            rows = durable(union_missing_columns(parts))
+            _write(table, rows, warehouse)
+            if station_parts:
+                _write("stations", union_missing_columns(station_parts), warehouse)
+            counts = {r["run_id"]: r["n"] for r in rows.groupBy("run_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+            audit += [(run, table, counts.get(run, 0), "success", None, path) for run, path in good.items()]
+        return table, audit, good
+
+    # the tables do not depend on each other: their Spark jobs run side by side
+    with ThreadPoolExecutor(len(RUN_FILES)) as pool:
+        loaded = list(pool.map(inheritable_thread_target(spark)(load), RUN_FILES))
+    audit = [row for _, rows, _ in loaded for row in rows]
+    loaded_raw = next(good for table, _, good in loaded if table == "raw_deltas")
     hashes = {
         r["file_path"]: (r["file_size_bytes"], r["sha256"])
         for r in audit_file_hash(spark, [a[5] for a in audit if a[5]]).collect()

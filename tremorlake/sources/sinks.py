@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tremorlake.operators.quality import first_per_key
 from tremorlake.session import durable
@@ -51,18 +51,14 @@ def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
 
 
-def _write_counted(df: DataFrame, path: str, mode: str) -> int:
-    """Write and count the rows in the same pass."""
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(path)
-    return seen.get["n"]
-
-
 def insert_ignore(batch: DataFrame, path: str, schema: T.StructType, key: Sequence[str], order: Sequence[str] | None = None) -> int:
     """Append what is new to a Parquet table; running it again adds nothing. Returns rows added."""
     spark = batch.sparkSession
-    added = new_rows(_existing(spark, path, schema), aligned(batch, schema), key, order or [c for c in schema.names if c not in key])
-    return _write_counted(added, path, "append")
+    target = _existing(spark, path, schema)
+    before = 0 if target is None else target.count()  # from the file footers
+    added = new_rows(target, aligned(batch, schema), key, order or [c for c in schema.names if c not in key])
+    added.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path).count() - before
 
 
 def upsert(batch: DataFrame, path: str, schema: T.StructType, key: Sequence[str], order: Sequence[str] | None = None) -> int:
@@ -72,7 +68,8 @@ def upsert(batch: DataFrame, path: str, schema: T.StructType, key: Sequence[str]
     """
     spark = batch.sparkSession
     merged = merged_rows(_existing(spark, path, schema), aligned(batch, schema), key, order or [c for c in schema.names if c not in key])
-    return _write_counted(durable(merged), path, "overwrite")
+    durable(merged).write.mode("overwrite").parquet(path)
+    return spark.read.schema(schema).parquet(path).count()
 
 
 def empty_result(spark: SparkSession, schema: T.StructType) -> DataFrame:
