@@ -224,10 +224,10 @@ def _(t):
 @query(
     "json_build",
     "alerts",
-    """ SELECT alert_id, to_json({'level': CASE WHEN risk_score >= 0.8 THEN 'HIGH' ELSE 'LOW' END, 'risk_index': risk_score,
+    """ SELECT alert_id, to_json({'level': CASE WHEN risk_score >= 0.8 THEN 'HIGH' ELSE 'LOW' END, 'risk_index': round(risk_score * 100 + 1, 2),
     'additional_info': {'station': station, 'type': alert_type}})::VARCHAR AS line FROM alerts""",
 )
 def _(t):
     level = F.when(F.col("risk_score") >= 0.8, "HIGH").otherwise("LOW").alias("level")
     info = F.struct(F.col("station"), F.col("alert_type").alias("type")).alias("additional_info")
-    return t.alerts.select("alert_id", S.alert_json(level, F.col("risk_score").alias("risk_index"), info).alias("line"))
+    return t.alerts.select("alert_id", S.alert_json(level, F.round(F.col("risk_score") * 100 + 1, 2).alias("risk_index"), info).alias("line"))

@@ -224,13 +224,14 @@ def fill_in_order(
     parts: int | None = None,
 ) -> DataFrame:
     """Forward fill, then (``both_ways``) backward fill, over the whole table in ``order``."""
-    sort = [F.col(c).asc() for c in order]
+    sort, back = [F.col(c).asc() for c in order], [F.col(c).desc() for c in order]
     if df.count() <= (hot_rows or HOT_ROWS):
+        # backwards is forwards on the reversed order: a frame that shrinks row by row is quadratic in Spark
         ahead = W.orderBy(*sort).rowsBetween(W.unboundedPreceding, 0)
-        behind = W.orderBy(*sort).rowsBetween(0, W.unboundedFollowing)
+        behind = W.orderBy(*back).rowsBetween(W.unboundedPreceding, 0)
         filled = {c: F.last(c, ignorenulls=True).over(ahead) for c in cols}
         if both_ways:
-            filled = {c: F.coalesce(e, F.first(c, ignorenulls=True).over(behind)) for c, e in filled.items()}
+            filled = {c: F.coalesce(e, F.last(c, ignorenulls=True).over(behind)) for c, e in filled.items()}
         return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
     ranged = _ranges(df, [], sort, parts)
     spot = F.struct(*[F.col(c) for c in order])
@@ -248,11 +249,11 @@ def fill_in_order(
         )
     )
     ahead = W.partitionBy("_range").orderBy(*sort).rowsBetween(W.unboundedPreceding, 0)
-    behind = W.partitionBy("_range").orderBy(*sort).rowsBetween(0, W.unboundedFollowing)
+    behind = W.partitionBy("_range").orderBy(*back).rowsBetween(W.unboundedPreceding, 0)
     inner = ranged.select(
         "*",
         *[F.last(c, ignorenulls=True).over(ahead).alias(f"_a_{c}") for c in cols],
-        *[F.first(c, ignorenulls=True).over(behind).alias(f"_b_{c}") for c in cols],
+        *[F.last(c, ignorenulls=True).over(behind).alias(f"_b_{c}") for c in cols],
     ).join(carried, "_range")
     filled = {}
     for c in cols:
