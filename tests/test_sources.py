@@ -103,6 +103,24 @@ def test_key_rules_on_disk(spark, tmp_path):
     assert sorted((r["k"] or "", r["v"]) for r in spark.read.parquet(path).collect()) == [("", 7), ("a", 1), ("b", 5), ("c", 6)]
 
 
+def test_partitions_limit_what_is_read_and_replaced(spark, tmp_path):
+    schema, path = table_schema("k:str part:str v:int"), str(tmp_path / "t")
+    first = spark.createDataFrame([("a", "x", 1), ("b", "y", 2), ("c", None, 3)], "k STRING, part STRING, v INT")
+    assert sinks.insert_ignore(first, path, schema, ["k", "part"], partition="part") == 3
+    assert sinks.insert_ignore(first, path, schema, ["k", "part"], partition="part") == 0
+    kept = sorted(p.name for p in (tmp_path / "t" / "part=y").glob("*.parquet"))
+    more = spark.createDataFrame([("a", "x", 9), ("d", "x", 4)], "k STRING, part STRING, v INT")
+    assert sinks.insert_ignore(more, path, schema, ["k", "part"], partition="part") == 1
+    assert sinks.upsert(more, path, schema, ["k", "part"], partition="part") == 2
+    assert sorted(p.name for p in (tmp_path / "t" / "part=y").glob("*.parquet")) == kept
+    got = spark.read.schema(schema).parquet(path).select("k", "v").collect()
+    assert sorted(map(tuple, got)) == [("a", 9), ("b", 2), ("c", 3), ("d", 4)]
+    plan = sinks._touched(spark.read.schema(schema).parquet(path), more, "part")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [part" in plan.replace("isnotnull(part", "part")
+    with pytest.raises(ValueError):
+        sinks.upsert(more, path, schema, ["k"], partition="part")
+
+
 RAW = "event_id,network,station,channel,arrival_epoch,arrival_iso,event_reference_epoch,delta_seconds\n"
 RUN = RAW + "ev1,IV,ST01,HHZ,10.0,2025-11-01T00:00:10,9.5,0.5\nev1,IV,ST02,HHZ,11.0,2025-11-01T00:00:11,9.5,1.5\nev2,IV,ST01,HHZ,20.0,not a time,19.0,1.0\n"
 STATS = "station,base_count,base_mean,base_std,base_median\nST01,5,0.1,0.2,0.1\nST02,6,0.3,0.2,0.1\n"

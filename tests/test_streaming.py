@@ -91,10 +91,10 @@ def test_ingest_goes_on_past_a_failed_batch(spark, picks, tmp_path, monkeypatch)
 
     whole = sinks.insert_ignore
 
-    def flaky(batch, *args):
+    def flaky(batch, *args, **options):
         if batch.filter("pick_id = 0").count():
             raise RuntimeError("disk is full")
-        return whole(batch, *args)
+        return whole(batch, *args, **options)
 
     monkeypatch.setattr(sinks, "insert_ignore", flaky)
     stream = stream_of(spark, tmp_path / "in", picks[:40], 2)

@@ -36,7 +36,7 @@ def sta_lta_lengths(rate: float, sta_seconds: float, lta_seconds: float) -> tupl
 def with_length(df: DataFrame, keys: Sequence[str], name: str = "npts") -> DataFrame:
     """Rows per trace beside each row."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return df.join(bounded(sizes), list(keys))
+    return df.join(bounded(durable(sizes)), list(keys))
 
 
 def chunk_windows(
@@ -110,7 +110,7 @@ def sta_lta_ratio(
         into_next = F.col(pos) % block_rows >= block_rows - (nlta - 1)
         blocks = F.when(into_next, F.array(home, home + 1)).otherwise(F.array(home))
         long_enough = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > nlta)
-        rows = samples.join(bounded(long_enough.drop("_n")), keys, "left_semi").select("*", F.explode(blocks).alias("_block"))
+        rows = samples.join(bounded(durable(long_enough.drop("_n"))), keys, "left_semi").select("*", F.explode(blocks).alias("_block"))
         order, at_home = W.partitionBy(*keys, "_block").orderBy(pos), F.floor(F.col(pos) / block_rows) == F.col("_block")
     so_far = order.rowsBetween(W.unboundedPreceding, 0)
     x = F.col(value)

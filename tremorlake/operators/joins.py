@@ -44,7 +44,7 @@ def join_travel_times(
     timed = picks.join(bounded(events), "event_id").withColumn("travel_time", travel)
     timed = timed.filter(F.col("travel_time").between(*limits))
     enough = timed.groupBy("station_code").agg(F.count(F.lit(1)).alias("n_events")).filter(F.col("n_events") >= least_events)
-    return timed.join(bounded(enough), "station_code")
+    return timed.join(bounded(durable(enough)), "station_code")
 
 
 def join_station_dim(picks: DataFrame, stations: DataFrame, code: str = "station_code") -> DataFrame:

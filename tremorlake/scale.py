@@ -26,7 +26,8 @@ SKETCH_ACCURACY = 20_000
 def bounded(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """``df`` as a broadcast local table if it has at most ``limit`` rows, else ``df`` unhinted.
 
-    The rows are computed once. Beyond the limit the join is left to Spark (sort-merge, AQE skew).
+    The rows are computed once. Beyond the limit the join is left to Spark (sort-merge, AQE skew), and
+    ``df`` is computed again there: pass a ``durable`` table if it is dear.
     """
     rows = df.limit(limit + 1).toArrow()
     if rows.num_rows > limit:

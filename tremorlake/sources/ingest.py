@@ -33,6 +33,7 @@ REQUIRED = {
 }
 NOT_NULL = {"catalog_events": ["time", "magnitude"], "waveform_energy_hourly": ["hour", "rms"]}
 UPSERTED = {"catalog_events", "waveform_energy_hourly", "stations", "runs"}
+PARTITIONED = {"raw_deltas": "run_id", "station_stats": "run_id", "deltas_spatial": "run_id"}
 RENAMED = {"station": "station_code", "window_iso": "hour"}
 PIPELINE_VERSION = "1.0.0"
 DELTA_TYPE = "base_mean"
@@ -77,7 +78,7 @@ def _by_header(spark: SparkSession, files: Mapping[str, str]) -> list[tuple[list
 def _write(table: str, rows: DataFrame, warehouse: str) -> None:
     schema, key, path = WAREHOUSE[table], KEYS[table], f"{warehouse}/{table}"
     if table not in UPSERTED:
-        insert_ignore(rows, path, schema, key)
+        insert_ignore(rows, path, schema, key, partition=PARTITIONED.get(table))
         return
     rest = [c for c in schema.names if c in rows.columns and c not in key]
     latest = first_per_key(rows, key, ["run_id", *rest], last=True)  # the later run wins
@@ -169,4 +170,4 @@ def warehouse_table(spark: SparkSession, warehouse: str, table: str) -> DataFram
     """A stored table, or an empty one with its columns if nothing was loaded yet."""
     path = f"{warehouse}/{table}"
     schema = WAREHOUSE.get(table, AUDIT)
-    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.names) if path_exists(spark, path) else spark.createDataFrame([], schema)

@@ -17,6 +17,7 @@ from tremorlake.session import durable
 from tremorlake.sources.files import path_exists
 
 PREVIEW_ROWS = 1000  # fixed value
+TOUCHED_PARTITIONS = 5000  # above this many partitions in a batch the whole table is read
 ALERT_LOG_COLUMNS = "timestamp risk_index threshold min_stations level message additional_info".split()  # fixed values
 
 
@@ -48,28 +49,59 @@ def merged_rows(target: DataFrame | None, batch: DataFrame, key: Sequence[str],
 
 
 def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
+    return spark.read.schema(schema).parquet(path).select(*schema.names) if path_exists(spark, path) else None
 
 
-def insert_ignore(batch: DataFrame, path: str, schema: T.StructType, key: Sequence[str], order: Sequence[str] | None = None) -> int:
-    """Append what is new to a Parquet table; running it again adds nothing. Returns rows added."""
+def _touched(table: DataFrame | None, batch: DataFrame, partition: str | None) -> DataFrame | None:
+    """The part of the table in the batch's partitions; the scan skips the other directories."""
+    if table is None or partition is None:
+        return table
+    values = [r[0] for r in batch.select(partition).distinct().limit(TOUCHED_PARTITIONS + 1).collect()]
+    if len(values) > TOUCHED_PARTITIONS:
+        return table
+    known = F.col(partition).isin([v for v in values if v is not None])
+    return table.filter(known | F.col(partition).isNull() if None in values else known)
+
+
+def _check_partition(partition: str | None, key: Sequence[str]) -> None:
+    if partition is not None and partition not in key:
+        raise ValueError(f"partition column {partition} must be part of the key {', '.join(key)}")
+
+
+def insert_ignore(
+    batch: DataFrame, path: str, schema: T.StructType, key: Sequence[str], order: Sequence[str] | None = None, partition: str | None = None
+) -> int:
+    """Append what is new to a Parquet table; running it again adds nothing. Returns rows added.
+
+    With a partition column (part of the key) only the batch's partitions are looked at.
+    """
+    _check_partition(partition, key)
     spark = batch.sparkSession
-    target = _existing(spark, path, schema)
+    rows = aligned(batch, schema)
+    target = _touched(_existing(spark, path, schema), rows, partition)
     before = 0 if target is None else target.count()  # from the file footers
-    added = new_rows(target, aligned(batch, schema), key, order or [c for c in schema.names if c not in key])
-    added.write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path).count() - before
+    added = new_rows(target, rows, key, order or [c for c in schema.names if c not in key])
+    writer = added.write.mode("append")
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    return _touched(_existing(spark, path, schema), rows, partition).count() - before
 
 
-def upsert(batch: DataFrame, path: str, schema: T.StructType, key: Sequence[str], order: Sequence[str] | None = None) -> int:
-    """Write a batch over a Parquet table by key. Returns rows in the table after it.
+def upsert(
+    batch: DataFrame, path: str, schema: T.StructType, key: Sequence[str], order: Sequence[str] | None = None, partition: str | None = None
+) -> int:
+    """Write a batch over a Parquet table by key. Returns rows in what was written.
 
-    The merged table is written to the checkpoint folder before the old one is replaced.
+    The merged rows are written to the checkpoint folder before the old ones are replaced. With a
+    partition column (part of the key) only the batch's partitions are read and replaced.
     """
+    _check_partition(partition, key)
     spark = batch.sparkSession
-    merged = merged_rows(_existing(spark, path, schema), aligned(batch, schema), key, order or [c for c in schema.names if c not in key])
-    durable(merged).write.mode("overwrite").parquet(path)
-    return spark.read.schema(schema).parquet(path).count()
+    rows = aligned(batch, schema)
+    target = _touched(_existing(spark, path, schema), rows, partition)
+    merged = durable(merged_rows(target, rows, key, order or [c for c in schema.names if c not in key]))
+    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if partition else "static")
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    return merged.count()
 
 
 def empty_result(spark: SparkSession, schema: T.StructType) -> DataFrame:

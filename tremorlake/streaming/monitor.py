@@ -283,17 +283,23 @@ def write_available(df: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def start_ingest(
-    df: DataFrame, path: str, schema: T.StructType, key: Sequence[str], checkpoint: str, failures: str | None = None
+    df: DataFrame,
+    path: str,
+    schema: T.StructType,
+    key: Sequence[str],
+    checkpoint: str,
+    failures: str | None = None,
+    partition: str | None = None,
 ):
     """A stream that inserts each batch by key and goes on past a batch that fails.
 
-    A failed batch is written to ``failures`` as it came, with its error; without that folder it raises.
+    ``partition`` (part of the key) limits what a batch is compared with. A failed batch is written to ``failures`` as it came, with its error; without that folder it raises.
     """
     from tremorlake.sources.sinks import insert_ignore
 
     def load(batch: DataFrame, number: int) -> None:
         try:
-            insert_ignore(batch, path, schema, key)
+            insert_ignore(batch, path, schema, key, partition=partition)
         except Exception as error:  # noqa: BLE001
             if failures is None:
                 raise
