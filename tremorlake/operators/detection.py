@@ -314,9 +314,11 @@ def invert_station_location(
     the other stations are solved in parallel, one small group each, by the same iteration.
     """
     box = observations.agg(F.min("x_m"), F.max("x_m"), F.min("y_m"), F.max("y_m")).first()
+    schema = "station_code STRING, x_m DOUBLE, y_m DOUBLE, velocity_m_s DOUBLE, n_events BIGINT, rms_seconds DOUBLE"
+    if box[0] is None:  # no observations: a typed, empty result
+        return observations.sparkSession.createDataFrame([], schema)
     low = np.array([box[0] - margin, box[2] - margin, velocity[0]])
     high = np.array([box[1] + margin, box[3] + margin, velocity[1]])
-    schema = "station_code STRING, x_m DOUBLE, y_m DOUBLE, velocity_m_s DOUBLE, n_events BIGINT, rms_seconds DOUBLE"
     sizes = observations.groupBy("station_code").agg(
         F.count(F.lit(1)).alias("n"), F.avg("x_m").alias("x"), F.avg("y_m").alias("y")
     )
