@@ -4,15 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremorlake.llm import exact, mixing, packing
+from tremorlake.llm import exact, minhash, mixing, packing, toxicity
 from tremorlake.llm.common import keep, small_batches, table
 
 
+def clean(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents scored as toxic go."""
+    return toxicity.drop_toxic(docs, table(spark, folder, "labels"))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One row of each group of equal texts stays."""
     return exact.drop_exact_copies(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return minhash.drop_near_copies(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Each row as often as the mix of the sources takes it."""
     return mixing.mixed_documents(docs)
@@ -24,7 +34,9 @@ def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", clean),
     ("exact dedup", exact_copies),
+    ("near dedup", near_copies),
     ("mixing", mixed),
     ("packing", packed),
 ]

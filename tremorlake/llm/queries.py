@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremorlake.llm import exact, mixing, packing
+from tremorlake.llm import exact, minhash, mixing, packing, quality, suffix, toxicity
 from tremorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,27 @@ ORACLES["op6_exact_dedup"] = exact.ORACLE
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents mixed to the target weights of their sources."""
     return mixing.mix(table(spark, folder, "documents")).drop("copies")
+
+
+@_query
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of near-duplicate documents over all documents."""
+    return minhash.near_groups(table(spark, folder, "documents"))
+
+
+@_query
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document."""
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@_query
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of every document."""
+    return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@_query
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the passages that repeat anywhere in the corpus."""
+    return suffix.without_repeats(table(spark, folder, "documents"))
