@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremorlake.llm import exact, minhash, mixing, packing, quality, suffix, toxicity
+from tremorlake.llm import exact, langid, minhash, mixing, packing, pii, quality, suffix, topk, toxicity
 from tremorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,24 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the passages that repeat anywhere in the corpus."""
     return suffix.without_repeats(table(spark, folder, "documents"))
+
+
+@_query
+def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best inner products of every twentieth vector with all others."""
+    return topk.search(table(spark, folder, "embeddings"))
+
+
+ORACLES["op3_topk_search"] = topk.ORACLE
+
+
+@_query
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every page, with text models of all documents."""
+    return langid.identify(table(spark, folder, "pages"), table(spark, folder, "documents"))
+
+
+@_query
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.find(table(spark, folder, "documents"))
