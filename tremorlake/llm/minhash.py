@@ -7,10 +7,12 @@ least 12 of the 32 coordinates agree: at a similarity of 0.75 a pair misses that
 11 longest lists are never merged; pairs that occur once are no lists at all.
 
 Lists are not expanded into pairs. In each list the member whose pairs are the most common (a template,
-if there is one) is compared with all others; components of confirmed links then leave the lists that
-span several components, where only members outside the list's largest component meet the members of
-other components. A list in which these are many is first posted again under a second coordinate, with
-the same prefix rule. Links are confirmed on the full shingle sets.
+if there is one) leads and is compared with all others. Those linked to it leave the list together with
+it: Jaccard distance is a metric, so a member at a similarity below 0.5 to the leader cannot be linked
+to one that is linked to the leader. Members between 0.5 and 0.75 in another component are compared
+with those that leave. The rest is a shorter list with a new leader. Lists whose rest lies in one
+component are closed; a rest that stays long is first posted again under a second coordinate, with the
+same prefix rule. Links are confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -26,7 +28,9 @@ from tremorlake.llm.common import components, drop, fresh, keep, text_or_empty
 COORDINATES = 32
 MATCHES = 12
 WORDS = 5
-MANY = 64  # members outside a list's largest component, from which the list is posted under a second coordinate
+NEAR_MATCHES = 6  # coordinates that agree at least, at a similarity of 0.5 (missed once in 10,000 times)
+ROUNDS = 3  # leaders of a list before what is left is compared as it is
+MANY = 32  # members left, from which a list is posted under a second coordinate
 CACHE = 300_000  # words a worker remembers
 
 _RNG = np.random.default_rng(7)
@@ -93,14 +97,18 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "found"])
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs at a similarity of 0.5 or more, and whether they are links."""
     for batch in batches:
-        good = []
+        near, linked = [], []
         for left, right in zip(batch.column(2), batch.column(3)):
             a, b = (np.frombuffer(x.as_py(), np.uint64) for x in (left, right))
             common = len(np.intersect1d(a, b, assume_unique=True))
-            good.append(100 * common >= 75 * (len(a) + len(b) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            union = len(a) + len(b) - common
+            near.append(2 * common >= union)
+            linked.append(100 * common >= 75 * union)
+        out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+        yield out.filter(pa.array(near, pa.bool_()))
 
 
 def posted(members: DataFrame, need: int) -> DataFrame:
@@ -119,47 +127,60 @@ def _ordered(a: Column, b: Column) -> list[Column]:
 
 
 class _Links:
-    """Candidate pairs confirmed on the full sets, and the components of all links so far."""
+    """Candidate pairs compared on the full sets, and the components of all links so far."""
 
     def __init__(self, texts: DataFrame, classes: DataFrame):
-        self.texts, self.classes, self.roots = texts, classes, None
+        self.texts, self.classes = texts, classes
         self.links: DataFrame | None = None
+        self.roots: DataFrame | None = None
 
-    def confirm(self, pairs: DataFrame) -> None:
-        """Add the links among ``pairs`` (a, b)."""
+    def compare(self, pairs: DataFrame) -> DataFrame:
+        """The near pairs among ``pairs`` (a, b), with ``linked``; links and components are brought up to date."""
         side = self.classes.select("id", "n", "sig")
         left, right = (side.select(*[F.col(c).alias(f"{c}_{s}") for c in side.columns]) for s in "ab")
         same = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda x: x))
         small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-        near = pairs.distinct().join(left, F.col("a") == F.col("id_a")).join(right, F.col("b") == F.col("id_b"))
-        near = keep(near.filter((100 * small >= 75 * large) & (same >= MATCHES)).select("a", "b"))
-        wanted = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
-        mine = self.classes.select(F.col("id").alias("doc_id"), "key").join(wanted, "doc_id", "left_semi")
-        sets = keep(self.texts.join(mine.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "id long, found binary").dropDuplicates(["id"]))
-        full = near.join(sets.select(F.col("id").alias("a"), F.col("found").alias("fa")), "a").join(sets.select(F.col("id").alias("b"), F.col("found").alias("fb")), "b")
-        new = full.select("a", "b", "fa", "fb").mapInArrow(_linked, "a long, b long")
-        links = keep(new if self.links is None else new.unionByName(self.links))
-        drop(near, sets, *([self.links] if self.links is not None else []))
+        some = pairs.distinct().join(left, F.col("a") == F.col("id_a")).join(right, F.col("b") == F.col("id_b"))
+        some = keep(some.filter((2 * small >= large) & (same >= NEAR_MATCHES)).select("a", "b"))
+        wanted = keep(some.select(F.col("a").alias("doc_id")).unionByName(some.select(F.col("b").alias("doc_id"))).distinct())
+        sets = keep(self.texts.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "id long, found binary").dropDuplicates(["id"]))
+        full = some.join(sets.select(F.col("id").alias("a"), F.col("found").alias("fa")), "a").join(sets.select(F.col("id").alias("b"), F.col("found").alias("fb")), "b")
+        near = keep(full.select("a", "b", "fa", "fb").mapInArrow(_compared, "a long, b long, linked boolean"))
+        new = near.filter("linked").select("a", "b")
+        links = keep(new if self.links is None else new.unionByName(self.links).distinct())
+        drop(some, wanted, sets, *([self.links] if self.links is not None else []))
         self.links, self.roots = links, components(links)
-
-    def rooted(self, lists: DataFrame) -> DataFrame:
-        """``lists`` with the root of each member, only lists that span several components."""
+        return near
+
+    def lead(self, lists: DataFrame, waiting: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """One round: leaders against members, and ``waiting`` pairs. Returns shorter lists and new waiting pairs."""
+        top = keep(lists.groupBy("g").agg(F.max(F.struct("weight", F.negative("id").alias("minus"))).alias("top")))
+        led = keep(lists.join(top.select("g", F.negative("top.minus").alias("lead")), "g"))
+        pairs = led.filter("id <> lead").select(*_ordered(F.col("id"), F.col("lead")))
+        near = self.compare(pairs if waiting is None else pairs.unionByName(waiting))
+        known = self.roots.select(F.col("node").alias("id"), "root")
+        state = near.select(F.col("a").alias("a_"), F.col("b").alias("b_"), "linked")
+        told = led.join(known, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        low, high = _ordered(F.col("id"), F.col("lead"))
+        told = keep(told.select("*", low, high).join(state, (F.col("a") == F.col("a_")) & (F.col("b") == F.col("b_")), "left").drop("a", "b", "a_", "b_"))
+        leaves = F.coalesce(F.col("linked"), F.lit(False)) | (F.col("id") == F.col("lead"))
+        gone = told.filter(leaves).select("g", F.col("id").alias("id2"), F.col("root").alias("root2"))
+        between = keep(told.filter(~F.coalesce("linked", F.lit(True))).select("g", "id", "root"))
+        pairs = keep(between.join(gone, "g").filter("root <> root2").select(*_ordered(F.col("id"), F.col("id2"))).distinct())
+        rest = self.open(told.filter(~leaves).select("g", "id", "weight"))
+        drop(top, led, near, between, told)
+        return rest, pairs
+
+    def open(self, lists: DataFrame) -> DataFrame:
+        """``lists`` without those whose members all lie in one component."""
         known = self.roots.select(F.col("node").alias("id"), "root")
-        all_ = keep(lists.join(known, "id", "left").withColumn("root", F.coalesce("root", "id")))
-        several = all_.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("g")
-        return keep(all_.join(keep(several), "g"))
+        rooted = keep(lists.join(known, "id", "left").withColumn("root", F.coalesce("root", "id")))
+        several = keep(rooted.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")).filter("lo < hi").select("g", "members"))
+        return keep(rooted.join(several, "g"))
 
-    def stars(self, lists: DataFrame) -> None:
-        lead = keep(lists.groupBy("g").agg(F.max(F.struct("weight", F.negative("id").alias("minus"))).alias("top")))
-        pairs = lists.join(lead, "g").select("id", F.negative(F.col("top.minus")).alias("lead")).filter("id <> lead")
-        self.confirm(pairs.select(*_ordered(F.col("id"), F.col("lead"))))
 
-    def outside(self, open_: DataFrame) -> DataFrame:
-        """Members (g, id, root, others) that are not of their list's largest component; others: how many such."""
-        parts = open_.groupBy("g", "root").agg(F.count(F.lit(1)).alias("m"))
-        main = parts.groupBy("g").agg(F.max(F.struct("m", "root")).alias("main"), F.sum("m").alias("all"))
-        main = keep(main.select("g", F.col("main.root").alias("main"), (F.col("all") - F.col("main.m")).alias("others")))
-        return keep(open_.join(main, "g").filter("root <> main").select("g", "id", "root", "others"))
+def _some(df: DataFrame) -> bool:
+    return df.limit(1).count() > 0
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -177,21 +198,21 @@ def near_groups(docs: DataFrame) -> DataFrame:
     classes = keep(some.groupBy("key").agg(F.min(F.struct(F.col("doc_id").alias("id"), "n", "sig")).alias("x")).select("key", "x.id", "x.n", "x.sig"))
     links = _Links(texts.filter("doc_id is not null"), classes)
     lists = posted(classes.select(F.lit(0).cast("long").alias("g"), "id", "sig"), MATCHES)
-    links.stars(lists)
-    open_ = links.rooted(lists)
-    outside = links.outside(open_)
-    crowded = outside.filter(F.col("others") > MANY)
-    if crowded.limit(1).count():
-        long_lists = open_.join(keep(crowded.select("g").distinct()), "g", "left_semi").select("g", "id")
-        signed = long_lists.join(classes.select("id", "sig"), "id").select("g", "id", "sig")
-        again = posted(signed, MATCHES)  # the shared coordinate of the list is among the twelve
-        links.stars(again)
-        open_ = links.rooted(keep(again.unionByName(lists.join(keep(outside.filter(F.col("others") <= MANY).select("g").distinct()), "g", "left_semi"))))
-        outside = links.outside(open_)
-    if outside.limit(1).count():
-        other = open_.select("g", F.col("id").alias("id2"), F.col("root").alias("root2"))
-        pairs = outside.join(other, "g").filter("root <> root2").select(*_ordered(F.col("id"), F.col("id2")))
-        links.confirm(pairs)
+    lists, waiting = links.lead(lists, None)
+    rounds = 1
+    while rounds < ROUNDS and _some(lists):
+        lists, waiting = links.lead(lists.select("g", "id", "weight"), waiting)
+        rounds += 1
+    crowded = lists.filter(F.col("members") > MANY).select("g", "id")
+    if _some(crowded):
+        again = posted(crowded.join(classes.select("id", "sig"), "id").select("g", "id", "sig"), MATCHES)  # the list's own coordinate is one of them
+        again, waiting = links.lead(again, waiting)
+        lists = links.open(again.select("g", "id").unionByName(lists.filter(F.col("members") <= MANY).select("g", "id")))
+    other = lists.select("g", F.col("id").alias("id2"), F.col("root").alias("root2"))
+    pairs = lists.select("g", "id", "root").join(other, "g").filter("id < id2 and root <> root2")
+    last = keep(pairs.select(*_ordered(F.col("id"), F.col("id2"))).unionByName(waiting).distinct())
+    if _some(last):
+        links.compare(last)
     roots = links.roots.select(F.col("node").alias("id"), "root")
     told = keep(classes.select("key", "id").join(roots, "id", "left").select(F.col("key").alias("key_"), F.coalesce("root", "id").alias("root")))
     out = rows.select("doc_id", "n", "key").join(told, F.col("key") == F.col("key_"), "left")

@@ -9,10 +9,11 @@ Spark then ranks at growing lengths, and what is unique leaves:
 * 64 bytes: anchors whose rank is unique have no repeated window;
 * the anchor's whole run: if the text from its first window's start to its last window's end is there
   twice, all its windows repeat, and occurrences with equal runs go on as one;
-* runs that differ: blocks of 16 starts by the 385 bytes that their windows share;
+* runs that differ: blocks of 16 starts, by the 385 bytes that all windows of a block share, and again
+  by the block's whole run;
 * 400 bytes: each window of the blocks that are left.
 
-A rank is the 128-bit pair of two content hashes, equal for equal bytes wherever they are computed, so
+A rank is a 128-bit pair of content hashes, equal for equal bytes wherever they are computed, so
 no rank needs a numbering of all positions, and groups of any size are only counted, in two steps.
 """
 
@@ -139,10 +140,20 @@ def digest(text: str) -> bytes:
     return hashlib.blake2b(text.encode(), digest_size=16).digest()
 
 
+def _rows(names: list[str], rows: list[list]) -> pa.RecordBatch:
+    """Columns from lists of arrays (``text_key``: of lists of bytes)."""
+    columns = [pa.array([k for part in c for k in part], pa.binary()) if n == "text_key" else pa.array(np.concatenate(c)) for n, c in zip(names, rows)]
+    return pa.RecordBatch.from_arrays(columns, names=names)
+
+
+_RUNS = ["doc_id", "text_key", "pos", "lo", "hi", "a", "r"]
+_RUN_TYPES = "doc_id long, text_key binary, pos int, lo int, hi int, a long, r long"
+
+
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "text_key", "pos", "lo", "hi", "a0", "r0", "r1"]
+    """The anchors of each text: rank ``a`` of their 64 bytes, rank ``r`` of their whole run."""
     for batch in batches:
-        rows: list[list] = [[] for _ in names]
+        rows: list[list] = [[] for _ in _RUNS]
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py()
             data = _bytes(text)
@@ -153,40 +164,76 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part = data[base : base + SEGMENT + PASSAGE - 1]
                 hashes = Hashes(part)
                 pos, lo, hi = anchors(hashes, len(part))
-                run = hashes.pair(lo, hi + PASSAGE)
                 shift = (pos - lo).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)  # another anchor place is another run
-                run = [(x.view(np.uint64) + shift).view(np.int64) for x in run]
+                run = (hashes.of(lo, hi + PASSAGE, 1) + shift).view(np.int64)
                 first = hashes.of(pos, pos + FIRST, 0).view(np.int64)
-                for column, values in zip(rows, (np.full(len(pos), name, np.int64), [key] * len(pos), pos + base, lo + base, hi + base, first, *run)):
+                places = [(x + base).astype(np.int32) for x in (pos, lo, hi)]
+                for column, values in zip(rows, (np.full(len(pos), name, np.int64), [key] * len(pos), *places, first, run)):
                     column.append(values)
         if rows[0]:
-            columns = [pa.array([k for part in c for k in part], pa.binary()) if i == 1 else pa.array(np.concatenate(c)) for i, c in enumerate(rows)]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield _rows(_RUNS, rows)
+
+
+def _nodes_of(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray]]:
+    """(doc_id, text_key, bytes, nodes) of the rows whose text is the one that the nodes were found in."""
+    for doc_id, text, key, nodes in zip(*(batch.column(c) for c in ("doc_id", "text", "text_key", "nodes"))):
+        text = text.as_py()
+        if digest(text) == key.as_py():  # rows may repeat a doc_id
+            table = nodes.values.flatten()
+            yield doc_id.as_py(), key.as_py(), _bytes(text), np.column_stack([c.to_numpy(zero_copy_only=False) for c in table]).astype(np.int64)
+
+
+def _segments(data: np.ndarray, nodes: np.ndarray, first: int) -> Iterator[tuple[int, Hashes, np.ndarray]]:
+    """Hashes of stretches of bounded length, with the nodes whose column ``first``, their first start, is there."""
+    for base in np.unique(nodes[:, first] // SEGMENT) * SEGMENT:
+        own = nodes[nodes[:, first] // SEGMENT * SEGMENT == base]
+        yield int(base), Hashes(data[base : base + SEGMENT + 3 * PASSAGE]), own
+
+
+_BLOCKS = ["doc_id", "text_key", "lo", "hi", "a", "a1", "r", "r1", "open"]
+_BLOCK_TYPES = "doc_id long, text_key binary, lo int, hi int, a long, a1 long, r long, r1 long, open boolean"
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per block of starts of the given anchors: the shared bytes' rank and the windows' ranks."""
-    names = ["text_key", "c0", "c1", "start", "windows", "open"]
+    """A row per block of starts of each node (pos, lo, hi, open): ranks of the bytes that all windows share, and of its run."""
     for batch in batches:
-        for key, text, nodes in zip(*(batch.column(c) for c in ("text_key", "text", "nodes"))):
-            data = _bytes(text.as_py())
-            rows: list[list] = [[] for _ in names]
-            for node in nodes.as_py():
-                low, high, pos = node["lo"], node["hi"], node["pos"]
-                hashes = Hashes(data[low : high + PASSAGE])
-                before = np.arange(pos - high, pos - low + 1)  # starts as distances before the anchor
-                for block in np.unique(before // BLOCK):
-                    starts = pos - before[before // BLOCK == block][::-1] - low
-                    # the bytes that all windows of a block share, whether or not all of them are this anchor's
-                    core = np.array([pos - block * BLOCK - low])
-                    c0, c1 = hashes.pair(core, core + PASSAGE - BLOCK + 1)
-                    windows = np.column_stack(hashes.pair(starts, starts + PASSAGE)).reshape(-1)
-                    tag = int(block) * 0x9E3779B1
-                    for column, value in zip(rows, (key.as_py(), int(c0[0]) ^ tag, int(c1[0]), int(starts[0]) + low, windows, node["open"])):
-                        column.append(value)
-            types = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.bool_()]
-            if rows[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names=names)
+        rows: list[list] = [[] for _ in _BLOCKS]
+        for doc_id, key, data, nodes in _nodes_of(batch):
+            for base, hashes, own in _segments(data, nodes, 1):
+                near, far = (own[:, 0] - own[:, 2]) // BLOCK, (own[:, 0] - own[:, 1]) // BLOCK  # blocks count distances before the anchor
+                many = far - near + 1
+                node = np.repeat(np.arange(len(own)), many)
+                block = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + near[node]
+                pos = own[node, 0]
+                core = pos - block * BLOCK - base
+                lo, hi = np.maximum(own[node, 1], pos - block * BLOCK - BLOCK + 1), np.minimum(own[node, 2], pos - block * BLOCK)
+                a, a1 = hashes.pair(core, core + PASSAGE - BLOCK + 1)
+                r, r1 = hashes.pair(lo - base, hi - base + PASSAGE)
+                shift = ((pos - lo) * BLOCK * 64 + block) * 0x9E3779B1
+                parts = (np.full(len(node), doc_id, np.int64), [key] * len(node), lo.astype(np.int32), hi.astype(np.int32), a ^ (block * 0x9E3779B1), a1, r ^ shift, r1, own[node, 3] > 0)
+                for column, values in zip(rows, parts):
+                    column.append(values)
+        if rows[0]:
+            yield _rows(_BLOCKS, rows)
+
+
+_WINDOWS = ["text_key", "lo", "w", "w1", "open"]
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per window of each node (lo, hi, open)."""
+    for batch in batches:
+        rows: list[list] = [[] for _ in _WINDOWS]
+        for _, key, data, nodes in _nodes_of(batch):
+            for base, hashes, own in _segments(data, nodes, 0):
+                many = own[:, 1] - own[:, 0] + 1
+                node = np.repeat(np.arange(len(own)), many)
+                start = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + own[node, 0]
+                w, w1 = hashes.pair(start - base, start - base + PASSAGE)
+                for column, values in zip(rows, ([key] * len(start), start.astype(np.int32), w, w1, own[node, 2] > 0)):
+                    column.append(values)
+        if rows[0]:
+            yield _rows(_WINDOWS, rows)
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,41 +257,39 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names=names)
 
 
-def repeated_starts(texts: DataFrame) -> tuple[DataFrame, tuple[DataFrame, ...]]:
-    """Runs (text_key, lo, hi) of window starts whose 400 bytes also start elsewhere, and the tables left over.
+def _level(found: DataFrame, shared: list[str], run: list[str], node: list[str], open_) -> tuple[DataFrame, DataFrame]:
+    """Runs that are there twice, and the distinct runs to look into (doc_id, text_key, nodes).
 
-    ``texts``: doc_id, text.
+    ``shared`` ranks what all windows of a run have in common, ``run`` all of it. To look into are the
+    runs of a shared rank that has several runs, one of them there once and ``open``.
     """
-    found = keep(texts.mapInArrow(_anchored, "doc_id long, text_key binary, pos long, lo long, hi long, a0 long, r0 long, r1 long"))
-    one = F.struct("doc_id", "text_key", "pos", "lo", "hi")
-    runs = keep(found.groupBy("a0", "r0", "r1").agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("one")))
-    twice = keep(runs.filter("n > 1").select("r0", "r1"))
-    whole = found.join(twice, ["r0", "r1"]).select("text_key", "lo", "hi")
-    # anchors whose 64 bytes occur with several runs, one of them once: these runs are compared by blocks
-    mixed = keep(runs.groupBy("a0").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 and least = 1").select("a0"))
-    nodes = runs.join(mixed, "a0").select("one.*", (F.col("n") == 1).alias("open"))
-    listed = keep(nodes.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("pos", "lo", "hi", "open")).alias("nodes")))
-    carriers = texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(-1).cast("long"))).join(listed, "doc_id")
-    blocks = keep(carriers.select("text_key", "text", "nodes").mapInArrow(_checked_blocks, "text_key binary, c0 long, c1 long, start long, windows array<long>, open boolean"))
-    shared = keep(blocks.groupBy("c0", "c1").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("any")).filter("n > 1 and any").select("c0", "c1"))
-    size = F.expr("cast(size(windows) div 2 as int)")
-    windows = blocks.join(shared, ["c0", "c1"]).select("text_key", "open", "start", "windows", F.explode(F.sequence(F.lit(0), size - 1)).alias("k"))
-    windows = keep(
-        windows.select(
-            "text_key", "open", (F.col("start") + F.col("k")).alias("lo"),
-            F.element_at("windows", 2 * F.col("k") + 1).alias("w0"), F.element_at("windows", 2 * F.col("k") + 2).alias("w1"),
-        )
-    )
-    again = keep(windows.groupBy("w0", "w1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w0", "w1"))
-    single = windows.filter("open").join(again, ["w0", "w1"]).select("text_key", "lo", F.col("lo").alias("hi"))
-    return keep(whole.unionByName(single).distinct()), (found, runs, twice, mixed, listed, blocks, shared, windows, again)
-
-
-def _checked_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of the rows whose text is the one that the nodes were found in (rows may repeat a doc_id)."""
-    for batch in batches:
-        same = [digest(t.as_py()) == k.as_py() for k, t in zip(batch.column(0), batch.column(1))]
-        yield from _blocks(iter([batch.filter(pa.array(same, pa.bool_()))]))
+    one = F.struct("doc_id", "text_key", *node)
+    runs = keep(found.groupBy(*shared, *run).agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("one"), F.max(open_).alias("any")))
+    twice = keep(runs.filter("n > 1").select(*shared, *run))
+    whole = found.filter(open_).join(twice, [*shared, *run]).select("text_key", "lo", "hi")
+    alone = (F.col("n") == 1) & F.col("any")
+    mixed = runs.groupBy(*shared).agg(F.count(F.lit(1)).alias("kinds"), F.max(alone).alias("alone")).filter("kinds > 1 and alone").select(*shared)
+    nodes = runs.join(keep(mixed), shared).select("one.*", alone.cast("int").alias("look"))
+    listed = nodes.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct(*node, "look")).alias("nodes"))
+    out = keep(whole.distinct()), keep(listed)
+    drop(runs, twice)
+    return out
+
+
+def repeated_starts(texts: DataFrame) -> DataFrame:
+    """Runs (text_key, lo, hi) of window starts whose 400 bytes also start elsewhere; ``texts``: doc_id, text."""
+    named = texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(-1).cast("long")))
+    found = keep(texts.mapInArrow(_anchored, _RUN_TYPES))
+    whole, listed = _level(found, ["a"], ["r"], ["pos", "lo", "hi"], F.lit(True))
+    drop(found)
+    blocks = keep(named.join(listed, "doc_id").select("doc_id", "text", "text_key", "nodes").mapInArrow(_blocks, _BLOCK_TYPES))
+    drop(listed)
+    parts, listed = _level(blocks, ["a", "a1"], ["r", "r1"], ["lo", "hi"], F.col("open"))
+    drop(blocks)
+    windows = keep(named.join(listed, "doc_id").select("doc_id", "text", "text_key", "nodes").mapInArrow(_windows, "text_key binary, lo int, w long, w1 long, open boolean"))
+    again = keep(windows.groupBy("w", "w1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w", "w1"))
+    single = windows.filter("open").join(again, ["w", "w1"]).select("text_key", "lo", F.col("lo").alias("hi"))
+    return whole.unionByName(parts).unionByName(single)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -256,10 +301,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     a NULL doc_id is kept as it is. An empty table gives an empty one. Other columns are not read.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    starts, scratch = repeated_starts(texts)
-    drop(*scratch)
-    runs = keep(starts.groupBy("text_key").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")))
-    drop(starts)
+    runs = keep(repeated_starts(texts).groupBy("text_key").agg(F.collect_set(F.struct("lo", "hi")).alias("runs")))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
