@@ -29,7 +29,7 @@ COORDINATES = 32
 MATCHES = 12
 WORDS = 5
 NEAR_MATCHES = 6  # coordinates that agree at least, at a similarity of 0.5 (missed once in 10,000 times)
-ROUNDS = 3  # leaders of a list before what is left is compared as it is
+ROUNDS = 2  # leaders of a list before what is left is compared as it is
 MANY = 32  # members left, from which a list is posted under a second coordinate
 CACHE = 300_000  # words a worker remembers
 
@@ -131,11 +131,10 @@ class _Links:
 
     def __init__(self, texts: DataFrame, classes: DataFrame):
         self.texts, self.classes = texts, classes
-        self.links: DataFrame | None = None
         self.roots: DataFrame | None = None
 
     def compare(self, pairs: DataFrame) -> DataFrame:
-        """The near pairs among ``pairs`` (a, b), with ``linked``; links and components are brought up to date."""
+        """The near pairs among ``pairs`` (a, b), with ``linked``; components are brought up to date."""
         side = self.classes.select("id", "n", "sig")
         left, right = (side.select(*[F.col(c).alias(f"{c}_{s}") for c in side.columns]) for s in "ab")
         same = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda x: x))
@@ -146,12 +145,27 @@ class _Links:
         sets = keep(self.texts.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "id long, found binary").dropDuplicates(["id"]))
         full = some.join(sets.select(F.col("id").alias("a"), F.col("found").alias("fa")), "a").join(sets.select(F.col("id").alias("b"), F.col("found").alias("fb")), "b")
         near = keep(full.select("a", "b", "fa", "fb").mapInArrow(_compared, "a long, b long, linked boolean"))
-        new = near.filter("linked").select("a", "b")
-        links = keep(new if self.links is None else new.unionByName(self.links).distinct())
-        drop(some, wanted, sets, *([self.links] if self.links is not None else []))
-        self.links, self.roots = links, components(links)
+        drop(some, wanted, sets)
+        self.merge(near.filter("linked").select("a", "b"))
         return near
 
+    def merge(self, links: DataFrame) -> None:
+        """Bring the components up to date: only links between different components are worked on."""
+        if self.roots is None:
+            self.roots = components(links)
+            return
+        known = self.roots
+        left, right = (known.select(F.col("node").alias(f"n{s}"), F.col("root").alias(f"r{s}")) for s in "ab")
+        joined = links.join(left, F.col("a") == F.col("na"), "left").join(right, F.col("b") == F.col("nb"), "left")
+        joined = joined.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).filter("a <> b")
+        new = keep(joined.distinct())
+        if _some(new):
+            merged = components(new)
+            moved = merged.select(F.col("node").alias("old"), F.col("root").alias("new"))
+            old = known.join(moved, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root"))
+            self.roots = keep(old.unionByName(merged.join(known.select("node"), "node", "left_anti").select("node", "root")))
+        drop(new)
+
     def lead(self, lists: DataFrame, waiting: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         """One round: leaders against members, and ``waiting`` pairs. Returns shorter lists and new waiting pairs."""
         top = keep(lists.groupBy("g").agg(F.max(F.struct("weight", F.negative("id").alias("minus"))).alias("top")))
