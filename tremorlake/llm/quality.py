@@ -13,6 +13,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -103,14 +104,10 @@ def train(docs: DataFrame, labels: DataFrame, may_learn) -> tuple[np.ndarray, fl
 
 def scores(docs: DataFrame, model: tuple[np.ndarray, float], name: str = "score") -> DataFrame:
     """``docs`` with a column ``name``: 0 to 1, higher where label 1 is likelier."""
-    from pyspark.sql.functions import pandas_udf
-
     shared = docs.sparkSession.sparkContext.broadcast((model[0].astype(np.float32), model[1]))
 
-    @pandas_udf("double")
-    def score(batches: Iterator["pd.Series"]) -> Iterator["pd.Series"]:
-        import pandas as pd
-
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         odds, bias = shared.value
         known: dict[str, float] = {}
         for texts in batches:

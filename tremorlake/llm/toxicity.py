@@ -16,10 +16,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tremorlake.llm.common import text_or_empty
+from tremorlake.llm.common import fresh, text_or_empty
 
 SAMPLE = 4000  # labelled documents of each class that a model is fitted on, at most
 LONGEST = 64  # longer tokens are no words and stay as they are
@@ -38,7 +39,7 @@ _EDGE = ".,;:!?\"'()[]{}<>*#%&$-_~|"
 _SOFT_EDGE = ".,;:?\"'()[]{}<>*#%&-_~"  # edges that can't be letters
 _COST = {"same": 0.0, "read": 1.0, "part": 0.7, "again": 0.5}
 _DISGUISED = re.compile(r"[^\W\d_][^\W_]*[0-9@$!|+(€£.\-_*~'·]+[^\W_]*|[0-9@$!|(€£]+[^\W\d_]|([^\W\d_])\1\1")
-_SPACED = re.compile(r"(?<!\S)\S(?:[ .\-_*]\S){3,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)\S([ .\-_*])\S(?:\1\S){2,}(?!\S)")
 
 
 def _table() -> np.ndarray:
@@ -218,14 +219,10 @@ def train(docs: DataFrame, labels: DataFrame, may_learn) -> tuple[np.ndarray, di
 
 def scores(docs: DataFrame, model: np.ndarray, scorer: dict, name: str = "score") -> DataFrame:
     """``docs`` with a column ``name``: 0 to 1, higher where the restored text is likelier toxic."""
-    from pyspark.sql.functions import pandas_udf
-
     shared = docs.sparkSession.sparkContext.broadcast((model, scorer))
 
-    @pandas_udf("double")
-    def score(batches: Iterator["pd.Series"]) -> Iterator["pd.Series"]:
-        import pandas as pd
-
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model, scorer = shared.value
         restorer, odds, weights = Restorer(model), scorer["odds"], scorer["weights"]
         best: dict[str, float] = {}
@@ -267,8 +264,6 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows scored as toxic, all columns as they were."""
-    from tremorlake.llm.common import fresh
-
     model, scorer = train(docs, labels, remainder(3) != 1)
     name = fresh(docs, "toxicity")
     return scores(docs, model, scorer, name).filter(F.col(name) < THRESHOLD).drop(name)
