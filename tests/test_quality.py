@@ -103,6 +103,11 @@ def test_station_lookup(spark, stations):
     with pytest.raises(ValueError, match="AA, ZZ"):
         J.require_lookup(picks, stations)
     assert J.require_lookup(picks.limit(1), stations).first()["latitude"] == 40.8
+    many = spark.range(150).selectExpr("concat('Q', id) AS station_code").unionByName(spark.createDataFrame([(None,)], "station_code STRING"))
+    with pytest.raises(ValueError, match="^151 .*NULL.*Q99"):
+        J.require_lookup(many, stations)
+    with pytest.raises(ValueError, match="ST01"):
+        J.require_lookup(picks.limit(1), stations.withColumn("latitude", F.lit(None).cast("double")))
 
 
 def test_alert_layouts(spark):

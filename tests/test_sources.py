@@ -171,12 +171,10 @@ def test_empty_results_are_typed(spark):
     assert ingest.warehouse_table(spark, "/no/such/warehouse", "stations").count() == 0
 
 
-def test_feature_collection(spark):
+def test_geojson_features(spark):
     points = spark.createDataFrame([(1, 14.1, 40.8)], "event_id INT, longitude DOUBLE, latitude DOUBLE")
-    made = json.loads(sinks.feature_collection(sinks.geojson_features(points, ["event_id"])))
-    assert made["features"][0] == {"type": "Feature", "geometry": {"type": "Point", "coordinates": [14.1, 40.8]}, "properties": {"event_id": 1}}
-    with pytest.raises(ValueError):
-        sinks.feature_collection(sinks.geojson_features(points.union(points), ["event_id"]), limit=1)
+    made = json.loads(sinks.geojson_features(points, ["event_id"]).first()["feature"])
+    assert made == {"type": "Feature", "geometry": {"type": "Point", "coordinates": [14.1, 40.8]}, "properties": {"event_id": 1}}
 
 
 def test_download_plan_cuts_the_last_block(spark):

@@ -29,7 +29,7 @@ PRELUDE = {
     ),
     "big_events": (
         "big_events AS (SELECT event_id, ts AS time, value / 100e0 AS magnitude FROM events "
-        "WHERE event_type = 'purchase' ORDER BY value DESC, event_id LIMIT 15)"
+        "WHERE event_type = 'purchase' AND value / 100e0 >= 2e0)"
     ),
     "scores": (
         "scores AS (SELECT doc_id, quality AS label, ((doc_id * 37) % 100) / 100e0 AS score FROM labels)"
@@ -119,8 +119,8 @@ class Tables:
 
     @property
     def big_events(self) -> DataFrame:
-        """The 15 largest events: the ones the future label looks for."""
-        return self.catalog.select("event_id", "time", "magnitude").orderBy(F.desc("magnitude"), "event_id").limit(15)
+        """All events of magnitude 2 and above: the ones the future label looks for."""
+        return self.catalog.select("event_id", "time", "magnitude").filter(F.col("magnitude") >= 2.0)
 
     @property
     def scores(self) -> DataFrame:

@@ -53,10 +53,13 @@ def parse_mixed_time(text: str | Column) -> Column:
 
 
 def require_times(df: DataFrame, id_col: str, time_col: str) -> DataFrame:
-    """Fail naming some of the rows whose time could not be read."""
-    bad = [str(r[0]) for r in df.filter(F.col(time_col).isNull()).select(id_col).orderBy(id_col).limit(20).collect()]
-    if bad:
-        raise ValueError(f"unreadable time for: {', '.join(bad)}")
+    """Fail with the number of rows whose time could not be read, and the first and last of them by ``id_col``.
+
+    The complete list is the rows of ``df`` whose ``time_col`` is NULL.
+    """
+    bad = df.filter(F.col(time_col).isNull()).agg(F.count(F.lit(1)), F.min(id_col), F.max(id_col)).first()
+    if bad[0]:
+        raise ValueError(f"unreadable time in {bad[0]} rows, from {bad[1]} to {bad[2]}")
     return df
 
 

@@ -60,11 +60,18 @@ def unmatched_codes(picks: DataFrame, stations: DataFrame, code: str = "station_
     return wanted.join(bounded(known), code, "left_anti").orderBy(code)
 
 
-def require_lookup(picks: DataFrame, stations: DataFrame, code: str = "station_code", show: int = 100) -> DataFrame:
-    """``join_station_dim`` that fails naming the codes without a station (the first ``show`` of them)."""
-    missing = [r[0] for r in unmatched_codes(picks, stations, code).limit(show).collect()]
+def require_lookup(picks: DataFrame, stations: DataFrame, code: str = "station_code") -> DataFrame:
+    """``join_station_dim`` that fails naming all codes without a station that has both coordinates.
+
+    ``unmatched_codes`` gives the same list as a table. A pick without a code counts as the code NULL.
+    """
+    placed = stations
+    for column in ("latitude", "longitude"):
+        if column in stations.columns:
+            placed = placed.filter(F.col(column).isNotNull())
+    missing = [r[0] or "NULL" for r in unmatched_codes(picks, placed, code).collect()]
     if missing:
-        raise ValueError(f"stations without coordinates: {', '.join(missing)}")
+        raise ValueError(f"{len(missing)} stations without coordinates: {', '.join(missing)}")
     return join_station_dim(picks, stations, code)
 
 

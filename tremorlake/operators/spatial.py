@@ -12,7 +12,6 @@ from tremorlake.session import durable
 
 NEIGHBOURS = 5  # fixed value
 PERMUTATIONS = 999  # fixed value
-FIRST_POINTS = 2500  # fixed value: the customary size of a dense-matrix run
 # Classes of the local statistic.
 HIGH_HIGH, LOW_LOW = "High-High (Hotspot)", "Low-Low (Coldspot)"
 HIGH_LOW, LOW_HIGH = "High-Low (Outlier)", "Low-High (Outlier)"
@@ -85,11 +84,6 @@ def moran_permutation_p(
     )
 
 
-def first_points(points: DataFrame, key: str, n: int = FIRST_POINTS) -> DataFrame:
-    """The first n points by key, for runs that must equal a dense-matrix one."""
-    return points.orderBy(key).limit(n)
-
-
 def band_places(points: DataFrame, value: str, band: float = BAND_DEGREES) -> DataFrame:
     """Per distinct place: points, sums of z, and the neighbour sums within ``band``.
 

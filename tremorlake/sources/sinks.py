@@ -134,14 +134,6 @@ def sink_geojson(points: DataFrame, path: str, properties: Sequence[str]) -> Non
     geojson_features(points, properties).select("feature").write.mode("overwrite").text(path)
 
 
-def feature_collection(features: DataFrame, limit: int = 100_000) -> str:
-    """A FeatureCollection text for a map of at most ``limit`` points; bigger sets stay JSON lines."""
-    rows = features.select("feature").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} points: use sink_geojson")
-    return '{"type":"FeatureCollection","features":[' + ",".join(r[0] for r in rows) + "]}"
-
-
 def alert_log_rows(alerts: DataFrame) -> DataFrame:
     """Alerts in the log's fixed column order, the info map as JSON text in the flat form."""
     return alerts.select(*ALERT_LOG_COLUMNS)

@@ -303,7 +303,7 @@ def start_ingest(
         except Exception as error:  # noqa: BLE001
             if failures is None:
                 raise
-            kept = batch.select(F.to_json(F.struct("*")).alias("row"), F.lit(number).alias("batch"), F.lit(str(error)[:500]).alias("error"))
+            kept = batch.select(F.to_json(F.struct("*")).alias("row"), F.lit(number).alias("batch"), F.lit(str(error)).alias("error"))
             kept.write.mode("append").json(failures)
 
     return df.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
