@@ -29,11 +29,29 @@ THRESHOLD = 0.3
 CACHE = 300_000  # words a worker remembers
 
 
-def buckets(word: str) -> list[int]:
-    """Hash buckets of a word, its character n-grams of two to four signs, and its two edges."""
-    data = f"<{word[:40]}>".encode()
-    grams = {data, *[data[i : i + n] for n in (2, 3, 4) for i in range(len(data) - n + 1)]}
-    return [zlib.crc32(g) % BUCKETS for g in sorted(grams)]
+def grams(spellings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(word number, hash bucket) of each word's spelling and its character n-grams of two to four signs."""
+    parts = [f"<{w[:40]}>".encode() for w in spellings]
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    data = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint64)
+    owner = np.repeat(np.arange(len(parts)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))  # signs from here to the word's end
+    owners, found = [np.arange(len(parts))], [np.fromiter((zlib.crc32(p) % BUCKETS for p in parts), np.int64, len(parts))]
+    for n in (2, 3, 4):
+        value = np.full(max(0, len(data) - n + 1), n, np.uint64)
+        for k in range(n):
+            value = value * np.uint64(0x100000001B3) + data[k : k + len(value)]
+        inside = left[: len(value)] >= n
+        value = (value[inside] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+        owners.append(owner[: len(inside)][inside])
+        found.append((value % np.uint64(BUCKETS)).astype(np.int64))
+    return np.concatenate(owners), np.concatenate(found)
+
+
+def worth(spellings: list[str], odds: np.ndarray) -> np.ndarray:
+    """The mean of the odds of each word's buckets."""
+    owner, bucket = grams(spellings)
+    return np.bincount(owner, odds[bucket], len(spellings)) / np.bincount(owner, minlength=len(spellings))
 
 
 def words(text: str) -> list[str]:
@@ -42,20 +60,16 @@ def words(text: str) -> list[str]:
     return found + ["<again>"] * sum(a == b for a, b in zip(found, found[1:]))
 
 
-def bag(text: str, known: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a text and their weights, which sum to 1 (none for a text without words)."""
     counts = Counter(words(text))
-    if len(known) > CACHE // 3:
-        known.clear()
-    weight: Counter = Counter()
-    total = sum(counts.values())
-    for word, n in counts.items():
-        found = known.get(word)
-        if found is None:
-            found = known[word] = buckets(word)
-        for b in found:
-            weight[b] += n / (total * len(found))
-    return np.fromiter(weight, np.int32, len(weight)), np.fromiter(weight.values(), np.float32, len(weight))
+    if not counts:
+        return np.empty(0, np.int32), np.empty(0, np.float32)
+    owner, bucket = grams(list(counts))
+    share = np.fromiter(counts.values(), float, len(counts)) / (sum(counts.values()) * np.bincount(owner))
+    weight = np.bincount(bucket, share[owner], BUCKETS)
+    at = np.flatnonzero(weight)
+    return at.astype(np.int32), weight[at].astype(np.float32)
 
 
 def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], prior: float, seed: int = 1) -> tuple[np.ndarray, float]:
@@ -91,9 +105,8 @@ def train(docs: DataFrame, labels: DataFrame, may_learn) -> tuple[np.ndarray, fl
     rows, prior = labelled(docs, labels, "quality", may_learn, SAMPLE)
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
         for batch in batches:
-            found = [bag(t.as_py(), known) for t in batch.column(2)]
+            found = [bag(t.as_py()) for t in batch.column(2)]
             parts = [pa.array([x[k].tobytes() for x in found], pa.binary()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *parts], names=["doc_id", "y", "at", "weight"])
 
@@ -111,18 +124,13 @@ def scores(docs: DataFrame, model: tuple[np.ndarray, float], name: str = "score"
         odds, bias = shared.value
         known: dict[str, float] = {}
         for texts in batches:
-            out = []
-            for text in texts:
-                if len(known) > CACHE:
-                    known.clear()
-                found, total = words(text), 0.0
-                for word in found:
-                    value = known.get(word)
-                    if value is None:
-                        value = known[word] = float(odds[buckets(word)].mean())
-                    total += value
-                z = bias + (total / len(found) if found else 0.0)
-                out.append(1 / (1 + np.exp(-max(-30.0, min(30.0, z)))))
+            if len(known) > CACHE:
+                known.clear()
+            found = [words(text) for text in texts]
+            new = list(set().union(*found).difference(known))
+            known.update(zip(new, worth(new, odds).tolist() if new else []))
+            z = [bias + (sum(map(known.__getitem__, ws)) / len(ws) if ws else 0.0) for ws in found]
+            out = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pd.Series(out, dtype="float64")
 
     return docs.withColumn(name, score(text_or_empty()))
