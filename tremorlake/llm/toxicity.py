@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tremorlake.llm.common import fresh, text_or_empty
 
-SAMPLE = 4000  # labelled documents of each class that a model is fitted on, at most
+SAMPLE = 2000  # labelled documents of each class that a model is fitted on, at most
 LONGEST = 64  # longer tokens are no words and stay as they are
 THRESHOLD = 0.7
 
