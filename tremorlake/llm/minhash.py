@@ -7,12 +7,13 @@ least 12 of the 32 coordinates agree: at a similarity of 0.75 a pair misses that
 11 longest lists are never merged; pairs that occur once are no lists at all.
 
 Lists are not expanded into pairs. In each list the member whose pairs are the most common (a template,
-if there is one) leads and is compared with all others. Those linked to it leave the list together with
-it: Jaccard distance is a metric, so a member at a similarity below 0.5 to the leader cannot be linked
-to one that is linked to the leader. Members between 0.5 and 0.75 in another component are compared
-with those that leave. The rest is a shorter list with a new leader. Lists whose rest lies in one
-component are closed; a rest that stays long is first posted again under a second coordinate, with the
-same prefix rule. Links are confirmed on the full shingle sets.
+if there is one) leads and is compared with all others; a second leader follows among those that are not
+in the first one's component. After that only members of different components matter. They pass an exact
+bound inside the join: every document carries the parity of its shingles in 512 buckets, and as many
+shingles differ as buckets do, at least; a link allows one seventh of both sizes to differ. So the pairs
+that leave the join are nearly all links between components. Lists of very many open members are first
+posted again under a second coordinate, with the same prefix rule. Links are confirmed on the full
+shingle sets.
 """
 
 from __future__ import annotations
@@ -28,9 +29,9 @@ from tremorlake.llm.common import components, drop, fresh, keep, text_or_empty
 COORDINATES = 32
 MATCHES = 12
 WORDS = 5
-NEAR_MATCHES = 6  # coordinates that agree at least, at a similarity of 0.5 (missed once in 10,000 times)
-ROUNDS = 2  # leaders of a list before what is left is compared as it is
-MANY = 32  # members left, from which a list is posted under a second coordinate
+ROUNDS = 2  # leaders of a list before what is open is compared by the bound
+MANY = 2000  # members of an open list, from which it is posted under a second coordinate
+BUCKETS = 8  # of 64 bits each, in the parity bitmap
 CACHE = 300_000  # words a worker remembers
 
 _RNG = np.random.default_rng(7)
@@ -75,19 +76,26 @@ def signature(found: np.ndarray) -> np.ndarray:
     return out
 
 
+def parities(found: np.ndarray) -> np.ndarray:
+    """One bit a bucket: whether an odd number of the shingles fall into it."""
+    odd = np.bincount((found >> np.uint64(17)) % np.uint64(64 * BUCKETS), minlength=64 * BUCKETS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     words = _Words()
     for batch in batches:
-        sizes, keys, signatures = [], [], []
+        sizes, keys, signatures, bits = [], [], [], []
         for text in batch.column(1):
             found = shingles(text.as_py(), words)
             sizes.append(len(found))
             keys.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
             signatures.append(signature(found) if len(found) else None)
-        columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signatures, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "key", "sig"])
+            bits.append(parities(found) if len(found) else None)
+        columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signatures, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "key", "sig", "bits"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,18 +105,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "found"])
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs at a similarity of 0.5 or more, and whether they are links."""
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose full sets have a similarity of 0.75 or more."""
     for batch in batches:
-        near, linked = [], []
+        linked = []
         for left, right in zip(batch.column(2), batch.column(3)):
             a, b = (np.frombuffer(x.as_py(), np.uint64) for x in (left, right))
             common = len(np.intersect1d(a, b, assume_unique=True))
-            union = len(a) + len(b) - common
-            near.append(2 * common >= union)
-            linked.append(100 * common >= 75 * union)
-        out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
-        yield out.filter(pa.array(near, pa.bool_()))
+            linked.append(100 * common >= 75 * (len(a) + len(b) - common))
+        out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"])
+        yield out.filter(pa.array(linked, pa.bool_()))
 
 
 def posted(members: DataFrame, need: int) -> DataFrame:
@@ -126,6 +132,13 @@ def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def within_bound(a: str, b: str) -> Column:
+    """Whether the sizes and bitmaps of two classes (columns n, bits with these endings) allow a link."""
+    n, m = F.col(f"n{a}"), F.col(f"n{b}")
+    differ = sum((F.bit_count(F.get(f"bits{a}", F.lit(k)).bitwiseXOR(F.get(f"bits{b}", F.lit(k)))) for k in range(BUCKETS)), F.lit(0))
+    return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * differ <= n + m)
+
+
 class _Links:
     """Candidate pairs compared on the full sets, and the components of all links so far."""
 
@@ -133,21 +146,19 @@ class _Links:
         self.texts, self.classes = texts, classes
         self.roots: DataFrame | None = None
 
-    def compare(self, pairs: DataFrame) -> DataFrame:
-        """The near pairs among ``pairs`` (a, b), with ``linked``; components are brought up to date."""
-        side = self.classes.select("id", "n", "sig")
+    def compare(self, pairs: DataFrame) -> None:
+        """Bring the components up to date with the links among ``pairs`` (a, b)."""
+        side = self.classes.select("id", "n", "sig", "bits")
         left, right = (side.select(*[F.col(c).alias(f"{c}_{s}") for c in side.columns]) for s in "ab")
         same = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda x: x))
-        small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
         some = pairs.distinct().join(left, F.col("a") == F.col("id_a")).join(right, F.col("b") == F.col("id_b"))
-        some = keep(some.filter((2 * small >= large) & (same >= NEAR_MATCHES)).select("a", "b"))
-        wanted = keep(some.select(F.col("a").alias("doc_id")).unionByName(some.select(F.col("b").alias("doc_id"))).distinct())
+        some = keep(some.filter(within_bound("_a", "_b") & (same >= MATCHES)).select("a", "b"))
+        wanted = some.select(F.col("a").alias("doc_id")).unionByName(some.select(F.col("b").alias("doc_id"))).distinct()
         sets = keep(self.texts.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "id long, found binary").dropDuplicates(["id"]))
         full = some.join(sets.select(F.col("id").alias("a"), F.col("found").alias("fa")), "a").join(sets.select(F.col("id").alias("b"), F.col("found").alias("fb")), "b")
-        near = keep(full.select("a", "b", "fa", "fb").mapInArrow(_compared, "a long, b long, linked boolean"))
-        drop(some, wanted, sets)
-        self.merge(near.filter("linked").select("a", "b"))
-        return near
+        links = keep(full.select("a", "b", "fa", "fb").mapInArrow(_linked, "a long, b long"))
+        self.merge(links)
+        drop(some, sets, links)
 
     def merge(self, links: DataFrame) -> None:
         """Bring the components up to date: only links between different components are worked on."""
@@ -166,31 +177,27 @@ class _Links:
             self.roots = keep(old.unionByName(merged.join(known.select("node"), "node", "left_anti").select("node", "root")))
         drop(new)
 
-    def lead(self, lists: DataFrame, waiting: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """One round: leaders against members, and ``waiting`` pairs. Returns shorter lists and new waiting pairs."""
-        top = keep(lists.groupBy("g").agg(F.max(F.struct("weight", F.negative("id").alias("minus"))).alias("top")))
-        led = keep(lists.join(top.select("g", F.negative("top.minus").alias("lead")), "g"))
-        pairs = led.filter("id <> lead").select(*_ordered(F.col("id"), F.col("lead")))
-        near = self.compare(pairs if waiting is None else pairs.unionByName(waiting))
-        known = self.roots.select(F.col("node").alias("id"), "root")
-        state = near.select(F.col("a").alias("a_"), F.col("b").alias("b_"), "linked")
-        told = led.join(known, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        low, high = _ordered(F.col("id"), F.col("lead"))
-        told = keep(told.select("*", low, high).join(state, (F.col("a") == F.col("a_")) & (F.col("b") == F.col("b_")), "left").drop("a", "b", "a_", "b_"))
-        leaves = F.coalesce(F.col("linked"), F.lit(False)) | (F.col("id") == F.col("lead"))
-        gone = told.filter(leaves).select("g", F.col("id").alias("id2"), F.col("root").alias("root2"))
-        between = keep(told.filter(~F.coalesce("linked", F.lit(True))).select("g", "id", "root"))
-        pairs = keep(between.join(gone, "g").filter("root <> root2").select(*_ordered(F.col("id"), F.col("id2"))).distinct())
-        rest = self.open(told.filter(~leaves).select("g", "id", "weight"))
-        drop(top, led, near, between, told)
-        return rest, pairs
-
-    def open(self, lists: DataFrame) -> DataFrame:
-        """``lists`` without those whose members all lie in one component."""
+    def lead(self, lists: DataFrame) -> DataFrame:
+        """One round: the leader of each list against its ``left`` members. Returns the lists that are still
+        open, where members in the leader's component are no longer ``left``."""
+        top = F.max(F.when(F.col("left"), F.struct("weight", F.negative("id").alias("minus"))))
+        led = keep(lists.join(lists.groupBy(F.col("g").alias("g_")).agg(F.negative(top["minus"]).alias("lead")), F.col("g") == F.col("g_")).drop("g_"))
+        self.compare(led.filter("left and id <> lead").select(*_ordered(F.col("id"), F.col("lead"))))
+        rooted = self.rooted(led)
+        its = self.roots.select(F.col("node").alias("lead"), F.col("root").alias("lead_root"))
+        left = F.col("left") & (F.col("root") != F.coalesce("lead_root", "lead"))
+        return self.open(rooted.join(its, "lead", "left").select("g", "id", "weight", left.alias("left"), "root"))
+
+    def rooted(self, lists: DataFrame) -> DataFrame:
+        """``lists`` with the component of each member so far."""
         known = self.roots.select(F.col("node").alias("id"), "root")
-        rooted = keep(lists.join(known, "id", "left").withColumn("root", F.coalesce("root", "id")))
-        several = keep(rooted.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")).filter("lo < hi").select("g", "members"))
-        return keep(rooted.join(several, "g"))
+        return lists.drop("root").join(known, "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+    def open(self, rooted: DataFrame) -> DataFrame:
+        """The lists whose members lie in several components, with the number of their members."""
+        rooted = keep(rooted)
+        several = rooted.groupBy(F.col("g").alias("g_")).agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")).filter("lo < hi")
+        return keep(rooted.drop("members").join(several.select("g_", "members"), F.col("g") == F.col("g_")).drop("g_"))
 
 
 def _some(df: DataFrame) -> bool:
@@ -207,24 +214,21 @@ def near_groups(docs: DataFrame) -> DataFrame:
     Other columns are not read.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    rows = keep(texts.mapInArrow(_features, "doc_id long, n long, key binary, sig array<long>"))
+    rows = keep(texts.mapInArrow(_features, "doc_id long, n long, key binary, sig array<long>, bits array<long>"))
     some = rows.filter("n > 0 and doc_id is not null")
-    classes = keep(some.groupBy("key").agg(F.min(F.struct(F.col("doc_id").alias("id"), "n", "sig")).alias("x")).select("key", "x.id", "x.n", "x.sig"))
+    classes = keep(some.groupBy("key").agg(F.min(F.struct(F.col("doc_id").alias("id"), "n", "sig", "bits")).alias("x")).select("key", "x.*"))
     links = _Links(texts.filter("doc_id is not null"), classes)
-    lists = posted(classes.select(F.lit(0).cast("long").alias("g"), "id", "sig"), MATCHES)
-    lists, waiting = links.lead(lists, None)
-    rounds = 1
-    while rounds < ROUNDS and _some(lists):
-        lists, waiting = links.lead(lists.select("g", "id", "weight"), waiting)
-        rounds += 1
+    lists = posted(classes.select(F.lit(0).cast("long").alias("g"), "id", "sig"), MATCHES).withColumn("left", F.lit(True))
+    for _ in range(ROUNDS):
+        lists = links.lead(lists)
     crowded = lists.filter(F.col("members") > MANY).select("g", "id")
     if _some(crowded):
         again = posted(crowded.join(classes.select("id", "sig"), "id").select("g", "id", "sig"), MATCHES)  # the list's own coordinate is one of them
-        again, waiting = links.lead(again, waiting)
-        lists = links.open(again.select("g", "id").unionByName(lists.filter(F.col("members") <= MANY).select("g", "id")))
-    other = lists.select("g", F.col("id").alias("id2"), F.col("root").alias("root2"))
-    pairs = lists.select("g", "id", "root").join(other, "g").filter("id < id2 and root <> root2")
-    last = keep(pairs.select(*_ordered(F.col("id"), F.col("id2"))).unionByName(waiting).distinct())
+        lists = links.open(links.rooted(again.select("g", "id").unionByName(lists.filter(F.col("members") <= MANY).select("g", "id"))))
+    side = lists.select("g", "id", "root").join(classes.select("id", "n", "bits"), "id")
+    one, two = (side.select(*[F.col(c).alias(f"{c}_{s}") for c in side.columns]) for s in "xy")
+    pairs = one.join(two, (F.col("g_x") == F.col("g_y")) & (F.col("id_x") < F.col("id_y")) & (F.col("root_x") != F.col("root_y")) & within_bound("_x", "_y"))
+    last = keep(pairs.select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct())
     if _some(last):
         links.compare(last)
     roots = links.roots.select(F.col("node").alias("id"), "root")
