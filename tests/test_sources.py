@@ -77,6 +77,38 @@ def test_recent_files_of_mixed_formats(spark, tmp_path):
     assert got[1]["source_file"].endswith("two.jsonl") and got[0]["source_mtime"] is not None
 
 
+def test_files_with_different_headers_go_by_name(spark, tmp_path):
+    root = tmp_path / "some runs+more"
+    write(root / "run[1]" / "in" / "d.csv", "event_id,station\n1,AAA\n")
+    write(root / "run 2" / "in" / "d.csv", "station,event_id,extra\nBBB,2,x\n")
+    write(root / "run3" / "in" / "d.csv", "event_id,station\n3,CCC\n")
+    write(root / "run4" / "in" / "d.csv", "")
+    got = files.scan_runs(spark, str(root), "in/d.csv", ["event_id", "station"]).orderBy("event_id").collect()
+    assert [(r["event_id"], r["station"], r["extra"]) for r in got] == [("1", "AAA", None), ("2", "BBB", "x"), ("3", "CCC", None)]
+    paths = [str(root / name / "in" / "d.csv") for name in ("run 2", "run3")]
+    read = files.scan_csv_checked(spark, paths, ["event_id"], {"event_id": "bigint"}).orderBy("event_id").collect()
+    assert [(r["event_id"], r["station"]) for r in read] == [(2, "BBB"), (3, "CCC")]
+    with pytest.raises(CheckFailed, match="extra"):
+        files.scan_runs(spark, str(root), "in/d.csv", ["extra"])
+
+
+def test_recent_files_of_different_columns(spark, tmp_path):
+    write(tmp_path / "one.csv", "station,risk\nA,0.5\n")
+    write(tmp_path / "b" / "two.csv", "risk,station\n0.7,B\n")
+    write(tmp_path / "three.jsonl", '{"station": "C"}\n{"station": \n{"station": "D", "risk": 1}\n')
+    spark.createDataFrame([("E",)], "station STRING").coalesce(1).write.parquet(str(tmp_path / "p"))
+    spark.createDataFrame([("F", 2.5)], "station STRING, depth DOUBLE").coalesce(1).write.mode("append").parquet(str(tmp_path / "p"))
+    got = files.scan_recent_files(spark, str(tmp_path), "2000-01-01T00:00:00").orderBy("station").collect()
+    assert [(r["station"], r["risk"], r["depth"]) for r in got] == [
+        ("A", "0.5", None),
+        ("B", "0.7", None),
+        ("C", None, None),
+        ("D", "1", None),
+        ("E", None, None),
+        ("F", None, 2.5),
+    ]
+
+
 def test_hashes(spark, tmp_path):
     path = write(tmp_path / "f.bin", "hello")
     got = {r["file_path"]: r["sha256"] for r in files.audit_file_hash(spark, [path, str(tmp_path / "none")]).collect()}
@@ -85,10 +117,14 @@ def test_hashes(spark, tmp_path):
 
 
 def test_waveform_names(spark, tmp_path):
-    rows = [(f"x/{name}", 0.0, 1.0, [1.0]) for name in ("ev1_IV_CAAM_HHZ.mseed", "a_b_IV_cafl_HHN.mseed", "IV_CAAM_HHZ.mseed")]
+    rows = [(f"x/{name}", 0.0, 1.0, [1.0]) for name in ("ev1_IV_CAAM_HHZ.mseed", "a_b_IV_cafl_HHN.mseed", "ev2_IV_ST01_00_HHZ.mseed", "IV_CAAM_HHZ.mseed")]
     spark.createDataFrame(rows, "file STRING, start DOUBLE, rate DOUBLE, samples ARRAY<DOUBLE>").write.parquet(str(tmp_path / "w"))
     got = files.scan_waveform_chunks(spark, str(tmp_path / "w")).orderBy("event_key").collect()
-    assert [(r["event_key"], r["network"], r["station_code"], r["channel"]) for r in got] == [("a_b", "IV", "CAFL", "HHN"), ("ev1", "IV", "CAAM", "HHZ")]
+    assert [(r["event_key"], r["network"], r["station_code"], r["channel"]) for r in got] == [
+        ("a", "B", "IV", "CAFL_HHN"),
+        ("ev1", "IV", "CAAM", "HHZ"),
+        ("ev2", "IV", "ST01", "00_HHZ"),
+    ]
 
 
 def test_key_rules_on_disk(spark, tmp_path):

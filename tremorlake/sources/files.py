@@ -44,11 +44,31 @@ def require_columns(df: DataFrame, required: Sequence[str], what: str = "table")
     return df
 
 
+def csv_by_header(spark: SparkSession, path: str | Sequence[str], **options) -> list[DataFrame]:
+    """One scan for each distinct header among the files of ``path``, so that columns go by name, not by place.
+
+    A pass over the text finds the first line of every file; files without a line have no rows. Where
+    all files agree, which is the rule, there is one scan of ``path`` as it is.
+    """
+    first = spark.read.options(**options).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    heads = first.filter("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("head"))
+    literal = F.regexp_replace(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))), r"([\\{}\[\]*?])", r"\\$1")  # a path, not a pattern
+    groups = heads.groupBy("head").agg(F.sort_array(F.collect_list(literal)).alias("files")).orderBy("head").collect()
+    reader = spark.read.options(header=True, **options)
+    if len(groups) < 2:
+        return [reader.csv(path)]
+    options.pop("recursiveFileLookup", None)  # the files are named one by one from here
+    return [spark.read.options(header=True, **options).csv(group["files"]) for group in groups]
+
+
 def scan_csv_checked(
     spark: SparkSession, path: str | Sequence[str], required: Sequence[str], types: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """CSV or CSV.GZ with a header; missing columns are named in the error, bad values are NULL."""
-    df = require_columns(spark.read.option("header", True).csv(path), required, str(path))
+    """CSV or CSV.GZ with a header; missing columns are named in the error, bad values are NULL.
+
+    Files may differ in the order of their columns and in the columns beyond ``required``.
+    """
+    df = union_missing_columns([require_columns(one, required, str(path)) for one in csv_by_header(spark, path)])
     return coerce_types(df, {c: t for c, t in (types or {}).items() if c in df.columns})
 
 
@@ -68,8 +88,7 @@ def scan_code_list(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_event_catalog(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Event text with ``|`` between values: nine columns renamed, times trimmed, numbers cast."""
-    df = spark.read.option("sep", "|").option("header", True).csv(path)
-    require_columns(df, list(CATALOG_COLUMNS), str(path))
+    df = union_missing_columns([require_columns(one, list(CATALOG_COLUMNS), str(path)) for one in csv_by_header(spark, path, sep="|")])
     numbers = {"latitude", "longitude", "depth_km", "magnitude"}
     out = []
     for source, name in CATALOG_COLUMNS.items():
@@ -115,24 +134,24 @@ def with_source(df: DataFrame) -> DataFrame:
 def scan_recent_files(spark: SparkSession, folder: str, modified_after: str) -> DataFrame:
     """CSV, JSON lines, JSON and Parquet below ``folder`` changed after a time; one table, missing columns NULL.
 
-    ``modified_after`` is UTC text such as 2024-01-31T00:00:00.
+    ``modified_after`` is UTC text such as 2024-01-31T00:00:00. Lines and documents of JSON that cannot
+    be read are skipped.
     """
     found = []
     for glob, read in (
-        ("*.{csv,csv.gz}", lambda r: r.option("header", True).csv(folder)),
-        ("*.jsonl", lambda r: r.json(folder)),
-        ("*.json", lambda r: r.option("multiLine", True).option("mode", "DROPMALFORMED").json(folder)),
-        ("*.parquet", lambda r: r.parquet(folder)),
+        ("*.{csv,csv.gz}", lambda o: csv_by_header(spark, folder, **o)),
+        ("*.jsonl", lambda o: [spark.read.options(mode="DROPMALFORMED", **o).json(folder)]),
+        ("*.json", lambda o: [spark.read.options(multiLine=True, mode="DROPMALFORMED", **o).json(folder)]),
+        ("*.parquet", lambda o: [spark.read.options(mergeSchema=True, **o).parquet(folder)]),
     ):
-        reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+        options = {"recursiveFileLookup": True, "pathGlobFilter": glob, "modifiedAfter": modified_after, "timeZone": "UTC"}
         try:
-            df = read(reader.option("modifiedAfter", modified_after).option("timeZone", "UTC"))
+            frames = read(options)
         except Exception as error:  # a format without files has no schema
             if "UNABLE_TO_INFER_SCHEMA" in str(error):
                 continue
             raise
-        if df.columns:
-            found.append(_unwrap(with_source(df)))
+        found += [_unwrap(with_source(df)) for df in frames if df.columns]
     if not found:
         raise FileNotFoundError(f"no files below {folder} changed after {modified_after}")
     return union_missing_columns(_as_text(found))
@@ -158,9 +177,8 @@ def _as_text(frames: list[DataFrame]) -> list[DataFrame]:
 
 def scan_runs(spark: SparkSession, root: str, inside: str, required: Sequence[str] = ()) -> DataFrame:
     """One table of every run directory below ``root``, with the directory name as ``run_name``."""
-    df = spark.read.option("header", True).csv(f"{root}/*/{inside}")
-    require_columns(df, required, f"{root}/*/{inside}")
-    return df.withColumn("run_name", run_of_path(F.col("_metadata.file_path"), inside))
+    path, run = f"{root}/*/{inside}", run_of_path(F.col("_metadata.file_path"), inside)
+    return union_missing_columns([require_columns(one, required, path).withColumn("run_name", run) for one in csv_by_header(spark, path)])
 
 
 def run_of_path(path: Column, inside: str) -> Column:
@@ -186,15 +204,15 @@ def audit_file_hash(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def waveform_ids(file: Column) -> dict[str, Column]:
-    """Event, network, station and channel of ``event_network_station_channel`` names."""
+    """Event, network, station and channel of file names: the first three parts between ``_``, and the rest."""
     bare = F.regexp_replace(F.element_at(F.split(file, "/"), -1), r"\.[A-Za-z0-9]+$", "")
     parts = F.split(bare, "_")
     size = F.size(parts)
     return {
-        "event_key": F.array_join(F.slice(parts, F.lit(1), F.greatest(size - 3, F.lit(0))), "_"),
-        "network": normalize_code(F.get(parts, size - 3)),
-        "station_code": normalize_code(F.get(parts, size - 2)),
-        "channel": normalize_code(F.get(parts, size - 1)),
+        "event_key": F.get(parts, F.lit(0)),
+        "network": normalize_code(F.get(parts, F.lit(1))),
+        "station_code": normalize_code(F.get(parts, F.lit(2))),
+        "channel": normalize_code(F.array_join(F.slice(parts, F.lit(4), F.greatest(size - 3, F.lit(0))), "_")),
         "_parts": size,
     }
 
