@@ -61,9 +61,16 @@ def _(t):
 UNMATCHED = " SELECT DISTINCT station_code FROM picks WHERE station_code NOT IN (SELECT station_code FROM stations) ORDER BY 1"
 
 
-@query("require_lookup", "picks stations", UNMATCHED)
+@query(
+    "require_lookup",
+    "picks stations",
+    """ SELECT pick_id, p.station_code, latitude, longitude FROM picks p JOIN stations s USING (station_code)
+    WHERE latitude IS NOT NULL AND longitude IS NOT NULL""",
+)
 def _(t):
-    return J.unmatched_codes(t.picks, t.stations)
+    placed = t.stations.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select("station_code", "latitude", "longitude")
+    known = t.picks.join(placed.select("station_code"), "station_code", "left_semi")
+    return J.require_lookup(known.select("pick_id", "station_code"), placed)
 
 
 @query(

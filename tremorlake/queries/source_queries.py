@@ -103,8 +103,11 @@ def _(t):
 def _(t):
     path = scratch(t)
     part = [t.picks.filter(F.col("pick_id") % 3 == i).select("pick_id", "station_code", "delta_seconds") for i in range(3)]
-    sinks.sink_csv(part[0], f"{path}/a")
-    part[1].write.parquet(f"{path}/b/deep")
+    even = F.col("pick_id") % 2 == 0
+    sinks.sink_csv(part[0].filter(even), f"{path}/a")
+    sinks.sink_csv(part[0].filter(~even).select("delta_seconds", F.lit("x").alias("note"), "station_code", "pick_id"), f"{path}/d")
+    part[1].filter(even).select("pick_id", "station_code", "delta_seconds").write.parquet(f"{path}/b/deep")
+    part[1].filter(~even).withColumn("depth", F.lit(1.5)).write.mode("append").parquet(f"{path}/b/deep")
     lines = part[2].select(F.to_json(F.struct("pick_id", "station_code")).alias("value"))
     _write_named_lines(t, lines, f"{path}/c")
     found = files.scan_recent_files(t.spark, path, "2020-01-01T00:00:00")
@@ -161,7 +164,10 @@ def _write_runs(t, root: str) -> None:
 )
 def _(t):
     root = scratch(t)
-    _write_runs(t, root)
+    columns = ["event_id", "station", "delta_seconds"]
+    for run, order in (("run_0", columns), ("run_1", ["channel", *reversed(columns)])):  # by name, whatever the order
+        mine = t.picks.filter(F.col("run_id") == run).withColumnRenamed("station_code", "station")
+        sinks.sink_csv(mine.select(*order), f"{root}/{run}/interim/station_deltas.csv", compress=False)
     found = files.scan_runs(t.spark, root, "interim/station_deltas.csv", ["event_id", "station"])
     return found.select("run_name", F.col("event_id").cast("long"), "station", F.col("delta_seconds").cast("double"))
 
@@ -176,7 +182,7 @@ def _(t):
 @query(
     "scan_waveform_chunks",
     "samples",
-    """ SELECT 'ev' || (n // 128) AS event_key, 'IV' AS network, station_code, 'HHZ' AS channel, n // 128 * 128 AS start, n % 128 AS pos, x
+    """ SELECT 'ev' || (n // 128) AS event_key, 'IV' AS network, station_code, '00_HHZ' AS channel, n // 128 * 128 AS start, n % 128 AS pos, x
     FROM samples""",
     "x",
 )
@@ -186,7 +192,7 @@ def _(t):
         t.samples.groupBy("station_code", chunk.alias("chunk"))
         .agg(F.sort_array(F.collect_list(F.struct("n", "x"))).alias("rows"))  # at most 128 samples
         .select(
-            F.concat(F.lit("data/ev"), "chunk", F.lit("_iv_"), "station_code", F.lit("_hhz.mseed")).alias("file"),
+            F.concat(F.lit("data/ev"), "chunk", F.lit("_iv_"), "station_code", F.lit("_00_hhz.mseed")).alias("file"),
             (F.col("chunk") * 128).alias("start"),
             F.lit(1.0).alias("rate"),
             F.col("rows.x").alias("samples"),
