@@ -33,6 +33,7 @@ ROUNDS = 2  # leaders of a list before what is open is compared by the bound
 MANY = 2000  # members of an open list, from which it is posted under a second coordinate
 BUCKETS = 8  # of 64 bits each, in the parity bitmap
 CACHE = 300_000  # words a worker remembers
+BLOCK = 1024  # shingles hashed at once under all coordinates
 
 _RNG = np.random.default_rng(7)
 _SEEDS = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64)
@@ -67,13 +68,13 @@ def shingles(text: str, words: _Words) -> np.ndarray:
 
 
 def signature(found: np.ndarray) -> np.ndarray:
-    out = np.empty(COORDINATES, np.int64)
-    for k in range(COORDINATES):
-        values = (found ^ _SEEDS[k]) * _FACTORS[k]
+    low = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
+    for start in range(0, len(found), BLOCK):
+        values = (found[start : start + BLOCK, None] ^ _SEEDS) * _FACTORS
         values ^= values >> np.uint64(32)
-        values *= _FACTORS[k]
-        out[k] = values.min().view(np.int64)
-    return out
+        values *= _FACTORS
+        np.minimum(low, values.min(axis=0), out=low)
+    return low.view(np.int64)
 
 
 def parities(found: np.ndarray) -> np.ndarray:
