@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -10,6 +11,7 @@ from tremorlake.session import checkpoint_folder
 
 BLANKS = r"\x20\x09-\x0D"  # the white space of the contracts: space, tab to carriage return
 ARROW_ROWS = 500  # rows of an Arrow batch, so that long texts stay within a worker's memory
+SMALL_ROWS = 500_000  # rows of two numbers each that may be broadcast: 8 MB, some 30 MB as a hash table
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
@@ -57,21 +59,29 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def sent(kept: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """How to join with columns of ``kept``, a written table of a few numbers a row: broadcast if it is
+    counted to have at most ``SMALL_ROWS`` rows, else by a shuffle. Both give the same rows."""
+    return F.broadcast if kept.count() <= SMALL_ROWS else lambda df: df
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the undirected ``edges`` (a, b); root is the component's smallest node.
 
     Label propagation with pointer jumping: a node takes the smallest root among its neighbours and
-    then that root's own root. Per round two aggregations, each combined before its shuffle, so a node
+    then that root's own root. Per round one aggregation, combined before its shuffle, so a node
     with very many neighbours is no hot task; labels and edges stay tables. No edges: an empty table.
     """
     both = keep(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = keep(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")))
+    send = sent(labels)  # the nodes stay the same in every round
     while True:
-        heard = both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("n2")).agg(F.min("root").alias("heard"))
-        best = keep(labels.join(heard, F.col("node") == F.col("n2")).select("node", F.col("root").alias("old"), F.least("root", "heard").alias("best")))
-        roots = labels.select(F.col("node").alias("r"), F.col("root").alias("rr"))
+        heard = both.join(send(labels), F.col("b") == F.col("node")).groupBy(F.col("a").alias("n2")).agg(F.min("root").alias("heard"))
+        own = send(labels.select("node", F.col("root").alias("old")))
+        best = heard.join(own, F.col("n2") == F.col("node")).select("node", "old", F.least("old", "heard").alias("best"))  # every node has a neighbour
+        roots = send(labels.select(F.col("node").alias("r"), F.col("root").alias("rr")))
         jumped = keep(best.join(roots, F.col("best") == F.col("r")).select("node", "old", F.least("best", "rr").alias("root")))
-        drop(best, labels)
+        drop(labels)
         labels = jumped
         changed = labels.filter(F.col("root") != F.col("old")).limit(1).count()
         if not changed:

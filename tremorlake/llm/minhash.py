@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tremorlake.llm.common import components, drop, fresh, keep, text_or_empty
+from tremorlake.llm.common import components, drop, fresh, keep, sent, text_or_empty
 
 COORDINATES = 32
 MATCHES = 12
@@ -165,17 +165,19 @@ class _Links:
         """Bring the components up to date: only links between different components are worked on."""
         if self.roots is None:
             self.roots = components(links)
+            self.send = sent(self.roots)
             return
         known = self.roots
-        left, right = (known.select(F.col("node").alias(f"n{s}"), F.col("root").alias(f"r{s}")) for s in "ab")
+        left, right = (self.send(known.select(F.col("node").alias(f"n{s}"), F.col("root").alias(f"r{s}"))) for s in "ab")
         joined = links.join(left, F.col("a") == F.col("na"), "left").join(right, F.col("b") == F.col("nb"), "left")
         joined = joined.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).filter("a <> b")
         new = keep(joined.distinct())
         if _some(new):
             merged = components(new)
-            moved = merged.select(F.col("node").alias("old"), F.col("root").alias("new"))
+            moved = sent(merged)(merged.select(F.col("node").alias("old"), F.col("root").alias("new")))
             old = known.join(moved, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root"))
-            self.roots = keep(old.unionByName(merged.join(known.select("node"), "node", "left_anti").select("node", "root")))
+            self.roots = keep(old.unionByName(merged.join(self.send(known.select("node")), "node", "left_anti").select("node", "root")))
+            self.send = sent(self.roots)
         drop(new)
 
     def lead(self, lists: DataFrame) -> DataFrame:
@@ -185,13 +187,13 @@ class _Links:
         led = keep(lists.join(lists.groupBy(F.col("g").alias("g_")).agg(F.negative(top["minus"]).alias("lead")), F.col("g") == F.col("g_")).drop("g_"))
         self.compare(led.filter("left and id <> lead").select(*_ordered(F.col("id"), F.col("lead"))))
         rooted = self.rooted(led)
-        its = self.roots.select(F.col("node").alias("lead"), F.col("root").alias("lead_root"))
+        its = self.send(self.roots.select(F.col("node").alias("lead"), F.col("root").alias("lead_root")))
         left = F.col("left") & (F.col("root") != F.coalesce("lead_root", "lead"))
         return self.open(rooted.join(its, "lead", "left").select("g", "id", "weight", left.alias("left"), "root"))
 
     def rooted(self, lists: DataFrame) -> DataFrame:
         """``lists`` with the component of each member so far."""
-        known = self.roots.select(F.col("node").alias("id"), "root")
+        known = self.send(self.roots.select(F.col("node").alias("id"), "root"))
         return lists.drop("root").join(known, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
     def open(self, rooted: DataFrame) -> DataFrame:
@@ -232,7 +234,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     last = keep(pairs.select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct())
     if _some(last):
         links.compare(last)
-    roots = links.roots.select(F.col("node").alias("id"), "root")
+    roots = links.send(links.roots.select(F.col("node").alias("id"), "root"))
     told = keep(classes.select("key", "id").join(roots, "id", "left").select(F.col("key").alias("key_"), F.coalesce("root", "id").alias("root")))
     out = rows.select("doc_id", "n", "key").join(told, F.col("key") == F.col("key_"), "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("root"))
