@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from tremorlake.llm import exact, langid, minhash, mixing, packing, pii, quality, suffix, topk, toxicity
+from tremorlake.llm import common, exact, langid, minhash, mixing, packing, pii, quality, suffix, topk, toxicity
 from tremorlake.llm.common import components
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -52,7 +52,9 @@ def test_exact_tree_has_levels(spark, monkeypatch):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 5]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("rows", [0, 500_000])
+def test_components(spark, monkeypatch, rows):
+    monkeypatch.setattr(common, "SMALL_ROWS", rows)  # shuffled, broadcast
     edges = [(5, 4), (4, 3), (3, 2), (9, 8), (2, 1), (20, 9), (6, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 8: 8, 9: 8, 20: 8, 6: 6, 7: 6}
