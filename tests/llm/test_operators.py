@@ -306,6 +306,25 @@ def test_quality(spark):
     assert len(quality.quality(junk, labels.limit(0)).collect()) == junk.count()
 
 
+def test_quality_reads_long_words_whole(monkeypatch):
+    head = "長い文章" * 10
+    first, second = head + "ABCD" * 20, head + "wxyz" * 20
+    odds = np.random.default_rng(5).normal(size=quality.BUCKETS)
+    values = quality.worth([first, second, "short"], odds)
+    assert values[0] != values[1] and not np.array_equal(quality.bag(first)[0], quality.bag(second)[0])
+    want = {}
+    for w in (first, second, "short", "a"):
+        at, weight = quality.bag(w)
+        want[w] = (at.tolist(), weight, quality.worth([w], odds)[0])
+        assert sum(len(b) for _, b in quality.grams([w])) == quality.gram_counts([w])[0] == 3 * len(w.encode()) + 1
+    for piece in (1, 2, 7, 50):  # pieces of a word count as the whole
+        monkeypatch.setattr(quality, "PIECE", piece)
+        assert np.allclose(quality.worth(list(want), odds), [x for _, _, x in want.values()])
+        for w, (at, weight, _) in want.items():
+            got = quality.bag(w)
+            assert got[0].tolist() == at and np.allclose(got[1], weight)
+
+
 def test_language(spark):
     texts = {"en": "the house and the garden with the tree of the king ", "de": "das haus und der garten mit dem baum des königs "}
     docs = spark.createDataFrame([(t * 20, l) for l, t in texts.items()] + [(None, "en"), ("x", None)], "text string, lang string")

@@ -3,7 +3,8 @@
 A word is the mean of the learned vectors of its hashed spelling and character n-grams, a document the
 mean of its words (and of the word pairs that repeat a word), its label the softmax of a linear layer.
 Training is plain stochastic gradient descent in numpy over a bounded sample of labelled documents.
-Because the layers are linear, a trained word is one number; documents are scored word by word.
+Because the layers are linear, a trained word is one number; documents are scored word by word. Words
+end at white space only and count whole, however long: also a text in a script without blanks.
 """
 
 from __future__ import annotations
@@ -27,31 +28,62 @@ EPOCHS = 8
 RATE = 2.0
 THRESHOLD = 0.3
 CACHE = 300_000  # words a worker remembers
+REMEMBERED = 40  # signs of a word that is remembered; longer ones are hashed each time
+PIECE = 1 << 16  # bytes hashed at once
 
 
-def grams(spellings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(word number, hash bucket) of each word's spelling and its character n-grams of two to four signs."""
-    parts = [f"<{w[:40]}>".encode() for w in spellings]
+def grams(spellings: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(word number, hash bucket) of each word's spelling and its character n-grams of two to four signs.
+
+    Whole words, in steps of about ``PIECE`` bytes: a longer word goes in pieces that overlap by three
+    bytes, and each n-gram counts in the piece where it begins.
+    """
+    numbers, parts, whole, size = [], [], [], 0
+    for number, w in enumerate(spellings):
+        data = f"<{w}>".encode()
+        whole.append((number, zlib.crc32(data) % BUCKETS))
+        for start in range(0, len(data) - 1, PIECE):
+            numbers.append(number)
+            parts.append(data[start : start + PIECE + 3])
+            size += len(parts[-1])
+            if size >= PIECE:
+                yield _hashed(numbers, parts, whole)
+                numbers, parts, whole, size = [], [], [], 0
+    if parts:
+        yield _hashed(numbers, parts, whole)
+
+
+def _hashed(numbers: list[int], parts: list[bytes], whole: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
     data = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint64)
-    owner = np.repeat(np.arange(len(parts)), sizes)
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))  # signs from here to the word's end
-    owners, found = [np.arange(len(parts))], [np.fromiter((zlib.crc32(p) % BUCKETS for p in parts), np.int64, len(parts))]
+    owner = np.repeat(np.array(numbers, np.int64), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))  # signs from here to the part's end
+    own = left > np.repeat(sizes - PIECE, sizes)  # the rest begins in the next piece
+    spelt = np.array(whole, np.int64).reshape(-1, 2)
+    owners, found = [spelt[:, 0]], [spelt[:, 1]]
     for n in (2, 3, 4):
         value = np.full(max(0, len(data) - n + 1), n, np.uint64)
         for k in range(n):
             value = value * np.uint64(0x100000001B3) + data[k : k + len(value)]
-        inside = left[: len(value)] >= n
+        inside = own[: len(value)] & (left[: len(value)] >= n)
         value = (value[inside] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
         owners.append(owner[: len(inside)][inside])
         found.append((value % np.uint64(BUCKETS)).astype(np.int64))
     return np.concatenate(owners), np.concatenate(found)
 
 
+def gram_counts(spellings: list[str]) -> np.ndarray:
+    """How many buckets ``grams`` gives for each word: of m bytes with its marks, 1 + (m - 1) + (m - 2) + (m - 3)."""
+    return np.fromiter((3 * len(w.encode()) + 1 for w in spellings), np.int64, len(spellings))
+
+
 def worth(spellings: list[str], odds: np.ndarray) -> np.ndarray:
     """The mean of the odds of each word's buckets."""
-    owner, bucket = grams(spellings)
-    return np.bincount(owner, odds[bucket], len(spellings)) / np.bincount(owner, minlength=len(spellings))
+    total = np.zeros(len(spellings))
+    for owner, bucket in grams(spellings):
+        first, last = owner.min(), owner.max() + 1
+        total[first:last] += np.bincount(owner - first, odds[bucket], last - first)
+    return total / gram_counts(spellings)
 
 
 def words(text: str) -> list[str]:
@@ -65,9 +97,10 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     counts = Counter(words(text))
     if not counts:
         return np.empty(0, np.int32), np.empty(0, np.float32)
-    owner, bucket = grams(list(counts))
-    share = np.fromiter(counts.values(), float, len(counts)) / (sum(counts.values()) * np.bincount(owner))
-    weight = np.bincount(bucket, share[owner], BUCKETS)
+    share = np.fromiter(counts.values(), float, len(counts)) / (sum(counts.values()) * gram_counts(list(counts)))
+    weight = np.zeros(BUCKETS)
+    for owner, bucket in grams(list(counts)):
+        weight += np.bincount(bucket, share[owner], BUCKETS)
     at = np.flatnonzero(weight)
     return at.astype(np.int32), weight[at].astype(np.float32)
 
@@ -128,8 +161,11 @@ def scores(docs: DataFrame, model: tuple[np.ndarray, float], name: str = "score"
                 known.clear()
             found = [words(text) for text in texts]
             new = list(set().union(*found).difference(known))
-            known.update(zip(new, worth(new, odds).tolist() if new else []))
-            z = [bias + (sum(map(known.__getitem__, ws)) / len(ws) if ws else 0.0) for ws in found]
+            values = dict(zip(new, worth(new, odds).tolist()))
+            long = {w: values.pop(w) for w in new if len(w) > REMEMBERED}
+            known.update(values)
+            value = (lambda w: long[w] if w in long else known[w]) if long else known.__getitem__
+            z = [bias + (sum(map(value, ws)) / len(ws) if ws else 0.0) for ws in found]
             out = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pd.Series(out, dtype="float64")
 
