@@ -295,6 +295,28 @@ def test_restorer(spark):
     assert restorer.words("The M0r0n, id!ot s.t.u.p.i.d l o s e r s stuuupid!! cl0wns") == ["the", "moron", "idiot", "stupid", "losers", "stupid", "clowns"]
 
 
+LIVELY = "the moron and the idiot are stupid losers with clowns you are a moron you idiot an ass as all of us too good the book is stupid "
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("$tupid !diot as$ a$$ the!! \"$tupid!\" (the idiot)", "stupid idiot ass ass the stupid the idiot"),
+        ("stuupid idioot all too good book", "stupid idiot all too good book"),
+        ("st" + "u" * 80 + "pid", "stupid"),
+        ("a s s", "ass"),
+        ("you are a m o r o n", "you are a moron"),
+        ("y o u i d i o t", "you idiot"),
+        ("1 2 3 4", "1 2 3 4"),
+        (".".join(["you.are.a.moron.and.the.idiot.is.stupid"] * 3), " ".join(["you are a moron and the idiot is stupid"] * 3)),
+        ("stupid." * 2000, " ".join(["stupid"] * 2000)),
+    ],
+)
+def test_restorer_reads_every_disguise(spark, text, want):
+    docs = spark.createDataFrame([(1, LIVELY * 50)], "doc_id long, text string")
+    assert toxicity.Restorer(toxicity.language_model(docs)).words(text) == want.split()
+
+
 def test_quality(spark):
     docs, labels = labelled(spark, "quality", lambda k: "")
     junk = docs.selectExpr("doc_id", "if(doc_id % 4 = 0, regexp_replace(upper(text), ' ', '!! '), text) as text", "source")

@@ -1,9 +1,10 @@
 """Toxicity by noisy-channel deobfuscation.
 
 A character trigram model is counted over all documents. Words that look disguised (look-alike signs
-inside words, letters spaced apart, letters repeated) become a lattice of readings, and the reading that
-is the likeliest under the model, less the cost of each edit, replaces them (Viterbi). The restored text
-is scored: words and word beginnings carry the log odds, lower-bounded, with which they occur in toxic
+inside words or at their edges, letters spaced apart, letters repeated) become a lattice of readings, and
+the reading that is the likeliest under the model, less the cost of each edit, replaces them (Viterbi).
+Edits read a sign as a letter, drop an edge sign or a repeat, and take a parting sign as nothing or as a
+blank between words; a token may be of any length. The restored text is scored: words and word beginnings carry the log odds, lower-bounded, with which they occur in toxic
 and other labelled documents, and a logistic function of its three highest occurrences is a document's score.
 """
 
@@ -14,6 +15,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from tremorlake.llm.common import fresh, text_or_empty
 
 SAMPLE = 2000  # labelled documents of each class that a model is fitted on, at most
-LONGEST = 64  # longer tokens are no words and stay as they are
+REMEMBERED = 64  # signs of a token whose reading is remembered; longer ones are read each time
 THRESHOLD = 0.7
 
 # fixed values: signs that stand for letters, and signs that only part letters
@@ -36,10 +38,13 @@ PARTING = ".-_*~'·"
 _OTHER = 27  # symbols of the model: 0 blank, 1 to 26 letters, 27 any other letter or sign
 _SYMBOLS = 28
 _EDGE = ".,;:!?\"'()[]{}<>*#%&$-_~|"
-_SOFT_EDGE = ".,;:?\"'()[]{}<>*#%&-_~"  # edges that can't be letters
-_COST = {"same": 0.0, "read": 1.0, "part": 0.7, "again": 0.5}
-_DISGUISED = re.compile(r"[^\W\d_][^\W_]*[0-9@$!|+(€£.\-_*~'·]+[^\W_]*|[0-9@$!|(€£]+[^\W\d_]|([^\W\d_])\1\1")
-_SPACED = re.compile(r"(?<!\S)\S([ .\-_*])\S(?:\1\S){2,}(?!\S)")
+_SOFT_EDGE = ".,;:?\"')[]{}<>*#%&-_~"  # edges that can't be letters
+_COST = {"same": 0.0, "read": 1.0, "part": 0.7, "split": 1.0, "join": 0.0, "again": 0.5, "double": 3.0}
+# split: a blank between two single signs, join: one beside a longer piece; again: a repeat of three or more, double: of two
+_DROP = ({"$": 5.0, "!": 5.0, "|": 1.0, "(": 1.0}, {"$": 5.0, "!": 0.0, "|": 1.0, "(": 3.0})  # edge signs before and after a word; others are free
+_DISGUISED = re.compile(r"[^\W\d_][^\W_]*[0-9@$!|+(€£.\-_*~'·]+[^\W_]*|[0-9@$!|(€£]+[^\W\d_]|([^\W\d_])\1")
+_SPACED = re.compile(r"(?<!\S)[^\w\s]*\S(?: \S){2,}[^\w\s]*(?!\S)")
+_LETTER = re.compile(r"[^\W\d_]")
 
 
 def _table() -> np.ndarray:
@@ -81,55 +86,84 @@ class Restorer:
         self.model, self.readings = model.tolist(), {}
 
     def word(self, token: str) -> str:
-        """The likeliest reading of one token, by Viterbi over (last two symbols)."""
-        model, states = self.model, {(0, 0): (0.0, "")}
+        """The likeliest reading of one token, by Viterbi over (last two symbols); blanks part its words.
+
+        What all readings have in common is put aside on the way, so a long token takes linear time.
+        """
+        model, states, done = self.model, {(0, 0): (0.0, "")}, []
+        first, end = len(token) - len(token.lstrip(_EDGE)), len(token.rstrip(_EDGE))
         last = ""
-        for sign in token:
+
+        def single(at: int) -> bool:  # a lone sign ends before or after this place
+            return not first <= at < end or token[at] in PARTING or token[at] == " "
+
+        for at, sign in enumerate(token):
             ways = []
             if sign.isalpha():
                 ways.append((sign, _COST["same"]))
             for letter in LOOKALIKE.get(sign, ""):
                 ways.append((letter, _COST["read"]))
-            if sign in PARTING:
-                ways.append(("", _COST["part"]))
+            again = _COST["again" if token[at - 2 : at] == sign * 2 or token[at + 1 : at + 2] == sign else "double"]
+            if at < first or at >= end:
+                drop = _DROP[at >= end].get(sign, 0.0)
+                ways.append(("", min(drop, again) if sign == last else drop))
+            elif sign in PARTING or sign == " ":
+                ways += [("", _COST["part"]), (" ", _COST["split" if single(at - 2) and single(at + 2) else "join"])]
             elif sign == last:
-                ways.append(("", _COST["again"]))
+                ways.append(("", again))
             if not ways:
                 ways.append((sign, _COST["same"]))
             after: dict[tuple[int, int], tuple[float, str]] = {}
             for (a, b), (score, text) in states.items():
                 for letter, cost in ways:
-                    c = ord(letter) - 96 if "a" <= letter <= "z" else _OTHER
+                    if letter == " " and not b:
+                        continue  # no empty words
+                    c = 0 if letter == " " else ord(letter) - 96 if "a" <= letter <= "z" else _OTHER
                     key = (b, c) if letter else (a, b)
                     value = score - cost + (model[a][b][c] if letter else 0.0)
                     if key not in after or value > after[key][0]:
                         after[key] = (value, text + letter)
             states, last = after, sign
-        return max((score + model[a][b][0], text) for (a, b), (score, text) in states.items())[1]
+            if at % 64 == 63:
+                common = commonprefix([text for _, text in states.values()])
+                done.append(common)
+                states = {key: (score, text[len(common) :]) for key, (score, text) in states.items()}
+        return "".join(done) + max((score + (model[a][b][0] if b else 0.0), text) for (a, b), (score, text) in states.items())[1]
 
     def reading(self, token: str) -> str:
-        """The word that a lower-cased token stands for; empty if it has none."""
+        """The word or words that a lower-cased token stands for; empty if it has none."""
         word = token.strip(_EDGE)
-        if not word.isalpha() and len(token) <= LONGEST and _DISGUISED.search(token):
-            return self.word(word if token[-1] == "!" else token.strip(_SOFT_EDGE))
-        if 2 < len(word) <= LONGEST and _DISGUISED.search(word):
-            return self.word(word)
-        return word
+        if not word:
+            return word
+        soft = token.strip(_SOFT_EDGE)
+        if not word.isalpha():
+            disguised = _DISGUISED.search(token)
+        else:
+            disguised = soft.strip(_EDGE) != soft or len(word) > 2 and _DISGUISED.search(word)
+        return self.word(soft) if disguised else word
+
+    def read(self, token: str) -> list[str]:
+        words = self.readings.get(token)
+        if words is None:
+            words = self.reading(token).split()
+            if len(token) <= REMEMBERED:
+                self.readings[token] = words
+        return words
 
     def words(self, text: str) -> list[str]:
         """The lower-cased words of the text, disguised ones restored."""
         low = text.lower()
-        if _SPACED.search(low):
-            low = _SPACED.sub(lambda m: re.sub(r"[ .\-_*]", "", m[0]), low)
         if len(self.readings) > 300_000:
             self.readings.clear()
-        out = []
-        for token in low.split():
-            word = self.readings.get(token)
-            if word is None:
-                word = self.readings[token] = self.reading(token)
-            if word:
-                out.append(word)
+        out, start = [], 0
+        for run in _SPACED.finditer(low):
+            if _LETTER.search(run[0]):  # else numbers
+                for token in low[start : run.start()].split():
+                    out += self.read(token)
+                out += self.word(run[0]).split()
+                start = run.end()
+        for token in low[start:].split():
+            out += self.read(token)
         return out
 
 
@@ -235,7 +269,9 @@ def scores(docs: DataFrame, model: np.ndarray, scorer: dict, name: str = "score"
                 for word in restorer.words(text):
                     value = best.get(word)
                     if value is None:
-                        value = best[word] = max(odds.get(f, 0.0) for f in beginnings(word))
+                        value = max(odds.get(f, 0.0) for f in beginnings(word))
+                        if len(word) <= REMEMBERED:
+                            best[word] = value
                     if value > high[2]:
                         high = sorted([*high[:2], value], reverse=True)
                 z = weights[0] + sum(w * h for w, h in zip(weights[1:], high))
