@@ -50,6 +50,24 @@ def test_windows_equal_the_batch(spark, picks, tmp_path):
     assert rounded(got) == rounded(want)
 
 
+def test_hourly_counts_are_exact(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    rows = []
+    for hour, stations in enumerate((3000, 5003, 1)):
+        for k in range(2 * stations):
+            rows.append((len(rows), "N", f"S{k % stations}", "Z", T0 + timedelta(hours=hour, seconds=k * 0.2), 1e6 + float(rng.random())))
+        rows.append((len(rows), "N", None, "Z", T0 + timedelta(hours=hour, seconds=1), None))
+    rows.sort(key=lambda r: r[4])
+    last = (len(rows), "N", "S", "Z", T0 + timedelta(hours=5), 1.0)
+    got = run(spark, M.stream_hourly_counts(M.watermarked(stream_of(spark, tmp_path / "in", [*rows, last], 2), "ts"), "ts", "value"), tmp_path).collect()
+    assert sorted((r["hour"], r["numero_eventi"], r["stazioni_attive"]) for r in got) == [
+        (T0, 6001, 3000), (T0 + timedelta(hours=1), 10007, 5003), (T0 + timedelta(hours=2), 3, 1),
+    ]
+    for r in got:
+        values = [x[5] for x in rows if r["hour"] <= x[4] < r["hour"] + timedelta(hours=1) and x[5] is not None]
+        assert r["energia_max"] == max(values) and abs(r["energia_media"] - np.mean(values)) < 1e-6 and abs(r["energia_std"] - np.std(values)) < 1e-8
+
+
 def test_cooldown_over_batches(spark, picks, tmp_path):
     stream = stream_of(spark, tmp_path / "in", picks, 5)
     is_error = F.col("pick_id") % 50 == 0

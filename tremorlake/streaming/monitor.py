@@ -126,18 +126,29 @@ def monitor_summary(risks: DataFrame, least: int = MIN_STATIONS, limit: float =
 def stream_hourly_counts(df: DataFrame, time: str, value: str) -> DataFrame:
     """Tumbling hours: rows, stations, max, mean, population std.
 
-    A sketch counts the stations: a stream cannot count them exactly.
+    A stream has no exact distinct count. So rows are aggregated to stations, one row per station and
+    hour, and stations to hours, where counting rows counts stations (a NULL station counts for none).
     """
-    return (
-        df.groupBy(F.window(time, "1 hour"))
-        .agg(
-            F.count(F.lit(1)).alias("numero_eventi"),
-            F.approx_count_distinct("station_code", 0.01).alias("stazioni_attive"),
-            F.max(value).alias("energia_max"),
-            F.avg(value).alias("energia_media"),
-            F.stddev_pop(value).alias("energia_std"),
-        )
-        .select(F.col("window.start").alias("hour"), "numero_eventi", "stazioni_attive", "energia_max", "energia_media", "energia_std")
+    stations = df.groupBy(F.window(time, "1 hour").alias("window"), "station_code").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_pop(value).alias("var"), F.max(value).alias("max")
+    )
+    hours = stations.groupBy("window").agg(
+        F.sum("rows").alias("numero_eventi"),
+        F.count("station_code").alias("stazioni_attive"),
+        F.max("max").alias("energia_max"),
+        F.sum("n").alias("n"),
+        F.sum(F.col("n") * F.col("mean")).alias("total"),
+        F.collect_list(F.when(F.col("n") > 0, F.struct("n", "mean", "var"))).alias("parts"),
+    )
+    mean = F.try_divide("total", "n")
+    squares = F.aggregate("parts", F.lit(0.0), lambda sum_, p: sum_ + p["n"] * (p["var"] + (p["mean"] - mean) * (p["mean"] - mean)))
+    return hours.select(
+        F.col("window.start").alias("hour"),
+        "numero_eventi",
+        "stazioni_attive",
+        "energia_max",
+        mean.alias("energia_media"),
+        F.sqrt(F.try_divide(squares, "n")).alias("energia_std"),
     )
 
 
