@@ -30,7 +30,7 @@ def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The pieces of all documents in their sequences."""
-    return packing.pack(docs)
+    return packing.pack(docs, special=True)
 
 
 STAGES = [

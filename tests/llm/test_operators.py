@@ -173,6 +173,24 @@ def test_packing(spark):
     assert packing.pack(frame(spark, [])).collect() == []
 
 
+def test_packing_reads_the_special_token(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tremorlake.llm.queries import op1_packing
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["y<|endoftext|>z", "a  <|endoftext|>  b<|endoftext|><|endoftext|>\n", "<|endoftext|", "plain " * 1500 + "<|endoftext|>"]
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [88, 50256, 89]
+    want = Counter()
+    for i, t in enumerate(texts):
+        ids = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        for s in range(0, len(ids), 1024):
+            want[i, s, len(ids[s : s + 1024]), zlib.crc32(ids[s : s + 1024].tobytes()), len(ids)] += 1
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert Counter(tuple(r)[:5] for r in op1_packing(spark, str(tmp_path)).collect()) == want
+
+
 def test_packing_plan():
     rng = np.random.default_rng(2)
     histogram = dict(Counter(rng.integers(1, 1025, 40_000).tolist()))

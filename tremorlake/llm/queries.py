@@ -21,7 +21,7 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 @_query
 def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document packed into sequences of 1024 tokens."""
-    return packing.pack(table(spark, folder, "documents"))
+    return packing.pack(table(spark, folder, "documents"), special=True)
 
 
 @_query
