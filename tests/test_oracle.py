@@ -23,3 +23,10 @@ def test_entry_points():
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert len(ORACLES) > 170
+
+
+@pytest.mark.parametrize("name", ["moran_global_knn_runs", "moran_permutation_p", "interp_nearest_runs"])
+def test_every_run_is_read(spark, folder, name):
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables here")
+    assert {r["run_id"] for r in QUERIES[name](spark, folder).collect()} == {"run_0", "run_1"}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from tremorlake.operators import aggregates as A, joins as J
 from tremorlake.queries import query
@@ -101,6 +103,13 @@ def run_means(t, run: str):
     )
 
 
+def every_run(t, operator):
+    """``operator`` on the means of each run there is, with its run_id."""
+    runs = [r["run_id"] for r in t.picks.select("run_id").filter("run_id IS NOT NULL").distinct().orderBy("run_id").collect()]
+    made = [operator(run_means(t, run)).withColumn("run_id", F.lit(run)) for run in runs]
+    return reduce(DataFrame.unionByName, made) if made else operator(run_means(t, "")).withColumn("run_id", F.lit("")).limit(0)
+
+
 RUN_MEANS = """means AS (SELECT run_id, station_code, avg(delta_seconds) AS delta_value FROM picks GROUP BY 1, 2),
   points AS (SELECT m.*, s.longitude * 100000e0 AS easting, s.latitude * 100000e0 AS northing FROM means m JOIN stations s USING (station_code)),
   base AS (SELECT * FROM points WHERE run_id = 'run_0'), soft AS (SELECT * FROM points WHERE run_id = 'run_1')"""
@@ -204,6 +213,21 @@ def _(t):
     return J.interp_nearest(run_means(t, "run_0"), "station_code", "delta_value", 60, ("easting", "northing"))
 
 
+@query(
+    "interp_nearest_runs",
+    "picks stations",
+    f""", {RUN_MEANS}, box AS (SELECT run_id, min(easting) AS x0, max(easting) AS x1, min(northing) AS y0, max(northing) AS y1 FROM points GROUP BY 1),
+    nodes AS (SELECT run_id, ix, iy, x0 + (x1 - x0) * ix / 59 AS x, y0 + (y1 - y0) * iy / 59 AS y FROM box, range(60) a(ix), range(60) b(iy))
+    SELECT run_id, CAST(ix AS INTEGER) AS ix, CAST(iy AS INTEGER) AS iy,
+      min_by(station_code, ((easting - x) * (easting - x) + (northing - y) * (northing - y), station_code)) AS station_code,
+      min_by(delta_value, ((easting - x) * (easting - x) + (northing - y) * (northing - y), station_code)) AS delta_value
+    FROM nodes JOIN points USING (run_id) GROUP BY 1, 2, 3""",
+    "delta_value",
+)
+def _(t):
+    return every_run(t, lambda means: J.interp_nearest(means, "station_code", "delta_value", 60, ("easting", "northing")))
+
+
 @query(
     "grid_diff",
     "picks stations",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tremorlake.operators import aggregates as A, spatial as S
 from tremorlake.queries import query
 from tremorlake.queries.aggregate_queries import BEARING, EPICENTRES, HAVERSINE, PLACED
-from tremorlake.queries.join_queries import RUN_MEANS, run_means
+from tremorlake.queries.join_queries import RUN_MEANS, every_run, run_means
 
 KNN = """pairs AS (SELECT a.station_code AS i, b.station_code AS j, (b.easting - a.easting) * (b.easting - a.easting)
     + (b.northing - a.northing) * (b.northing - a.northing) AS d2 FROM base a JOIN base b ON a.station_code <> b.station_code),
@@ -26,10 +26,26 @@ def _(t):
     return S.moran_global_knn(run_means(t, "run_0"), "station_code", "delta_value", 5, ("easting", "northing"))
 
 
+@query(
+    "moran_global_knn_runs",
+    "picks stations",
+    f""", {RUN_MEANS}, pairs AS (SELECT a.run_id, a.station_code AS i, b.station_code AS j, (b.easting - a.easting) * (b.easting - a.easting)
+      + (b.northing - a.northing) * (b.northing - a.northing) AS d2 FROM points a JOIN points b ON a.run_id = b.run_id AND a.station_code <> b.station_code),
+    knn AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY run_id, i ORDER BY d2, j) <= 5),
+    zs AS (SELECT run_id, station_code, delta_value - avg(delta_value) OVER (PARTITION BY run_id) AS z FROM points),
+    lagged AS (SELECT knn.run_id, i, sum(0.2e0 * z) AS lag FROM knn JOIN zs ON zs.run_id = knn.run_id AND j = station_code GROUP BY 1, 2)
+    SELECT zs.run_id, sum(z * lag) / sum(z * z) AS moran_i, -1e0 / (count(*) - 1) AS expected_i, count(*) AS n
+    FROM zs JOIN lagged ON lagged.run_id = zs.run_id AND i = station_code GROUP BY 1""",
+    "moran_i expected_i",
+)
+def _(t):
+    return every_run(t, lambda means: S.moran_global_knn(means, "station_code", "delta_value", 5, ("easting", "northing")))
+
+
 @query("moran_permutation_p")
 def _(t):
-    made = S.moran_permutation_p(run_means(t, "run_0"), "station_code", "delta_value", 5, ("easting", "northing"))
-    return made.select(F.round("moran_i", 10).alias("moran_i"), "p_sim", F.round("mean_i_perm", 10).alias("mean_i_perm"))
+    made = every_run(t, lambda means: S.moran_permutation_p(means, "station_code", "delta_value", 5, ("easting", "northing")))
+    return made.select("run_id", F.round("moran_i", 10).alias("moran_i"), "p_sim", F.round("mean_i_perm", 10).alias("mean_i_perm"))
 
 
 BAND = f"""{EPICENTRES}, spots AS (SELECT event_id, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude,
