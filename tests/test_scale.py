@@ -146,3 +146,18 @@ def test_within_distance_near_the_pole(spark):
 
     want = {(p[0], q[0]) for p in rows for q in rows if p != q and km(p, q) < 10}
     assert {(r["source"], r["target"]) for r in J.join_within_distance(df).collect()} == want
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_quantiles_of_infinite_values(spark, keys):
+    inf, nan = float("inf"), float("nan")
+    cases = {
+        "low": [-inf] * 60 + [float(i) for i in range(40)], "high": [float(i) for i in range(40)] + [inf] * 60, "both": [-inf] * 50 + [1.0] * 3 + [inf] * 50,
+        "nan": [nan] * 30 + [float(i % 7) for i in range(70)], "null": [None] * 30 + [2.0] * 50 + [-inf], "ties": [1.0] * 50 + [2.0] * 50, "edge": [-inf, 3.0],
+    }
+    probs = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.597, "e": 0.9, "f": 1.0}
+    shown = lambda rows: sorted(str([None if x is None else x if isinstance(x, str) else round(x, 9) for x in r]) for r in rows)
+    for group in [list(cases)] if keys else [[name] for name in cases]:
+        df = spark.createDataFrame([(name, v) for name in group for v in cases[name]], "k STRING, v DOUBLE")
+        large, plain = (scale.exact_quantiles(df, keys, "v", probs, n).collect() for n in (1, 10_000))
+        assert shown(large) == shown(plain)

@@ -107,30 +107,33 @@ def exact_quantiles(
     else:  # a handful of numbers: literals beside each row
         marks = [F.struct(*[F.lit(v).alias(c) for c, v in row.asDict().items()]) for row in wanted.collect()]
         joined = hot_data.select("*", F.inline(F.array(*marks)))
-    # one row per distinct value in the bracket, plus one row (value NULL) that counts what is below it
+    # one row per distinct value in the bracket, plus one row (not _in, value NULL) that counts what is below it
     inside = (
         joined.filter(F.col("_v") <= F.col("_hi"))
-        .withColumn("_v", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")))
-        .groupBy(*keys, "_name", "_pos", "_v")
+        .withColumn("_in", F.col("_v") >= F.col("_lo"))
+        .withColumn("_v", F.when(F.col("_in"), F.col("_v")))
+        .groupBy(*keys, "_name", "_pos", "_in", "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     upto = F.sum("_c").over(
-        W.partitionBy(*keys, "_name").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)
+        W.partitionBy(*keys, "_name").orderBy("_in", "_v").rowsBetween(W.unboundedPreceding, 0)
     )
     low, high = F.floor("_pos"), F.ceil("_pos")
     picked = (
         inside.withColumn("_upto", upto)
         .groupBy(*keys, "_name", "_pos")
         .agg(
-            F.max(F.when(F.col("_v").isNull(), F.col("_c"))).alias("_below"),
-            F.min(F.when(F.col("_upto") > low, F.struct(F.coalesce("_v", F.lit(float("-inf"))).alias("v")))).alias("_x0"),
-            F.min(F.when(F.col("_upto") > high, F.struct(F.coalesce("_v", F.lit(float("-inf"))).alias("v")))).alias("_x1"),
+            F.max(F.when(~F.col("_in"), F.col("_c"))).alias("_below"),
+            F.min(F.when(F.col("_upto") > low, F.struct("_in", F.col("_v").alias("v")))).alias("_x0"),
+            F.min(F.when(F.col("_upto") > high, F.struct("_in", F.col("_v").alias("v")))).alias("_x1"),
         )
     )
     x0, x1 = F.col("_x0.v"), F.col("_x1.v")
-    missed = F.col("_x1").isNull() | F.col("_x0").isNull() | (x0 == F.lit(float("-inf")))
+    missed = F.col("_x1").isNull() | F.col("_x0").isNull() | ~F.col("_x0._in")
     exact = F.when(missed, F.raise_error(F.lit("quantile outside its sketch bracket")).cast("double")).otherwise(
-        x0 + (x1 - x0) * (F.col("_pos") - F.floor("_pos"))
+        F.when(x0 == x1, x0)
+        .when(F.abs(x0) == F.lit(float("inf")), (F.ceil("_pos") - F.col("_pos")) * x0 + (F.col("_pos") - F.floor("_pos")) * x1)
+        .otherwise(x0 + (x1 - x0) * (F.col("_pos") - F.floor("_pos")))
     )
     hot_result = (
         picked.withColumn("_q", exact)
