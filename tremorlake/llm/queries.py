@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremorlake.llm import exact, langid, minhash, mixing, packing, pii, quality, suffix, topk, toxicity
+from tremorlake.llm import exact, langid, minhash, mixing, packing, periodic, pii, quality, simhash, spelling, suffix, topk, toxicity
 from tremorlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,21 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every document."""
     return pii.find(table(spark, folder, "documents"))
+
+
+@_query
+def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents with near fingerprints over all documents."""
+    return simhash.fingerprint_groups(table(spark, folder, "documents"))
+
+
+@_query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The periodic runs of every document."""
+    return periodic.periodic_runs(table(spark, folder, "documents"), planted=True)
+
+
+@_query
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Spelling variants among the words of all documents."""
+    return spelling.spelling_variants(table(spark, folder, "documents"), planted=True)
