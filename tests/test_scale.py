@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tremorlake import scale
-from tremorlake.operators import aggregates as A, joins as J
+from tremorlake.operators import aggregates as A, joins as J, neighbours as N
 from tremorlake.operators.chains import greedy_anchors
 from tremorlake.operators.quality import filter_iqr, first_per_key
 
@@ -134,6 +134,53 @@ def test_nearest_with_crowded_and_lonely_points(spark):
     assert {a: [b for _, b in sorted(v)] for a, v in got.items()} == want
 
 
+def test_nearest_meets_a_constant_number_of_pairs(spark):
+    """A crowded place, a far point, a line of points and far queries: no point meets a whole cluster."""
+    rng = np.random.default_rng(31)
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.normal(0, 1e-6, (3000, 2)))]
+    points += [(3000 + i, float(x), 0.5) for i, x in enumerate(rng.uniform(0, 1, 1000))]
+    points += [(4000, 1e6, 1e6), (4001, -1e6, 3.0), (4002, float("nan"), 1.0), (4003, None, 1.0)]
+    df = spark.createDataFrame(points, "id LONG, x DOUBLE, y DOUBLE")
+    pairs = N.candidate_pairs(df, df, 5, "id", "id", ["x", "y"], skip_same=True).cache()
+    counts = dict(pairs.groupBy("_query").count().collect())
+    assert len(counts) == 4002 and sum(counts.values()) < 120 * 4002 and max(counts.values()) < 4000 // 4
+    queries = spark.createDataFrame([(f"q{i}", 1e5 + i, -1e5) for i in range(300)] + [("in", 0.0, 0.0)], "q STRING, x DOUBLE, y DOUBLE")
+    met = N.candidate_pairs(queries, df, 1, "q", "id", ["x", "y"])
+    assert met.count() < 301 * 100
+    best = {r["q"]: r["id"] for r in N.nearest(queries, df, 1, "q", "id").collect()}
+    sound = [p for p in points if p[1] is not None and p[1] == p[1]]
+    for name, x, y in [(f"q{i}", 1e5 + i, -1e5) for i in range(0, 300, 60)] + [("in", 0.0, 0.0)]:
+        assert best[name] == min(sound, key=lambda p: ((p[1] - x) ** 2 + (p[2] - y) ** 2, p[0]))[0]
+
+
+def test_nearest_in_three_dimensions_and_few_points(spark):
+    rng = np.random.default_rng(5)
+    points = [(i, *map(float, p)) for i, p in enumerate(rng.integers(0, 12, (400, 3)))]
+    df = spark.createDataFrame(points, "id LONG, x DOUBLE, y DOUBLE, z DOUBLE")
+    got = {}
+    for r in N.nearest(df, df, 3, "id", "id", more=["z"], keep=["z"], skip_same=True).collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["id_2"]))
+    for a, *p in points:
+        want = sorted((sum((u - v) ** 2 for u, v in zip(p, q)), b) for b, *q in points if b != a)[:3]
+        assert [b for _, b in sorted(got[a])] == [b for _, b in want]
+    three = df.filter("id < 3")
+    assert N.nearest(three, three, 5, "id", "id", more=["z"], skip_same=True).count() == 6
+    with pytest.raises(ValueError):
+        N.nearest(three, three.limit(0), 1, "id", "id")
+
+
+def test_a_crowded_cell_is_cut_into_blocks(spark):
+    rng = np.random.default_rng(6)
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(0, 0.01, (500, 2)))] + [(500, 5.0, 5.0)]
+    df = spark.createDataFrame(points, "id LONG, x DOUBLE, y DOUBLE")
+    cut = J.cell_pairs(df, df, "x", "y", 1.0, 1.0, block=40)
+    plain = J.cell_pairs(df, df, "x", "y", 1.0, 1.0)
+    assert sorted(map(tuple, cut.select("id", "id_2").collect())) == sorted(map(tuple, plain.select("id", "id_2").collect()))
+    assert cut.count() == 500 * 500 + 1
+    joined = cut.groupBy(F.spark_partition_id()).count()  # the join's keys decide the tasks
+    assert "_a" in cut._jdf.queryExecution().optimizedPlan().toString() and joined.agg(F.sum("count")).first()[0] == 500 * 500 + 1
+
+
 def test_within_distance_near_the_pole(spark):
     rng = np.random.default_rng(8)
     rows = [(f"P{i}", float(a), float(o)) for i, (a, o) in enumerate(zip(rng.uniform(69, 70, 120), rng.uniform(10, 12, 120)))]

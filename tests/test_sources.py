@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tremorlake.operators.quality import CheckFailed
 from tremorlake.schemas import KEYS, WAREHOUSE, table_schema
-from tremorlake.sources import files, ingest, sinks, star
+from tremorlake.sources import files, ingest, sinks, star, versioned as versioned_module
+from tremorlake.sources.versioned import ConcurrentWrite, VersionedTable, by_day, by_value
 
 
 def write(path, text):
@@ -219,3 +220,108 @@ def test_download_plan_cuts_the_last_block(spark):
     assert len(plan) == 3 and plan[-1]["block_end"] == datetime(2024, 1, 1, 5) and plan[0]["file_key"] == "20240101T000000_IV_CAAM_HHZ"
     with pytest.raises(ValueError):
         star.download_plan(stations, ["HHZ"], "2024-01-01", "2024-01-02", 0.05)
+
+
+class Lost(Exception):
+    pass
+
+
+def versioned(spark, tmp_path, **kinds):
+    return VersionedTable(spark, str(tmp_path / "vt"), table_schema("k:str day:ts v:int"), ["k", "day"], by_day("day"), **kinds)
+
+
+def rows_of(df):
+    return sorted((r["k"], r["day"] and r["day"].day, r["v"]) for r in df.collect())
+
+
+def batch_of(spark, rows):
+    made = [(k, day and datetime(2025, 1, day, 5), v) for k, day, v in rows]
+    return spark.createDataFrame(made, "k STRING, day TIMESTAMP, v INT")
+
+
+def test_versions_and_what_they_touch(spark, tmp_path):
+    table = versioned(spark, tmp_path)
+    assert table.read().count() == 0 and not table.exists()
+    assert table.insert_ignore(batch_of(spark, [("a", 1, 1), ("a", 1, 0), ("b", 2, 2), ("c", None, 3)])) == 3
+    assert table.insert_ignore(batch_of(spark, [("a", 1, 9), ("b", 2, 9)])) == 0
+    assert table.versions() == [1] and table.rows() == 3
+    first = table.manifest()[1]
+    assert table.upsert(batch_of(spark, [("b", 2, 5), ("d", 2, 6), ("d", 2, 7)])) == 2
+    second = table.manifest()[1]
+    assert {p for p in second if second[p] != first.get(p)} == {"2025-01-02"}  # nothing else is rewritten
+    assert rows_of(table.read()) == [("a", 1, 0), ("b", 2, 5), ("c", None, 3), ("d", 2, 7)]
+    assert rows_of(table.read(1)) == [("a", 1, 0), ("b", 2, 2), ("c", None, 3)]
+    assert rows_of(table.read(parts=["2025-01-02", "2030-01-01"])) == [("b", 2, 5), ("d", 2, 7)]
+    assert table.insert_ignore(batch_of(spark, [])) == 0 and table.upsert(batch_of(spark, [])) == 0
+    assert table.vacuum(keep=1) == 1 and rows_of(table.read())[1] == ("b", 2, 5)
+    with pytest.raises(ValueError):
+        table.read(1)
+
+
+def test_a_failure_before_the_switch_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    table = versioned(spark, tmp_path)
+    table.insert_ignore(batch_of(spark, [("a", 1, 1), ("b", 2, 2)]))
+
+    def lose(*_):
+        raise Lost
+
+    with monkeypatch.context() as broken:
+        broken.setattr(VersionedTable, "_publish", lose)
+        for write in (table.upsert, table.insert_ignore):
+            with pytest.raises(Lost):
+                write(batch_of(spark, [("a", 1, 8), ("e", 1, 8)]))
+    assert table.versions() == [1] and rows_of(table.read()) == [("a", 1, 1), ("b", 2, 2)]
+    table.upsert(batch_of(spark, [("a", 1, 3)]))
+    assert rows_of(table.read()) == [("a", 1, 3), ("b", 2, 2)]
+    assert table.vacuum(keep=2) == 2  # the files of the two lost writes
+
+
+def test_the_later_of_two_writers_is_told(spark, tmp_path, monkeypatch):
+    one, two = versioned(spark, tmp_path), versioned(spark, tmp_path)
+    one.insert_ignore(batch_of(spark, [("a", 1, 1)]))
+    old = two.manifest()
+    one.upsert(batch_of(spark, [("a", 1, 2)]))
+    monkeypatch.setattr(two, "manifest", lambda version=None: old)
+    with pytest.raises(ConcurrentWrite):
+        two.upsert(batch_of(spark, [("a", 1, 3)]))
+    assert rows_of(one.read()) == [("a", 1, 2)]
+
+
+def test_small_pieces_are_folded_and_names_are_escaped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(versioned_module, "FOLDED", 2)
+    table = VersionedTable(spark, str(tmp_path / "t"), table_schema("run:str k:int"), ["run", "k"], by_value("run"))
+    for k in range(4):
+        frame = spark.createDataFrame([("a/b c:1%", k), ("", k), (None, k)], "run STRING, k INT")
+        assert table.insert_ignore(frame) == 3
+    assert sorted(len(p) for p in table.manifest()[1].values()) == [2, 2] and table.rows() == 12
+    assert table.read().filter("run = 'a/b c:1%'").count() == 4
+    hashed = VersionedTable(spark, str(tmp_path / "h"), table_schema("k:int v:int"), ["k"], buckets=4)
+    assert hashed.insert_ignore(spark.range(100).selectExpr("cast(id as int) k", "1 v")) == 100
+    hashed.upsert(spark.createDataFrame([(7, 2)], "k INT, v INT"))
+    assert sum(p != q for p, q in zip(hashed.manifest(1)[1].values(), hashed.manifest(2)[1].values())) == 1
+    assert hashed.read().filter("v = 2").count() == 1 and hashed.rows() == 100
+
+
+def test_headers_of_files_and_folders(spark, tmp_path):
+    plain = write(tmp_path / "a.csv", 'x,"y,z"\n1,2\n')
+    with gzip.open(tmp_path / "b.csv.gz", "wt") as out:
+        out.write("u,v\n")
+    spark.createDataFrame([(1,)], "q INT").write.option("header", True).csv(str(tmp_path / "c.csv"))
+    paths = [plain, str(tmp_path / "b.csv.gz"), str(tmp_path / "c.csv"), write(tmp_path / "d.csv", "")]
+    assert files.csv_headers(spark, paths) == [("x", "y,z"), ("u", "v"), ("q",), ()]
+
+
+def test_legacy_features_load_once(spark, tmp_path):
+    text = "Tempo,numero_eventi,energia_max,unknown\n2025-01-01 05:00:00,3,1.5,x\n2025-02-01 06:00:00,bad,2.5,x\nnever,1,1,x\n"
+    path, warehouse = write(tmp_path / "legacy.csv", text), str(tmp_path / "w")
+    assert ingest.ingest_legacy_features(spark, path, warehouse) == (2, 2)
+    assert ingest.ingest_legacy_features(spark, path, warehouse) == (2, 0)
+    got = ingest.warehouse_table(spark, warehouse, "ml_features_timeseries").orderBy("timestamp").collect()
+    assert [(r["timestamp"].month, r["numero_eventi"], r["energia_max"], r["energia_media"]) for r in got] == [(1, 3, 1.5, None), (2, None, 2.5, None)]
+    with pytest.raises(CheckFailed):
+        ingest.ingest_legacy_features(spark, write(tmp_path / "bad.csv", "hour\n1\n"), warehouse)
+
+
+def test_runs_in_directories_of_one_name_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="same"):
+        ingest.ingest_runs(spark, {"a": str(tmp_path / "x" / "same"), "b": str(tmp_path / "y" / "same")}, str(tmp_path / "w"))

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tremorlake.operators.detection import coincidence_events
 from tremorlake.schemas import table_schema
 from tremorlake.streaming import monitor as M
 
@@ -95,6 +96,39 @@ def test_clusters_over_batches_equal_one_batch(spark, picks, tmp_path):
     assert many == once and len(many) > 100
 
 
+def disordered(spark, picks, tmp_path, batches, minutes=20):
+    """The picks in files whose order is off by up to some minutes, on a stream with a watermark that waits for them."""
+    rng = np.random.default_rng(21)
+    order = sorted(picks, key=lambda p: p[4] + timedelta(minutes=float(rng.uniform(0, minutes))))
+    return M.watermarked(stream_of(spark, tmp_path / "in", order, batches), "ts", "30 minutes"), max(p[4] for p in picks) - timedelta(minutes=30)
+
+
+def test_cooldown_goes_by_alert_time(spark, picks, tmp_path):
+    stream, mark = disordered(spark, picks, tmp_path, 4)
+    got = run(spark, M.stream_alert_cooldown(stream, "network", "ts", "pick_id", 30, F.col("pick_id") % 50 == 0), tmp_path).collect()
+    plain = spark.createDataFrame([p for p in picks if p[0] % 50], SCHEMA)
+    twin = {r["alert_id"] for r in M.alert_cooldown(plain, "network", "ts", "pick_id", 30).collect() if r["timestamp"] < mark}
+    assert {r["alert_id"] for r in got if not r["is_error"]} == twin and len(twin) > 15
+    assert {r["alert_id"] for r in got if r["is_error"]} == {p[0] for p in picks if p[0] % 50 == 0 and p[4] < mark}
+    assert len(got) == len({r["alert_id"] for r in got})
+
+
+def test_a_late_earlier_alert_goes_out_and_holds_the_later_one(spark, tmp_path):
+    at = lambda i, minutes: (i, "N", "S", "Z", T0 + timedelta(minutes=minutes), 1.0)
+    stream = M.watermarked(stream_of(spark, tmp_path / "in", [at(1, 0), at(3, 90), at(2, 70), at(9, 300)], 4), "ts", "30 minutes")
+    got = run(spark, M.stream_alert_cooldown(stream, "network", "ts", "pick_id", 60), tmp_path).collect()
+    assert sorted(r["alert_id"] for r in got) == [1, 2]
+
+
+def test_clusters_out_of_order_equal_the_batch(spark, picks, tmp_path):
+    stream, mark = disordered(spark, picks, tmp_path, 4)
+    got = run(spark, M.stream_coincidence(stream, "ts", 60.0, 3), tmp_path).collect()
+    batch = spark.createDataFrame(picks, SCHEMA).withColumn("arrival_epoch", F.unix_micros("ts") / 1e6)
+    members = coincidence_events(batch, 60.0, 3, by=["network"]).groupBy("network", "event_id").agg(F.min("ts").alias("anchor"), F.collect_set("pick_id").alias("ids"))
+    want = {(r["network"], i) for r in members.collect() if r["anchor"] + timedelta(seconds=60) < mark for i in r["ids"]}
+    assert {(r["network"], r["pick_id"]) for r in got} == want and len(got) == len(want) > 100
+
+
 def test_ingest_keeps_late_rows_and_adds_nothing_twice(spark, picks, tmp_path):
     late = (99_999, "N0", "S0", "Z", T0 - timedelta(days=2), 0.5)
     stream = stream_of(spark, tmp_path / "in", [*picks[:50], late], 2)

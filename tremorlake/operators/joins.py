@@ -9,10 +9,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tremorlake.functions.geo import cell, haversine_km
 from tremorlake.functions.scalars import normalize_code
+from tremorlake.operators.neighbours import nearest
 from tremorlake.scale import bounded
 from tremorlake.session import durable
 
@@ -21,7 +22,7 @@ MIN_STATION_EVENTS = 8  # fixed value: fewest events of a usable station
 EDGE_KM = 10.0  # fixed value: station pairs closer than this are linked
 BAND_DEGREES = 0.015  # fixed value: epicentres closer than this are neighbours
 SAME_PLACE_DEGREES = 1e-6  # fixed value: distance given to coincident epicentres
-CELL_POINTS = 16  # points per cell and neighbour that a first search may meet
+BLOCK_POINTS = 2000  # points of a cell on one side of a join key
 HIGHER_IS_BETTER = ("accuracy", "r2", "precision", "recall", "f1")  # fixed values
 
 
@@ -98,18 +99,31 @@ def _around(x: Column, y: Column) -> Column:
 
 
 def cell_pairs(
-    left: DataFrame, right: DataFrame, x: str, y: str, size_x: float, size_y: float, suffix: str = "_2"
+    left: DataFrame, right: DataFrame, x: str, y: str, size_x: float, size_y: float, suffix: str = "_2", block: int = BLOCK_POINTS
 ) -> DataFrame:
     """Candidate pairs whose cells touch: an equality join on the cell, never a cross join.
 
-    Every pair closer than the cell size along both axes is among them; the caller filters.
+    Every pair closer than the cell size along both axes is among them; the caller filters. A cell with
+    many points is cut: its points into blocks, those that come to it into blocks, and each two of
+    these are one join key, so that no key has more than about ``block`` points on either side.
     """
     probes = left.withColumn("_cell", F.explode(_around(cell(x, size_x), cell(y, size_y))))
     homes = right.select(
         F.struct(cell(x, size_x).alias("cx"), cell(y, size_y).alias("cy")).alias("_cell"),
         *[F.col(c).alias(f"{c}{suffix}") for c in right.columns],
     )
-    return probes.join(homes, "_cell").drop("_cell")
+    counted = homes.select("_cell", F.lit(0).alias("a"), F.lit(1).alias("b")).unionByName(probes.select("_cell", F.lit(1).alias("a"), F.lit(0).alias("b")))
+    sizes = counted.groupBy("_cell").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).filter(f"a > 0 AND b > 0 AND (a > {block} OR b > {block})")
+    cuts = durable(sizes.select(F.col("_cell").alias("_crowded"), F.ceil(F.col("a") / block).alias("_ka"), F.ceil(F.col("b") / block).alias("_kb")))
+    few = bounded(cuts)
+
+    def cut(df: DataFrame, own: str, other: str) -> DataFrame:
+        """Block of the row by itself, repeated for each block of the other side; (0, 0) in cells that are not cut."""
+        known = df.join(few, F.col("_cell") == F.col("_crowded"), "left").withColumns({"_ka": F.coalesce("_ka", F.lit(1)), "_kb": F.coalesce("_kb", F.lit(1))})
+        dealt = F.pmod(F.xxhash64(*[c for c in df.columns if c != "_cell"]), F.col(f"_k{own}"))
+        return known.withColumn(f"_{own}", dealt).withColumn(f"_{other}", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"_k{other}") - 1))).drop("_crowded", "_ka", "_kb")
+
+    return cut(probes, "a", "b").join(cut(homes, "b", "a"), ["_cell", "_a", "_b"]).drop("_cell", "_a", "_b")
 
 
 def join_within_distance(stations: DataFrame, km: float = EDGE_KM, code: str = "station_code") -> DataFrame:
@@ -151,79 +165,6 @@ def join_distance_band(points: DataFrame, key: str, band: float = BAND_DEGREES)
     )
 
 
-def nearest(
-    queries: DataFrame,
-    points: DataFrame,
-    k: int,
-    query_key: str,
-    point_key: str,
-    coords: tuple[str, str] = ("x", "y"),
-    more: Sequence[str] = (),
-    keep: Sequence[str] = (),
-    skip_same: bool = False,
-) -> DataFrame:
-    """Exact k nearest points of each query point, ties by point key: (query, point, d2, rank).
-
-    Candidates come from the 3 x 3 grid cells around a query. The result is final once the k-th
-    distance is not above the cell width, since all unseen points are farther than that. Queries
-    that are not final go on with cells twice as wide, up to one cell for the whole extent. ``more``
-    names further dimensions: leaving them out of the cells only makes cells a lower bound.
-    """
-    x, y = coords
-    dims = [x, y, *more]
-    points = durable(points)
-    queries = points if skip_same and query_key == point_key else durable(queries)
-    both = points.select(x, y).unionByName(queries.select(x, y))
-    box = both.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
-    if box[0] is None:
-        raise ValueError("no points")
-    extent = max(box[1] - box[0], box[3] - box[2], 1e-9) * (1 + 1e-9)
-    n = points.count()
-    crowd = CELL_POINTS * (k + 1)
-    level = 0 if n <= crowd else max(1, min(16, math.ceil(math.log2(math.sqrt(n / max(1, k))))))
-    homes = points.select(F.col(point_key).alias("_point"), *[F.col(c).alias(f"_p_{c}") for c in dims], *keep)
-    # of coincident points only the k first keys (one more if a query skips itself) can be anyone's nearest
-    twins = F.row_number().over(W.partitionBy(*[f"_p_{c}" for c in dims]).orderBy("_point"))
-    homes = durable(homes.withColumn("_twin", twins).filter(F.col("_twin") <= k + 1).drop("_twin"))
-    while 0 < level < 24:  # finer cells where points crowd
-        width = extent / 2**level
-        cells = homes.groupBy(*[F.floor((F.col(f"_p_{c}") - low) / width).alias(c) for c, low in ((x, box[0]), (y, box[2]))])
-        if cells.count().agg(F.max("count")).first()[0] <= crowd:
-            break
-        level += 2
-    pending = queries.select(F.col(query_key).alias("_query"), *dims)
-    found = []
-    while True:
-        width = extent / 2**level
-        at = F.struct(
-            F.floor((F.col(f"_p_{x}") - box[0]) / width).alias("cx"), F.floor((F.col(f"_p_{y}") - box[2]) / width).alias("cy")
-        )
-        around = _around(F.floor((F.col(x) - box[0]) / width), F.floor((F.col(y) - box[2]) / width))
-        if level == 0:  # one cell holds all
-            around = F.array(F.struct(F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy")))
-        pairs = pending.withColumn("_cell", F.explode(around)).join(homes.withColumn("_cell", at), "_cell").drop("_cell")
-        if skip_same:
-            pairs = pairs.filter(F.col("_query") != F.col("_point"))
-        d2 = sum(((F.col(f"_p_{c}") - F.col(c)) * (F.col(f"_p_{c}") - F.col(c)) for c in dims[1:]), (F.col(f"_p_{x}") - F.col(x)) * (F.col(f"_p_{x}") - F.col(x)))
-        order = W.partitionBy("_query").orderBy("d2", "_point")
-        ranked = pairs.withColumn("d2", d2).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-        best = durable(ranked.select("_query", "_point", "d2", "rank", *keep))
-        if level == 0:
-            found.append(best)
-            break
-        final = best.groupBy("_query").agg(F.count(F.lit(1)).alias("n"), F.max("d2").alias("far"))
-        final = durable(final.filter((F.col("n") == k) & (F.sqrt("far") <= width)).select("_query"))
-        found.append(best.join(final, "_query", "left_semi"))
-        pending = durable(pending.join(final, "_query", "left_anti"))
-        if pending.isEmpty():
-            break
-        level -= 1
-    made = found[0]
-    for part in found[1:]:
-        made = made.unionByName(part)
-    return made.withColumnsRenamed({"_query": query_key, "_point": f"{point_key}_2" if skip_same else point_key})
-
-
 def join_knn(points: DataFrame, key: str, k: int = 5, coords: tuple[str, str] = ("x", "y")) -> DataFrame:
     """The k nearest other points of each point, with equal weights that sum to 1."""
     edges = nearest(points, points, k, key, key, coords, skip_same=True)

@@ -122,7 +122,12 @@ def _(t):
     return M.alert_cooldown(t.alerts.filter(F.col("risk_score") >= 0.6), "station", "timestamp", "alert_id", 360)
 
 
-@query("stream_alert_cooldown", "alerts", f", {COOLDOWN} SELECT area, alert_id, make_timestamp(us) AS timestamp FROM chain")
+@query(
+    "stream_alert_cooldown",
+    "alerts",
+    f""", {COOLDOWN} SELECT area, alert_id, make_timestamp(us) AS timestamp FROM chain
+    WHERE make_timestamp(us) < (SELECT date_trunc('milliseconds', max(timestamp)) - INTERVAL 10 MINUTE FROM alerts WHERE risk_score >= 0.6)""",
+)
 def _(t):
     risk = F.least(F.col("delta_seconds") / 10, F.lit(1.0))
     loud = stream_picks(t).filter(risk >= 0.6)

@@ -60,4 +60,13 @@ def durable(df: DataFrame) -> DataFrame:
     checkpoint_folder(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._scratch = path
+    return kept
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``durable`` that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

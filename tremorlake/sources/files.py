@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tremorlake.functions.scalars import normalize_code
@@ -28,6 +31,7 @@ ALERT_RECORD = (
     "station STRING, severity STRING, risk_score DOUBLE, latitude DOUBLE, longitude DOUBLE, message STRING"
 )
 NO_FILE = "N/A"
+HEADERS_AT_ONCE = 32
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -44,6 +48,35 @@ def require_columns(df: DataFrame, required: Sequence[str], what: str = "table")
     return df
 
 
+def csv_headers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, ...]]:
+    """The header of each CSV file, or of the first part of a directory of parts; () where there is none.
+
+    Metadata work of the driver, as a listing is: the first line of each file is read, plain or packed, many side by side.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(name: str) -> str | None:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        system = path.getFileSystem(conf)
+        if system.getFileStatus(path).isDirectory():
+            inside = sorted(s.getPath().toString() for s in system.listStatus(path) if s.isFile() and s.getLen() > 0 and s.getPath().getName()[0] not in "._")
+            if not inside:
+                return None
+            path = jvm.org.apache.hadoop.fs.Path(inside[0])
+        stream = system.open(path)
+        try:
+            codec = codecs.getCodec(path)
+            plain = stream if codec is None else codec.createInputStream(stream)
+            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        lines = list(pool.map(inheritable_thread_target(spark)(first_line), paths))
+    return [tuple(next(csv.reader([line]))) if line else () for line in lines]
+
+
 def csv_by_header(spark: SparkSession, path: str | Sequence[str], **options) -> list[DataFrame]:
     """One scan for each distinct header among the files of ``path``, so that columns go by name, not by place.
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tremorlake.functions.scalars import ALERT_LEVELS, alert_level, alert_message
+from tremorlake.streaming.ordered import clusters_in_order, cooldown_in_order, is_watermarked
 
 # The monitor's configuration.
 WATERMARK = "10 minutes"
@@ -183,21 +184,28 @@ def cooldown_filter(minutes: float) -> Callable:
 def stream_alert_cooldown(alerts: DataFrame, area: str, time: str, alert_id: str, minutes: float = COOLDOWN_MINUTES, is_error: Column | None = None) -> DataFrame:
     """Alerts that go out: at least ``minutes`` after the last one of their area. Errors always do, and do not count.
 
-    Alerts are few: they come after the threshold. State is one number per area.
+    With a watermark on ``time`` alerts go by their time, not by when they arrive: they wait in a buffer until
+    the watermark has passed them, and the result equals ``alert_cooldown`` of all alerts that it has passed. Without
+    one there is nothing to wait for, and an alert that arrives after a later one counts as it arrives.
     """
+    stamp = F.col(time).cast("timestamp")
     rows = alerts.select(
         F.col(area).cast("string").alias("area"),
         F.col(alert_id).cast("long").alias("alert_id"),
-        F.unix_micros(F.col(time).cast("timestamp")).alias("us"),
+        F.unix_micros(stamp).alias("us"),
         (is_error if is_error is not None else F.lit(False)).alias("is_error"),
+        *([F.col(time)] if is_watermarked(alerts, time) else []),
     )
-    sent = rows.groupBy("area").applyInPandasWithState(
-        cooldown_filter(minutes),
-        "area STRING, alert_id LONG, us LONG, is_error BOOLEAN",
-        "last_us LONG",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+    if is_watermarked(alerts, time):
+        sent = cooldown_in_order(rows, minutes)
+    else:
+        sent = rows.groupBy("area").applyInPandasWithState(
+            cooldown_filter(minutes),
+            "area STRING, alert_id LONG, us LONG, is_error BOOLEAN",
+            "last_us LONG",
+            "append",
+            GroupStateTimeout.NoTimeout,
+        )
     return sent.select("area", "alert_id", F.timestamp_micros("us").alias("timestamp"), "is_error")
 
 
@@ -214,70 +222,14 @@ def alert_cooldown(alerts: DataFrame, area: str, time: str, alert_id: str, minut
     return once.join(anchors, ["area", "us"], "left_semi").select("area", "alert_id", F.timestamp_micros("us").alias("timestamp"))
 
 
-CLUSTER_STATE = (
-    "wait_us ARRAY<LONG>, wait_station ARRAY<STRING>, wait_id ARRAY<LONG>, "
-    "us ARRAY<LONG>, station ARRAY<STRING>, id ARRAY<LONG>"
-)
-CLUSTER_OUT = "network STRING, anchor_us LONG, station_code STRING, pick_id LONG, us LONG"
-
-
-def cluster_step(window: int, min_stations: int) -> Callable:
-    """State function: one network's triggers in event-time order up to the watermark.
-
-    Later rows wait in the state. A cluster closes once the watermark is past its window.
-    """
-
-    def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        wait: list[tuple] = []
-        cluster: list[tuple] = []
-        if state.exists:
-            a, b, c, d, e, f = (list(x) for x in state.get)
-            wait, cluster = list(zip(a, b, c)), list(zip(d, e, f))
-        if not state.hasTimedOut:
-            for pdf in chunks:
-                wait += list(zip(pdf["us"].tolist(), pdf["station_code"].tolist(), pdf["pick_id"].tolist()))
-        mark = state.getCurrentWatermarkMs() * 1000
-        wait.sort(key=lambda r: (r[0], r[2]))
-        out: list[tuple] = []
-
-        def close() -> None:
-            if len(cluster) >= min_stations:
-                out.extend((key[0], cluster[0][0], station, pick, us) for us, station, pick in cluster)
-            cluster.clear()
-
-        ready = [r for r in wait if r[0] < mark]
-        wait = wait[len(ready) :]
-        for row in ready:
-            if cluster and row[0] - cluster[0][0] > window:
-                close()
-            if not cluster or row[1] not in {r[1] for r in cluster}:
-                cluster.append(row)
-        if cluster and mark > cluster[0][0] + window:
-            close()
-        if wait or cluster:
-            columns = [list(c) for c in (zip(*wait) if wait else ([], [], []))] + [list(c) for c in (zip(*cluster) if cluster else ([], [], []))]
-            state.update(tuple(columns))
-            due = [cluster[0][0] + window] if cluster else []
-            due += [wait[0][0]] if wait else []
-            state.setTimeoutTimestamp(max(min(due) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(out, columns=["network", "anchor_us", "station_code", "pick_id", "us"])
-
-    return step
-
-
 def stream_coincidence(triggers: DataFrame, time: str, window_seconds: float = 10.0, min_stations: int = 3) -> DataFrame:
-    """Clusters of each network on a live, watermarked stream of triggers.
+    """Clusters of each network on a live, watermarked stream of triggers, equal to those of the batch operator.
 
-    State per network is the open cluster and what the watermark has not passed yet.
+    Triggers wait per network and minute until the watermark has passed them; the network itself keeps
+    its open cluster, one trigger a station.
     """
-    rows = triggers.select(
-        "network", "station_code", F.col("pick_id").cast("long").alias("pick_id"), F.unix_micros(time).alias("us"), time
-    )
-    found = rows.groupBy("network").applyInPandasWithState(
-        cluster_step(round(window_seconds * 1e6), min_stations), CLUSTER_OUT, CLUSTER_STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
+    rows = triggers.select("network", "station_code", F.col("pick_id").cast("long").alias("pick_id"), F.unix_micros(time).alias("us"), time)
+    found = clusters_in_order(rows, round(window_seconds * 1e6), min_stations)
     return found.select("network", F.timestamp_micros("anchor_us").alias("anchor"), "station_code", "pick_id")
 
 
