@@ -146,6 +146,22 @@ def test_repeated_passages(spark, monkeypatch, segment):
     assert suffix.without_repeats(docs.limit(0)).collect() == []
 
 
+def test_built_collisions_and_rows_without_id(spark):
+    """Alternating patterns, on which sums modulo 2**64 vanish, and several rows without an id."""
+
+    def morse(n, zero, one):
+        return "".join(one if bin(k).count("1") & 1 else zero for k in range(n))
+
+    base = prose(70, 200)
+    rows = [
+        (1, base[:300] + morse(64, "a", "b") + base[300:672]), (2, prose(71, 100)[:300] + morse(64, "a", "b") + prose(72, 100)[:372]), (3, morse(1024, "c", "d")), (4, morse(1024, "d", "c")),
+        (None, base[:700]), (None, base[:700]), (None, prose(73, 200)[:800]), (None, "x" + base[100:600]), (-1, base[50:650]), (0, "y" + base[50:650]),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda r: (r[0] is None, r[0] or 0, r[1:])
+    assert sorted((tuple(r) for r in suffix.without_repeats(docs).collect()), key=key) == sorted(brute_repeats(rows), key=key)
+
+
 def test_packing(spark):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -13,8 +13,10 @@ Spark then ranks at growing lengths, and what is unique leaves:
   by the block's whole run;
 * 400 bytes: each window of the blocks that are left.
 
-A rank is a 128-bit pair of content hashes, equal for equal bytes wherever they are computed, so
-no rank needs a numbering of all positions, and groups of any size are only counted, in two steps.
+Ranks are content digests, equal for equal bytes wherever they are computed, so no rank needs a numbering of all
+positions, and groups of any size are only counted, in two steps. What decides that bytes go, the rank of a whole run
+or of a window, is a 128-bit BLAKE2b digest of these very bytes. Running-sum hashes modulo 2**64, which built
+texts can make collide, choose anchors and gather what is worth a comparison; there a collision costs work, not text.
 """
 
 from __future__ import annotations
@@ -75,8 +77,12 @@ class Hashes:
         value ^= value >> np.uint64(32)
         return value
 
-    def pair(self, start, end) -> tuple[np.ndarray, np.ndarray]:
-        return self.of(start, end, 0).view(np.int64), self.of(start, end, 1).view(np.int64)
+
+
+def digests(raw: bytes, starts: np.ndarray, ends: np.ndarray, marks: np.ndarray) -> list[bytes]:
+    """Digests of the stretches of ``raw``, each with a mark of what it stands for."""
+    make = hashlib.blake2b
+    return [make(raw[s:e] + m.to_bytes(4, "little"), digest_size=16).digest() for s, e, m in zip(starts.tolist(), ends.tolist(), marks.tolist())]
 
 
 def anchors(hashes: Hashes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,55 +138,44 @@ def _leftmost(first: np.ndarray, small: np.ndarray, hits: np.ndarray, starts: in
     return places[np.searchsorted(key, group * span + np.arange(starts))]
 
 
-def _bytes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode(), np.uint8)
-
-
-def digest(text: str) -> bytes:
-    return hashlib.blake2b(text.encode(), digest_size=16).digest()
-
-
 def _rows(names: list[str], rows: list[list]) -> pa.RecordBatch:
-    """Columns from lists of arrays (``text_key``: of lists of bytes)."""
-    columns = [pa.array([k for part in c for k in part], pa.binary()) if n == "text_key" else pa.array(np.concatenate(c)) for n, c in zip(names, rows)]
+    """Columns from lists of arrays (those of bytes: of lists)."""
+    columns = [pa.array([k for part in c for k in part], pa.binary()) if c and isinstance(c[0], list) else pa.array(np.concatenate(c)) for c in rows]
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-_RUNS = ["doc_id", "text_key", "pos", "lo", "hi", "a", "r"]
-_RUN_TYPES = "doc_id long, text_key binary, pos int, lo int, hi int, a long, r long"
+_RUNS = ["id", "none", "text_key", "pos", "lo", "hi", "a", "r"]
+_RUN_TYPES = "id long, none boolean, text_key binary, pos int, lo int, hi int, a long, r binary"
 
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The anchors of each text: rank ``a`` of their 64 bytes, rank ``r`` of their whole run."""
+    """The anchors of each text (id, none, text_key, text): rank ``a`` of their 64 bytes, rank ``r`` of their whole run."""
     for batch in batches:
         rows: list[list] = [[] for _ in _RUNS]
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            text = text.as_py()
-            data = _bytes(text)
+        for name, none, key, text in zip(*(batch.column(c).to_pylist() for c in range(3)), batch.column(3)):
+            raw = text.as_py().encode()
+            data = np.frombuffer(raw, np.uint8)
             if len(data) < PASSAGE:
                 continue
-            key, name = digest(text), doc_id if doc_id is not None else -1
             for base in range(0, len(data) - PASSAGE + 1, SEGMENT):
                 part = data[base : base + SEGMENT + PASSAGE - 1]
                 hashes = Hashes(part)
                 pos, lo, hi = anchors(hashes, len(part))
-                shift = (pos - lo).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)  # another anchor place is another run
-                run = (hashes.of(lo, hi + PASSAGE, 1) + shift).view(np.int64)
+                run = digests(raw, lo + base, hi + base + PASSAGE, pos - lo)  # another anchor place is another run
                 first = hashes.of(pos, pos + FIRST, 0).view(np.int64)
                 places = [(x + base).astype(np.int32) for x in (pos, lo, hi)]
-                for column, values in zip(rows, (np.full(len(pos), name, np.int64), [key] * len(pos), *places, first, run)):
+                many = len(pos)
+                for column, values in zip(rows, (np.full(many, name, np.int64), np.full(many, none), [key] * many, *places, first, run)):
                     column.append(values)
         if rows[0]:
             yield _rows(_RUNS, rows)
 
 
-def _nodes_of(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray]]:
-    """(doc_id, text_key, bytes, nodes) of the rows whose text is the one that the nodes were found in."""
-    for doc_id, text, key, nodes in zip(*(batch.column(c) for c in ("doc_id", "text", "text_key", "nodes"))):
-        text = text.as_py()
-        if digest(text) == key.as_py():  # rows may repeat a doc_id
-            table = nodes.values.flatten()
-            yield doc_id.as_py(), key.as_py(), _bytes(text), np.column_stack([c.to_numpy(zero_copy_only=False) for c in table]).astype(np.int64)
+def _nodes_of(batch: pa.RecordBatch) -> Iterator[tuple[int, bool, bytes, bytes, np.ndarray]]:
+    """(id, none, text_key, bytes, nodes) of the rows."""
+    for name, none, key, text, nodes in zip(*(batch.column(c) for c in ("id", "none", "text_key", "text", "nodes"))):
+        table = nodes.values.flatten()
+        yield name.as_py(), none.as_py(), key.as_py(), text.as_py().encode(), np.column_stack([c.to_numpy(zero_copy_only=False) for c in table]).astype(np.int64)
 
 
 def _segments(data: np.ndarray, nodes: np.ndarray, first: int) -> Iterator[tuple[int, Hashes, np.ndarray]]:
@@ -190,16 +185,16 @@ def _segments(data: np.ndarray, nodes: np.ndarray, first: int) -> Iterator[tuple
         yield int(base), Hashes(data[base : base + SEGMENT + 3 * PASSAGE]), own
 
 
-_BLOCKS = ["doc_id", "text_key", "lo", "hi", "a", "a1", "r", "r1", "open"]
-_BLOCK_TYPES = "doc_id long, text_key binary, lo int, hi int, a long, a1 long, r long, r1 long, open boolean"
+_BLOCKS = ["id", "none", "text_key", "lo", "hi", "a", "r", "open"]
+_BLOCK_TYPES = "id long, none boolean, text_key binary, lo int, hi int, a long, r binary, open boolean"
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per block of starts of each node (pos, lo, hi, open): ranks of the bytes that all windows share, and of its run."""
     for batch in batches:
         rows: list[list] = [[] for _ in _BLOCKS]
-        for doc_id, key, data, nodes in _nodes_of(batch):
-            for base, hashes, own in _segments(data, nodes, 1):
+        for name, none, key, raw, nodes in _nodes_of(batch):
+            for base, hashes, own in _segments(np.frombuffer(raw, np.uint8), nodes, 1):
                 near, far = (own[:, 0] - own[:, 2]) // BLOCK, (own[:, 0] - own[:, 1]) // BLOCK  # blocks count distances before the anchor
                 many = far - near + 1
                 node = np.repeat(np.arange(len(own)), many)
@@ -207,31 +202,30 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pos = own[node, 0]
                 core = pos - block * BLOCK - base
                 lo, hi = np.maximum(own[node, 1], pos - block * BLOCK - BLOCK + 1), np.minimum(own[node, 2], pos - block * BLOCK)
-                a, a1 = hashes.pair(core, core + PASSAGE - BLOCK + 1)
-                r, r1 = hashes.pair(lo - base, hi - base + PASSAGE)
-                shift = ((pos - lo) * BLOCK * 64 + block) * 0x9E3779B1
-                parts = (np.full(len(node), doc_id, np.int64), [key] * len(node), lo.astype(np.int32), hi.astype(np.int32), a ^ (block * 0x9E3779B1), a1, r ^ shift, r1, own[node, 3] > 0)
+                a = hashes.of(core, core + PASSAGE - BLOCK + 1, 0).view(np.int64)
+                r = digests(raw, lo, hi + PASSAGE, (pos - lo) * BLOCK * 64 + block)
+                many = len(node)
+                parts = (np.full(many, name, np.int64), np.full(many, none), [key] * many, lo.astype(np.int32), hi.astype(np.int32), a ^ (block * 0x9E3779B1), r, own[node, 3] > 0)
                 for column, values in zip(rows, parts):
                     column.append(values)
         if rows[0]:
             yield _rows(_BLOCKS, rows)
 
 
-_WINDOWS = ["text_key", "lo", "w", "w1", "open"]
+_WINDOWS = ["text_key", "lo", "w", "open"]
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per window of each node (lo, hi, open)."""
     for batch in batches:
         rows: list[list] = [[] for _ in _WINDOWS]
-        for _, key, data, nodes in _nodes_of(batch):
-            for base, hashes, own in _segments(data, nodes, 0):
-                many = own[:, 1] - own[:, 0] + 1
-                node = np.repeat(np.arange(len(own)), many)
-                start = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + own[node, 0]
-                w, w1 = hashes.pair(start - base, start - base + PASSAGE)
-                for column, values in zip(rows, ([key] * len(start), start.astype(np.int32), w, w1, own[node, 2] > 0)):
-                    column.append(values)
+        for _, _, key, raw, nodes in _nodes_of(batch):
+            many = nodes[:, 1] - nodes[:, 0] + 1
+            node = np.repeat(np.arange(len(nodes)), many)
+            start = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + nodes[node, 0]
+            w = digests(raw, start, start + PASSAGE, np.zeros(len(start), np.int64))
+            for column, values in zip(rows, ([key] * len(start), start.astype(np.int32), w, nodes[node, 2] > 0)):
+                column.append(values)
         if rows[0]:
             yield _rows(_WINDOWS, rows)
 
@@ -258,37 +252,45 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _level(found: DataFrame, shared: list[str], run: list[str], node: list[str], open_) -> tuple[DataFrame, DataFrame]:
-    """Runs that are there twice, and the distinct runs to look into (doc_id, text_key, nodes).
+    """Runs that are there twice, and the distinct runs to look into (id, none, text_key, nodes).
 
     ``shared`` ranks what all windows of a run have in common, ``run`` all of it. To look into are the
     runs of a shared rank that has several runs, one of them there once and ``open``.
     """
-    one = F.struct("doc_id", "text_key", *node)
+    one = F.struct("none", "id", "text_key", *node)
     runs = keep(found.groupBy(*shared, *run).agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("one"), F.max(open_).alias("any")))
     twice = keep(runs.filter("n > 1").select(*shared, *run))
     whole = found.filter(open_).join(twice, [*shared, *run]).select("text_key", "lo", "hi")
     alone = (F.col("n") == 1) & F.col("any")
     mixed = runs.groupBy(*shared).agg(F.count(F.lit(1)).alias("kinds"), F.max(alone).alias("alone")).filter("kinds > 1 and alone").select(*shared)
     nodes = runs.join(keep(mixed), shared).select("one.*", alone.cast("int").alias("look"))
-    listed = nodes.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct(*node, "look")).alias("nodes"))
+    listed = nodes.groupBy("id", "none", "text_key").agg(F.collect_list(F.struct(*node, "look")).alias("nodes"))
     out = keep(whole.distinct()), keep(listed)
     drop(runs, twice)
     return out
 
 
+_OWN = ["id", "none", "text_key"]
+
+
 def repeated_starts(texts: DataFrame) -> DataFrame:
-    """Runs (text_key, lo, hi) of window starts whose 400 bytes also start elsewhere; ``texts``: doc_id, text."""
-    named = texts.withColumn("doc_id", F.coalesce("doc_id", F.lit(-1).cast("long")))
-    found = keep(texts.mapInArrow(_anchored, _RUN_TYPES))
+    """Runs (text_key, lo, hi) of window starts whose 400 bytes also start elsewhere; ``texts``: doc_id, text, text_key.
+
+    A row is told by its doc_id, whether it has one, and its text; rows that are equal in all of these
+    are one where their text is looked into again.
+    """
+    named = texts.select(F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), F.col("doc_id").isNull().alias("none"), "text_key", "text")
+    found = keep(named.mapInArrow(_anchored, _RUN_TYPES))
     whole, listed = _level(found, ["a"], ["r"], ["pos", "lo", "hi"], F.lit(True))
     drop(found)
-    blocks = keep(named.join(listed, "doc_id").select("doc_id", "text", "text_key", "nodes").mapInArrow(_blocks, _BLOCK_TYPES))
+    once = named.dropDuplicates(_OWN)
+    blocks = keep(once.join(listed, _OWN).select(*_OWN, "text", "nodes").mapInArrow(_blocks, _BLOCK_TYPES))
     drop(listed)
-    parts, listed = _level(blocks, ["a", "a1"], ["r", "r1"], ["lo", "hi"], F.col("open"))
+    parts, listed = _level(blocks, ["a"], ["r"], ["lo", "hi"], F.col("open"))
     drop(blocks)
-    windows = keep(named.join(listed, "doc_id").select("doc_id", "text", "text_key", "nodes").mapInArrow(_windows, "text_key binary, lo int, w long, w1 long, open boolean"))
-    again = keep(windows.groupBy("w", "w1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w", "w1"))
-    single = windows.filter("open").join(again, ["w", "w1"]).select("text_key", "lo", F.col("lo").alias("hi"))
+    windows = keep(once.join(listed, _OWN).select(*_OWN, "text", "nodes").mapInArrow(_windows, "text_key binary, lo int, w binary, open boolean"))
+    again = keep(windows.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w"))
+    single = windows.filter("open").join(again, "w").select("text_key", "lo", F.col("lo").alias("hi"))
     return whole.unionByName(parts).unionByName(single)
 
 
@@ -300,14 +302,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     empty; texts below 400 bytes stay; repeated rows are copies of each other, so all their passages go;
     a NULL doc_id is kept as it is. An empty table gives an empty one. Other columns are not read.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    runs = keep(repeated_starts(texts).groupBy("text_key").agg(F.collect_set(F.struct("lo", "hi")).alias("runs")))
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = pa.array([digest(t.as_py()) for t in batch.column(1)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys], names=["doc_id", "text", "key"])
-
-    marked = texts.mapInArrow(keyed, "doc_id long, text string, key binary").join(runs, F.col("key") == F.col("text_key"), "left")
+    key = F.unhex(F.substring(F.sha2("text", 256), 1, 32)).alias("text_key")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).select("doc_id", "text", key)
+    runs = keep(repeated_starts(texts).groupBy(F.col("text_key").alias("key")).agg(F.collect_set(F.struct("lo", "hi")).alias("runs")))
+    marked = texts.join(runs, F.col("text_key") == F.col("key"), "left")
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return marked.select("doc_id", "text", "runs").mapInArrow(_removed, out)
