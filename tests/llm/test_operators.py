@@ -115,6 +115,17 @@ def test_near_groups_odd(spark):
     assert minhash.near_groups(frame(spark, [])).collect() == []
 
 
+@pytest.mark.parametrize("rows", [0, 500_000])
+def test_two_texts_of_one_id(spark, monkeypatch, rows):
+    monkeypatch.setattr(common, "SMALL_ROWS", rows)  # a bitmap of identifiers, and shuffles; or broadcast
+    base = prose(30, 100).split()
+    near = " ".join([*base[:50], "new", *base[51:]])
+    texts = [(5, prose(31, 90)), (5, " ".join(base)), (7, near), (6, prose(32, 80)), (9, prose(31, 90) + " end")]
+    for order in (texts, texts[::-1], [*texts[1:], texts[0]]):
+        got = minhash.near_groups(spark.createDataFrame(order, "doc_id long, text string")).collect()
+        assert {(r.doc_id, r.component_id) for r in got} == {(5, 5), (7, 5), (6, 6), (9, 5)}
+
+
 def brute_repeats(rows):
     count = Counter(b[s : s + 400] for _, t in rows for b in [(t or "").encode()] for s in range(len(b) - 399))
     out = []

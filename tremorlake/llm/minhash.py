@@ -32,6 +32,7 @@ WORDS = 5
 ROUNDS = 2  # leaders of a list before what is open is compared by the bound
 MANY = 2000  # members of an open list, from which it is posted under a second coordinate
 BUCKETS = 8  # of 64 bits each, in the parity bitmap
+BITMAP_WORDS = 1 << 20  # of 64 bits, in a bitmap of identifiers
 CACHE = 300_000  # words a worker remembers
 BLOCK = 1024  # shingles hashed at once under all coordinates
 
@@ -100,10 +101,12 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import xxhash
+
     words = _Words()
     for batch in batches:
-        found = [shingles(text.as_py(), words).tobytes() for text in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "found"])
+        found = [shingles(text.as_py(), words).tobytes() for text in batch.column(0)]
+        yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(f) for f in found], pa.binary()), pa.array(found, pa.binary())], names=["key", "found"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +129,9 @@ def posted(members: DataFrame, need: int) -> DataFrame:
     own = pairs.join(common, "h").groupBy("g", "id").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("own"))
     own = own.filter(F.size("own") >= need)
     weight = F.aggregate("own", F.lit(0).cast("long"), lambda s, x: s + x["df"])
-    return keep(own.select("id", weight.alias("weight"), F.explode(F.slice("own", 1, F.size("own") - (need - 1))).alias("x")).select(F.col("x.h").alias("g"), "id", "weight"))
+    lists = keep(own.select("id", weight.alias("weight"), F.explode(F.slice("own", 1, F.size("own") - (need - 1))).alias("x")).select(F.col("x.h").alias("g"), "id", "weight"))
+    drop(common)
+    return lists
 
 
 def _ordered(a: Column, b: Column) -> list[Column]:
@@ -140,12 +145,29 @@ def within_bound(a: str, b: str) -> Column:
     return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * differ <= n + m)
 
 
+def of_some(texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of ``texts`` (doc_id, text) whose doc_id is in ``docs`` (doc_id, a written table).
+
+    Many identifiers are first sent as a bitmap of their hashes, of a fixed size, so that the texts of others need no shuffle.
+    """
+    send = sent(docs)
+    exact = docs.select(F.col("doc_id").alias("wanted_id"))
+    if send is not F.broadcast:
+        place = F.pmod(F.xxhash64("doc_id"), F.lit(64 * BITMAP_WORDS))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+        marks = F.broadcast(docs.groupBy(F.floor(place / 64).alias("word")).agg(F.bit_or(bit).alias("marks")))
+        texts = texts.join(marks, (F.floor(place / 64) == F.col("word")) & (F.col("marks").bitwiseAND(bit) != 0)).select(*texts.columns)
+    return texts.join(send(exact), F.col("doc_id") == F.col("wanted_id"), "left_semi")
+
+
 class _Links:
-    """Candidate pairs compared on the full sets, and the components of all links so far."""
+    """Candidate pairs of classes compared on the full sets, and the components of all links so far."""
 
-    def __init__(self, texts: DataFrame, classes: DataFrame):
+    def __init__(self, texts: DataFrame, classes: DataFrame, shared: DataFrame):
+        """``shared``: classes (a, b) with a document in common, linked from the start."""
         self.texts, self.classes = texts, classes
-        self.roots: DataFrame | None = None
+        self.roots = keep(components(shared))
+        self.send = sent(self.roots)
 
     def compare(self, pairs: DataFrame) -> None:
         """Bring the components up to date with the links among ``pairs`` (a, b)."""
@@ -154,30 +176,30 @@ class _Links:
         same = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda x: x))
         some = pairs.distinct().join(left, F.col("a") == F.col("id_a")).join(right, F.col("b") == F.col("id_b"))
         some = keep(some.filter(within_bound("_a", "_b") & (same >= MATCHES)).select("a", "b"))
-        wanted = some.select(F.col("a").alias("doc_id")).unionByName(some.select(F.col("b").alias("doc_id"))).distinct()
-        sets = keep(self.texts.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "id long, found binary").dropDuplicates(["id"]))
+        wanted = some.select(F.col("a").alias("id")).unionByName(some.select(F.col("b").alias("id"))).distinct()
+        wanted = keep(wanted.join(self.classes.select("id", "key", "doc"), "id"))
+        docs = keep(wanted.select(F.col("doc").alias("doc_id")).distinct())
+        sets = of_some(self.texts, docs).select("text").mapInArrow(_sets, "key binary, found binary").dropDuplicates(["key"])  # a document may have other texts
+        sets = keep(wanted.select("id", F.col("key").alias("key_")).join(sets, F.col("key_") == F.col("key")).select("id", "found"))
         full = some.join(sets.select(F.col("id").alias("a"), F.col("found").alias("fa")), "a").join(sets.select(F.col("id").alias("b"), F.col("found").alias("fb")), "b")
         links = keep(full.select("a", "b", "fa", "fb").mapInArrow(_linked, "a long, b long"))
         self.merge(links)
-        drop(some, sets, links)
+        drop(some, wanted, docs, sets, links)
 
     def merge(self, links: DataFrame) -> None:
         """Bring the components up to date: only links between different components are worked on."""
-        if self.roots is None:
-            self.roots = components(links)
-            self.send = sent(self.roots)
-            return
         known = self.roots
         left, right = (self.send(known.select(F.col("node").alias(f"n{s}"), F.col("root").alias(f"r{s}"))) for s in "ab")
         joined = links.join(left, F.col("a") == F.col("na"), "left").join(right, F.col("b") == F.col("nb"), "left")
         joined = joined.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).filter("a <> b")
         new = keep(joined.distinct())
         if _some(new):
-            merged = components(new)
+            merged = keep(components(new))
             moved = sent(merged)(merged.select(F.col("node").alias("old"), F.col("root").alias("new")))
             old = known.join(moved, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root"))
             self.roots = keep(old.unionByName(merged.join(self.send(known.select("node")), "node", "left_anti").select("node", "root")))
             self.send = sent(self.roots)
+            drop(known, merged)
         drop(new)
 
     def lead(self, lists: DataFrame) -> DataFrame:
@@ -189,7 +211,9 @@ class _Links:
         rooted = self.rooted(led)
         its = self.send(self.roots.select(F.col("node").alias("lead"), F.col("root").alias("lead_root")))
         left = F.col("left") & (F.col("root") != F.coalesce("lead_root", "lead"))
-        return self.open(rooted.join(its, "lead", "left").select("g", "id", "weight", left.alias("left"), "root"))
+        still = self.open(rooted.join(its, "lead", "left").select("g", "id", "weight", left.alias("left"), "root"))
+        drop(led)
+        return still
 
     def rooted(self, lists: DataFrame) -> DataFrame:
         """``lists`` with the component of each member so far."""
@@ -200,7 +224,9 @@ class _Links:
         """The lists whose members lie in several components, with the number of their members."""
         rooted = keep(rooted)
         several = rooted.groupBy(F.col("g").alias("g_")).agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")).filter("lo < hi")
-        return keep(rooted.drop("members").join(several.select("g_", "members"), F.col("g") == F.col("g_")).drop("g_"))
+        still = keep(rooted.drop("members").join(several.select("g_", "members"), F.col("g") == F.col("g_")).drop("g_"))
+        drop(rooted)
+        return still
 
 
 def _some(df: DataFrame) -> bool:
@@ -213,21 +239,31 @@ def near_groups(docs: DataFrame) -> DataFrame:
     Returns one row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept. A text
     without words, or NULL, has an empty set, is linked with nothing and stays. A NULL doc_id stands
     for no other row: such a row takes the component of an equal set that has an identifier, else
-    NULL, and is not kept. Rows that repeat a doc_id are one node. An empty table gives an empty one.
+    NULL, and is not kept. Rows that repeat a doc_id are one node, linked through any of their texts. An empty table gives an empty one.
     Other columns are not read.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     rows = keep(texts.mapInArrow(_features, "doc_id long, n long, key binary, sig array<long>, bits array<long>"))
     some = rows.filter("n > 0 and doc_id is not null")
-    classes = keep(some.groupBy("key").agg(F.min(F.struct(F.col("doc_id").alias("id"), "n", "sig", "bits")).alias("x")).select("key", "x.*"))
-    links = _Links(texts.filter("doc_id is not null"), classes)
-    lists = posted(classes.select(F.lit(0).cast("long").alias("g"), "id", "sig"), MATCHES).withColumn("left", F.lit(True))
+    found = some.groupBy("key").agg(F.min(F.struct(F.col("doc_id").alias("doc"), "n", "sig", "bits")).alias("x"))
+    classes = keep(found.select("key", "x.*", F.monotonically_increasing_id().alias("id")))  # numbered as written
+    several = some.groupBy(F.col("doc_id").alias("same")).agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo <> hi")
+    numbers = classes.select(F.col("key").alias("key_"), "id")
+    texts_of = keep(some.join(several, F.col("doc_id") == F.col("same")).select("same", "key").distinct().join(numbers, F.col("key") == F.col("key_")).select("same", "id"))
+    first = texts_of.groupBy(F.col("same").alias("same_")).agg(F.min("id").alias("a"))
+    shared = texts_of.join(first, F.col("same") == F.col("same_")).filter("id <> a").select("a", F.col("id").alias("b"))
+    links = _Links(texts.filter("doc_id is not null"), classes, shared)
+    posts = posted(classes.select(F.lit(0).cast("long").alias("g"), "id", "sig"), MATCHES)
+    lists = posts.withColumn("left", F.lit(True))
     for _ in range(ROUNDS):
-        lists = links.lead(lists)
+        still = links.lead(lists)
+        drop(posts)
+        lists = posts = still
     crowded = lists.filter(F.col("members") > MANY).select("g", "id")
     if _some(crowded):
         again = posted(crowded.join(classes.select("id", "sig"), "id").select("g", "id", "sig"), MATCHES)  # the list's own coordinate is one of them
         lists = links.open(links.rooted(again.select("g", "id").unionByName(lists.filter(F.col("members") <= MANY).select("g", "id"))))
+        drop(again, posts)
     side = lists.select("g", "id", "root").join(classes.select("id", "n", "bits"), "id")
     one, two = (side.select(*[F.col(c).alias(f"{c}_{s}") for c in side.columns]) for s in "xy")
     pairs = one.join(two, (F.col("g_x") == F.col("g_y")) & (F.col("id_x") < F.col("id_y")) & (F.col("root_x") != F.col("root_y")) & within_bound("_x", "_y"))
@@ -235,9 +271,12 @@ def near_groups(docs: DataFrame) -> DataFrame:
     if _some(last):
         links.compare(last)
     roots = links.send(links.roots.select(F.col("node").alias("id"), "root"))
-    told = keep(classes.select("key", "id").join(roots, "id", "left").select(F.col("key").alias("key_"), F.coalesce("root", "id").alias("root")))
+    rooted = keep(classes.select("key", "id", "doc").join(roots, "id", "left").select("key", "doc", F.coalesce("root", "id").alias("root")))
+    least = rooted.groupBy(F.col("root").alias("root_")).agg(F.min("doc").alias("component"))
+    told = keep(rooted.join(least, F.col("root") == F.col("root_")).select(F.col("key").alias("key_"), "component"))
+    drop(lists, last, texts_of, classes, links.roots, rooted)
     out = rows.select("doc_id", "n", "key").join(told, F.col("key") == F.col("key_"), "left")
-    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("root"))
+    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
