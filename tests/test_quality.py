@@ -2,12 +2,15 @@
 
 import math
 from datetime import datetime
+from functools import reduce
 
+import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tremorlake.functions import geo as G, scalars as S
 from tremorlake.operators import aggregates as A, joins as J, quality as Q, spatial as SP
+from tremorlake.operators.joins import join_knn
 
 STATIONS = [("ST01", 40.8, 14.1, 100), ("ST02", 40.9, 14.2, 150), ("ST03", 40.7, 14.0, 120)]
 
@@ -192,3 +195,30 @@ def test_grids_of_different_shape(spark):
     assert J.grid_diff(grid, grid, "v").agg(F.sum("difference")).first()[0] == 0
     with pytest.raises(ValueError):
         J.grid_diff(grid, grid.limit(1), "v")
+
+
+def test_permutations_are_permutations():
+    for n in (1, 2, 3, 7, 26, 100, 257):
+        for perm in (1, 2, 999):
+            slots = np.arange(n)
+            assert sorted(SP.permuted(slots, np.full(n, n), np.full(n, perm), 42).tolist()) == slots.tolist()
+    dealt = [tuple(SP.permuted(np.arange(4), np.full(4, 4), np.full(4, p), 42).tolist()) for p in range(1, 1000)]
+    assert len(set(dealt)) == 24  # every order of four occurs
+
+
+def test_permutation_p_by_group_is_one_plan_without_a_sort(spark):
+    rows = [(g, f"p{k}", float(k % 7), float(k // 7), float((k % 7) * (1 if g == "a" else (k * 37 % 11)))) for g in "ab" for k in range(42)]
+    df = spark.createDataFrame(rows, "g STRING, k STRING, x DOUBLE, y DOUBLE, v DOUBLE")
+    single = {g: SP.moran_permutation_p(df.filter(F.col("g") == g), "k", "v", 4, permutations=99).first() for g in "ab"}
+    edges = reduce(DataFrame.unionByName, [join_knn(df.filter(F.col("g") == g), "k", 4).withColumn("g", F.lit(g)) for g in "ab"])
+    seen = []
+    kept = SP.durable
+    SP.durable = lambda d: (seen.append(d._jdf.queryExecution().executedPlan().toString()), kept(d))[1]
+    try:
+        both = SP.moran_permutation_p(df, "k", "v", 4, permutations=99, edges=edges, by=["g"]).collect()
+    finally:
+        SP.durable = kept
+    for r in both:
+        assert abs(r["moran_i"] - single[r["g"]]["moran_i"]) < 1e-12 and r["p_sim"] == single[r["g"]]["p_sim"]
+    wide = [plan for plan in seen if "MapInArrow" in plan]
+    assert len(wide) == 1 and "Window" not in wide[0].split("MapInArrow")[0] and "Sort" not in wide[0].split("MapInArrow")[0]

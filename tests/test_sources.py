@@ -10,7 +10,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tremorlake.operators.quality import CheckFailed
+from tremorlake.operators.quality import CheckFailed, normalize_alerts
 from tremorlake.schemas import KEYS, WAREHOUSE, table_schema
 from tremorlake.sources import files, ingest, sinks, star, versioned as versioned_module
 from tremorlake.sources.versioned import ConcurrentWrite, VersionedTable, by_day, by_value
@@ -325,3 +325,21 @@ def test_legacy_features_load_once(spark, tmp_path):
 def test_runs_in_directories_of_one_name_are_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="same"):
         ingest.ingest_runs(spark, {"a": str(tmp_path / "x" / "same"), "b": str(tmp_path / "y" / "same")}, str(tmp_path / "w"))
+
+
+def test_json_records_of_any_fields(spark, tmp_path):
+    records = [
+        {"created_at": "2025-01-01T00:00:00", "station_code": "A", "probability": "0.9", "lat": "40.5", "lng": 14},
+        {"timestamp": "2025-01-02T00:00:00", "station": "B", "risk_score": 0.2, "severity": "WARN", "extra": {"deep": [1, 2]}},
+        {"time": 5, "risk_score": "no number", "latitude": [1]},
+        "text", 7, None, [1],
+    ]
+    want = [("A", 0.9, 40.5, 14.0), ("B", 0.2, None, None), (None, None, None, None)]
+    write(tmp_path / "d" / "one.json", json.dumps({"results": records}))
+    lines = write(tmp_path / "two.jsonl", "\n".join(json.dumps(r) for r in records) + "\n{broken\n")
+    for path in (str(tmp_path / "d"), lines):
+        read = files.scan_json_records(spark, path)
+        assert [tuple(r) for r in read.orderBy(F.col("station").asc_nulls_last()).select("station", "risk_score", "latitude", "longitude").collect()] == want
+        alerts = {r["station"]: r for r in normalize_alerts(read).collect()}
+        assert (alerts["A"]["severity"], alerts["A"]["timestamp"], alerts["A"]["latitude"]) == ("critical", datetime(2025, 1, 1), 40.5)
+        assert alerts["B"]["severity"] == "medium" and alerts["UNKNOWN"]["message"] == ""

@@ -67,7 +67,10 @@ def fallback_time(df: DataFrame, time: str = "timestamp", epochs: Sequence[str]
 
 
 def normalize_alerts(df: DataFrame) -> DataFrame:
-    """Alerts of any known layout as timestamp, station, risk, severity, position, message."""
+    """Alerts of any known layout as timestamp, station, risk, severity, position, message.
+
+    A row without a severity gets the class of its risk, one without a station or message the default of a table without that column.
+    """
     out = alias_columns(df, ALERT_ALIASES)
     have = set(out.columns)
     if "timestamp" not in have:
@@ -83,15 +86,16 @@ def normalize_alerts(df: DataFrame) -> DataFrame:
         severity = word
         for old, new in SEVERITY_WORDS.items():
             severity = F.when(word == old, new).otherwise(severity)
+        severity = F.coalesce(severity, severity_class("risk_score"))
     else:
         severity = severity_class("risk_score")
     kept = [
         "timestamp",
-        (F.col("station") if "station" in have else F.lit(UNKNOWN_STATION)).alias("station"),
+        (F.coalesce(F.col("station").cast("string"), F.lit(UNKNOWN_STATION)) if "station" in have else F.lit(UNKNOWN_STATION)).alias("station"),
         "risk_score",
         severity.alias("severity"),
         *[(F.col(c).try_cast("double") if c in have else F.lit(None).cast("double")).alias(c) for c in ("latitude", "longitude")],
-        (F.col("message") if "message" in have else F.lit("")).alias("message"),
+        (F.coalesce(F.col("message"), F.lit("")) if "message" in have else F.lit("")).alias("message"),
     ]
     return out.select(*kept, *([F.col("source_file")] if "source_file" in have else []))
 

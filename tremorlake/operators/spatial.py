@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tremorlake.functions.geo import bearing_deg, haversine_km, mean_bearing
 from tremorlake.operators.aggregates import CENTRE, hourly_spatial
@@ -12,6 +16,9 @@ from tremorlake.session import durable
 
 NEIGHBOURS = 5  # fixed value
 PERMUTATIONS = 999  # fixed value
+FEISTEL_ROUNDS = 4
+DEAL_ROWS = 1 << 16  # rows of permuted edges made at once
+FEISTEL_PRIME, FEISTEL_KEY = 2**31 - 1, 998244353  # products stay below 2**63
 # Classes of the local statistic.
 HIGH_HIGH, LOW_LOW = "High-High (Hotspot)", "Low-Low (Coldspot)"
 HIGH_LOW, LOW_HIGH = "High-Low (Outlier)", "Low-High (Outlier)"
@@ -46,6 +53,34 @@ def _moran(edges: DataFrame, z: DataFrame) -> DataFrame:
     )
 
 
+def permuted(slot: np.ndarray, n: np.ndarray, perm: np.ndarray, seed: int) -> np.ndarray:
+    """The slot that a numbered permutation of ``n`` slots puts in the place of ``slot``.
+
+    A keyed Feistel network on the digits of a number below a * b, the least rectangle that holds n slots, is a permutation
+    of these numbers; a result outside the n slots goes through it again until it is inside, which leaves a permutation of the slots.
+    """
+    n = np.asarray(n, np.int64)
+    a = np.ceil(np.sqrt(n)).astype(np.int64)
+    b = -(-n // a)
+    keys = [((seed * 7919 + np.asarray(perm, np.int64)) * 31 + r) * FEISTEL_KEY % FEISTEL_PRIME for r in range(FEISTEL_ROUNDS)]
+
+    def mixed(v: np.ndarray, key: np.ndarray) -> np.ndarray:
+        t = (v * 1000003 + key) % FEISTEL_PRIME
+        return t * t % FEISTEL_PRIME * (t + 11) % FEISTEL_PRIME
+
+    out = np.array(slot, np.int64)
+    going = np.ones(len(out), bool)
+    while going.any():
+        at = np.flatnonzero(going)
+        left, right = out[at] // b[at], out[at] % b[at]
+        for r in range(0, FEISTEL_ROUNDS, 2):
+            left = (left + mixed(right, keys[r][at])) % a[at]
+            right = (right + mixed(left, keys[r + 1][at])) % b[at]
+        out[at] = left * b[at] + right
+        going[at] = out[at] >= n[at]
+    return out
+
+
 def moran_permutation_p(
     points: DataFrame,
     key: str,
@@ -54,33 +89,54 @@ def moran_permutation_p(
     coords: tuple[str, str] = ("x", "y"),
     permutations: int = PERMUTATIONS,
     seed: int = 42,
+    edges: DataFrame | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Simulated p of Moran's I: how often values dealt anew reach it, counted on the smaller tail.
 
-    A permutation ranks the points by a seeded hash, so it is the same on every run and any cluster.
+    A permutation is computed, not drawn: which value a slot gets follows from the slot, the permutation's number
+    and the seed. So an edge knows the slots of its two values in every permutation, they are looked up, and
+    products are summed per permutation in one pass, whose partial sums alone are shuffled. ``by``
+    has one test per group in the same plan; then ``edges`` (by, i, j, weight) are given, as their neighbours are found within the groups.
+    A value equal to the observed one but for rounding counts as reached.
     """
+    by = list(by)
     points = durable(points)
-    edges = durable(join_knn(points, key, k, coords))
-    z = durable(number_rows(centred(points, value).select(F.col(key).alias("i"), "z"), [], [F.col("i")], "slot"))
-    observed = _moran(edges, z.select("i", "z")).first()
-    dealt = z.select("i", "slot", F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("perm"))
-    dealt = number_rows(dealt, ["perm"], [F.xxhash64(F.lit(seed), "perm", "i"), F.col("i")], "deal")
-    values = z.select(F.col("slot").alias("deal"), "z")
-    dealt = dealt.join(bounded(values), "deal").select("perm", "i", "z")
-    spread = bounded(edges.select("i", "j", "weight"))
-    lag = (
-        dealt.withColumnsRenamed({"i": "j", "z": "z_j"})
-        .join(spread, "j")
-        .groupBy("perm", "i")
-        .agg(F.sum(F.col("weight") * F.col("z_j")).alias("lag"))
-    )
-    simulated = dealt.join(lag, ["perm", "i"]).groupBy("perm").agg(
-        (F.sum(F.col("z") * F.col("lag")) / F.sum(F.col("z") * F.col("z"))).alias("i_perm")
-    )
-    reached = F.count_if(F.col("i_perm") >= observed["moran_i"])
+    edges = durable(join_knn(points, key, k, coords) if edges is None else edges).select(*by, "i", "j", "weight")
+    means = points.groupBy(*by).agg(F.avg(value).alias("_mean"), F.count(F.lit(1)).alias("n"))
+    with_mean = points.join(bounded(means), by) if by else points.withColumns({c: F.lit(v) for c, v in means.first().asDict().items()})
+    z = with_mean.select(*by, F.col(key).alias("i"), (F.col(value) - F.col("_mean")).alias("z"), "n")
+    z = durable(number_rows(z, by, [F.col("i")], "_at").withColumn("slot", F.col("_at") - 1).drop("_at"))
+    squares = z.groupBy(*by).agg(F.sum(F.col("z") * F.col("z")).alias("zz"))
+    placed = edges.join(bounded(z.select(*by, "i", F.col("slot").alias("si"), "n")), [*by, "i"])
+    placed = placed.join(bounded(z.select(*by, F.col("i").alias("j"), F.col("slot").alias("sj"))), [*by, "j"]).select(*by, "si", "sj", "weight", "n")
+    group = [placed.schema[c] for c in by]
+    dealt = T.StructType([*group, *[T.StructField(c, T.LongType()) for c in ("perm", "ui", "uj")], T.StructField("weight", T.DoubleType())])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            si, sj, n = (batch.column(c).to_numpy() for c in ("si", "sj", "n"))
+            together = max(1, DEAL_ROWS // max(1, len(n)))
+            for low in range(0, permutations + 1, together):  # 0: the values as they are
+                perms = np.arange(low, min(low + together, permutations + 1))
+                number, edge = np.repeat(perms, len(n)), np.tile(np.arange(len(n)), len(perms))
+                ui, uj = (np.where(number == 0, s[edge], permuted(s[edge], n[edge], number, seed)) for s in (si, sj))
+                rest = [batch.column(c).take(pa.array(edge)) for c in (*by, "weight")]
+                yield pa.RecordBatch.from_arrays([*rest[:-1], pa.array(number), pa.array(ui), pa.array(uj), rest[-1]], names=dealt.names)
+
+    values = z.select(*by, "slot", "z")
+    named = lambda slot, name: bounded(values.withColumnsRenamed({"slot": slot, "z": name})).hint("shuffle_hash")
+    looked = placed.mapInArrow(deal, dealt).join(named("ui", "z_i"), [*by, "ui"]).join(named("uj", "z_j"), [*by, "uj"])
+    sums = looked.groupBy(*by, "perm").agg(F.sum(F.col("weight") * F.col("z_i") * F.col("z_j")).alias("top"))
+    scored = sums.join(bounded(squares), by) if by else sums.withColumn("zz", F.lit(squares.first()[0]))
+    scored = durable(scored.select(*by, "perm", F.coalesce(F.try_divide("top", "zz"), F.lit(0.0)).alias("i_perm")))
+    observed = scored.filter("perm = 0").select(*by, F.col("i_perm").alias("moran_i"))
+    simulated = scored.filter("perm > 0")
+    simulated = simulated.join(bounded(observed), by) if by else simulated.withColumn("moran_i", F.lit(observed.first()[0]))
+    reached = F.count_if(F.col("i_perm") >= F.col("moran_i") - 1e-12)
     tail = F.least(reached, F.lit(permutations) - reached)
-    return simulated.agg(
-        F.lit(observed["moran_i"]).alias("moran_i"), ((tail + 1) / F.lit(float(permutations + 1))).alias("p_sim"), F.avg("i_perm").alias("mean_i_perm")
+    return simulated.groupBy(*by).agg(
+        F.first("moran_i").alias("moran_i"), ((tail + 1) / F.lit(float(permutations + 1))).alias("p_sim"), F.avg("i_perm").alias("mean_i_perm")
     )
 
 

@@ -91,11 +91,14 @@ def _(t):
     return J.join_base_soft(A.station_stats(base, "base"), A.station_stats(soft, "soft"))
 
 
-def run_means(t, run: str):
-    """Mean delta of one run at each station's place; longitude and latitude stand for x and y."""
-    means = t.picks.filter(F.col("run_id") == run).groupBy("station_code").agg(F.avg("delta_seconds").alias("delta_value"))
+def run_means(t, run: str | None = None):
+    """Mean delta at each station's place, of one run or, with its run_id, of each; longitude and latitude stand for x and y."""
+    picks = t.picks.filter("run_id IS NOT NULL") if run is None else t.picks.filter(F.col("run_id") == run)
+    group = ["run_id"] if run is None else []
+    means = picks.groupBy(*group, "station_code").agg(F.avg("delta_seconds").alias("delta_value"))
     placed = J.join_station_dim(means, t.stations.select("station_code", "latitude", "longitude")).filter(F.col("latitude").isNotNull())
     return placed.select(
+        *group,
         "station_code",
         (F.col("longitude") * 100000.0).alias("easting"),
         (F.col("latitude") * 100000.0).alias("northing"),

@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from tremorlake.functions import scalars as S
 from tremorlake.operators import aggregates as A
+from tremorlake.operators.hourly import hourly_counts_legacy
+from tremorlake.operators.quality import normalize_alerts
 from tremorlake.queries import query
 from tremorlake.queries.aggregate_queries import EPICENTRES
-from tremorlake.schemas import WAREHOUSE
+from tremorlake.schemas import WAREHOUSE, table_schema
 from tremorlake.session import checkpoint_folder, durable
 from tremorlake.sources import files, ingest, sinks, star
+from tremorlake.sources.versioned import VersionedTable, by_value
 
 
 def scratch(t) -> str:
@@ -94,6 +97,62 @@ def _(t):
     return files.scan_json_records(t.spark, path, lines=True).select("timestamp", "station", "risk_score")
 
 
+@query(
+    "scan_json_any_fields",
+    "alerts",
+    """ SELECT timestamp, CASE WHEN alert_id % 3 = 2 THEN 'UNKNOWN' ELSE station END AS station, risk_score,
+    CASE WHEN risk_score >= 0.85 THEN 'critical' WHEN risk_score >= 0.65 THEN 'high' WHEN risk_score >= 0.40 THEN 'medium' ELSE 'low' END AS severity,
+    CASE WHEN alert_id % 3 = 1 THEN alert_id / 8e0 END AS latitude FROM alerts""",
+    "risk_score",
+)
+def _(t):
+    stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    layouts = [
+        F.struct(stamp.alias("timestamp"), "station", "risk_score"),
+        F.struct(stamp.alias("created_at"), F.col("station").alias("station_code"), F.col("risk_score").cast("string").alias("probability"), (F.col("alert_id") / 8).cast("string").alias("lat")),
+        F.struct(stamp.alias("alert_time"), F.col("risk_score").alias("risk"), F.struct("alert_id").alias("more")),
+    ]
+    line = F.when(F.col("alert_id") % 3 == 0, F.to_json(layouts[0])).when(F.col("alert_id") % 3 == 1, F.to_json(layouts[1])).otherwise(F.to_json(layouts[2]))
+    path = scratch(t)
+    t.alerts.select(line.alias("value")).write.text(path)
+    read = normalize_alerts(files.scan_json_records(t.spark, path, lines=True))
+    return read.select("timestamp", "station", "risk_score", "severity", "latitude")
+
+
+@query(
+    "ingest_legacy_features",
+    "hourly",
+    """ SELECT timestamp, numero_eventi, energia_max, energia_media, NULL::DOUBLE AS eventi_catalogo_6h FROM hourly""",
+    "energia_max energia_media",
+)
+def _(t):
+    path, warehouse = scratch(t), scratch(t)
+    old = hourly_counts_legacy(t.picks).select(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("Tempo"), "numero_eventi", "energia_max", F.lit("x").alias("unknown"), "energia_media")
+    sinks.sink_csv(old, path)
+    for _ in range(2):  # the second load adds nothing
+        ingest.ingest_legacy_features(t.spark, path, warehouse)
+    return ingest.warehouse_table(t.spark, warehouse, "ml_features_timeseries").select("timestamp", "numero_eventi", "energia_max", "energia_media", "eventi_catalogo_6h")
+
+
+@query(
+    "versioned_upsert",
+    "picks",
+    """, old AS (SELECT station_code, channel, max(pick_id) AS pick_id, 'old' AS state FROM picks WHERE pick_id % 2 = 0 GROUP BY ALL),
+    batch AS (SELECT station_code, channel, max(pick_id) AS pick_id, 'new' AS state FROM picks WHERE pick_id % 7 = 1 GROUP BY ALL)
+    SELECT 1 AS version, * FROM old UNION ALL SELECT 2, * FROM batch
+    UNION ALL SELECT 2, * FROM old WHERE (station_code, channel) NOT IN (SELECT (station_code, channel) FROM batch)""",
+)
+def _(t):
+    schema = table_schema("station_code:str channel:str pick_id:long state:str")
+    table = VersionedTable(t.spark, scratch(t), schema, ["station_code", "channel"], by_value("channel"))
+    rows = t.picks.select("station_code", "channel", "pick_id")
+    old = rows.filter(F.col("pick_id") % 2 == 0).groupBy("station_code", "channel").agg(F.max("pick_id").alias("pick_id"))
+    table.insert_ignore(old.withColumn("state", F.lit("old")))
+    table.upsert(rows.filter(F.col("pick_id") % 7 == 1).withColumn("state", F.lit("new")), ["pick_id"])
+    first, second = (table.read(v).withColumn("version", F.lit(v)) for v in table.versions())
+    return first.unionByName(second)
+
+
 @query(
     "scan_recent_files",
     "picks",

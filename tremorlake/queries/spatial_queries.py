@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tremorlake.operators import aggregates as A, spatial as S
+from tremorlake.operators.joins import join_knn
 from tremorlake.queries import query
 from tremorlake.queries.aggregate_queries import BEARING, EPICENTRES, HAVERSINE, PLACED
 from tremorlake.queries.join_queries import RUN_MEANS, every_run, run_means
@@ -42,10 +43,48 @@ def _(t):
     return every_run(t, lambda means: S.moran_global_knn(means, "station_code", "delta_value", 5, ("easting", "northing")))
 
 
-@query("moran_permutation_p")
+def _step(x: str) -> str:
+    """One pass of the permutation over ``x``, as columns of a select that may use the ones before them."""
+    p, sides = S.FEISTEL_PRIME, {0: ("r", "l", "a"), 1: ("l", "r", "b")}
+    out = [f"{x} // b AS l0", f"{x} % b AS r0"]
+    for r in range(S.FEISTEL_ROUNDS):
+        read, made, size = sides[r % 2]
+        old, new = r // 2, r // 2 + 1
+        v = f"{read}{old if r % 2 == 0 else new}"
+        out += [f"({v} * 1000003 + ((42 * 7919 + perm) * 31 + {r}) * {S.FEISTEL_KEY} % {p}) % {p} AS t{r}"]
+        out += [f"({made}{old} + t{r} * t{r} % {p} * (t{r} + 11) % {p}) % {size} AS {made}{new}"]
+    last = S.FEISTEL_ROUNDS // 2
+    return ", ".join([*out, f"l{last} * b + r{last} AS made"])
+
+
+@query(
+    "moran_permutation_p",
+    "picks stations",
+    f""", {RUN_MEANS}, pairs AS (SELECT a.run_id, a.station_code AS i, b.station_code AS j, (b.easting - a.easting) * (b.easting - a.easting)
+      + (b.northing - a.northing) * (b.northing - a.northing) AS d2 FROM points a JOIN points b ON a.run_id = b.run_id AND a.station_code <> b.station_code),
+    knn AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY run_id, i ORDER BY d2, j) <= 5),
+    zs AS (SELECT run_id, station_code, delta_value - avg(delta_value) OVER (PARTITION BY run_id) AS z, count(*) OVER (PARTITION BY run_id) AS n,
+      row_number() OVER (PARTITION BY run_id ORDER BY station_code) - 1 AS slot FROM points),
+    sized AS (SELECT *, ceil(sqrt(n))::BIGINT AS a, (n + ceil(sqrt(n))::BIGINT - 1) // ceil(sqrt(n))::BIGINT AS b FROM zs),
+    chain(run_id, perm, slot, n, a, b, made) AS (
+      SELECT run_id, perm, slot, n, a, b, made FROM (SELECT *, {_step('slot')} FROM sized, (SELECT unnest(generate_series(1, 999)) AS perm) p)
+      UNION ALL SELECT run_id, perm, slot, n, a, b, again FROM (SELECT c.run_id, c.perm, c.slot, c.n, c.a, c.b, {_step('c.made')[:-len(' AS made')]} AS again FROM chain c WHERE c.made >= c.n)),
+    dealt AS (SELECT c.run_id, c.perm, s.station_code, v.z FROM chain c JOIN zs s ON s.run_id = c.run_id AND s.slot = c.slot
+      JOIN zs v ON v.run_id = c.run_id AND v.slot = c.made WHERE c.made < c.n UNION ALL SELECT run_id, 0, station_code, z FROM zs),
+    scored AS (SELECT k.run_id, a.perm, sum(0.2e0 * a.z * b.z) / any_value(q.zz) AS i_perm FROM knn k
+      JOIN dealt a ON a.run_id = k.run_id AND a.station_code = k.i JOIN dealt b ON b.run_id = k.run_id AND b.station_code = k.j AND b.perm = a.perm
+      JOIN (SELECT run_id, sum(z * z) AS zz FROM zs GROUP BY 1) q ON q.run_id = k.run_id GROUP BY 1, 2),
+    counted AS (SELECT s.run_id, any_value(o.i_perm) AS moran_i, count(*) FILTER (s.i_perm >= o.i_perm - 1e-12) AS reached, avg(s.i_perm) AS mean_i_perm
+      FROM scored s JOIN scored o ON o.run_id = s.run_id AND o.perm = 0 WHERE s.perm > 0 GROUP BY 1)
+    SELECT run_id, moran_i, (least(reached, 999 - reached) + 1) / 1000e0 AS p_sim, mean_i_perm FROM counted""",
+    "moran_i p_sim mean_i_perm",
+)
 def _(t):
-    made = every_run(t, lambda means: S.moran_permutation_p(means, "station_code", "delta_value", 5, ("easting", "northing")))
-    return made.select("run_id", F.round("moran_i", 10).alias("moran_i"), "p_sim", F.round("mean_i_perm", 10).alias("mean_i_perm"))
+    coords = ("easting", "northing")
+    edges = every_run(t, lambda means: join_knn(means, "station_code", 5, coords))
+    return S.moran_permutation_p(run_means(t), "station_code", "delta_value", 5, coords, edges=edges, by=["run_id"]).select(
+        "run_id", "moran_i", "p_sim", "mean_i_perm"
+    )
 
 
 BAND = f"""{EPICENTRES}, spots AS (SELECT event_id, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude,

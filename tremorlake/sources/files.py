@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tremorlake.functions.scalars import normalize_code
 from tremorlake.operators.ordering import union_missing_columns
-from tremorlake.operators.quality import CheckFailed, coerce_types
+from tremorlake.operators.quality import ALERT_ALIASES, CheckFailed, coerce_types
 
 # Columns of the '|'-separated event text and their names here.
 CATALOG_COLUMNS = {
@@ -28,7 +28,8 @@ CATALOG_COLUMNS = {
 RECORD_WRAPPERS = ["alerts", "events", "results", "data", "items"]
 ALERT_RECORD = (
     "timestamp STRING, type STRING, level STRING, risk_index DOUBLE, threshold DOUBLE, min_stations BIGINT, "
-    "station STRING, severity STRING, risk_score DOUBLE, latitude DOUBLE, longitude DOUBLE, message STRING"
+    "station STRING, severity STRING, risk_score DOUBLE, latitude DOUBLE, longitude DOUBLE, message STRING, "
+    "event_reference_epoch DOUBLE, arrival_epoch DOUBLE, start_epoch DOUBLE, end_epoch DOUBLE, time_epoch DOUBLE"
 )
 NO_FILE = "N/A"
 HEADERS_AT_ONCE = 32
@@ -130,28 +131,35 @@ def scan_event_catalog(spark: SparkSession, path: str | Sequence[str]) -> DataFr
     return df.select(*out)
 
 
-def scan_json_records(spark: SparkSession, path: str | Sequence[str], record: str = ALERT_RECORD, lines: bool | None = None) -> DataFrame:
+def scan_json_records(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    record: str = ALERT_RECORD,
+    lines: bool | None = None,
+    aliases: Mapping[str, Sequence[str]] = ALERT_ALIASES,
+) -> DataFrame:
     """Records of JSON lines, or of JSON documents: a list, a record, or a list under a wrapper key.
 
-    Lines or documents that cannot be read are skipped. JSON lines split over tasks; a JSON document
-    is one value and is read by one task.
+    Records are VARIANT values, so they may have any fields. ``record`` names the columns to read; each is the first of
+    its ``aliases`` that a record has, whatever the other records have, and a number may be there as text.
+    A field that is absent or does not fit is NULL. Lines or documents that cannot be read are skipped. JSON
+    lines split over tasks; a JSON document is one value and is read by one task.
     """
     first = path if isinstance(path, str) else path[0]
     lines = first.endswith((".jsonl", ".jsonl.gz")) if lines is None else lines
-    schema = T.StructType.fromDDL(record).add("_corrupt_record", T.StringType())
     if lines:
-        read = spark.read.text(path).filter(F.trim("value") != "").select(F.from_json("value", schema).alias("r"))
-        return read.filter(F.col("r").isNotNull() & F.col("r._corrupt_record").isNull()).select("r.*").drop("_corrupt_record")
-    listed = T.ArrayType(schema)
-    wrapped = T.StructType([T.StructField(name, listed) for name in RECORD_WRAPPERS])
-    text = spark.read.text(path, wholetext=True).select(F.trim("value").alias("value"))
-    wrapper = F.from_json("value", wrapped)
-    one = F.array(F.from_json("value", schema))
-    records = F.when(F.col("value").startswith("["), F.from_json("value", listed)).otherwise(
-        F.coalesce(*[wrapper[name] for name in RECORD_WRAPPERS], one)
-    )
-    read = text.select(F.explode(records).alias("r"))
-    return read.filter(F.col("r").isNotNull() & F.col("r._corrupt_record").isNull()).select("r.*").drop("_corrupt_record")
+        read = spark.read.text(path).filter(F.trim("value") != "").select(F.try_parse_json("value").alias("r"))
+    else:
+        whole = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
+        lists = [F.try_variant_get("v", at, "array<variant>") for at in ("$", *[f"$.{name}" for name in RECORD_WRAPPERS])]
+        read = whole.filter("v IS NOT NULL").select(F.explode(F.coalesce(*lists, F.array("v"))).alias("r"))
+    records = read.filter(F.schema_of_variant("r").startswith("OBJECT"))
+
+    def value(field: T.StructField) -> Column:
+        kind = field.dataType.simpleString()
+        return F.coalesce(*[F.try_variant_get("r", f"$.{name}", kind) for name in aliases.get(field.name, [field.name])]).alias(field.name)
+
+    return records.select(*[value(field) for field in T.StructType.fromDDL(record)])
 
 
 def scan_parquet(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
