@@ -1,5 +1,7 @@
 """Detection, clusters, spectra and station inversion against plain Python."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -144,7 +146,35 @@ def test_station_positions_from_travel_times(spark):
     for hot_rows in (10**9, 10):  # groups in Python, and sums of the normal equations in Spark
         for r in D.invert_station_location(df, hot_rows=hot_rows).collect():
             np.testing.assert_allclose([r["x_m"], r["y_m"], r["velocity_m_s"]], truth[r["station_code"]], rtol=1e-4, atol=0.5)
-            assert r["rms_seconds"] < 1e-5 and r["n_events"] == 40
+            assert r["rms_seconds"] < 1e-5 and r["n_events"] == 40 and r["success"]
+            assert r["velocity_km_s"] == r["velocity_m_s"] / 1000 and r["elevation_assumed_m"] == 0.0
+
+
+def test_station_positions_carry_place_and_events(spark):
+    x, y = 431000.0, 4521000.0
+    rows = [("A", k % 30, x + 900 * math.cos(k), y + 700 * math.sin(2 * k), -1000.0 - 30 * k, 0.0) for k in range(60)]
+    rows = [(*r[:5], math.sqrt((r[2] - x - 50) ** 2 + (r[3] - y) ** 2 + r[4] ** 2) / 3000) for r in rows]
+    df = spark.createDataFrame(rows, "station_code STRING, event INT, x_m DOUBLE, y_m DOUBLE, z_m DOUBLE, travel_time DOUBLE")
+    got = {hot: D.invert_station_location(df, hot_rows=hot, events="event").first() for hot in (10**9, 10)}
+    for r in got.values():
+        assert r["event_ids_used"] == ",".join(map(str, range(30))) and abs(r["x_m"] - x - 50) < 0.5
+        assert abs(r["latitude"] - 40.84) < 0.1 and abs(r["longitude"] - 14.18) < 0.1
+    assert D.invert_station_location(df.limit(0), events="event").collect() == []
+
+
+def test_jobs_do_not_grow_with_the_stations(spark):
+    rows = [(f"S{s}", 100.0 * (k % 7), 100.0 * (k // 7), -500.0, 0.2 + 0.001 * ((k * 7 + s) % 5)) for s in range(12) for k in range(30)]
+    df = spark.createDataFrame(rows, "station_code STRING, x_m DOUBLE, y_m DOUBLE, z_m DOUBLE, travel_time DOUBLE")
+    context, jobs = spark.sparkContext, {}
+    for n in (2, 12):
+        context.setJobGroup(f"stations {n}", "")
+        many = D.invert_station_location(df.filter(F.col("station_code").isin([f"S{s}" for s in range(n)])), hot_rows=10)
+        jobs[n] = len(context.statusTracker().getJobIdsForGroup(f"stations {n}"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[12] < 2.5 * jobs[2]
+    plain = {r["station_code"]: r for r in D.invert_station_location(df).collect()}
+    for r in many.collect():
+        assert abs(r["rms_seconds"] - plain[r["station_code"]]["rms_seconds"]) < 1e-7
 
 
 def test_lengths():

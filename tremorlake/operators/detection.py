@@ -6,12 +6,14 @@ time windows, or blocks with enough rows in front of them, never over a trace of
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from tremorlake.functions.geo import unproject_utm
 from tremorlake.operators.chains import greedy_anchors
 from tremorlake.operators.quality import first_per_key
 from tremorlake.scale import HOT_ROWS, bounded, exact_quantiles, number_rows, spread
@@ -26,6 +28,7 @@ SEGMENT_SECONDS = 60.0
 MARGIN_METRES, VELOCITY_BOUNDS, FIRST_VELOCITY = 15_000.0, (1500.0, 7000.0), 4000.0
 BLOCK_ROWS = 200_000
 SEGMENTS_PER_GROUP = 64
+FIT_STEPS = 200
 
 
 def sta_lta_lengths(rate: float, sta_seconds: float, lta_seconds: float) -> tuple[int, int]:
@@ -272,32 +275,74 @@ def spectral_peak(samples: DataFrame, keys: Sequence[str], rate: float, segment_
     )
 
 
-def _fit(sums, start: np.ndarray, low: np.ndarray, high: np.ndarray, steps: int = 200) -> tuple[np.ndarray, float]:
-    """Bounded damped least squares; ``sums(p)`` gives (half the cost, normal matrix, gradient)."""
-    p = np.clip(start, low, high)
-    cost, normal, gradient = sums(p)
-    damping = 1e-3
-    for _ in range(steps):
-        free = ~(((p <= low) & (gradient > 0)) | ((p >= high) & (gradient < 0)))
-        if not free.any():
-            break
-        matrix = normal[np.ix_(free, free)]
-        scaled = matrix + damping * np.diag(np.maximum(np.diag(matrix), 1e-30))
-        move = np.zeros_like(p)
-        move[free] = np.linalg.lstsq(scaled, -gradient[free], rcond=None)[0]
-        trial = np.clip(p + move, low, high)
-        found = sums(trial)
-        if found[0] < cost:
-            gain, shift = cost - found[0], np.abs(trial - p) / np.maximum(np.abs(p), 1.0)
-            p, (cost, normal, gradient) = trial, found
-            damping = max(damping / 5, 1e-12)
-            if gain <= 1e-14 * max(cost, 1e-300) and shift.max() < 1e-10:
-                break
+class _Fit:
+    """Bounded damped least squares of one station, a step at a time: evaluate ``trial``, hand the sums to ``take``."""
+
+    def __init__(self, start: np.ndarray, low: np.ndarray, high: np.ndarray, steps: int = FIT_STEPS):
+        self.low, self.high, self.left = low, high, steps
+        self.p = self.trial = np.clip(start, low, high)
+        self.cost, self.damping, self.done, self.success = math.inf, 1e-3, False, False
+
+    def take(self, cost: float, normal: np.ndarray, gradient: np.ndarray) -> None:
+        """Half the cost, normal matrix and gradient at ``trial``; makes the next one, or ends."""
+        if cost < self.cost:
+            gain, shift = self.cost - cost, np.abs(self.trial - self.p) / np.maximum(np.abs(self.p), 1.0)
+            first = math.isinf(self.cost)
+            self.p, self.cost, self.normal, self.gradient = self.trial, cost, normal, gradient
+            if not first:
+                self.damping = max(self.damping / 5, 1e-12)
+                if gain <= 1e-14 * max(cost, 1e-300) and shift.max() < 1e-10:
+                    return self._end(True)
         else:
-            damping *= 4
-            if damping > 1e12:
-                break
-    return p, cost
+            self.damping *= 4
+            if self.damping > 1e12:
+                return self._end(True)  # no step makes it better
+        if self.left == 0:
+            return self._end(False)
+        self.left -= 1
+        free = ~(((self.p <= self.low) & (self.gradient > 0)) | ((self.p >= self.high) & (self.gradient < 0)))
+        if not free.any():
+            return self._end(True)
+        matrix = self.normal[np.ix_(free, free)]
+        scaled = matrix + self.damping * np.diag(np.maximum(np.diag(matrix), 1e-30))
+        move = np.zeros_like(self.p)
+        move[free] = np.linalg.lstsq(scaled, -self.gradient[free], rcond=None)[0]
+        self.trial = np.clip(self.p + move, self.low, self.high)
+
+    def _end(self, success: bool) -> None:
+        self.done, self.success = True, success and bool(np.isfinite(self.cost))
+
+
+_SOLVED = "station_code STRING, x_m DOUBLE, y_m DOUBLE, velocity_m_s DOUBLE, n_events BIGINT, rms_seconds DOUBLE, success BOOLEAN"
+
+
+def _solved_row(station: str, fit: _Fit, n: int) -> tuple:
+    return station, float(fit.p[0]), float(fit.p[1]), float(fit.p[2]), int(n), float(math.sqrt(2 * fit.cost / n)), fit.success
+
+
+def _fit_together(rows: DataFrame, stations: list, first_velocity: float, z_station: float, low: np.ndarray, high: np.ndarray) -> DataFrame:
+    """Stations with very many rows: one grouped aggregation of the normal equations a step for all that go on, each with
+    its own damping. The parameters are a small table; the number of jobs is that of the slowest station's steps."""
+    spark = rows.sparkSession
+    fits = {s["station_code"]: (_Fit(np.array([s["x"], s["y"], first_velocity]), low, high), s["n"]) for s in stations}
+    going = set(fits)
+    while going:
+        trials = spark.createDataFrame([(c, *map(float, fits[c][0].trial)) for c in sorted(going)], "station_code STRING, p0 DOUBLE, p1 DOUBLE, p2 DOUBLE")
+        at = rows.join(F.broadcast(trials), "station_code")
+        dx, dy, dz = F.col("x_m") - F.col("p0"), F.col("y_m") - F.col("p1"), F.col("z_m") - z_station
+        d = F.greatest(F.sqrt(dx * dx + dy * dy + dz * dz), F.lit(1e-9))
+        r = d / F.col("p2") - F.col("travel_time")
+        at = at.select("station_code", r.alias("r"), (-dx / d / F.col("p2")).alias("j0"), (-dy / d / F.col("p2")).alias("j1"), (-d / F.col("p2") / F.col("p2")).alias("j2"))
+        pairs = [("r", "r"), *[(f"j{i}", "r") for i in range(3)], *[(f"j{i}", f"j{k}") for i in range(3) for k in range(i, 3)]]
+        sums = at.groupBy("station_code").agg(*[F.sum(F.col(a) * F.col(b)).alias(f"s{i}") for i, (a, b) in enumerate(pairs)])
+        for row in sums.collect():
+            fit, s = fits[row["station_code"]][0], list(row)[1:]
+            upper = np.zeros((3, 3))
+            upper[np.triu_indices(3)] = s[4:]
+            fit.take(0.5 * s[0], upper + upper.T - np.diag(np.diag(upper)), np.array(s[1:4]))
+            if fit.done:
+                going.discard(row["station_code"])
+    return spark.createDataFrame([_solved_row(code, fit, n) for code, (fit, n) in fits.items()], _SOLVED)
 
 
 def invert_station_location(
@@ -307,64 +352,54 @@ def invert_station_location(
     velocity: tuple[float, float] = VELOCITY_BOUNDS,
     first_velocity: float = FIRST_VELOCITY,
     hot_rows: int | None = None,
+    events: str | None = None,
 ) -> DataFrame:
     """Least-squares position and wave speed of each station from (x_m, y_m, z_m, travel_time) rows.
 
-    A station with many rows is solved by Spark sums of the normal equations, one aggregation a step;
-    the other stations are solved in parallel, one small group each, by the same iteration.
+    Returns station_code, latitude, longitude, elevation_assumed_m, x_m, y_m, velocity_m_s, velocity_km_s, n_events,
+    rms_seconds, success (the solver came to rest; rows that did not stay, marked), and with ``events``, the name of a column, event_ids_used: the
+    distinct events in order, joined by commas, one text a station.
+    Stations with many rows are solved together by Spark sums of the normal equations, one aggregation a step for all of them;
+    the others in parallel, one small group each, by the same steps.
     """
     box = observations.agg(F.min("x_m"), F.max("x_m"), F.min("y_m"), F.max("y_m")).first()
-    schema = "station_code STRING, x_m DOUBLE, y_m DOUBLE, velocity_m_s DOUBLE, n_events BIGINT, rms_seconds DOUBLE"
+    spark = observations.sparkSession
     if box[0] is None:  # no observations: a typed, empty result
-        return observations.sparkSession.createDataFrame([], schema)
+        return _located(spark.createDataFrame([], _SOLVED), z_station, observations, events)
     low = np.array([box[0] - margin, box[2] - margin, velocity[0]])
     high = np.array([box[1] + margin, box[3] + margin, velocity[1]])
-    sizes = observations.groupBy("station_code").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("x_m").alias("x"), F.avg("y_m").alias("y")
-    )
+    sizes = observations.groupBy("station_code").agg(F.count(F.lit(1)).alias("n"), F.avg("x_m").alias("x"), F.avg("y_m").alias("y"))
     hot = sizes.filter(F.col("n") > (hot_rows or HOT_ROWS)).collect()  # at most rows / hot_rows stations
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         x, y, z, t = (pdf[c].to_numpy() for c in ("x_m", "y_m", "z_m", "travel_time"))
-
-        def sums(p):
+        fit = _Fit(np.array([x.mean(), y.mean(), first_velocity]), low, high)
+        while not fit.done:
+            p = fit.trial
             dx, dy, dz = x - p[0], y - p[1], z - z_station
             d = np.maximum(np.sqrt(dx * dx + dy * dy + dz * dz), 1e-9)
             r = d / p[2] - t
             jac = np.stack([-dx / d / p[2], -dy / d / p[2], -d / p[2] ** 2])
-            return 0.5 * float(r @ r), jac @ jac.T, jac @ r
-
-        p, cost = _fit(sums, np.array([x.mean(), y.mean(), first_velocity]), low, high)
-        return pd.DataFrame(
-            {
-                "station_code": [pdf["station_code"].iloc[0]],
-                "x_m": [p[0]],
-                "y_m": [p[1]],
-                "velocity_m_s": [p[2]],
-                "n_events": [len(t)],
-                "rms_seconds": [float(np.sqrt(2 * cost / len(t)))],
-            }
-        )
+            fit.take(0.5 * float(r @ r), jac @ jac.T, jac @ r)
+        return pd.DataFrame([_solved_row(pdf["station_code"].iloc[0], fit, len(t))], columns=[c.split()[0] for c in _SOLVED.split(", ")])
 
     needed = observations.select("station_code", "x_m", "y_m", "z_m", "travel_time")
-    names = [row["station_code"] for row in hot]
-    small = needed.filter(~F.col("station_code").isin(names))
-    made = spread(small, ["station_code"]).groupBy("station_code").applyInPandas(solve, schema)
-    for row in hot:
-        mine = needed.filter(F.col("station_code") == row["station_code"])
-
-        def sums(p, mine=mine):
-            dx, dy, dz = F.col("x_m") - float(p[0]), F.col("y_m") - float(p[1]), F.col("z_m") - z_station
-            d = F.greatest(F.sqrt(dx * dx + dy * dy + dz * dz), F.lit(1e-9))
-            r = d / float(p[2]) - F.col("travel_time")
-            jac = [-dx / d / float(p[2]), -dy / d / float(p[2]), -d / float(p[2] ** 2)]
-            wanted = [r * r, *[a * r for a in jac], *[jac[i] * jac[j] for i in range(3) for j in range(i, 3)]]
-            s = mine.agg(*[F.sum(w) for w in wanted]).first()
-            upper = np.zeros((3, 3))
-            upper[np.triu_indices(3)] = s[4:]
-            return 0.5 * s[0], upper + upper.T - np.diag(np.diag(upper)), np.array(s[1:4])
-
-        p, cost = _fit(sums, np.array([row["x"], row["y"], first_velocity]), low, high)
-        solved = [(row["station_code"], float(p[0]), float(p[1]), float(p[2]), row["n"], float(np.sqrt(2 * cost / row["n"])))]
-        made = made.unionByName(observations.sparkSession.createDataFrame(solved, schema))
-    return made
+    if not hot:
+        return _located(spread(needed, ["station_code"]).groupBy("station_code").applyInPandas(solve, _SOLVED), z_station, observations, events)
+    names = F.broadcast(spark.createDataFrame([(r["station_code"],) for r in hot], "station_code STRING"))
+    small = needed.join(names, "station_code", "left_anti")
+    made = spread(small, ["station_code"]).groupBy("station_code").applyInPandas(solve, _SOLVED)
+    large = durable(needed.join(names, "station_code", "left_semi"))
+    return _located(made.unionByName(_fit_together(large, hot, first_velocity, z_station, low, high)), z_station, observations, events)
+
+
+def _located(solved: DataFrame, z_station: float, observations: DataFrame, events: str | None) -> DataFrame:
+    latitude, longitude = unproject_utm("x_m", "y_m")
+    columns = [
+        "station_code", latitude.alias("latitude"), longitude.alias("longitude"), F.lit(float(z_station)).alias("elevation_assumed_m"), "x_m", "y_m",
+        "velocity_m_s", (F.col("velocity_m_s") / 1000).alias("velocity_km_s"), "n_events", "rms_seconds", "success",
+    ]
+    if events is None:
+        return solved.select(*columns)
+    used = observations.groupBy(F.col("station_code").alias("_of")).agg(F.array_join(F.sort_array(F.collect_set(events)), ",").alias("event_ids_used"))
+    return solved.join(used, F.col("station_code") == F.col("_of"), "left").select(*columns, "event_ids_used")

@@ -145,5 +145,7 @@ def _(t):
     x, y = project_utm("latitude", "longitude")
     sources = placed.select("event_id", x.alias("x_m"), y.alias("y_m"), (F.col("delta_seconds") * -100).alias("z_m"))
     rows = timed.select("event_id", "station_code", (F.col("travel_time") / 10).alias("travel_time")).join(sources, "event_id")
-    solved = D.invert_station_location(rows)
-    return solved.select("station_code", *[F.round(c, 3).alias(c) for c in ("x_m", "y_m", "velocity_m_s", "rms_seconds")], "n_events")
+    solved = D.invert_station_location(rows, events="event_id")
+    metres = [F.round(c, 3).alias(c) for c in ("x_m", "y_m", "velocity_m_s", "rms_seconds")]
+    degrees = [F.round(c, 8).alias(c) for c in ("latitude", "longitude", "velocity_km_s")]
+    return solved.select("station_code", *metres, *degrees, "n_events", "success", F.sha2("event_ids_used", 256).alias("event_ids_sha256"))
