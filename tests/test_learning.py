@@ -176,3 +176,20 @@ def test_features_and_target(spark):
 def test_class_weights(spark):
     got = {r["label"]: (r["weight"], r["neg_over_pos"]) for r in L.class_weights(scores(spark, [0, 0, 0, 1], [0] * 4), "label").collect()}
     assert got == {0: (4 / 6, 3.0), 1: (2.0, 3.0)}
+
+
+def test_boosting_is_cut_at_its_best_round(spark):
+    rng = np.random.default_rng(9)
+    x = rng.uniform(0, 1, (400, 2))
+    steady = (x[:, 0] + x[:, 1] > 1).astype(int)
+    for turned, rounds in ((False, None), (True, 1)):
+        y = np.where(np.arange(400) >= 340, 1 - steady, steady) if turned else steady  # a tail with the opposite labels gains from no round
+        rows = [(i, float(a), float(b), int(c)) for i, ((a, b), c) in enumerate(zip(x, y))]
+        df = spark.createDataFrame(rows, "t INT, a DOUBLE, b DOUBLE, label INT")
+        model, curve = L.fit_boosting(df, ["a", "b"], "label", ["t"], rounds=6, depth=2)
+        losses = [r["loss"] for r in curve.orderBy("round").collect()]
+        best = losses.index(min(losses)) + 1
+        assert len(losses) == 6 and len(model.treeWeights) == best == curve.filter("kept").count() and best == (rounds or best)
+        assert turned or best > 1
+        assert L.score_table(L.Scorer(model, ["a", "b"]), df, ["t"]).count() == 400
+    assert L.best_round([5, 4, 3, 3.5, 3.4, 3.3, 1], 3) == 3 and L.best_round([5, 4, 3, 3.5, 3.4, 3.3, 1], 4) == 7 and L.best_round([1, 2], 10) == 1

@@ -7,8 +7,9 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 import numpy as np
+from pyspark import SparkContext
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -24,7 +25,7 @@ from tremorlake.session import durable
 # Training and selection settings.
 FIT_SHARE, TEST_SHARE, SEED = 0.85, 0.2, 42
 TREES, DEPTH = 200, 10
-BOOST_ROUNDS, BOOST_DEPTH = 100, 5
+BOOST_ROUNDS, BOOST_DEPTH, BOOST_PATIENCE = 100, 5, 10
 F1_THRESHOLDS, MCC_THRESHOLDS = (0.0, 1.0, 100), (0.01, 0.95, 181)
 MODEL_PRIORITY = ["transformer", "random_forest", "xgboost"]
 DEPLOY_R2, DEFAULT_DEPLOY_R2 = 0.70, 0.85
@@ -156,22 +157,61 @@ def train_gbt(
     seed: int = SEED,
     hot_rows: int | None = None,
 ) -> Model:
-    """Boosted trees on log-loss that stop when the last 15 % of the rows by time no longer gain.
+    """Boosted trees on log-loss, cut after the round that was best on the last 15 % of the rows by time; see ``fit_boosting``."""
+    return fit_boosting(df, features, label, order, rounds, depth, seed, hot_rows=hot_rows)[0]
 
-    The validation rows are the tail of the training rows, never the test set.
+
+def fit_boosting(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    order: Sequence[str],
+    rounds: int = BOOST_ROUNDS,
+    depth: int = BOOST_DEPTH,
+    seed: int = SEED,
+    patience: int = BOOST_PATIENCE,
+    hot_rows: int | None = None,
+) -> tuple[Model, DataFrame]:
+    """Boosted trees and their validation curve (round, loss, kept).
+
+    The trees are fitted on the rows before the last 15 % by time, and every prefix of them is scored on these, which
+    are the tail of the training rows, never the test set. Kept are the trees up to the best round before the first
+    ``patience`` rounds in a row that do not better it.
     """
-    numbered = number_rows(with_weights(df, label), [], [F.col(c) for c in order], "_pos", hot_rows)
-    cut = max(1, int(df.count() * FIT_SHARE))
-    ready = assembled(numbered.withColumn("is_validation", F.col("_pos") > cut), features)
-    return GBTClassifier(
-        featuresCol="features",
-        labelCol=label,
-        weightCol="weight",
-        maxIter=rounds,
-        maxDepth=depth,
-        seed=seed,
-        validationIndicatorCol="is_validation",
-    ).fit(ready)
+    numbered = durable(number_rows(with_weights(df, label), [], [F.col(c) for c in order], "_pos", hot_rows))
+    cut = max(1, int(numbered.count() * FIT_SHARE))
+    ready = assembled(numbered, features)
+    head, tail = ready.filter(F.col("_pos") <= cut), ready.filter(F.col("_pos") > cut)
+    model = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxIter=rounds, maxDepth=depth, seed=seed).fit(head)
+    losses = list(model.evaluateEachIteration(tail)) if not tail.isEmpty() else []
+    best = best_round(losses, patience) if losses else rounds
+    curve = [(i + 1, float(loss), i < best) for i, loss in enumerate(losses)]
+    return first_trees(model, best), df.sparkSession.createDataFrame(curve, "round INT, loss DOUBLE, kept BOOLEAN")
+
+
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """The round (from 1) of the least loss, looked for until ``patience`` rounds in a row do not better it."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_trees(model: Model, rounds: int) -> Model:
+    """The boosted model of the first ``rounds`` trees of ``model``."""
+    trees, weights = model._java_obj.trees(), model.treeWeights
+    if rounds >= len(weights):
+        return model
+    gateway = SparkContext._active_spark_context._gateway
+    jvm = gateway.jvm
+    kept = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    scale = gateway.new_array(jvm.double, rounds)
+    for i in range(rounds):
+        kept[i], scale[i] = trees[i], float(weights[i])
+    return GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(model.uid, kept, scale))
 
 
 @dataclass

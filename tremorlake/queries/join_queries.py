@@ -91,11 +91,24 @@ def _(t):
     return J.join_base_soft(A.station_stats(base, "base"), A.station_stats(soft, "soft"))
 
 
+ALL_MEANS = """means AS (SELECT station_code, avg(delta_seconds) AS delta_value FROM picks GROUP BY 1),
+  base AS (SELECT m.*, s.longitude * 100000e0 AS easting, s.latitude * 100000e0 AS northing FROM means m JOIN stations s USING (station_code))"""
+
+
+def all_means(t):
+    """Mean delta of all picks, whatever their run, at each station's place."""
+    return _at_places(t, t.picks.groupBy("station_code").agg(F.avg("delta_seconds").alias("delta_value")), [])
+
+
 def run_means(t, run: str | None = None):
     """Mean delta at each station's place, of one run or, with its run_id, of each; longitude and latitude stand for x and y."""
     picks = t.picks.filter("run_id IS NOT NULL") if run is None else t.picks.filter(F.col("run_id") == run)
     group = ["run_id"] if run is None else []
     means = picks.groupBy(*group, "station_code").agg(F.avg("delta_seconds").alias("delta_value"))
+    return _at_places(t, means, group)
+
+
+def _at_places(t, means, group):
     placed = J.join_station_dim(means, t.stations.select("station_code", "latitude", "longitude")).filter(F.col("latitude").isNotNull())
     return placed.select(
         *group,
@@ -209,11 +222,11 @@ def _grid_sql(source: str, size: int, name: str) -> str:
 @query(
     "interp_nearest",
     "picks stations",
-    f", {RUN_MEANS}, {_grid_sql('base', 60, 'g')} SELECT * FROM g",
+    f", {ALL_MEANS}, {_grid_sql('base', 60, 'g')} SELECT * FROM g",
     "delta_value",
 )
 def _(t):
-    return J.interp_nearest(run_means(t, "run_0"), "station_code", "delta_value", 60, ("easting", "northing"))
+    return J.interp_nearest(all_means(t), "station_code", "delta_value", 60, ("easting", "northing"))
 
 
 @query(

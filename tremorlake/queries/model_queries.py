@@ -72,6 +72,13 @@ def _(t):
     return L.confusion_metrics(scored, "label", "probability")
 
 
+@query("boosting_curve")
+def _(t):
+    """The validation loss after each round, and the rounds that the model keeps."""
+    curve = L.fit_boosting(durable(labelled_picks(t)), PICK_FEATURES, "label", ["arrival_iso", "pick_id"], rounds=12, depth=4)[1]
+    return curve.select("round", F.round("loss", 6).alias("loss"), "kept")
+
+
 @query("train_regressors")
 def _(t):
     lines = t.raw("lineitem").select(

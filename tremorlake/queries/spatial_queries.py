@@ -8,7 +8,7 @@ from tremorlake.operators import aggregates as A, spatial as S
 from tremorlake.operators.joins import join_knn
 from tremorlake.queries import query
 from tremorlake.queries.aggregate_queries import BEARING, EPICENTRES, HAVERSINE, PLACED
-from tremorlake.queries.join_queries import RUN_MEANS, every_run, run_means
+from tremorlake.queries.join_queries import ALL_MEANS, RUN_MEANS, all_means, every_run, run_means
 
 KNN = """pairs AS (SELECT a.station_code AS i, b.station_code AS j, (b.easting - a.easting) * (b.easting - a.easting)
     + (b.northing - a.northing) * (b.northing - a.northing) AS d2 FROM base a JOIN base b ON a.station_code <> b.station_code),
@@ -19,12 +19,12 @@ KNN = """pairs AS (SELECT a.station_code AS i, b.station_code AS j, (b.easting -
 @query(
     "moran_global_knn",
     "picks stations",
-    f""", {RUN_MEANS}, {KNN}, lagged AS (SELECT i, sum(0.2e0 * z) AS lag FROM knn JOIN zs ON j = station_code GROUP BY i)
+    f""", {ALL_MEANS}, {KNN}, lagged AS (SELECT i, sum(0.2e0 * z) AS lag FROM knn JOIN zs ON j = station_code GROUP BY i)
     SELECT sum(z * lag) / sum(z * z) AS moran_i, -1e0 / (count(*) - 1) AS expected_i, count(*) AS n FROM zs JOIN lagged ON i = station_code""",
     "moran_i expected_i",
 )
 def _(t):
-    return S.moran_global_knn(run_means(t, "run_0"), "station_code", "delta_value", 5, ("easting", "northing"))
+    return S.moran_global_knn(all_means(t), "station_code", "delta_value", 5, ("easting", "northing"))
 
 
 @query(
