@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tremorlake.operators.detection import coincidence_events
 from tremorlake.schemas import table_schema
+from tremorlake.sources.versioned import VersionedTable, by_day
 from tremorlake.streaming import monitor as M
 
 T0 = datetime(2024, 1, 1)
@@ -138,6 +139,17 @@ def test_ingest_keeps_late_rows_and_adds_nothing_twice(spark, picks, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 51
 
 
+def test_versioned_ingest_touches_its_days(spark, picks, tmp_path):
+    late = (99_999, "N0", "S0", "Z", T0 - timedelta(days=2), 0.5)
+    stream = stream_of(spark, tmp_path / "in", [*picks[:20], late, *picks[20:40]], 2)
+    schema, key, path = table_schema("pick_id:long ts:ts value:dbl"), ["pick_id", "ts"], str(tmp_path / "t")
+    for attempt in range(2):
+        M.start_ingest(stream, path, schema, key, str(tmp_path / f"c{attempt}"), by=by_day("ts")).awaitTermination()
+    table = VersionedTable(spark, path, schema, key, by_day("ts"))
+    assert table.read().count() == table.rows() == 41 and table.versions() == [1, 2]
+    assert len(table.manifest(2)[1]["2024-01-01"]) == 2 and len(table.manifest(2)[1]["2023-12-30"]) == 1
+
+
 def test_ingest_goes_on_past_a_failed_batch(spark, picks, tmp_path, monkeypatch):
     from tremorlake.sources import sinks
 

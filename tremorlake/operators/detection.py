@@ -85,6 +85,17 @@ def demean_taper(samples: DataFrame, keys: Sequence[str], pos: str = "pos", valu
     return joined.withColumn(value, (F.col(value) - F.col("_mean")) * weight).drop("_mean", "_n")
 
 
+def window_energy(
+    samples: DataFrame, keys: Sequence[str], rate: float, lta_seconds: float = 20.0, window_seconds: float = WINDOW_SECONDS
+) -> DataFrame:
+    """Root mean square and peak of each window as detection sees it, without its mean and with tapered ends:
+    (keys, win, window_seconds from the trace's start, rms, peak). The windows are those of ``chunk_windows``."""
+    chunks = chunk_windows(samples, keys, rate, lta_seconds, window_seconds)
+    energy = energy_rms_peak(demean_taper(chunks, [*keys, "win"]), [*keys, "win"])
+    step = round((window_seconds - max(LEAST_OVERLAP_SECONDS, 3 * lta_seconds)) * rate)
+    return energy.select(*keys, "win", (F.col("win") * step / rate).alias("window_seconds"), "rms", "peak")
+
+
 def sta_lta_ratio(
     samples: DataFrame,
     keys: Sequence[str],

@@ -66,6 +66,16 @@ def _(t):
     return D.energy_rms_peak(chunks(t), ["station_code", "win"])
 
 
+@query(
+    "window_energy",
+    "samples",
+    f", {TAPERED} SELECT station_code, win, win * 140e0 AS window_seconds, sqrt(avg(x * x)) AS rms, max(abs(x)) AS peak FROM tapered GROUP BY station_code, win",
+    "window_seconds rms peak",
+)
+def _(t):
+    return D.window_energy(t.samples, ["station_code"], 1.0, 20.0, 200.0)
+
+
 @query("demean_taper", "samples", f", {TAPERED} SELECT station_code, win, pos, x FROM tapered", "x")
 def _(t):
     return tapered(t).select("station_code", "win", "pos", "x")

@@ -12,6 +12,7 @@ from tremorlake.operators.detection import coincidence_events
 from tremorlake.queries import query
 from tremorlake.queries.source_queries import scratch, threshold_rows
 from tremorlake.schemas import table_schema
+from tremorlake.sources.versioned import VersionedTable, by_day
 from tremorlake.streaming import monitor as M
 
 MARK = "(SELECT date_trunc('milliseconds', max(arrival_iso)) - INTERVAL 10 MINUTE FROM picks)"
@@ -156,6 +157,15 @@ def _(t):
     return t.spark.read.schema(schema).parquet(path)
 
 
+@query("stream_ingest_versioned", "picks", " SELECT pick_id, network, station_code, channel, arrival_iso, delta_seconds FROM picks", "delta_seconds")
+def _(t):
+    schema, key, path = table_schema("pick_id:long network:str station_code:str channel:str arrival_iso:ts delta_seconds:dbl"), ["pick_id", "arrival_iso"], scratch(t)
+    for attempt in (1, 2):  # a second stream over the same files adds nothing
+        M.start_ingest(stream_picks(t), path, schema, key, f"{path}-checkpoint-{attempt}", by=by_day("arrival_iso")).awaitTermination()
+    table = VersionedTable(t.spark, path, schema, key, by_day("arrival_iso"))
+    return table.read()
+
+
 @query(
     "stream_coincidence",
     "picks",

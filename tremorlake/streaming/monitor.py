@@ -253,16 +253,24 @@ def start_ingest(
     checkpoint: str,
     failures: str | None = None,
     partition: str | None = None,
+    by: Callable[[], Column] | None = None,
 ):
     """A stream that inserts each batch by key and goes on past a batch that fails.
 
+    With ``by``, the partition of a row told from its key (``by_day`` and others), ``path`` is a versioned table: a batch
+    reads and writes its own partitions only, all of it or nothing, and a batch that is run again after a failure adds nothing.
+
     ``partition`` (part of the key) limits what a batch is compared with. A failed batch is written to ``failures`` as it came, with its error; without that folder it raises.
     """
     from tremorlake.sources.sinks import insert_ignore
+    from tremorlake.sources.versioned import VersionedTable
 
     def load(batch: DataFrame, number: int) -> None:
         try:
-            insert_ignore(batch, path, schema, key, partition=partition)
+            if by is not None:
+                VersionedTable(batch.sparkSession, path, schema, key, by).insert_ignore(batch)
+            else:
+                insert_ignore(batch, path, schema, key, partition=partition)
         except Exception as error:  # noqa: BLE001
             if failures is None:
                 raise
