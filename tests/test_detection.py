@@ -133,6 +133,18 @@ def test_spectral_peak(spark):
     assert abs(top - np.mean(spectra, axis=0).max()) < 1e-9 * top
 
 
+def test_trace_report(spark):
+    n = np.arange(600)
+    x = np.sin(2 * np.pi * 0.1 * n)
+    x[430] = -9.0
+    starts = spark.createDataFrame([("A", 1_700_000_000)], "station_code STRING, s LONG").select("station_code", F.timestamp_seconds("s").alias("start"))
+    got = {r["station_code"]: r for r in D.trace_report(frame(spark, {"A": x, "B": x}), starts, ["station_code"], 1.0, 4, 20).collect()}
+    a, b = got["A"], got["B"]
+    assert (a["trace_id"], a["start_time_iso"], a["end_time_iso"]) == ("A", "2023-11-14T22:13:20.000000Z", "2023-11-14T22:23:19.000000Z")
+    assert a["amplitude_peak_time_epoch"] == 1_700_000_430 and abs(a["frequency_peak_hz"] - 0.1) < 0.02 and a["npts"] == 600
+    assert b["start_time_iso"] is None and b["amplitude_peak"] == -9.0
+
+
 def test_station_positions_from_travel_times(spark):
     rng = np.random.default_rng(3)
     truth = {"ST1": (500.0, -800.0, 3500.0), "ST2": (-2500.0, 1200.0, 5000.0)}

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from tremorlake.functions.geo import unproject_utm
+from tremorlake.functions.scalars import iso_text
 from tremorlake.operators.chains import greedy_anchors
 from tremorlake.operators.quality import first_per_key
 from tremorlake.scale import HOT_ROWS, bounded, exact_quantiles, number_rows, spread
@@ -244,6 +245,27 @@ def trace_summary(
     return plain.join(p95, keys).join(detect, keys, "left")
 
 
+def trace_report(
+    samples: DataFrame, starts: DataFrame, keys: Sequence[str], rate: float, nsta: int, nlta: int, value: str = "x", hot_rows: int | None = None
+) -> DataFrame:
+    """One row a trace with its ids, start and end, times as seconds since 1970, amplitudes, STA/LTA and the strongest frequency.
+
+    ``starts`` has the time of sample 0 of each trace (keys, start). Traces without one have NULL times.
+    """
+    keys = list(keys)
+    samples = durable(samples)
+    summary = trace_summary(samples, keys, rate, nsta, nlta, value, hot_rows)
+    spectrum = spectral_peak(samples, keys, rate, value=value).select(*keys, "frequency_peak_hz")
+    joined = summary.join(spectrum, keys, "left").join(bounded(starts.select(*keys, F.unix_micros("start").alias("_us"))), keys, "left")
+    end = F.col("_us") + F.round((F.col("npts") - 1) / rate * 1e6).cast("long")
+    epoch = lambda seconds: F.col("_us") / 1e6 + F.col(seconds)
+    return joined.select(
+        F.concat_ws(".", *keys).alias("trace_id"), *keys, iso_text(F.timestamp_micros("_us")).alias("start_time_iso"), iso_text(F.timestamp_micros(end)).alias("end_time_iso"),
+        "duration_s", F.lit(float(rate)).alias("sampling_rate_hz"), "npts", "amplitude_peak", epoch("amplitude_peak_time").alias("amplitude_peak_time_epoch"),
+        "amplitude_rms", "amplitude_std", "percentile_95", "sta_lta_peak", epoch("sta_lta_peak_time").alias("sta_lta_peak_time_epoch"), "sta_lta_mean", "frequency_peak_hz",
+    )
+
+
 def spectral_peak(samples: DataFrame, keys: Sequence[str], rate: float, segment_seconds: float = SEGMENT_SECONDS, value: str = "x") -> DataFrame:
     """Frequency of the strongest bin of the averaged spectrum of half-overlapping Hann segments.
 

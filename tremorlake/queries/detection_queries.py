@@ -140,6 +140,26 @@ def _(t):
     return D.trace_summary(t.samples, ["station_code"], 1.0, 4, 20)
 
 
+@query(
+    "trace_report",
+    "samples",
+    """, sized AS (SELECT *, count(*) OVER (PARTITION BY station_code) AS m, 0 AS win, n AS pos FROM samples), """
+    + ratio_sql("sized", 4, 20)
+    + """, a AS (SELECT station_code, TIMESTAMP '2024-01-01' + to_minutes(CAST(substr(station_code, 3) AS INTEGER)) AS start, count(*) AS npts,
+      arg_max(n, (abs(x), -n)) AS peak_at, quantile_cont(abs(x), 0.95) AS percentile_95 FROM samples GROUP BY 1),
+    b AS (SELECT station_code, max(ratio) AS sta_lta_peak, arg_max(n, (ratio, -n)) AS ratio_at FROM ratios GROUP BY 1)
+    SELECT station_code AS trace_id, strftime(start, '%Y-%m-%dT%H:%M:%S.%fZ') AS start_time_iso,
+      strftime(start + to_seconds(npts - 1), '%Y-%m-%dT%H:%M:%S.%fZ') AS end_time_iso, npts, percentile_95, epoch(start) + peak_at AS amplitude_peak_time_epoch,
+      sta_lta_peak, epoch(start) + ratio_at AS sta_lta_peak_time_epoch FROM a LEFT JOIN b USING (station_code)""",
+    "percentile_95 amplitude_peak_time_epoch:3 sta_lta_peak sta_lta_peak_time_epoch:3",
+)
+def _(t):
+    minutes = F.substring("station_code", 3, 10).cast("long")
+    starts = t.samples.select("station_code").distinct().withColumn("start", F.timestamp_micros(F.unix_micros(F.lit("2024-01-01").cast("timestamp")) + minutes * 60_000_000))
+    made = D.trace_report(t.samples, starts, ["station_code"], 1.0, 4, 20)
+    return made.select("trace_id", "start_time_iso", "end_time_iso", "npts", "percentile_95", "amplitude_peak_time_epoch", "sta_lta_peak", "sta_lta_peak_time_epoch")
+
+
 @query("spectral_peak")
 def _(t):
     return D.spectral_peak(t.samples, ["station_code"], 1.0).select(
