@@ -469,7 +469,7 @@ def compare_models_table(candidates: DataFrame, digits: int = 4) -> DataFrame:
 
 def retrain_triggers(
     runs: DataFrame,
-    rows_now: int,
+    rows_now: int | DataFrame,
     now: datetime | Column,
     models: Sequence[str],
     interval_seconds: int = RETRAIN_SECONDS,
@@ -478,13 +478,15 @@ def retrain_triggers(
 ) -> DataFrame:
     """Models to retrain, with the reasons that hold: time, new rows, or a latest R2 below the limit.
 
-    ``runs`` is the audit of training runs: (model, trained_at, n_rows, r2).
+    ``runs`` is the audit of training runs: (model, trained_at, n_rows, r2); ``rows_now`` the training rows there are now, as a number or a
+    table to be counted. Of runs at the same time the one with the last model name, the most rows and the largest R2 counts as the latest.
     """
+    rows_now = rows_now if isinstance(rows_now, int) else rows_now.count()
     now = F.lit(now) if isinstance(now, datetime) else now
     spark = runs.sparkSession
-    latest = runs.groupBy("model").agg(F.max_by("r2", "trained_at").alias("r2"))
+    latest = runs.groupBy("model").agg(F.max_by("r2", F.struct("trained_at", "n_rows", "r2")).alias("r2"))
     low = latest.filter(F.col("model").isin(list(models))).agg(F.coalesce(F.min("r2") < r2_limit, F.lit(False)).alias("low"))
-    last = runs.agg(F.max("trained_at").alias("at"), F.coalesce(F.max_by("n_rows", "trained_at"), F.lit(0)).alias("n"))
+    last = runs.agg(F.max("trained_at").alias("at"), F.coalesce(F.max_by("n_rows", F.struct("trained_at", "model", "n_rows")), F.lit(0)).alias("n"))
     due = last.select(
         F.coalesce(F.unix_micros(now) - F.unix_micros(F.col("at")) >= interval_seconds * 1_000_000, F.lit(True)).alias("time_due"),
         (F.lit(rows_now) - F.col("n") >= min_new_rows).alias("rows_due"),

@@ -264,6 +264,22 @@ def _(t):
     return due.select("model", *[F.col(c).cast("int").alias(c) for c in ("time_due", "score_due")])
 
 
+@query(
+    "retrain_by_rows",
+    "picks",
+    f""", {AUDIT}, last AS (SELECT max(trained_at) AS trained, max_by(n_rows, (trained_at, model, n_rows)) AS n FROM audit),
+    present AS (SELECT count(*) AS rows_now, max(arrival_iso) AS latest FROM picks)
+    SELECT model, (latest - trained >= INTERVAL 2592000 SECOND)::INTEGER AS time_due, (rows_now - n >= 1000)::INTEGER AS rows_due
+    FROM (VALUES ('xgboost'), ('random_forest')) v(model), last, present WHERE latest - trained >= INTERVAL 2592000 SECOND OR rows_now - n >= 1000
+      OR (SELECT min(r2) < 0.7e0 FROM (SELECT model, max_by(r2, (trained_at, n_rows, r2)) AS r2 FROM audit GROUP BY model))""",
+)
+def _(t):
+    """Rows are those of the table, now is its last time."""
+    now = t.picks.agg(F.max("arrival_iso")).first()[0]
+    due = L.retrain_triggers(audit(t), t.picks, now, ["xgboost", "random_forest"])
+    return due.select("model", *[F.col(c).cast("int").alias(c) for c in ("time_due", "rows_due")])
+
+
 @query("deploy_gate", "picks", f", {AUDIT} SELECT model, trained_at, r2 FROM audit WHERE r2 >= 0.5", "r2")
 def _(t):
     return L.deploy_gate(audit(t).select("model", "trained_at", "r2"), 0.5)
