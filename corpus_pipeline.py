@@ -43,7 +43,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    """All stages in order over ``documents``; each stage's result is a table in the shared folder."""
+    """All stages in order over ``documents``; each stage's result is a table in the shared folder.
+
+    A NULL text counts as empty: such rows are scored like others, all but one go as exact copies, and the one that stays packs to
+    its end token. Rows without doc_id are never near copies of others. Of repeated rows one stays. An empty table gives an empty
+    result. Other columns go through all stages but the last, whatever their names.
+    """
     docs = table(spark, folder, "documents")
     for _, stage in STAGES[:-1]:
         docs = keep(stage(small_batches(spark), docs, folder))

@@ -229,3 +229,32 @@ def test_tables_against_brute_force(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     assert sorted(tuple(r) for r in simhash.fingerprint_groups(docs).collect()) == brute_groups(rows)
     assert sorted(tuple(r) for r in periodic.periodic_runs(docs, True).collect()) == sorted(brute_periodic(i, t, True) for i, t in rows)
+
+
+def test_pipeline_stages_on_odd_rows(spark, folder):
+    """Each stage against brute force on what it is given: NULLs, repeated rows, clashing columns, and an empty table."""
+    import corpus_pipeline
+    from tests.llm.test_operators import brute_components
+
+    given = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = [(i, t, "en", s, 1, 2, "x") for i, t, s in ODD] + [(1000 + r[0], *tuple(r)[1:], 3, "y") for r in given.limit(60).collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row int, run string")
+    normal = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+    stages = dict(corpus_pipeline.STAGES)
+    empty = docs.limit(0)
+    for name in list(stages)[:-1]:
+        assert stages[name](spark, empty, folder).collect() == [] and stages[name](spark, empty, folder).columns == docs.columns, name
+    assert stages["packing"](spark, empty, folder).collect() == []
+    clean = corpus_pipeline.keep(stages["toxicity"](spark, docs, folder))
+    assert clean.columns == docs.columns and {r.doc_id for r in clean.collect()} >= {1, 2, 3, 4, 5, 7}
+    single = corpus_pipeline.keep(stages["exact dedup"](spark, clean, folder))
+    assert Counter(normal(r.text) for r in single.collect()) == Counter({normal(r.text) for r in clean.collect()})
+    near = corpus_pipeline.keep(stages["near dedup"](spark, single, folder))
+    before = [(r.doc_id, r.text) for r in single.collect() if r.doc_id is not None]
+    assert len({i for i, _ in before}) == len(before)
+    assert {r.doc_id for r in near.collect() if r.doc_id is not None} == {i for i, (_, root) in brute_components(before).items() if root == i}
+    mixed = corpus_pipeline.keep(stages["mixing"](spark, near, folder))
+    times = Counter((r.doc_id, r.text) for r in mixed.collect())
+    assert set(times) <= {(r.doc_id, r.text) for r in near.collect()} and max(times.values()) <= 3
+    packed = stages["packing"](spark, mixed, folder).collect()
+    assert Counter(r.doc_id for r in packed if r.start == 0) == Counter(r.doc_id for r in mixed.collect())
