@@ -61,6 +61,33 @@ def test_running_totals(skewed):
     assert sorted(plain) == sorted(spread)
 
 
+def test_running_totals_per_group(skewed):
+    order, args = [F.col("v"), F.col("id")], {"keys": ["station_code"]}
+    plain = scale.running_totals(skewed, order, {"total": "id"}, 10**9, **args).collect()
+    spread = scale.running_totals(skewed, order, {"total": "id"}, 10, parts=7, **args).collect()
+    assert sorted(plain) == sorted(spread)
+
+
+def test_ranges_grow_with_rows(spark, monkeypatch):
+    assert [scale.range_count(n, 8) for n in (0, 1, 16_000_000, 16_000_001, 10**12)] == [8, 8, 8, 9, 500_000]
+    monkeypatch.setattr(scale, "RANGE_ROWS", 500)
+    for rows in (4_000, 16_000):
+        df = spark.range(rows).select(F.xxhash64("id").alias("v"), "id")
+        numbered = scale.number_rows(df, [], [F.col("v")], "rn", hot_rows=10)
+        want = [r["id"] for r in df.orderBy("v").collect()]
+        assert [r["id"] for r in numbered.orderBy("rn").collect()] == want
+        sizes = [r["count"] for r in scale._ranges(df, [], [F.col("v")], rows, None).groupBy("_range").count().collect()]
+        assert len(sizes) >= 0.9 * rows / 500 and max(sizes) <= 2 * 500  # split points come from a sample
+
+
+def test_quantiles_whose_bracket_is_cut_into_ranges(spark):
+    """All rows lie in the bracket of a small group, and its totals go by ranges."""
+    df = spark.range(3_000).select((F.col("id") % 2).cast("string").alias("k"), (F.xxhash64("id") / 1e12).alias("v"))
+    want = {r["k"]: r["q"] for r in df.groupBy("k").agg(F.percentile("v", 0.3).alias("q")).collect()}
+    got = {r["k"]: r["q"] for r in scale.exact_quantiles(df, ["k"], "v", {"q": 0.3}, 4).collect()}
+    assert got == pytest.approx(want, rel=1e-12)
+
+
 def test_fill_in_order(skewed):
     holed = skewed.select("id", F.when(F.col("id") % 400 == 399, F.col("v")).alias("v"), F.when(F.col("id") > 2900, F.col("station_code")).alias("s"))
     for both_ways in (True, False):

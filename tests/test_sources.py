@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tremorlake.operators.quality import CheckFailed, normalize_alerts
 from tremorlake.schemas import KEYS, WAREHOUSE, table_schema
 from tremorlake.sources import files, ingest, sinks, star, versioned as versioned_module
+from tremorlake.sources.pieces import PIECE_BYTES, PieceReader
 from tremorlake.sources.versioned import ConcurrentWrite, VersionedTable, by_day, by_value
 
 
@@ -117,6 +118,44 @@ def test_hashes(spark, tmp_path):
     assert files.audit_file_hash(spark, [str(tmp_path / "none")]).first()["sha256"] == "N/A"
 
 
+def sha(*parts):
+    return hashlib.sha256(b"".join(parts)).hexdigest()
+
+
+def test_hashes_of_pieces_and_folders(spark, tmp_path):
+    root = tmp_path / "a b%20c"
+    (root / "deep").mkdir(parents=True)
+    (root / "_temporary").mkdir()
+    big = bytes(range(256)) * 10
+    contents = {"part-1": big, "part-0": b"", "deep/x": b"xyz", "_SUCCESS": b"no", ".part-1.crc": b"no", "_temporary/y": b"no"}
+    for name, data in contents.items():
+        (root / name).write_bytes(data)
+    (tmp_path / "empty").mkdir()
+    asked = [str(root / "part-1"), str(root / "part-0"), str(root), str(tmp_path / "empty"), str(root / "part-1")]
+    rows = files.audit_file_hash(spark, asked, piece_bytes=1000).collect()
+    assert len(rows) == 5  # what is asked for twice is answered twice
+    got = {r["file_path"]: (r["file_size_bytes"], r["sha256"]) for r in rows}
+    pieces = [sha(big[i : i + 1000]) for i in range(0, len(big), 1000)]
+    assert got[asked[0]] == (2560, sha("".join(pieces).encode()))
+    assert got[asked[1]] == (0, sha(b""))
+    assert got[asked[2]] == (2563, sha("".join([sha(b"xyz"), sha(b""), *pieces]).encode()))
+    assert got[asked[3]] == (None, "N/A")
+    assert files.audit_file_hash(spark, asked[:1]).first()["sha256"] == sha(big)  # one piece: the plain hash
+    assert files.audit_file_hash(spark, []).count() == 0
+
+
+def test_large_files_are_hashed_by_several_tasks(tmp_path):
+    path = tmp_path / "large"
+    with open(path, "wb") as f:
+        f.truncate(5 * 2**30)  # a hole: nothing is written
+    tasks = PieceReader([f"file:{path}"], PIECE_BYTES).partitions()
+    assert [[p.length for p in task.pieces] for task in tasks] == [[2**31], [2**31], [2**30]]
+    small = PieceReader([f"file:{path}"], 2**25).partitions()
+    assert {len(task.pieces) for task in small} == {4} and len(small) == 40  # small pieces share tasks
+    with pytest.raises(ValueError):
+        PieceReader([], 0)
+
+
 def test_waveform_names(spark, tmp_path):
     rows = [(f"x/{name}", 0.0, 1.0, [1.0]) for name in ("ev1_IV_CAAM_HHZ.mseed", "a_b_IV_cafl_HHN.mseed", "ev2_IV_ST01_00_HHZ.mseed", "IV_CAAM_HHZ.mseed")]
     spark.createDataFrame(rows, "file STRING, start DOUBLE, rate DOUBLE, samples ARRAY<DOUBLE>").write.parquet(str(tmp_path / "w"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from tremorlake.operators.joins import nearest
 from tremorlake.operators.quality import CheckFailed
 from tremorlake.scale import bounded, fill_in_order, number_rows, running_totals
-from tremorlake.session import durable
+from tremorlake.session import durable, release
 
 # Training and selection settings.
 FIT_SHARE, TEST_SHARE, SEED = 0.85, 0.2, 42
@@ -43,10 +43,12 @@ def scaler_of(df: DataFrame, features: Sequence[str], order: Sequence[str], shar
 
     A constant feature gets scale 1. The result is two numbers a feature.
     """
-    rows = number_rows(df.select(*order, *[c for c in features if c not in order]), [], [F.col(c) for c in order], "_pos", hot_rows)
-    cut = max(1, int(df.count() * share))
+    given = durable(df.select(*order, *[c for c in features if c not in order]))
+    rows = number_rows(given, [], [F.col(c) for c in order], "_pos", hot_rows)
+    cut = max(1, int(given.count() * share))
     sums = [f(c).alias(f"{n}_{c}") for c in features for n, f in (("m", F.avg), ("s", F.stddev_pop))]
     found = rows.filter(F.col("_pos") <= cut).agg(*sums).first()
+    release(given)
     return {c: (float(found[f"m_{c}"]), float(found[f"s_{c}"]) or 1.0) for c in features}
 
 

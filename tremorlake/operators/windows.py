@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tremorlake.operators.hourly import hour_grid
 from tremorlake.scale import bounded, exact_quantiles, number_rows
-from tremorlake.session import durable
+from tremorlake.session import durable, release
 
 WINDOWS = (6, 12, 24, 48)  # fixed value: hours of the rolling features
 
@@ -315,17 +315,18 @@ def temporal_split(
     """
     if not 0 < test_size < 1:
         raise ValueError(f"test_size must lie between 0 and 1, not {test_size}")
-    numbered = number_rows(df, [], [F.col(c) for c in order], "_pos", hot_rows)
-    total = df.count()
+    given = durable(df)
+    numbered = durable(number_rows(given, [], [F.col(c) for c in order], "_pos", hot_rows))
+    release(given)
+    total = numbered.count()
     cut = int(total * (1 - test_size))
     if cut == 0:
         raise ValueError(f"too few rows to split: {total}")
     counted = numbered.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.min("_pos").alias("first"))
-    in_train = counted.filter(F.col("first") <= cut).count()
-    classes = counted.orderBy("n", label).limit(1).collect()
-    if in_train < 2 and classes[0]["n"] > 1:
-        middle = classes[0]["n"] // 2 + 1
-        rare = numbered.filter(F.col(label) == classes[0][label]).select("_pos")
+    seen = counted.agg(F.count_if(F.col("first") <= cut).alias("in_train"), F.min(F.struct("n", F.col(label).alias("rarer"))).alias("least")).first()
+    if seen["in_train"] < 2 and seen["least"]["n"] > 1:
+        middle = seen["least"]["n"] // 2 + 1
+        rare = numbered.filter(F.col(label).eqNullSafe(F.lit(seen["least"]["rarer"]))).select("_pos")
         cut = number_rows(rare, [], [F.col("_pos")], "_k", hot_rows).filter(F.col("_k") == middle).first()["_pos"] - 1
     part = F.when(F.col("_pos") <= cut, "train").otherwise("test")
     return numbered.withColumn("split", part).drop("_pos")

@@ -201,18 +201,18 @@ def _write_runs(t, root: str) -> None:
             "delta_seconds",
         )
         sinks.sink_csv(raw, f"{root}/{run}/interim/station_deltas.csv", compress=False)
-    stats = durable(A.station_stats(t.picks.filter(F.col("run_id") == "run_0")).withColumnRenamed("station_code", "station"))
-    sinks.sink_csv(stats, f"{root}/run_0/processed/station_stats.csv", compress=False)
-    spatial = t.stations.join(stats.select(F.col("station").alias("station_code"), "base_mean"), "station_code").select(
-        F.col("station_code").alias("station"),
-        "network",
-        "latitude",
-        "longitude",
-        (F.col("longitude") * 1000).alias("x_m"),
-        (F.col("latitude") * 1000).alias("y_m"),
-        "base_mean",
-    )
-    sinks.sink_csv(spatial, f"{root}/run_0/processed/deltas_spatial.csv", compress=False)
+        stats = durable(A.station_stats(mine).withColumnRenamed("station_code", "station"))
+        sinks.sink_csv(stats, f"{root}/{run}/processed/station_stats.csv", compress=False)
+        spatial = t.stations.join(stats.select(F.col("station").alias("station_code"), "base_mean"), "station_code").select(
+            F.col("station_code").alias("station"),
+            "network",
+            "latitude",
+            "longitude",
+            (F.col("longitude") * 1000).alias("x_m"),
+            (F.col("latitude") * 1000).alias("y_m"),
+            "base_mean",
+        )
+        sinks.sink_csv(spatial, f"{root}/{run}/processed/deltas_spatial.csv", compress=False)
 
 
 @query(
@@ -238,6 +238,33 @@ def _(t):
     return hashed.withColumn("file_path", F.element_at(F.split("file_path", "/"), -1))
 
 
+PIECE = 4096
+
+
+@query(
+    "audit_piece_hash",
+    "picks",
+    f""", texts AS (SELECT station_code, pick_id // 50000 AS block, string_agg(pick_id || ',' || event_id || ',' || channel || chr(10), '' ORDER BY pick_id) AS text
+    FROM picks GROUP BY ALL),
+    pieces AS (SELECT station_code, block, i, substr(text, i * {PIECE} + 1, {PIECE}) AS piece FROM texts, unnest(range(0, (length(text) + {PIECE - 1}) // {PIECE})) AS u(i)),
+    digests AS (SELECT station_code, block, i, length(piece) AS length, sha256(piece) AS digest FROM pieces),
+    asked AS (SELECT 'station_code=' || station_code AS name, * FROM digests UNION ALL SELECT 'all', * FROM digests)
+    SELECT name, sum(length)::BIGINT AS file_size_bytes,
+    CASE WHEN count(*) = 1 THEN max(digest) ELSE sha256(string_agg(digest, '' ORDER BY station_code, block, i)) END AS sha256 FROM asked GROUP BY name""",
+)
+def _(t):
+    """The picks as text, a folder a station and a file a block of picks; hashes of each station's folder and of the whole."""
+    root = f"{scratch(t)}/all"
+    line = F.concat_ws(",", "pick_id", "event_id", "channel").alias("value")
+    block = F.lpad(F.floor(F.col("pick_id") / 50000).cast("string"), 12, "0").alias("block")
+    by = ["station_code", "block"]
+    lines = t.picks.select("station_code", block, "pick_id", line).repartition(*by).sortWithinPartitions(*by, "pick_id")
+    lines.drop("pick_id").write.partitionBy(*by).text(root)
+    stations = [r[0] for r in t.picks.select("station_code").distinct().collect()]  # a dimension
+    hashed = files.audit_file_hash(t.spark, [root, *[f"{root}/station_code={s}" for s in stations]], PIECE)
+    return hashed.select(F.element_at(F.split("file_path", "/"), -1).alias("name"), "file_size_bytes", "sha256")
+
+
 @query(
     "scan_waveform_chunks",
     "samples",
@@ -381,9 +408,9 @@ def _(t):
     "ingest_all_runs",
     "picks stations",
     """ SELECT 'raw_deltas' AS table_name, run_id, count(*) AS n_rows, count(DISTINCT station_code) AS n_stations FROM picks GROUP BY run_id
-    UNION ALL SELECT 'station_stats', 'run_0', count(DISTINCT station_code), count(DISTINCT station_code) FROM picks WHERE run_id = 'run_0'
-    UNION ALL SELECT 'deltas_spatial', 'run_0', count(DISTINCT station_code), count(DISTINCT station_code) FROM picks
-      WHERE run_id = 'run_0' AND station_code IN (SELECT station_code FROM stations)""",
+    UNION ALL SELECT 'station_stats', run_id, count(DISTINCT station_code), count(DISTINCT station_code) FROM picks GROUP BY run_id
+    UNION ALL SELECT 'deltas_spatial', run_id, count(DISTINCT station_code), count(DISTINCT station_code) FROM picks
+      WHERE station_code IN (SELECT station_code FROM stations) GROUP BY run_id""",
 )
 def _(t):
     warehouse, _audit = _warehouse(t)
@@ -403,9 +430,9 @@ def _(t):
     """, names AS (SELECT * FROM (VALUES ('raw_deltas'), ('station_stats'), ('deltas_spatial'), ('catalog_events'), ('waveform_energy_hourly')) v(table_name)),
     runs AS (SELECT DISTINCT run_id FROM picks),
     found AS (SELECT run_id, 'raw_deltas' AS table_name, count(*) AS n FROM picks GROUP BY 1
-      UNION ALL SELECT 'run_0', 'station_stats', count(DISTINCT station_code) FROM picks WHERE run_id = 'run_0'
-      UNION ALL SELECT 'run_0', 'deltas_spatial', count(DISTINCT station_code) FROM picks WHERE run_id = 'run_0'
-        AND station_code IN (SELECT station_code FROM stations))
+      UNION ALL SELECT run_id, 'station_stats', count(DISTINCT station_code) FROM picks GROUP BY 1
+      UNION ALL SELECT run_id, 'deltas_spatial', count(DISTINCT station_code) FROM picks
+        WHERE station_code IN (SELECT station_code FROM stations) GROUP BY 1)
     SELECT run_id, table_name, n AS rows_read, CASE WHEN n IS NULL THEN 'skipped' ELSE 'success' END AS status
     FROM runs CROSS JOIN names LEFT JOIN found USING (run_id, table_name)""",
 )

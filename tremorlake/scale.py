@@ -3,7 +3,7 @@
 Each function takes the plain Spark plan while every group is small and another, fully distributed
 one for the groups that are not:
 
-* ``exact_quantiles``  bracket the quantile with a sketch, then count exactly inside the bracket
+* ``exact_quantiles``  bracket the quantile with a sketch, then count exactly inside the bracket, in ranges if it is big
 * ``number_rows``      range-partition by the order, number inside each range, add range offsets
 * ``running_totals``   the same idea for cumulative sums
 * ``fill_in_order``    the same idea for forward / backward fill
@@ -21,6 +21,7 @@ from tremorlake.session import durable
 HOT_ROWS = 1_000_000  # more rows than this in one group: leave the one-task-per-group plan
 SMALL_ROWS = 20_000  # most rows that are broadcast
 SKETCH_ACCURACY = 20_000
+RANGE_ROWS = 2_000_000  # rows that one range is made for
 
 
 def bounded(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
@@ -51,12 +52,17 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None)
 
     There can be at most rows/hot_rows of them, so the list is small by construction.
     """
-    hot_rows = hot_rows or HOT_ROWS
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    found = counts.drop("_n").toArrow()
+    return _hot_groups(df, keys, hot_rows)[0]
+
+
+def _hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int | None) -> tuple[DataFrame | None, int]:
+    """``hot_groups`` and the number of rows that these groups have together."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > (hot_rows or HOT_ROWS))
+    found = counts.toArrow()
     if found.num_rows == 0:
-        return None
-    return F.broadcast(df.sparkSession.createDataFrame(found, df.select(*keys).schema))
+        return None, 0
+    names = found.drop_columns(["_n"])
+    return F.broadcast(df.sparkSession.createDataFrame(names, df.select(*keys).schema)), sum(found["_n"].to_pylist())
 
 
 def exact_quantiles(
@@ -74,7 +80,7 @@ def exact_quantiles(
     names = list(probs)
     value = F.col(value) if isinstance(value, str) else value
     data = df.select(*keys, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    hot = _hot_or_none(data, keys, hot_rows)
+    hot, _ = _hot_or_none(data, keys, hot_rows)
     if hot is None:
         return _plain_quantiles(data, keys, probs)
 
@@ -115,13 +121,11 @@ def exact_quantiles(
         .groupBy(*keys, "_name", "_pos", "_in", "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    upto = F.sum("_c").over(
-        W.partitionBy(*keys, "_name").orderBy("_in", "_v").rowsBetween(W.unboundedPreceding, 0)
-    )
+    inside = durable(inside)  # of a large group the bracket itself may be too big for one task: totals go by ranges
+    counted = running_totals(inside, [F.col("_in"), F.col("_v")], {"_upto": "_c"}, hot_rows, keys=[*keys, "_name"])
     low, high = F.floor("_pos"), F.ceil("_pos")
     picked = (
-        inside.withColumn("_upto", upto)
-        .groupBy(*keys, "_name", "_pos")
+        counted.groupBy(*keys, "_name", "_pos")
         .agg(
             F.max(F.when(~F.col("_in"), F.col("_c"))).alias("_below"),
             F.min(F.when(F.col("_upto") > low, F.struct("_in", F.col("_v").alias("v")))).alias("_x0"),
@@ -145,10 +149,11 @@ def exact_quantiles(
     return _plain_quantiles(data.join(hot, keys, "left_anti"), keys, probs).unionByName(hot_result)
 
 
-def _hot_or_none(data: DataFrame, keys: list[str], hot_rows: int | None) -> DataFrame | None:
+def _hot_or_none(data: DataFrame, keys: list[str], hot_rows: int | None) -> tuple[DataFrame | None, int]:
     if keys:
-        return hot_groups(data, keys, hot_rows)
-    return data if data.count() > (hot_rows or HOT_ROWS) else None
+        return _hot_groups(data, keys, hot_rows)
+    rows = data.count()
+    return (data, rows) if rows > (hot_rows or HOT_ROWS) else (None, 0)
 
 
 def _plain_quantiles(data: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
@@ -158,9 +163,18 @@ def _plain_quantiles(data: DataFrame, keys: Sequence[str], probs: Mapping[str, f
     return grouped.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
-def _ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: int | None) -> DataFrame:
-    """Range-partition by (keys, order) and write down which range each row fell into."""
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def range_count(rows: int, least: int, range_rows: int | None = None) -> int:
+    """How many ranges ``rows`` rows go into: they grow with the rows, and there are at least ``least``."""
+    return max(least, -(-rows // (range_rows or RANGE_ROWS)))
+
+
+def _ranges(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rows: int, parts: int | None) -> DataFrame:
+    """Range-partition by (keys, order) and write down which range each row fell into.
+
+    The split points are Spark's sample of the order. There are ``parts`` ranges or, if that is None, one for each
+    ``RANGE_ROWS`` rows.
+    """
+    parts = parts or range_count(rows, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     spread = df.repartitionByRange(parts, *[F.col(k) for k in keys], *order)
     return durable(spread.withColumn("_range", F.spark_partition_id()))
 
@@ -175,11 +189,11 @@ def number_rows(
 ) -> DataFrame:
     """``row_number`` from 1 per group; ``order`` must be a total order and keys not NULL."""
     keys, order = list(keys), list(order)
-    hot = _hot_or_none(df.select(*keys) if keys else df, keys, hot_rows)
+    hot, rows = _hot_or_none(df.select(*keys) if keys else df, keys, hot_rows)
     if hot is None:
         return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
     hot_rows_df = df.join(hot, keys, "left_semi") if keys else df
-    ranged = _ranges(hot_rows_df, keys, order, parts)
+    ranged = _ranges(hot_rows_df, keys, order, rows, parts)
     sizes = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1))
     offsets = bounded(sizes.select(*keys, "_range", F.coalesce(before, F.lit(0)).alias("_before")))
@@ -201,21 +215,25 @@ def running_totals(
     sums: Mapping[str, str],
     hot_rows: int | None = None,
     parts: int | None = None,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Cumulative sums over the whole table in ``order``: ``sums`` maps output to input column."""
-    order = list(order)
-    if df.count() <= (hot_rows or HOT_ROWS):
-        frame = W.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    """Cumulative sums per group, or over the whole table, in ``order``: ``sums`` maps output to input column.
+
+    Keys must not be NULL.
+    """
+    order, keys = list(order), list(keys)
+    rows = df.count()
+    if rows <= (hot_rows or HOT_ROWS):
+        frame = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
         return df.select("*", *[F.sum(col).over(frame).alias(out) for out, col in sums.items()])
-    ranged = _ranges(df, [], order, parts)
-    totals = ranged.groupBy("_range").agg(*[F.sum(col).alias(f"_t_{out}") for out, col in sums.items()])
-    earlier = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = bounded(
-        totals.select("_range", *[F.coalesce(F.sum(f"_t_{out}").over(earlier), F.lit(0)).alias(f"_o_{out}") for out in sums])
-    )
-    frame = W.partitionBy("_range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    ranged = _ranges(df, keys, order, rows, parts)
+    totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(col).alias(f"_t_{out}") for out, col in sums.items()])
+    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    before = [F.coalesce(F.sum(f"_t_{out}").over(earlier), F.lit(0)).alias(f"_o_{out}") for out in sums]
+    offsets = bounded(totals.select(*keys, "_range", *before))
+    frame = W.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     inner = ranged.select("*", *[F.sum(col).over(frame).alias(out) for out, col in sums.items()])
-    joined = inner.join(offsets, "_range")
+    joined = inner.join(offsets, [*keys, "_range"])
     return joined.select(*df.columns, *[(F.col(out) + F.col(f"_o_{out}")).alias(out) for out in sums])
 
 
@@ -229,7 +247,8 @@ def fill_in_order(
 ) -> DataFrame:
     """Forward fill, then (``both_ways``) backward fill, over the whole table in ``order``."""
     sort, back = [F.col(c).asc() for c in order], [F.col(c).desc() for c in order]
-    if df.count() <= (hot_rows or HOT_ROWS):
+    rows = df.count()
+    if rows <= (hot_rows or HOT_ROWS):
         # backwards is forwards on the reversed order: a frame that shrinks row by row is quadratic in Spark
         ahead = W.orderBy(*sort).rowsBetween(W.unboundedPreceding, 0)
         behind = W.orderBy(*back).rowsBetween(W.unboundedPreceding, 0)
@@ -237,7 +256,7 @@ def fill_in_order(
         if both_ways:
             filled = {c: F.coalesce(e, F.last(c, ignorenulls=True).over(behind)) for c, e in filled.items()}
         return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
-    ranged = _ranges(df, [], sort, parts)
+    ranged = _ranges(df, [], sort, rows, parts)
     spot = F.struct(*[F.col(c) for c in order])
     ends = ranged.groupBy("_range").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), spot)).alias(f"_l_{c}") for c in cols],

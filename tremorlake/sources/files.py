@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tremorlake.functions.scalars import normalize_code
 from tremorlake.operators.ordering import union_missing_columns
 from tremorlake.operators.quality import ALERT_ALIASES, CheckFailed, coerce_types
+from tremorlake.session import durable, release
+from tremorlake.sources.pieces import PIECE_BYTES, piece_digests
 
 # Columns of the '|'-separated event text and their names here.
 CATALOG_COLUMNS = {
@@ -81,18 +83,23 @@ def csv_headers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, ..
 def csv_by_header(spark: SparkSession, path: str | Sequence[str], **options) -> list[DataFrame]:
     """One scan for each distinct header among the files of ``path``, so that columns go by name, not by place.
 
-    A pass over the text finds the first line of every file; files without a line have no rows. Where
-    all files agree, which is the rule, there is one scan of ``path`` as it is.
+    A pass over the text finds the first line of every file; files without a line have no rows. Where all files agree, which
+    is the rule, there is one scan of ``path`` as it is. Else each layout's scan names its files, a row a file in the driver,
+    which is what the listing of a scan holds anyway.
     """
     first = spark.read.options(**options).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
-    heads = first.filter("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("head"))
-    literal = F.regexp_replace(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))), r"([\\{}\[\]*?])", r"\\$1")  # a path, not a pattern
-    groups = heads.groupBy("head").agg(F.sort_array(F.collect_list(literal)).alias("files")).orderBy("head").collect()
-    reader = spark.read.options(header=True, **options)
-    if len(groups) < 2:
-        return [reader.csv(path)]
+    heads = durable(first.filter("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("head")))
+    layouts = heads.select("head").distinct().count()
+    files: dict[str, list[str]] = {}
+    if layouts > 1:
+        literal = F.regexp_replace(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))), r"([\\{}\[\]*?])", r"\\$1")  # a path, not a pattern
+        for row in heads.select("head", literal.alias("file")).orderBy("head", "file").toLocalIterator():
+            files.setdefault(row["head"], []).append(row["file"])
+    release(heads)
+    if layouts < 2:
+        return [spark.read.options(header=True, **options).csv(path)]
     options.pop("recursiveFileLookup", None)  # the files are named one by one from here
-    return [spark.read.options(header=True, **options).csv(group["files"]) for group in groups]
+    return [spark.read.options(header=True, **options).csv(named) for named in files.values()]
 
 
 def scan_csv_checked(
@@ -228,20 +235,29 @@ def run_of_path(path: Column, inside: str) -> Column:
     return F.when(F.contains(path, F.lit(f"/{inside}")), F.substring_index(before, "/", -1))
 
 
-def audit_file_hash(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Size, change time and SHA-256 of each file, ``N/A`` where a file is absent."""
-    asked = spark.createDataFrame([(p, p.rstrip("/").split("/")[-1]) for p in paths], "asked STRING, name STRING")
-    present = [p for p in paths if path_exists(spark, p)]
-    if not present:
-        return asked.select(F.col("asked").alias("file_path"), F.lit(None).cast("long").alias("file_size_bytes"), F.lit(NO_FILE).alias("sha256"))
-    read = spark.read.format("binaryFile").load(present)
-    hashed = read.select(
-        F.regexp_replace("path", "^file:/+", "/").alias("found"), F.col("length").alias("file_size_bytes"), F.sha2("content", 256).alias("sha256")
-    )
-    bare = F.regexp_replace("asked", "^file:/+", "/")
-    return asked.join(hashed, bare == F.col("found"), "left").select(
-        F.col("asked").alias("file_path"), "file_size_bytes", F.coalesce("sha256", F.lit(NO_FILE)).alias("sha256")
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full URI of a path on the file system that Spark takes it from."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toUri().toString()
+
+
+def audit_file_hash(spark: SparkSession, paths: Sequence[str], piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """Size and SHA-256 of each file or folder of files, ``N/A`` where there is none.
+
+    What is one piece has the SHA-256 of its bytes. A file of more than ``piece_bytes``, or a folder of several files, has the
+    SHA-256 of the hexadecimal digests of its pieces, joined in order of path and place: pieces are hashed side by side, and
+    the random part of a written file's name does not count. One row of digests is about 64 bytes a piece.
+    """
+    uris = {path: qualified(spark, path) for path in paths}
+    asked = spark.createDataFrame([(p, uris[p]) for p in paths], "file_path STRING, asked STRING")
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("place", "sha256"))), lambda piece: piece["sha256"])
+    digests = F.array_join(in_order, "")
+    hashed = (
+        piece_digests(spark, sorted(set(uris.values())), piece_bytes)
+        .groupBy("asked")
+        .agg(F.sum("length").alias("file_size_bytes"), F.when(F.count(F.lit(1)) == 1, F.max("sha256")).otherwise(F.sha2(digests, 256)).alias("sha256"))
     )
+    return asked.join(hashed, "asked", "left").select("file_path", "file_size_bytes", F.coalesce("sha256", F.lit(NO_FILE)).alias("sha256"))
 
 
 def waveform_ids(file: Column) -> dict[str, Column]:

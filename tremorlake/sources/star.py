@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tremorlake.scale import number_rows
+from tremorlake.session import durable
 
 # Defaults of the star layout.
 DEFAULT_ELEVATION, DEFAULT_NETWORK, DEFAULT_PHASE = 0.0, "IV", "P"
@@ -14,8 +15,8 @@ LEAST_BLOCK_DAYS = 0.1  # fixed value: shortest download block
 
 
 def surrogate_keys(df: DataFrame, natural: str, name: str, hot_rows: int | None = None) -> DataFrame:
-    """Number the distinct natural keys from 1 in their order; many keys are numbered in parallel."""
-    return number_rows(df.dropDuplicates([natural]), [], [F.col(natural)], name, hot_rows)
+    """Number the distinct natural keys from 1 in their order; ``df`` is computed once, many keys are numbered in parallel."""
+    return number_rows(durable(df.dropDuplicates([natural])), [], [F.col(natural)], name, hot_rows)
 
 
 def load_star_schema(stations: DataFrame, picks: DataFrame) -> dict[str, DataFrame]:
