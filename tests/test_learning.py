@@ -68,6 +68,16 @@ def test_scoring_repeats_the_preparation(spark, binary):
         scorer.score(binary.drop("f2"), ["t"])
 
 
+@pytest.mark.parametrize("label", [0, 1])
+def test_training_rows_of_one_class_score_with_it(spark, binary, label):
+    scorer = L.fit_scorer(binary.filter(F.col("label") == label), ["f1", "f2"], "label", ["t"], trees=3, depth=2)
+    scored = scorer.score(binary, ["t"])
+    assert scored.columns == [*binary.columns, "probability", "alarm"] and scored.count() == binary.count()
+    assert {(r["probability"], r["alarm"]) for r in scored.collect()} == {(float(label), label)}
+    with pytest.raises(CheckFailed, match="f2"):
+        scorer.score(binary.drop("f2"), ["t"])
+
+
 def test_constant_feature_scales_by_one(spark):
     df = spark.createDataFrame([(i, 5.0, float(i)) for i in range(20)], "t INT, c DOUBLE, v DOUBLE")
     got = L.scale_causal(df, ["c", "v"], ["t"]).orderBy("t").collect()

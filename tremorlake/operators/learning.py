@@ -218,19 +218,26 @@ def first_trees(model: Model, rounds: int) -> Model:
 
 @dataclass
 class Scorer:
-    """A trained classifier with the preparation that its training used."""
+    """A trained classifier with the preparation that its training used; without a model, the one class that its training had."""
 
-    model: Model
+    model: Model | None
     features: list[str]
     scaler: Mapping[str, tuple[float, float]] = field(default_factory=dict)
     threshold: float = 0.5
+    only: float | None = None
 
     def score(self, df: DataFrame, order: Sequence[str], hot_rows: int | None = None) -> DataFrame:
         return score_table(self, df, order, hot_rows)
 
 
 def fit_scorer(df: DataFrame, features: Sequence[str], label: str, order: Sequence[str], threshold: float = 0.5, **options) -> Scorer:
-    """Fill, scale and train a forest; the scorer repeats the same steps on new rows."""
+    """Fill, scale and train a forest; the scorer repeats the same steps on new rows.
+
+    Where all rows have the same label (hours that all see an alarm) there is nothing to learn: every row is scored with it.
+    """
+    classes = [r[0] for r in df.select(label).distinct().limit(2).collect()]
+    if len(classes) == 1 and classes[0] is not None:
+        return Scorer(None, list(features), {}, threshold, float(classes[0]))
     filled = fill_in_order(df.select(*order, *features, label), list(order), list(features), both_ways=False).na.fill(0, list(features))
     scaler = scaler_of(filled, features, order)
     return Scorer(train_random_forest(scale(filled, scaler), features, label, **options), list(features), scaler, threshold)
@@ -241,6 +248,8 @@ def score_table(scorer: Scorer, df: DataFrame, order: Sequence[str], hot_rows: i
     missing = [c for c in scorer.features if c not in df.columns]
     if missing:
         raise CheckFailed(f"features that the model expects are missing: {', '.join(missing)}")
+    if scorer.model is None:
+        return df.select("*", F.lit(scorer.only).alias("probability"), F.lit(int(scorer.only >= scorer.threshold)).alias("alarm"))
     kept = df.select(*df.columns, *[F.col(c).cast("double").alias(f"_x_{c}") for c in scorer.features])
     inputs = [f"_x_{c}" for c in scorer.features]
     filled = fill_in_order(kept, list(order), inputs, both_ways=False, hot_rows=hot_rows).na.fill(0.0, inputs)
