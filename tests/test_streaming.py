@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,3 +192,12 @@ def test_threshold_alerts_are_inclusive(spark):
     got = M.threshold_alerts(df, "risk").collect()
     assert len(got) == 1 and got[0]["message"] == "Alert: HIGH - Risk: 0.80 - Stations: 18"
     assert got[0]["additional_info"] == {"trigger_timestamp": "2024-01-01T00:00:00.000000"}
+
+
+def test_buffer_is_an_aggregation_that_sees_no_python(spark, tmp_path):
+    rows = [("a", i, pd.Timestamp("2024-01-01") + pd.Timedelta(seconds=i), float(i)) for i in range(5)]
+    spark.createDataFrame(rows, "network STRING, pick_id LONG, ts TIMESTAMP, v DOUBLE").write.parquet(str(tmp_path / "in"))
+    schema = spark.read.parquet(str(tmp_path / "in")).schema
+    stream = M.watermarked(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "ts")
+    plan = M.stream_alert_cooldown(stream, "network", "ts", "pick_id", 30)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("TransformWithStateInPySpark") + plan.count("TransformWithStateInPandas") == 1 and "collect_list" in plan

@@ -197,7 +197,7 @@ def stream_alert_cooldown(alerts: DataFrame, area: str, time: str, alert_id: str
         *([F.col(time)] if is_watermarked(alerts, time) else []),
     )
     if is_watermarked(alerts, time):
-        sent = cooldown_in_order(rows, minutes)
+        sent = cooldown_in_order(rows, time, minutes)
     else:
         sent = rows.groupBy("area").applyInPandasWithState(
             cooldown_filter(minutes),
@@ -225,11 +225,11 @@ def alert_cooldown(alerts: DataFrame, area: str, time: str, alert_id: str, minut
 def stream_coincidence(triggers: DataFrame, time: str, window_seconds: float = 10.0, min_stations: int = 3) -> DataFrame:
     """Clusters of each network on a live, watermarked stream of triggers, equal to those of the batch operator.
 
-    Triggers wait per network and minute until the watermark has passed them; the network itself keeps
+    Triggers wait per network and millisecond until the watermark has passed them; the network itself keeps
     its open cluster, one trigger a station.
     """
     rows = triggers.select("network", "station_code", F.col("pick_id").cast("long").alias("pick_id"), F.unix_micros(time).alias("us"), time)
-    found = clusters_in_order(rows, round(window_seconds * 1e6), min_stations)
+    found = clusters_in_order(rows, time, round(window_seconds * 1e6), min_stations)
     return found.select("network", F.timestamp_micros("anchor_us").alias("anchor"), "station_code", "pick_id")
 
 
