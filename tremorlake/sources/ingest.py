@@ -139,7 +139,8 @@ def ingest_runs(
     twice = [name for name, n in Counter(names.values()).items() if n > 1]
     if twice:
         raise ValueError(f"several runs are in directories named {', '.join(sorted(twice))}")
-    run_ids = spark.createDataFrame([(name, run) for run, name in names.items()], "run_name STRING, run_id STRING")
+    # one row a run: unhinted, the join would bring all rows of a run together in one task
+    run_ids = F.broadcast(spark.createDataFrame([(name, run) for run, name in names.items()], "run_name STRING, run_id STRING"))
     listed = run_files(spark, runs)
 
     def load(table: str) -> tuple[str, list[tuple], dict[str, str]]:
