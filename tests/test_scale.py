@@ -235,3 +235,27 @@ def test_quantiles_of_infinite_values(spark, keys):
         df = spark.createDataFrame([(name, v) for name in group for v in cases[name]], "k STRING, v DOUBLE")
         large, plain = (scale.exact_quantiles(df, keys, "v", probs, n).collect() for n in (1, 10_000))
         assert shown(large) == shown(plain)
+
+
+def test_tasks_grow_with_the_rows(spark):
+    from tremorlake.scale import dealt
+
+    rows = spark.range(1000).selectExpr("id", "id % 50 AS k", "CAST(NULL AS LONG) AS n")
+    sizes = lambda df: [len(part) for part in df.rdd.glom().collect()]
+    assert len(sizes(dealt(rows, ["k"], 1000, task_rows=20))) == 50
+    assert max(sizes(dealt(rows, [], 1000, task_rows=20))) <= 30
+    assert dealt(rows, ["k"], 1000) is rows
+
+
+def test_windows_and_numbers_sort_a_quota_of_rows_a_task(spark, monkeypatch):
+    from tremorlake import scale
+    from tremorlake.operators import detection as D
+
+    monkeypatch.setattr(scale, "TASK_ROWS", 100)
+    rows = spark.range(3000).selectExpr("CONCAT('S', id % 30) AS s", "id DIV 30 AS n", "CAST(id % 7 AS DOUBLE) AS x")
+    chunks = D.chunk_windows(rows, ["s"], 1.0, 2.0, 80.0)
+    assert chunks.rdd.getNumPartitions() >= 30
+    ratios = D.sta_lta_ratio(rows, ["s"], 2, 5, "n", block_rows=10)
+    assert ratios.rdd.getNumPartitions() >= 30 and ratios.count() == 3000
+    numbered = scale.number_rows(rows, ["s"], [F.col("n")], "k")
+    assert numbered.rdd.getNumPartitions() >= 30 and numbered.filter("k = n + 1").count() == 3000

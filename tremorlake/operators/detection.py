@@ -17,7 +17,7 @@ from tremorlake.functions.geo import unproject_utm
 from tremorlake.functions.scalars import iso_text
 from tremorlake.operators.chains import greedy_anchors
 from tremorlake.operators.quality import first_per_key
-from tremorlake.scale import HOT_ROWS, bounded, exact_quantiles, number_rows, spread
+from tremorlake.scale import HOT_ROWS, bounded, dealt, exact_quantiles, number_rows, spread
 from tremorlake.session import durable
 
 # Detection settings.
@@ -57,8 +57,12 @@ def chunk_windows(
     length, step = round(window_seconds * rate), round((window_seconds - overlap) * rate)
     first = F.greatest(F.lit(0), F.ceil((F.col("n") - length) / step)).cast("long")
     wins = F.sequence(first, F.floor(F.col("n") / step).cast("long"))
-    spread = with_length(samples, keys).select("*", F.explode(wins).alias("win"))
+    sizes = durable(samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("npts")))
+    rows = sizes.agg(F.coalesce(F.sum("npts"), F.lit(0))).first()[0]
+    spread = samples.join(bounded(sizes), list(keys)).select("*", F.explode(wins).alias("win"))
     spread = spread.filter(F.col("win") * step < F.col("npts") - 1)
+    # what follows sorts by window: no task gets more rows because there are more traces (a row is in length / step windows)
+    spread = dealt(spread, [*keys, "win"], -(-rows * length // step))
     begin = F.col("win") * step
     reaches_end = begin + length >= F.col("npts") - 1
     return spread.withColumns({"pos": F.col("n") - begin, "kept": reaches_end | (F.col("n") < begin + step)})
@@ -124,8 +128,10 @@ def sta_lta_ratio(
         home = F.floor(F.col(pos) / block_rows)
         into_next = F.col(pos) % block_rows >= block_rows - (nlta - 1)
         blocks = F.when(into_next, F.array(home, home + 1)).otherwise(F.array(home))
-        long_enough = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > nlta)
-        rows = samples.join(bounded(durable(long_enough.drop("_n"))), keys, "left_semi").select("*", F.explode(blocks).alias("_block"))
+        long_enough = durable(samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > nlta))
+        many = long_enough.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+        rows = samples.join(bounded(long_enough.drop("_n")), keys, "left_semi").select("*", F.explode(blocks).alias("_block"))
+        rows = dealt(rows, [*keys, "_block"], many)
         order, at_home = W.partitionBy(*keys, "_block").orderBy(pos), F.floor(F.col(pos) / block_rows) == F.col("_block")
     so_far = order.rowsBetween(W.unboundedPreceding, 0)
     x = F.col(value)

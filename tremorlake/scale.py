@@ -22,6 +22,7 @@ HOT_ROWS = 1_000_000  # more rows than this in one group: leave the one-task-per
 SMALL_ROWS = 20_000  # most rows that are broadcast
 SKETCH_ACCURACY = 20_000
 RANGE_ROWS = 2_000_000  # rows that one range is made for
+TASK_ROWS = 500_000  # rows of a task that sorts or keeps them
 
 
 def bounded(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
@@ -47,6 +48,17 @@ def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *[F.col(k) for k in keys])
 
 
+def dealt(df: DataFrame, keys: Sequence[str], rows: int, task_rows: int | None = None) -> DataFrame:
+    """Hash by ``keys``, or evenly without any, over a number of tasks that grows with ``rows``, the rows there are.
+
+    The session's number of shuffle partitions does not grow with the data, so neither would the tasks of a sort or a
+    window. Where its partitions hold no more than ``task_rows`` rows each, ``df`` is left as it is.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = range_count(rows, least, task_rows or TASK_ROWS)
+    return df if parts == least and keys else df.repartition(parts, *[F.col(k) for k in keys])
+
+
 def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
     """Keys of the groups with more than ``hot_rows`` rows, broadcast; None if there are none.
 
@@ -191,6 +203,7 @@ def number_rows(
     keys, order = list(keys), list(order)
     hot, rows = _hot_or_none(df.select(*keys) if keys else df, keys, hot_rows)
     if hot is None:
+        df = dealt(df, keys, df.count()) if keys else df
         return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
     hot_rows_df = df.join(hot, keys, "left_semi") if keys else df
     ranged = _ranges(hot_rows_df, keys, order, rows, parts)
@@ -204,6 +217,7 @@ def number_rows(
     if not keys:
         return numbered
     cold = df.join(hot, keys, "left_anti")
+    cold = dealt(cold, keys, df.count() - rows)
     return cold.withColumn(
         name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long")
     ).unionByName(numbered)
