@@ -78,6 +78,21 @@ def test_training_rows_of_one_class_score_with_it(spark, binary, label):
         scorer.score(binary.drop("f2"), ["t"])
 
 
+def test_training_rows_come_in_pieces_of_bounded_size(spark, monkeypatch):
+    from tremorlake import scale
+
+    monkeypatch.setattr(scale, "TASK_ROWS", 100)
+    monkeypatch.setattr(L, "TASK_ROWS", 100)
+    rows = spark.range(2000).selectExpr("id", "CAST(NULL AS LONG) AS k", "id % 2 AS y").coalesce(1)
+    pieces = L.trainable(rows).rdd.glom().map(len).collect()
+    assert sum(pieces) == 2000 and max(pieces) <= 150
+    seen = []
+    monkeypatch.setattr(L, "trainable", lambda df: seen.append(df.count()) or df)
+    options = {"random_forest": {"numTrees": 1, "maxDepth": 1}, "xgboost": {"maxIter": 1, "maxDepth": 1}}
+    L.train_regressors(rows.withColumn("y", F.col("y").cast("double")), ["id"], "y", "id", options)
+    assert seen and 1400 < seen[0] < 1800
+
+
 def test_constant_feature_scales_by_one(spark):
     df = spark.createDataFrame([(i, 5.0, float(i)) for i in range(20)], "t INT, c DOUBLE, v DOUBLE")
     got = L.scale_causal(df, ["c", "v"], ["t"]).orderBy("t").collect()

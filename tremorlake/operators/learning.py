@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from tremorlake.operators.joins import nearest
 from tremorlake.operators.quality import CheckFailed
-from tremorlake.scale import bounded, fill_in_order, number_rows, running_totals
+from tremorlake.scale import TASK_ROWS, bounded, dealt, fill_in_order, number_rows, running_totals
 from tremorlake.session import durable, release
 
 # Training and selection settings.
@@ -132,13 +132,19 @@ def assembled(df: DataFrame, features: Sequence[str], vector: str = "features")
     return VectorAssembler(inputCols=list(features), outputCol=vector).transform(df)
 
 
+def trainable(df: DataFrame) -> DataFrame:
+    """Rows for training, in pieces of bounded size: Spark ML keeps each partition as one block of boxed rows, many times its file's size."""
+    rows = df.count()
+    return dealt(df, [], rows) if rows > TASK_ROWS else df
+
+
 def train_random_forest(
     df: DataFrame, features: Sequence[str], label: str, trees: int = TREES, depth: int = DEPTH, seed: int = SEED
 ) -> Model:
     """Forest on class-balanced weights; one class only is an error."""
     if df.select(label).distinct().limit(2).count() < 2:
         raise CheckFailed(f"{label} has only one class")
-    ready = assembled(with_weights(df, label), features)
+    ready = trainable(assembled(with_weights(df, label), features))
     return RandomForestClassifier(
         featuresCol="features", labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed, **FEWER_PASSES
     ).fit(ready)
@@ -184,7 +190,7 @@ def fit_boosting(
     cut = max(1, int(numbered.count() * FIT_SHARE))
     ready = assembled(numbered, features)
     head, tail = ready.filter(F.col("_pos") <= cut), ready.filter(F.col("_pos") > cut)
-    model = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxIter=rounds, maxDepth=depth, seed=seed).fit(head)
+    model = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", maxIter=rounds, maxDepth=depth, seed=seed).fit(trainable(head))
     losses = list(model.evaluateEachIteration(tail)) if not tail.isEmpty() else []
     best = best_round(losses, patience) if losses else rounds
     curve = [(i + 1, float(loss), i < best) for i, loss in enumerate(losses)]
@@ -297,6 +303,7 @@ def train_regressors(
     """Regressors on 80 % of the rows and their metrics on the rest: (models, metrics per model)."""
     ready = assembled(df, features)
     train, test = seeded_split(ready, key, seed=seed)
+    train = trainable(train)
     models, rows = {}, []
     for kind, options in (kinds or {"random_forest": {}, "xgboost": {}}).items():
         models[kind] = regressor(kind, label, seed, **options).fit(train)
@@ -312,7 +319,7 @@ def cross_validate_r2(
 ) -> DataFrame:
     """One row per fold with its R2, and their mean and population std."""
     fold = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(folds)).cast("int")
-    ready = assembled(df, features).withColumn("fold", fold)
+    ready = trainable(assembled(df, features).withColumn("fold", fold))
     validator = CrossValidator(
         estimator=regressor(kind, label, seed, **options),
         estimatorParamMaps=ParamGridBuilder().build(),
