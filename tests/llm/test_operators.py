@@ -418,3 +418,27 @@ def test_pipeline(spark, folder):
         docs = corpus_pipeline.keep(after)
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
     assert {r.doc_id for r in packed} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_pii_learns_from_every_candidate_and_alike_at_any_size(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tremorlake.llm import pii
+
+    assert not hasattr(pii, "SAMPLE") and len(pii.describe("call +39 081 555", 5, 12, "phone")) == pii.FEATURES
+    x = F.array(*[(F.pmod(F.xxhash64("id", F.lit(f)), F.lit(9 + f)) * 1.0) for f in range(pii.FEATURES)])
+    rows = spark.range(60_000).select("id", x.alias("x")).select(
+        F.col("id").alias("doc_id"), F.lit(1).alias("kind"), F.lit(0).alias("start"), ((F.col("x")[0] > 4) & (F.col("x")[1] > 3)).alias("is_base"), "x"
+    )
+    asked = []
+    grow = pii._grow
+    monkeypatch.setattr(pii, "_grow", lambda models, sums_of: asked.append(sums_of(models, None)) or grow(models, sums_of, 3))
+    one = pii.learn(rows, 10**6)
+    many = pii.learn(rows.repartition(7), 10)
+    assert one[1]["trees"] == many[1]["trees"] and len(one[1]["trees"]) == 3
+    assert one[1]["threshold"] == many[1]["threshold"] and one[1]["splits"] == many[1]["splits"] and one[0] is None and one[2:] == [None, None]
+    seen = rows.filter(F.pmod(F.xxhash64("doc_id", "start"), F.lit(10)) < 7).count()  # the bend at the start is the same for each row
+    p = 1 / (1 + 2.718281828459045 ** -one[1]["base"])
+    for sums in asked:
+        bend = sums[1].reshape(2, pii.FEATURES, -1)[1, 0].sum() / pii.UNIT
+        assert seen > 20_000 and abs(bend / (seen * (p * (1 - p) + 1e-6)) - 1) < 1e-3

@@ -11,18 +11,22 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tremorlake.llm.common import keep, text_or_empty
+from tremorlake.llm.common import drop, keep, text_or_empty
+from tremorlake.scale import running_totals
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE = 20_000  # candidates of each kind that the trees are fitted and calibrated on, at most
+CELLS = 50_000  # cells that are learnt from in one place
+UNIT = 2.0**24  # slopes are summed in whole numbers of its inverse
 PRECISION = 0.95  # share of base finds that the calibrated threshold asks for
 ROUNDS, RATE, CUTS = 40, 0.3, 12
+FEATURES = 17  # of ``describe``
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -84,35 +88,157 @@ def describe(text: str, start: int, end: int, kind: str) -> list[float]:
     ]
 
 
-def grow(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS) -> dict:
-    """Gradient boosting of trees with two levels on the logistic loss, splits at quantiles."""
-    cuts = [np.unique(np.quantile(column, np.linspace(0, 1, CUTS + 2)[1:-1])) for column in x.T]
-    sides = np.column_stack([column[:, None] <= cut[None] for column, cut in zip(x.T, cuts)]).astype(float)
-    splits = [(f, float(c)) for f, cut in enumerate(cuts) for c in cut]
-    base = float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)))
-    z, trees = np.full(len(y), base), []
+def _slopes(model: dict, bins: np.ndarray, n: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slope and bend of the loss of each cell under the trees so far, as whole numbers: their sums are the same in any order."""
+    p = 1 / (1 + np.exp(-_binned_margins(model, bins)))
+    return np.rint((pos - n * p) * UNIT), np.rint(n * (p * (1 - p) + 1e-6) * UNIT)
+
+
+def _binned_margins(model: dict, bins: np.ndarray) -> np.ndarray:
+    z, slots = np.full(len(bins), model["base"]), model["slots"]
+    test = lambda k: bins[:, slots[k][0]] <= slots[k][1]
+    for top, left, a, b, right, c, d in model["trees"]:
+        z += np.where(test(top), np.where(test(left), a, b), np.where(test(right), c, d))
+    return z
+
+
+def _sums(model: dict, top: int | None, bins: np.ndarray, n: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Sums of slope and bend by side of the split ``top`` (one side without), feature and bin, flat."""
+    slope, bend = _slopes(model, bins, n, pos)
+    if top is None:
+        sides = [np.ones(len(bins), bool)]
+    else:
+        left = bins[:, model["slots"][top][0]] <= model["slots"][top][1]
+        sides = [left, ~left]
+    parts = [np.bincount(bins[side, f], weights=w[side], minlength=CUTS + 1) for side in sides for w in (slope, bend) for f in range(bins.shape[1])]
+    return np.concatenate(parts).astype(np.int64)
+
+
+def _best(model: dict, sums: np.ndarray) -> tuple[int, float, float, float, float]:
+    """The best split by the sums of one side: (split, slope left, bend left, slope right, bend right)."""
+    total = sums[:, 0].sum(axis=-1) / UNIT  # any feature's bins hold all rows
+    upto = np.cumsum(sums, axis=-1) / UNIT
+    gl, hl = (np.array([upto[w, f, c] for f, c in model["slots"]]) for w in (0, 1))
+    k = int((gl**2 / (hl + 1) + (total[0] - gl) ** 2 / (total[1] - hl + 1)).argmax())
+    return k, gl[k], hl[k], total[0] - gl[k], total[1] - hl[k]
+
+
+def _started(count: int, seen: int, seen_base: int, quantiles: list[np.ndarray]) -> dict | None:
+    """A model without trees; None if there are few candidates or a class is missing."""
+    if count < 20 or not 0 < seen_base < seen:
+        return None
+    cuts = [np.unique(np.array(q, dtype=float)) for q in quantiles]
+    slots = [(f, c) for f, cut in enumerate(cuts) for c in range(len(cut))]
+    rate = seen_base / seen
+    return {"base": float(np.log((rate + 1e-3) / (1 - rate + 1e-3))), "cuts": cuts, "slots": slots, "splits": [(f, float(cuts[f][c])) for f, c in slots], "trees": []}
+
+
+def _grow(models: dict[int, dict], sums_of: Callable[[dict[int, dict], dict[int, int] | None], dict[int, np.ndarray]], rounds: int = ROUNDS) -> None:
+    """Gradient boosting of trees with two levels on the logistic loss, splits at quantiles, all kinds side by side.
+
+    ``sums_of`` gives the sums over all cells of a kind, whose number is fixed: two passes a round, whatever the rows.
+    """
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-z))
-        slope, bend = y - p, p * (1 - p) + 1e-6
-
-        def best(rows: np.ndarray) -> int:
-            g, h = slope * rows, bend * rows
-            gl, hl = g @ sides, h @ sides
-            return int((gl**2 / (hl + 1) + (g.sum() - gl) ** 2 / (h.sum() - hl + 1)).argmax())
-
-        top = best(np.ones(len(y)))
-        tree = [top]
-        for left in (True, False):
-            rows = sides[:, top] if left else 1 - sides[:, top]
-            low = best(rows)
-            tree.append(low)
-            for inner in (True, False):
-                leaf = rows * (sides[:, low] if inner else 1 - sides[:, low])
-                value = RATE * float((slope * leaf).sum() / ((bend * leaf).sum() + 1))
-                tree.append(value)
-                z += value * leaf
-        trees.append(tree)
-    return {"base": base, "splits": splits, "trees": trees}
+        shaped = lambda sums: sums.reshape(-1, 2, FEATURES, CUTS + 1)
+        tops = {k: _best(models[k], shaped(s)[0])[0] for k, s in sums_of(models, None).items()}
+        for k, s in sums_of(models, tops).items():
+            tree = [tops[k]]
+            for side in shaped(s):
+                low, gl, hl, gr, hr = _best(models[k], side)
+                tree += [low, RATE * gl / (hl + 1), RATE * gr / (hr + 1)]
+            models[k]["trees"].append(tree)
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, FEATURES)
+
+
+def learn(each: DataFrame, cells_in_one: int = CELLS) -> list[dict | None]:
+    """A model per kind from all candidates (doc_id, kind, start, is_base, x): trees on seven tenths, drawn by a hash, the threshold on the rest.
+
+    Candidates of equal bins are one cell with counts. A few cells are learnt from at once, more by sums over a table of them;
+    both give the same trees.
+    """
+    seen = F.pmod(F.xxhash64("doc_id", "start"), F.lit(10)) < 7
+    rows = each.select(F.col("kind").cast("int").alias("kind"), seen.alias("seen"), "is_base", "x")
+    marks = F.array(*[F.lit(float(p)) for p in np.linspace(0, 1, CUTS + 2)[1:-1]])
+    quantiles = [F.percentile(F.when(F.col("seen"), F.col("x")[f]), marks).alias(f"q{f}") for f in range(FEATURES)]
+    stats = rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count_if("seen").alias("s"), F.count_if(F.col("seen") & F.col("is_base")).alias("b"), *quantiles)
+    found = {r["kind"]: _started(r["n"], r["s"], r["b"], [r[f"q{f}"] for f in range(FEATURES)]) for r in stats.collect()}
+    models = {k: m for k, m in found.items() if m}
+    if not models:
+        return [None] * len(KINDS)
+    cuts = {k: m["cuts"] for k, m in models.items()}
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pc.is_in(batch.column("kind"), pa.array(list(cuts), pa.int32())))
+            x, kind = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, FEATURES), batch.column("kind").to_numpy(zero_copy_only=False)
+            bins = np.zeros(x.shape, np.uint8)
+            for k, cut in cuts.items():
+                own = kind == k
+                for f in range(FEATURES):
+                    bins[own, f] = np.searchsorted(cut[f], x[own, f], side="left")
+            columns = [batch.column("kind"), batch.column("seen"), batch.column("is_base"), pa.array([b.tobytes() for b in bins], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "seen", "is_base", "bins"])
+
+    cells = keep(
+        rows.mapInArrow(binned, "kind int, seen boolean, is_base boolean, bins binary")
+        .groupBy("kind", "seen", "bins")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("is_base").alias("pos"))
+    )
+    fitted, few = cells.filter("seen"), cells.limit(cells_in_one + 1).toArrow()
+
+    def local(table: pa.Table | pa.RecordBatch, k: int, which: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        own = table.filter(pc.and_(pc.equal(table["kind"], k), pc.equal(table["seen"], which)))
+        return _matrix(own["bins"]), own["n"].to_numpy().astype(float), own["pos"].to_numpy().astype(float)
+
+    if few.num_rows <= cells_in_one:
+        data = {k: local(few, k) for k in models}
+        _grow(models, lambda ms, tops: {k: _sums(m, tops and tops[k], *data[k]) for k, m in ms.items()})
+        rest = {k: local(few, k, False) for k in models}
+        for k, m in models.items():
+            bins, n, pos = rest[k]
+            z, at = np.unique(-_binned_margins(m, bins), return_inverse=True)  # the best score first, equal scores together
+            right = np.cumsum(np.bincount(at, weights=pos, minlength=len(z))) / np.cumsum(np.bincount(at, weights=n, minlength=len(z)))
+            good = np.flatnonzero(right >= PRECISION)
+            m["threshold"] = float(-z[good[-1]]) if len(good) else float("inf")
+        drop(cells)
+        return [found.get(k) for k in range(len(KINDS))]
+
+    def sums_of(ms: dict[int, dict], tops: dict[int, int] | None) -> dict[int, np.ndarray]:
+        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for k in ms:
+                    data = local(pa.Table.from_batches([batch]), k)
+                    if len(data[0]):
+                        total[k] = total.get(k, 0) + _sums(ms[k], tops and tops[k], *data)
+            for k, s in total.items():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([s.tolist()], pa.list_(pa.int64()))], names=["kind", "sums"])
+
+        parts = fitted.mapInArrow(summed, "kind int, sums array<bigint>").select("kind", F.posexplode("sums").alias("i", "v"))
+        out: dict[int, list] = {}
+        for r in parts.groupBy("kind", "i").agg(F.sum("v").alias("v")).orderBy("kind", "i").collect():
+            out.setdefault(r["kind"], []).append(r["v"])
+        return {k: np.array(v, np.int64) for k, v in out.items()}
+
+    _grow(models, sums_of)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in models:
+                bins, n, pos = local(pa.Table.from_batches([batch]), k, False)
+                columns = [pa.array(np.full(len(bins), k, np.int32)), pa.array(_binned_margins(models[k], bins)), pa.array(n.astype(np.int64)), pa.array(pos.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["kind", "z", "n", "pos"])
+
+    scores = keep(cells.filter("NOT seen").mapInArrow(scored, "kind int, z double, n long, pos long").groupBy("kind", "z").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")))
+    ranked = running_totals(scores, [F.col("z").desc()], {"upto": "n", "right": "pos"}, keys=["kind"])
+    lines = {r["kind"]: r["z"] for r in ranked.filter(F.col("right") / F.col("upto") >= PRECISION).groupBy("kind").agg(F.min("z").alias("z")).collect()}
+    for k, m in models.items():
+        m["threshold"] = lines.get(k, float("inf"))
+    drop(cells, scores)
+    return [found.get(k) for k in range(len(KINDS))]
 
 
 def margins(model: dict, x: np.ndarray) -> np.ndarray:
@@ -123,19 +249,6 @@ def margins(model: dict, x: np.ndarray) -> np.ndarray:
     return z
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> dict | None:
-    """Trees on seven tenths of the candidates, the threshold on the rest; None if a class is missing."""
-    seen = np.arange(len(y)) % 10 < 7
-    if len(y) < 20 or not 0 < y[seen].sum() < seen.sum():
-        return None
-    model = grow(x[seen], y[seen])
-    z, rest = margins(model, x[~seen]), y[~seen]
-    order = np.argsort(-z, kind="stable")
-    right = np.cumsum(rest[order]) / np.arange(1, len(order) + 1)
-    good = np.flatnonzero(right >= PRECISION)
-    return model | {"threshold": float(z[order][good[-1]]) if len(good) else float("inf")}
-
-
 def _proposed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "base", "kind", "start", "end", "is_base", "x"]
     for batch in batches:
@@ -167,7 +280,7 @@ def find(docs: DataFrame) -> DataFrame:
 
     Returns doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added: counts and digest of
     the base spans, and all spans with those that the trees add. Places are code points, ends exclusive.
-    A NULL or empty text has none; repeated rows are searched each; a kind of which the sample shows
+    A NULL or empty text has none; repeated rows are searched each; a kind of which there are
     only base finds, or none, gets no additions. An empty table gives an empty one. Other columns are
     not read.
     """
@@ -176,11 +289,7 @@ def find(docs: DataFrame) -> DataFrame:
     shape = f"doc_id long, base {longs}, kind {longs}, start {longs}, `end` {longs}, is_base array<boolean>, x array<array<double>>"
     proposed = keep(texts.mapInArrow(_proposed, shape))
     each = proposed.select("doc_id", F.explode(F.arrays_zip("kind", "start", "is_base", "x")).alias("c")).select("doc_id", "c.*")
-    models = []
-    for number in range(len(KINDS)):
-        own = each.filter(F.col("kind") == number).orderBy(F.xxhash64("doc_id", "start"), "doc_id", "start", "x").limit(SAMPLE)
-        rows = own.select("is_base", "x").collect()
-        models.append(fit(np.array([r["x"] for r in rows], dtype=float), np.array([float(r["is_base"]) for r in rows])) if rows else None)
+    models = learn(each)
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
