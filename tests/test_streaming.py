@@ -195,7 +195,7 @@ def test_threshold_alerts_are_inclusive(spark):
 
 
 def test_buffer_is_an_aggregation_that_sees_no_python(spark, tmp_path):
-    rows = [("a", i, pd.Timestamp("2024-01-01") + pd.Timedelta(seconds=i), float(i)) for i in range(5)]
+    rows = [("a", i, datetime(2024, 1, 1) + timedelta(seconds=i), float(i)) for i in range(5)]
     spark.createDataFrame(rows, "network STRING, pick_id LONG, ts TIMESTAMP, v DOUBLE").write.parquet(str(tmp_path / "in"))
     schema = spark.read.parquet(str(tmp_path / "in")).schema
     stream = M.watermarked(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "ts")
