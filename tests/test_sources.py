@@ -315,6 +315,21 @@ def test_a_failure_before_the_switch_leaves_the_old_version(spark, tmp_path, mon
     assert table.vacuum(keep=2) == 2  # the files of the two lost writes
 
 
+def test_vacuum_deletes_replaced_pieces_only(spark, tmp_path):
+    schema = table_schema("k:str v:int")
+    table = VersionedTable(spark, str(tmp_path / "vt"), schema, ["k"], by_value("k"))
+    put = lambda write, rows: write(spark.createDataFrame(rows, "k STRING, v INT"))
+    put(table.insert_ignore, [("a/b:1 %", 1), ("c", 2), (None, 3)])
+    put(table.upsert, [("a/b:1 %", 4)])
+    put(table.upsert, [("c", 5)])
+    pieces = lambda: sum(len(list(commit.glob("part=*"))) for commit in (tmp_path / "vt" / "data").iterdir())
+    assert pieces() == 5
+    assert table.vacuum(keep=2) == 1 and pieces() == 4  # "a/b:1 %" of the first commit; version 2 still names its "c"
+    assert table.read(2).count() == 3
+    assert table.vacuum(keep=1) == 1 and pieces() == 3 and table.vacuum(keep=1) == 0
+    assert {(r["k"], r["v"]) for r in table.read().collect()} == {("a/b:1 %", 4), ("c", 5), (None, 3)}
+
+
 def test_the_later_of_two_writers_is_told(spark, tmp_path, monkeypatch):
     one, two = versioned(spark, tmp_path), versioned(spark, tmp_path)
     one.insert_ignore(batch_of(spark, [("a", 1, 1)]))

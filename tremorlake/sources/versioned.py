@@ -118,9 +118,12 @@ class VersionedTable:
     def exists(self) -> bool:
         return bool(self.versions())
 
+    def _piece(self, part: str) -> str:
+        """The directory of a partition inside a commit, as partitionBy names it."""
+        return f"{PART}={self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(part)}"
+
     def _folders(self, parts: dict[str, list]) -> list[str]:
-        escaped = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName  # as partitionBy names directories
-        return [f"{self.path}/data/{commit}/{PART}={escaped(part)}" for part, pieces in sorted(parts.items()) for commit, _ in pieces]
+        return [f"{self.path}/data/{commit}/{self._piece(part)}" for part, pieces in sorted(parts.items()) for commit, _ in pieces]
 
     def _read(self, parts: dict[str, list]) -> DataFrame | None:
         folders = self._folders(parts)
@@ -196,14 +199,24 @@ class VersionedTable:
 
     def vacuum(self, keep: int = 2) -> int:
         """Delete all but the newest ``keep`` versions, and files that none of these names, those of failed
-        writers too; returns commits deleted. Not to be run beside a writer."""
+        writers and of replaced partitions too; returns how many commits lost files. Not to be run beside a writer."""
         known = sorted(self.versions())
         stay = known[-keep:]
-        used = {commit for v in stay for pieces in self.manifest(v)[1].values() for commit, _ in pieces}
+        used: dict[str, set[str]] = {}
+        for v in stay:
+            for part, pieces in self.manifest(v)[1].items():
+                for commit, _ in pieces:
+                    used.setdefault(commit, set()).add(self._piece(part))
         fs = self._fs()
         for v in known[:-keep]:
             fs.delete(self._hadoop_path(f"versions/{v:012d}.json"), False)
-        gone = [c for c in self._names("data") if c not in used]
-        for commit in gone:
-            fs.delete(self._hadoop_path(f"data/{commit}"), True)
-        return len(gone)
+        gone = 0
+        for commit in self._names("data"):
+            if commit in used:
+                dead = [f"data/{commit}/{n}" for n in self._names(f"data/{commit}") if n.startswith(f"{PART}=") and n not in used[commit]]
+            else:
+                dead = [f"data/{commit}"]
+            for folder in dead:
+                fs.delete(self._hadoop_path(folder), True)
+            gone += bool(dead)
+        return gone
