@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tests.llm.test_operators import ODD, frame, prose
 from tremorlake.llm import periodic, simhash, spelling
@@ -86,6 +87,24 @@ def test_links_of_dense_fingerprints(spark, monkeypatch, many):
     assert {tuple(sorted(r)) for r in got} == want
 
 
+def test_exploded_lists_are_never_broadcast(spark, tmp_path):
+    spark.range(1000).selectExpr("xxhash64(id) as fp").write.parquet(str(tmp_path / "fp"))  # some kilobytes, so far below Spark's threshold
+    members = spark.read.parquet(str(tmp_path / "fp")).selectExpr("0L as g", "fp", "0 as low")
+    plan = simhash._met(simhash.listed(members, 32))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_many_rows_are_sent_by_a_shuffle(spark, tmp_path, monkeypatch):
+    from tremorlake.llm import common
+
+    spark.range(100).write.parquet(str(tmp_path / "ids"))
+    ids = spark.read.parquet(str(tmp_path / "ids"))
+    for limit, join in ((100, "BroadcastHashJoin"), (99, "SortMergeJoin")):
+        monkeypatch.setattr(common, "SMALL_ROWS", limit)
+        joined = ids.join(common.sent(ids)(ids.withColumnRenamed("id", "other")), F.col("id") == F.col("other"))
+        assert join in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 100
+
+
 def test_fingerprint_odd(spark, monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", 100)
     rows = simhash.fingerprint_groups(frame(spark)).collect()

@@ -73,12 +73,13 @@ def listed(members: DataFrame, width: int) -> DataFrame:
 
 
 def _met(lists: DataFrame) -> DataFrame:
-    """Links (a, b) among the members of each list."""
+    """Links (a, b) among the members of each list. The join is told to shuffle: Spark sizes an exploded table as the one
+    before it, 66 times too low here, and would broadcast it."""
     left = lists.filter("side is null or not side").select(F.col("list").alias("list_a"), F.col("side").alias("side_a"), F.col("fp").alias("fp_a"))
     right = lists.filter("side is null or side").select(F.col("list").alias("list_b"), F.col("side").alias("side_b"), F.col("fp").alias("fp_b"))
     close = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= DIFFER
     once = F.col("side_a").isNotNull() | (F.col("fp_a") < F.col("fp_b"))
-    return left.join(right, (F.col("list_a") == F.col("list_b")) & F.col("side_a").isNull().eqNullSafe(F.col("side_b").isNull()) & once & close).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
+    return left.join(right.hint("merge"), (F.col("list_a") == F.col("list_b")) & F.col("side_a").isNull().eqNullSafe(F.col("side_b").isNull()) & once & close).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
 
 
 def links(distinct: DataFrame) -> DataFrame:
@@ -120,13 +121,13 @@ def fingerprint_groups(docs: DataFrame) -> DataFrame:
     rows = keep(texts.mapInArrow(_fingerprints, "doc_id long, fp long"))
     distinct = keep(rows.groupBy("fp").agg(F.min("doc_id").alias("id")))
     near = links(distinct.select("fp"))
-    several = rows.filter("doc_id is not null").groupBy(F.col("doc_id").alias("same")).agg(F.min("fp").alias("a"), F.max("fp").alias("z")).filter("a <> z")
-    shared = rows.join(several, F.col("doc_id") == F.col("same")).filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
+    several = keep(rows.filter("doc_id is not null").groupBy(F.col("doc_id").alias("same")).agg(F.min("fp").alias("a"), F.max("fp").alias("z")).filter("a <> z"))
+    shared = rows.join(sent(several)(several), F.col("doc_id") == F.col("same")).filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
     roots = components(near.unionByName(shared))
     send = sent(roots)
     rooted = keep(distinct.join(send(roots), F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("fp_"), "id", F.coalesce("root", "fp").alias("root")))
     least = keep(rooted.groupBy(F.col("root").alias("root_")).agg(F.min("id").alias("component_id")))
-    told = keep(rooted.join(least, F.col("root") == F.col("root_")).select("fp_", "component_id"))
-    drop(distinct, near, rooted, least)
+    told = keep(rooted.join(sent(least)(least), F.col("root") == F.col("root_")).select("fp_", "component_id"))
+    drop(distinct, near, several, rooted, least)
     out = rows.join(sent(told)(told), F.col("fp") == F.col("fp_"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
