@@ -131,6 +131,51 @@ def test_clusters_out_of_order_equal_the_batch(spark, picks, tmp_path):
     assert {(r["network"], r["pick_id"]) for r in got} == want and len(got) == len(want) > 100
 
 
+def test_clusters_in_small_pieces_equal_the_batch(spark, picks, tmp_path):
+    """Also where several triggers of a station have the same time, and some have no station."""
+    from tremorlake.streaming.ordered import clusters_in_order
+
+    rows = [(*p[:2], None if i % 50 == 3 else p[2], *p[3:]) for i, p in enumerate(picks)]
+    rows += [(5000 + p[0], *p[1:]) for p in rows[::7]]
+    stream, mark = disordered(spark, rows, tmp_path, 3)
+    timed = stream.select("network", "station_code", "pick_id", F.unix_micros("ts").alias("us"), "ts")
+    got = run(spark, clusters_in_order(timed, "ts", 60_000_000, 3, slot=45_000_000, piece=3), tmp_path).collect()
+    until, kept = {}, {}
+    for i, network, station, _, at, _ in sorted(rows, key=lambda r: (r[4], r[0])):
+        if network not in until or at > until[network]:
+            until[network] = at + timedelta(seconds=60)
+        kept.setdefault((network, until[network]), {}).setdefault(station, i)
+    want = {(network, station, i) for (network, end), members in kept.items() if len(members) >= 3 and end < mark for station, i in members.items()}
+    assert {(r["network"], r["station_code"], r["pick_id"]) for r in got} == want and len(got) == len(want) > 100
+
+
+def test_a_network_has_one_piece_in_memory(monkeypatch):
+    import pyarrow as pa
+
+    from tremorlake.streaming import ordered
+
+    class Handle(dict):
+        """The state of a processor: its list of open rows, its map of pieces, its timers."""
+
+        def __init__(self):
+            self.rows = []
+
+        getListState = getMapState = lambda self, *_: self
+        exists, get, put, clear = lambda self: bool(self.rows), lambda self: self.rows, lambda self, rows: setattr(self, "rows", rows), lambda self: self.rows.clear()
+        getValue, updateValue, removeKey, registerTimer = dict.__getitem__, dict.__setitem__, dict.__delitem__, lambda self, ms: None
+
+    rng = np.random.default_rng(3)
+    us = np.sort(rng.integers(0, 10**10, 50_000))
+    table = pa.table({"network": ["N"] * len(us), "slot": [0] * len(us), "us": us, "station_code": [f"S{i}" for i in rng.integers(0, 9, len(us))], "pick_id": range(len(us))})
+    pieces = ordered._pieces(100)(table.take(rng.permutation(len(us)))).to_pandas()
+    seen, closed = [], ordered.Clusters._closed
+    monkeypatch.setattr(ordered.Clusters, "_closed", lambda self, network, rows, mark: seen.append(len(rows)) or closed(self, network, rows, mark))
+    clusters, mark = ordered.Clusters(10**8, 3), type("Mark", (), {"getCurrentWatermarkInMs": lambda self: 10**8})()
+    clusters.init(Handle())
+    found = sum(map(len, clusters.handleInputRows(("N",), iter([pieces.sample(frac=1, random_state=1)]), mark)))
+    assert max(seen) <= 109 and len(clusters.waiting) == 0 and 800 < found <= 900
+
+
 def test_ingest_keeps_late_rows_and_adds_nothing_twice(spark, picks, tmp_path):
     late = (99_999, "N0", "S0", "Z", T0 - timedelta(days=2), 0.5)
     stream = stream_of(spark, tmp_path / "in", [*picks[:50], late], 2)

@@ -225,8 +225,8 @@ def alert_cooldown(alerts: DataFrame, area: str, time: str, alert_id: str, minut
 def stream_coincidence(triggers: DataFrame, time: str, window_seconds: float = 10.0, min_stations: int = 3) -> DataFrame:
     """Clusters of each network on a live, watermarked stream of triggers, equal to those of the batch operator.
 
-    Triggers wait per network and millisecond until the watermark has passed them; the network itself keeps
-    its open cluster, one trigger a station.
+    Triggers wait until the watermark has passed them, the first of a station and time; the network itself keeps
+    its open cluster, one trigger a station, and has one piece of what is released in memory at a time.
     """
     rows = triggers.select("network", "station_code", F.col("pick_id").cast("long").alias("pick_id"), F.unix_micros(time).alias("us"), time)
     found = clusters_in_order(rows, time, round(window_seconds * 1e6), min_stations)
