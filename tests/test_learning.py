@@ -93,6 +93,71 @@ def test_training_rows_come_in_pieces_of_bounded_size(spark, monkeypatch):
     assert seen and 1400 < seen[0] < 1800
 
 
+@pytest.fixture(scope="module")
+def graded(spark):
+    """Rows with features of few values, one of a single value, and a label that says more than they do."""
+    made = spark.range(4000).selectExpr("id AS k", "CAST(id % 17 AS DOUBLE) AS a", "CAST(pmod(xxhash64(id), 23) AS INT) - 11 AS b", "3.5 AS c")
+    return made.withColumn("y", F.col("a") * F.col("a") + F.abs("b") * 3.0 + F.pmod(F.xxhash64("k", "a"), F.lit(100)) / 50.0).cache()
+
+
+def test_boosting_on_cells_equals_boosting_on_rows(spark, graded):
+    features = ["a", "b", "c"]
+    rows = L.assembled(graded, features)
+    estimator = L.regressor("xgboost", "y", maxIter=6)
+    bins = L.bins_of(rows, features, "y", estimator.getMaxBins())
+    assert [len(b) for b in bins] == [17, 23, 1]
+    plain, summed = estimator.fit(rows), L.fit_cells(estimator, rows, features, "y", bins)
+    both = plain.transform(rows).select("k", "prediction").join(summed.transform(rows).select("k", F.col("prediction").alias("p")), "k")
+    assert both.filter(F.abs(F.col("prediction") - F.col("p")) > 1e-8).count() == 0
+    assert len(summed.trees) == 6 and summed.trees[0].toDebugString.count("If") == plain.trees[0].toDebugString.count("If")
+
+
+def test_cells_hold_every_row_and_a_bag_for_each_tree(spark, graded):
+    bins = L.bins_of(graded, ["a", "b", "c"], "y", 8)  # fewer bins than values
+    assert [len(b) for b in bins] == [8, 8, 1]
+    cells = L.cells_of(graded, ["a", "b", "c"], "y", bins, [], 1.0, 0)
+    rows, total = graded.agg(F.count("*"), F.sum("y")).first()
+    n, y, count = cells.agg(F.sum("_n"), F.sum("_y"), F.count("*")).first()
+    assert (n, count) == (rows, 64) and abs(y - total) < 1e-6
+    bags = L.cells_of(graded, ["a", "b", "c"], "y", bins, [0, 1], 1.0, 7).agg(F.sum("_n0"), F.sum("_n1"), F.sum("_y0"), F.sum("_y1")).first()
+    assert all(abs(b - rows) < 300 and abs(s / b - total / rows) < 3 for b, s in zip(bags[:2], bags[2:])) and bags[0] != bags[1]
+    steps = np.array(L.poisson_steps(1.0))
+    assert np.allclose(np.diff(steps)[:4], np.exp(-1.0) / np.array([1, 1, 2, 6])) and 1 - steps[-1] < 1e-11
+
+
+def test_regressors_of_many_rows_are_fitted_on_cells(spark, graded, monkeypatch):
+    from pyspark.ml.base import Estimator
+    from tremorlake import scale
+
+    seen, fit = [], Estimator.fit
+    monkeypatch.setattr(Estimator, "fit", lambda self, df, *params: seen.append(df.count()) or fit(self, df, *params))
+    kinds = {"random_forest": {"numTrees": 8, "maxDepth": 8, "featureSubsetStrategy": "all"}, "xgboost": {"maxIter": 12}}
+    plain = {r["model"]: r for r in L.train_regressors(graded, ["a", "b", "c"], "y", "k", kinds)[1].collect()}
+    assert min(seen) > 3000
+    seen.clear()
+    for module in (scale, L):
+        monkeypatch.setattr(module, "TASK_ROWS", 1000)
+    models, made = L.train_regressors(graded, ["a", "b", "c"], "y", "k", kinds)
+    summed = {r["model"]: r for r in made.collect()}
+    assert max(seen) <= 17 * 23 and len(models["random_forest"].trees) == models["random_forest"].getNumTrees == 8
+    assert summed["xgboost"]["n_rows"] == plain["xgboost"]["n_rows"] and abs(summed["xgboost"]["rmse"] - plain["xgboost"]["rmse"]) < 1e-6
+    assert abs(summed["random_forest"]["r2"] - plain["random_forest"]["r2"]) < 0.05 and summed["random_forest"]["r2"] > 0.85
+
+
+def test_rows_that_cannot_be_summed_up_are_fitted_as_they_are(spark, graded, monkeypatch):
+    from tremorlake import scale
+
+    for module in (scale, L):
+        monkeypatch.setattr(module, "TASK_ROWS", 1000)
+    one = {"xgboost": {"maxIter": 2}}
+    with pytest.raises(Exception, match="null|NULL"):
+        L.train_regressors(graded.withColumn("a", F.when(F.col("k") != 77, F.col("a"))), ["a", "b"], "y", "k", one)[1].collect()
+    monkeypatch.setattr(L, "fit_cells", lambda *_: pytest.fail("summed up"))
+    L.train_regressors(graded, ["a", "b"], "y", "k", {"xgboost": {"maxIter": 2, "subsamplingRate": 0.5}})
+    monkeypatch.setattr(L, "CELLS", 17 * 23 - 1)
+    L.train_regressors(graded, ["a", "b"], "y", "k", one)
+
+
 def test_constant_feature_scales_by_one(spark):
     df = spark.createDataFrame([(i, 5.0, float(i)) for i in range(20)], "t INT, c DOUBLE, v DOUBLE")
     got = L.scale_causal(df, ["c", "v"], ["t"]).orderBy("t").collect()

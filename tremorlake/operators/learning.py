@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import SparkContext
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
@@ -32,6 +33,7 @@ DEPLOY_R2, DEFAULT_DEPLOY_R2 = 0.70, 0.85
 RETRAIN_SECONDS, MIN_NEW_ROWS = 2_592_000, 1000
 # Trees: a level's nodes in one pass over the rows, and each row's node kept instead of walked to.
 FEWER_PASSES = {"maxMemoryInMB": 1024, "cacheNodeIds": True}
+CELLS, TREES_AT_ONCE = 2_000_000, 20  # combinations of bins that training rows are summed up by; trees whose bags are drawn in one pass
 COMPARED = ["f1_score", "roc_auc", "average_precision", "mcc", "cohen_kappa", "brier_score"]
 
 
@@ -297,16 +299,126 @@ def seeded_split(df: DataFrame, key: str, test_share: float = TEST_SHARE, seed:
     return df.filter(draw >= test_share), df.filter(draw < test_share)
 
 
+def bins_of(df: DataFrame, features: Sequence[str], label: str, most: int) -> list[list[float]] | None:
+    """For each feature at most ``most`` values, told from all rows, that stand for its bins: its values, or its quantiles if it has more.
+
+    None if there would be more than ``CELLS`` combinations of bins, or if a value or label is missing or not finite,
+    which training on the rows reports.
+    """
+    x = {f"_x{i}": F.col(c).cast("double") for i, c in enumerate(features)}
+    plain = [F.coalesce(F.abs(c) < float("inf"), F.lit(False)) for c in (*x.values(), F.col(label).cast("double"))]
+    values = df.select(*[c.alias(n) for n, c in x.items()], *[c.alias(f"_ok{i}") for i, c in enumerate(plain)])
+    odd = F.count_if(~F.array_min(F.array(*[f"_ok{i}" for i in range(len(plain))]))).alias("odd")
+    counted = values.agg(odd, *[F.approx_count_distinct(n).alias(n) for n in x]).first()
+    if counted["odd"]:
+        return None
+    shares = [(i + 0.5) / most for i in range(most)]
+    told = values.agg(*[(F.collect_set(n) if counted[n] <= most else F.percentile_approx(n, shares, 10_000)).alias(n) for n in x]).first()
+    bins = [sorted({float(v) + 0.0 for v in told[n]}) for n in x]
+    bins = [b if len(b) <= most else [b[int(share * len(b))] for share in shares] for b in bins]
+    return bins if np.prod([float(len(b)) for b in bins]) <= CELLS else None
+
+
+def summable(estimator) -> bool:
+    """Whether the trees of an estimator depend on the rows of a cell by their weight and mean only."""
+    if estimator.getMinInstancesPerNode() != 1 or estimator.isDefined(estimator.weightCol):
+        return False
+    if isinstance(estimator, GBTRegressor):
+        return estimator.getLossType() == "squared" and estimator.getSubsamplingRate() == 1 and not estimator.isDefined(estimator.validationIndicatorCol)
+    return estimator.getBootstrap()
+
+
+def poisson_steps(mean: float) -> list[float]:
+    """Where the Poisson number of a uniform draw grows by one."""
+    term, steps = float(np.exp(-mean)), [0.0]
+    while 1 - steps[-1] > 1e-12 and len(steps) < 100:
+        steps.append(steps[-1] + term)
+        term *= mean / (len(steps) - 1)
+    return steps
+
+
+def cells_of(df: DataFrame, features: Sequence[str], label: str, bins: Sequence[Sequence[float]], trees: Sequence[int], mean: float, seed: int) -> DataFrame:
+    """The rows summed up by the bins of their features (_x0, ...): weight and sum of the label, of all rows (_n, _y) without ``trees``,
+    else for each tree of its bag (_n0, _y0, ...): each row comes as often as a Poisson number says."""
+    ends = (float("-inf"), float("inf"))
+    cut = {f"_v{i}": [ends[0], *[float(np.nextafter((a + b) / 2, np.inf)) for a, b in zip(values, values[1:])], ends[1]] for i, values in enumerate(bins)}
+    cut = {c: splits for c, splits in cut.items() if len(splits) > 2}  # a Bucketizer wants two buckets at least
+    cut |= {f"_u{t}": [ends[0], *poisson_steps(mean)[1:], ends[1]] for t in trees}
+    drawn = df.select(
+        *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(features)], F.col(label).cast("double").alias("_label"), *[F.rand(seed + t).alias(f"_u{t}") for t in trees]
+    )
+    placed = Bucketizer(splitsArray=list(cut.values()), inputCols=list(cut), outputCols=[f"_in{c}" for c in cut]).transform(drawn) if cut else drawn
+    sums = [F.sum(f"_in_u{t}").alias(f"_n{t}") for t in trees] + [F.sum(F.col(f"_in_u{t}") * F.col("_label")).alias(f"_y{t}") for t in trees]
+    plain = [F.count(F.lit(1)).cast("double").alias("_n"), F.sum("_label").alias("_y")]
+    summed = placed.groupBy(*[f"_in_v{i}" for i in range(len(bins)) if f"_v{i}" in cut]).agg(*(sums or plain))
+    place = [F.col(f"_in_v{i}").cast("int") if f"_v{i}" in cut else F.lit(0) for i in range(len(bins))]
+    return durable(summed.withColumns({f"_x{i}": F.element_at(F.array(*map(F.lit, values)), at + 1) for i, (values, at) in enumerate(zip(bins, place))}))
+
+
+def fit_cells(estimator, df: DataFrame, features: Sequence[str], label: str, bins: Sequence[Sequence[float]]) -> Model:
+    """A forest or boosted trees from all rows of ``df``, summed up by the bins of their features.
+
+    Trees see a feature by its bin only, and the variance within a cell is the same on both sides of every split. So a cell with
+    the weight and the mean of its rows gives the gains, splits and means that the rows give, and no row is read once a
+    level. A tree of a forest has a bag of its own, drawn row by row, so its sums are its own too.
+    """
+    inputs = [f"_x{i}" for i in range(len(bins))]
+
+    def fit(cells: DataFrame, n: str, y: str, **options) -> Model:
+        ready = assembled(cells.filter(F.col(n) > 0).select(*inputs, F.col(n), (F.col(y) / F.col(n)).alias(label)), inputs)
+        every = int(np.ceil(np.sqrt(cells.count())))  # Spark ML looks for values in the square of maxBins rows: in all cells
+        return regressor_copy(estimator, weightCol=n, maxBins=max(every, estimator.getMaxBins()), **options).fit(ready)
+
+    if isinstance(estimator, GBTRegressor):
+        cells = cells_of(df, features, label, bins, [], 1.0, 0)
+        model = fit(cells, "_n", "_y")
+        release(cells)
+        return model
+    trees, seed, made = estimator.getNumTrees(), estimator.getSeed(), []
+    subset = estimator.getFeatureSubsetStrategy()
+    subset = "onethird" if subset == "auto" and trees > 1 else subset
+    for low in range(0, trees, TREES_AT_ONCE):
+        some = range(low, min(trees, low + TREES_AT_ONCE))
+        cells = cells_of(df, features, label, bins, some, estimator.getSubsamplingRate(), seed)
+        with ThreadPool(4) as pool:
+            one = inheritable_thread_target(df.sparkSession)(lambda t: fit(cells, f"_n{t}", f"_y{t}", numTrees=1, bootstrap=False, seed=seed + t, featureSubsetStrategy=subset))
+            made += pool.map(one, some)
+        release(cells)
+    return forest_of(estimator, made)
+
+
+def regressor_copy(estimator, **options):
+    """The estimator with other options."""
+    return estimator.copy({estimator.getParam(name): value for name, value in options.items()})
+
+
+def forest_of(estimator: RandomForestRegressor, forests: Sequence[RandomForestRegressionModel]) -> RandomForestRegressionModel:
+    """The forest of an estimator, of the first tree of each of ``forests``."""
+    gateway = SparkContext._active_spark_context._gateway
+    ml = gateway.jvm.org.apache.spark.ml.regression
+    trees = gateway.new_array(ml.DecisionTreeRegressionModel, len(forests))
+    for i, forest in enumerate(forests):
+        trees[i] = forest._java_obj.trees()[0]
+    return estimator._copyValues(RandomForestRegressionModel(ml.RandomForestRegressionModel(forests[0].uid, trees, forests[0].numFeatures)))
+
+
 def train_regressors(
     df: DataFrame, features: Sequence[str], label: str, key: str, kinds: Mapping[str, Mapping] | None = None, seed: int = SEED
 ) -> tuple[dict[str, Model], DataFrame]:
-    """Regressors on 80 % of the rows and their metrics on the rest: (models, metrics per model)."""
+    """Regressors on 80 % of the rows and their metrics on the rest: (models, metrics per model).
+
+    Beyond ``TASK_ROWS`` rows they are summed up by their features' bins first, if that keeps what the trees are made of; see ``fit_cells``.
+    """
     ready = assembled(df, features)
     train, test = seeded_split(ready, key, seed=seed)
-    train = trainable(train)
-    models, rows = {}, []
+    pieces = trainable(train)
+    models, rows, bins = {}, [], {}
     for kind, options in (kinds or {"random_forest": {}, "xgboost": {}}).items():
-        models[kind] = regressor(kind, label, seed, **options).fit(train)
+        estimator = regressor(kind, label, seed, **options)
+        most = estimator.getMaxBins()
+        if pieces is not train and summable(estimator) and most not in bins:
+            bins[most] = bins_of(train, features, label, most)
+        models[kind] = fit_cells(estimator, train, features, label, bins[most]) if bins.get(most) and summable(estimator) else estimator.fit(pieces)
         rows.append(regression_metrics(models[kind].transform(test), label).select(F.lit(kind).alias("model"), "*"))
     made = rows[0]
     for row in rows[1:]:
